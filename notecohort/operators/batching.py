@@ -64,19 +64,21 @@ def _parse(responses: DataFrame) -> DataFrame:
                          F.col("_p.stage").alias("stage"), F.col("_p.system").alias("system"))
 
 
-def extract_per_note(notes: DataFrame, note_id_cols: list[str], model_factory: Callable,
-                     text_col: str = "note_text", template: str = CHAT_TEMPLATE,
-                     model_name: str = "model") -> DataFrame:
+def extract_per_note(notes: DataFrame, model_factory: Callable, text_col: str = "note_text",
+                     template: str = CHAT_TEMPLATE, model_name: str = "model") -> DataFrame:
     """B7 / per-note mode: one request per non-blank note; notes with a finding are kept,
-    with all their columns plus ``stage``/``system``."""
+    with all their columns plus ``stage``/``system``.
+
+    Note rows pass through the inference step whole: note tables have no reliable unique
+    id (the same metadata row can repeat), so results are never joined back by key.
+    """
     nb = notes.where(non_blank(F.col(text_col)))
-    requests = nb.select(*note_id_cols, render(F.col(text_col), template).alias("prompt"))
-    results = _parse(infer(requests, note_id_cols, "prompt", model_factory, model_name))
-    hits = results.where(F.col("stage").isNotNull())
-    return nb.join(hits, note_id_cols, "inner")
+    requests = nb.select("*", render(F.col(text_col), template).alias("_prompt"))
+    results = _parse(infer(requests, list(nb.columns), "_prompt", model_factory, model_name))
+    return results.where(F.col("stage").isNotNull())
 
 
-def extract_by_patient(notes: DataFrame, note_id_cols: list[str], model_factory: Callable,
+def extract_by_patient(notes: DataFrame, model_factory: Callable,
                        patient_col: str = "patientdurablekey", text_col: str = "note_text",
                        index_col: str = "note_no", order_cols: list[str] | None = None,
                        template: str = CHAT_TEMPLATE, max_context: int = MAX_CONTEXT_TOKENS,
@@ -102,5 +104,5 @@ def extract_by_patient(notes: DataFrame, note_id_cols: list[str], model_factory:
 
     per_note_patients = budget.select(patient_col).join(requests.select(patient_col), patient_col, "left_anti")
     singles = keyed.join(per_note_patients, patient_col, "left_semi")
-    per_note = extract_per_note(singles, note_id_cols, model_factory, text_col, template, model_name)
+    per_note = extract_per_note(singles, model_factory, text_col, template, model_name)
     return batched.unionByName(per_note.select(*batched.columns))

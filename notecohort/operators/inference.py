@@ -45,9 +45,10 @@ def _call(model: Callable, prompts: list[str]) -> list:
 
 def infer(requests: DataFrame, id_cols: list[str], prompt_col: str, model_factory: Callable[[], Callable],
           model_name: str = "model", out_col: str = "response", batch_rows: int = 32) -> DataFrame:
-    """Add ``out_col`` (string, null on error) for each request row.
+    """``id_cols`` of each request row plus ``out_col`` (string, null on error).
 
-    ``batch_rows`` prompts are passed to the model per call (Arrow batches are split).
+    ``id_cols`` are passed through unchanged (they may be whole note rows), so results
+    never need a join back.  ``batch_rows`` prompts go to the model per call.
     """
     schema = T.StructType([requests.schema[c] for c in id_cols] + [T.StructField(out_col, T.StringType(), True)])
 

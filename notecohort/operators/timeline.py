@@ -28,13 +28,14 @@ def staging_timeline(findings: DataFrame, metadata: DataFrame, encounters: DataF
     meta = metadata.select(key, patient_col, "encounterkey", note_id_col).where(F.col(key).isNotNull())
     enc = encounters.select("encounterkey", date_col)
     rows = (f.join(meta, key, "inner").join(enc, "encounterkey", "left")
-             .select(patient_col, date_col, note_id_col, "finding_no", "stage", "system"))
-    order = [patient_col, date_col, note_id_col, "finding_no"]
+             .select(patient_col, date_col, note_id_col, key, "finding_no", "stage", "system"))
+    # note id and text key together: the note id alone can repeat
+    order = [patient_col, date_col, note_id_col, key, "finding_no"]
     ordered = with_row_index(rows, order, "_gpos")
     first = ordered.groupBy(patient_col).agg(F.min("_gpos").alias("_first"))
     prev = ordered.select((F.col("_gpos") + 1).alias("_gpos"), F.col(patient_col).alias("_prev_patient"),
                           F.col("stage").alias("_prev_stage"))
     out = ordered.join(first, patient_col, "inner").join(prev, "_gpos", "left")
-    return out.select(patient_col, date_col, note_id_col, "finding_no", "stage", "system",
+    return out.select(patient_col, date_col, note_id_col, key, "finding_no", "stage", "system",
                       (F.col("_gpos") - F.col("_first") + 1).alias("seq"),
                       F.when(F.col("_prev_patient") == F.col(patient_col), F.col("_prev_stage")).alias("previous_stage"))

@@ -16,7 +16,7 @@ from ..functions.prompts import CHAT_TEMPLATE, FINDINGS_TEMPLATE, render
 from ..functions.responses import parse_response
 from ..functions.text import non_blank
 from ..operators import batching, cohort, notes, staging, timeline
-from ..session import ensure_checkpoint_dir, scratch_dir
+from ..session import ensure_checkpoint_dir, scratch_dir, ship_package
 from ..sources import readers, sinks
 from ..streaming import incremental
 from . import oracle as O
@@ -212,12 +212,12 @@ def q_parse_response(c: Chain) -> DataFrame:
 
 
 def q_llm_per_note(c: Chain) -> DataFrame:
-    out = batching.extract_per_note(c.notes, ["deid_note_id"], keyword_model_factory(), model_name="keyword")
+    out = batching.extract_per_note(c.notes, keyword_model_factory(), model_name="keyword")
     return out.select(*NOTE_OUT)
 
 
 def q_llm_patient_mode(c: Chain) -> DataFrame:
-    out = batching.extract_by_patient(c.notes, ["deid_note_id"], keyword_model_factory(),
+    out = batching.extract_by_patient(c.notes, keyword_model_factory(),
                                       order_cols=["note_no", "deid_note_id"], model_name="keyword")
     return out.select(*NOTE_OUT)
 
@@ -358,6 +358,7 @@ SPARK: dict[str, Callable[[Chain], DataFrame]] = {
 
 def build(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return SPARK[name](Chain(spark, sf_dir))
 
 
@@ -471,10 +472,10 @@ def _oracles() -> dict[str, str]:
                        f"where {_nb()} and patientdurablekey in (select patientdurablekey from budget where not fits)")],
             body="select * from batched union all select * from single where stage is not null"),
         "staging_timeline": O.chain("texts", [texts_findings, ("rows", (
-            "select m.patientdurablekey, m.datekeyvalue, m.deid_note_id, f.finding_no, f.stage, f.system from f "
-            "join meta_enc m on f.deid_note_key = m.deid_note_key"))], body=(
+            "select m.patientdurablekey, m.datekeyvalue, m.deid_note_id, m.deid_note_key, f.finding_no, f.stage, "
+            "f.system from f join meta_enc m on f.deid_note_key = m.deid_note_key"))], body=(
             "select *, row_number() over w as seq, lag(stage) over w as previous_stage from rows "
-            "window w as (partition by patientdurablekey order by datekeyvalue nulls first, deid_note_id, finding_no)")),
+            "window w as (partition by patientdurablekey order by datekeyvalue nulls first, deid_note_id, deid_note_key, finding_no)")),
         "scan_csv_ids": fx("select person_source_value from patient_ids"),
         "scan_recursive": fx(f"select {enc_cols} from encounterfact"),
         "scan_tolerant": fx("select * from note_text_files"),

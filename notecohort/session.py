@@ -42,6 +42,7 @@ def build_session(master: str | None = None, app: str = "notecohort",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -78,3 +79,29 @@ _COUNT = [0]
 def _counter() -> int:
     _COUNT[0] += 1
     return _COUNT[0]
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``notecohort`` importable in Python workers (pandas/Arrow operators pickle
+    references to its functions).  Zips the package once per process and adds it with
+    ``addPyFile`` once per application, as ``--py-files`` would on spark-submit."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="notecohort-pyfiles-")
+    archive = os.path.join(out_dir, "notecohort.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
