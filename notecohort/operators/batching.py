@@ -19,6 +19,7 @@ from ..functions.prompts import (CHAT_TEMPLATE, MAX_CONTEXT_TOKENS, NOTE_JOINER,
                                  over_budget, render)
 from ..functions.responses import parse_response
 from ..functions.text import non_blank
+from ..session import ensure_checkpoint_dir
 from .inference import infer, token_counts
 
 
@@ -82,14 +83,20 @@ def extract_by_patient(notes: DataFrame, model_factory: Callable,
                        patient_col: str = "patientdurablekey", text_col: str = "note_text",
                        index_col: str = "note_no", order_cols: list[str] | None = None,
                        template: str = CHAT_TEMPLATE, max_context: int = MAX_CONTEXT_TOKENS,
-                       token_counter: Callable | None = None, model_name: str = "model") -> DataFrame:
+                       token_counter: Callable | None = None, model_name: str = "model",
+                       materialize: bool = True) -> DataFrame:
     """Patient mode: one request per patient whose notes fit the budget, else per note.
 
     A patient's single result is copied to all of its notes, blank ones included (F15);
     a patient request without a finding drops the patient.  Notes with a null patient key
-    are not processed (grouping drops null keys in the reference).
+    are not processed (grouping drops null keys in the reference).  The note table feeds
+    four branches (budget, requests, fan-out, per-note), so by default it is written once
+    to the reliable checkpoint folder instead of being recomputed per branch.
     """
     keyed = notes.where(F.col(patient_col).isNotNull())
+    if materialize:
+        ensure_checkpoint_dir(keyed.sparkSession)
+        keyed = keyed.checkpoint(eager=True)
     budget = patient_budget(keyed, patient_col, text_col, index_col, max_context)
     fits = budget.where("fits").select(patient_col)
     requests = patient_concat(keyed, fits, patient_col, text_col, index_col, order_cols)

@@ -1,31 +1,78 @@
-"""Broadcast only behind a checked size bound."""
+"""Size-aware plan helpers: broadcast only behind a checked bound, spread small CPU-heavy
+inputs over all cores, and filter without letting Catalyst re-inline costly columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Largest key set (rows) that is ever broadcast.  Keys are short strings, so 1M rows is
-# well under 100 MB per executor.  Beyond it the join stays a shuffle join (AQE may still
-# convert it from runtime statistics, and splits skewed partitions).
+# well under 100 MB per executor.  Beyond it the join stays a shuffle join (AQE splits
+# skewed partitions).
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 CONF_KEY = "notecohort.broadcast.maxRows"
+# Inputs estimated below this size are spread round-robin over all cores before
+# per-row CPU-heavy work (regex scans); larger inputs keep their scan splits.
+DEFAULT_SPREAD_BELOW_BYTES = 1 << 30
+SPREAD_KEY = "notecohort.spreadBelowBytes"
+
+
+def _conf_int(df: DataFrame, key: str, default: int) -> int:
+    value = df.sparkSession.conf.get(key, None)
+    return int(value) if value else default
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
-    try:
-        value = df.sparkSession.conf.get(CONF_KEY, None)
-    except Exception:  # pragma: no cover - conf access differs on Connect
-        value = None
-    return int(value) if value else DEFAULT_MAX_BROADCAST_ROWS
+    return _conf_int(df, CONF_KEY, DEFAULT_MAX_BROADCAST_ROWS)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None, materialize: bool = True) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    The check counts at most ``max_rows + 1`` rows (``limit`` stops the scan early), so it
-    is cheap even when the answer is "too big".
+    With ``materialize`` (the default) the key set is first written to the reliable
+    checkpoint folder, so neither the size check nor the join re-runs the plan that
+    produced it (often a large join).  The check then reads at most ``max_rows + 1``
+    rows of the written keys.
     """
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     n = df.limit(limit + 1).count()
     return F.broadcast(df) if n <= limit else df
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimized plan (file sizes for scans)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # pragma: no cover - estimate unavailable (e.g. Spark Connect)
+        return 1 << 62
+
+
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over all cores when it is small; leave it alone when large.
+
+    Per-row regex work is CPU-bound.  A small table can arrive in very few partitions (a
+    file with one row group is read by one task), leaving cores idle; a cheap shuffle
+    fixes that.  A large table already has one task per split, and shuffling it would
+    cost more than it saves, so it is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(df) < _conf_int(df, SPREAD_KEY, DEFAULT_SPREAD_BELOW_BYTES):
+        return df.repartition(max(cores, 1))
+    return df
+
+
+def filter_here(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.where(condition)``, evaluated at this point of the plan.
+
+    Catalyst pushes a filter below projections by substituting their expressions, so a
+    filter on a costly computed column (a chain of regex scans) would be re-inlined and
+    computed twice.  A nondeterministic marker column (the partition id, always >= 0)
+    referenced by the condition keeps the filter above the projection that computes it.
+    """
+    marked = df.withColumn("_here", F.spark_partition_id() >= 0)
+    return marked.where(condition & F.col("_here")).drop("_here")

@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 
 from ..functions.findings import add_findings, add_first_finding
 from ..functions.patterns import BASIC_RULES, RULES, RULES_BY_NAME, rule_set
+from .sizing import filter_here, spread_for_cpu
 
 
 def findings_table(notes: DataFrame, key_cols: list[str], text_col: str = "note_text", rules=RULES) -> DataFrame:
     """One row per finding: ``key_cols``, finding_no (0-based, rule order then text order),
     rule, stage, system, evidence, start."""
-    with_f = add_findings(notes.select(*key_cols, text_col), text_col, rules, "_findings")
-    exploded = with_f.select(*key_cols, F.posexplode("_findings").alias("finding_no", "_f"))
+    with_f = add_findings(spread_for_cpu(notes.select(*key_cols, text_col)), text_col, rules, "_findings")
+    # posexplode_outer, not posexplode: for an inner generator Catalyst infers a
+    # ``size(_findings) > 0`` filter and pushes it below the projection, which re-inlines
+    # every regex pass of the findings expression into that filter.
+    exploded = (with_f.select(*key_cols, F.posexplode_outer("_findings").alias("finding_no", "_f"))
+                      .where(F.col("finding_no").isNotNull()))
     return exploded.select(*key_cols, "finding_no", "_f.rule", "_f.stage", "_f.system", "_f.evidence", "_f.start")
 
 
@@ -51,9 +56,9 @@ def patient_findings(texts: DataFrame, metadata: DataFrame, key: str = "deid_not
 def first_findings(notes: DataFrame, text_col: str = "note_text", rules=RULES, keep_all: bool = False) -> DataFrame:
     """E4 + B5: note columns plus ``stage``/``system`` of the first finding; only notes
     with a finding unless ``keep_all``."""
-    out = add_first_finding(notes, text_col, rules, "_ff")
+    out = add_first_finding(spread_for_cpu(notes), text_col, rules, "_ff")
     out = out.select(*notes.columns, F.col("_ff.stage").alias("stage"), F.col("_ff.system").alias("system"))
-    return out if keep_all else out.where(F.col("stage").isNotNull())
+    return out if keep_all else filter_here(out, F.col("stage").isNotNull())
 
 
 def finding_summary(first: DataFrame, notes: DataFrame, key: str = "deid_note_key",
