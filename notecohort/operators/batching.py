@@ -19,8 +19,8 @@ from ..functions.prompts import (CHAT_TEMPLATE, MAX_CONTEXT_TOKENS, NOTE_JOINER,
                                  over_budget, render)
 from ..functions.responses import parse_response
 from ..functions.text import non_blank
-from ..session import ensure_checkpoint_dir
 from .inference import infer, token_counts
+from .sizing import write_table
 
 
 def patient_budget(notes: DataFrame, patient_col: str = "patientdurablekey", text_col: str = "note_text",
@@ -65,14 +65,38 @@ def _parse(responses: DataFrame) -> DataFrame:
                          F.col("_p.stage").alias("stage"), F.col("_p.system").alias("system"))
 
 
+ROW_ID = "_row"
+
+
+def with_row_ids(notes: DataFrame) -> DataFrame:
+    """Write the notes once (shared checkpoint folder) with a stored unique row id.
+
+    Note tables have no reliable unique key (a metadata row can repeat), and an id made
+    by ``monotonically_increasing_id`` is only stable once written.  With the id stored,
+    only ``(id, prompt)`` crosses into Python and results join back on the id.
+    """
+    if ROW_ID in notes.columns:
+        return notes
+    return write_table(notes.withColumn(ROW_ID, F.monotonically_increasing_id()), "notes")
+
+
 def extract_per_note(notes: DataFrame, model_factory: Callable, text_col: str = "note_text",
-                     template: str = CHAT_TEMPLATE, model_name: str = "model") -> DataFrame:
+                     template: str = CHAT_TEMPLATE, model_name: str = "model",
+                     materialize: bool = True) -> DataFrame:
     """B7 / per-note mode: one request per non-blank note; notes with a finding are kept,
     with all their columns plus ``stage``/``system``.
 
-    Note rows pass through the inference step whole: note tables have no reliable unique
-    id (the same metadata row can repeat), so results are never joined back by key.
+    With ``materialize`` the notes get a stored row id (see ``with_row_ids``); without it
+    whole note rows pass through the inference step instead.
     """
+    out_cols = [c for c in notes.columns if c != ROW_ID]
+    if materialize or ROW_ID in notes.columns:
+        keyed = with_row_ids(notes)
+        nb = keyed.where(non_blank(F.col(text_col)))
+        requests = nb.select(ROW_ID, render(F.col(text_col), template).alias("_prompt"))
+        hits = _parse(infer(requests, [ROW_ID], "_prompt", model_factory, model_name))
+        hits = hits.where(F.col("stage").isNotNull())
+        return nb.join(hits, ROW_ID, "inner").select(*out_cols, "stage", "system")
     nb = notes.where(non_blank(F.col(text_col)))
     requests = nb.select("*", render(F.col(text_col), template).alias("_prompt"))
     results = _parse(infer(requests, list(nb.columns), "_prompt", model_factory, model_name))
@@ -95,8 +119,7 @@ def extract_by_patient(notes: DataFrame, model_factory: Callable,
     """
     keyed = notes.where(F.col(patient_col).isNotNull())
     if materialize:
-        ensure_checkpoint_dir(keyed.sparkSession)
-        keyed = keyed.checkpoint(eager=True)
+        keyed = with_row_ids(keyed)
     budget = patient_budget(keyed, patient_col, text_col, index_col, max_context)
     fits = budget.where("fits").select(patient_col)
     requests = patient_concat(keyed, fits, patient_col, text_col, index_col, order_cols)
@@ -107,9 +130,10 @@ def extract_by_patient(notes: DataFrame, model_factory: Callable,
         requests = requests.join(exact_ok, patient_col, "left_semi")
     batch_results = _parse(infer(requests, [patient_col], "prompt", model_factory, model_name))
     batch_hits = batch_results.where(F.col("stage").isNotNull())
-    batched = keyed.join(batch_hits, patient_col, "inner")
+    out_cols = [c for c in keyed.columns if c != ROW_ID]
+    batched = keyed.join(batch_hits, patient_col, "inner").select(*out_cols, "stage", "system")
 
     per_note_patients = budget.select(patient_col).join(requests.select(patient_col), patient_col, "left_anti")
     singles = keyed.join(per_note_patients, patient_col, "left_semi")
-    per_note = extract_per_note(singles, model_factory, text_col, template, model_name)
+    per_note = extract_per_note(singles, model_factory, text_col, template, model_name, materialize)
     return batched.unionByName(per_note.select(*batched.columns))

@@ -27,7 +27,8 @@ def best_dim_rows(dim: DataFrame, wanted_ids: DataFrame, dim_id: str = "patiente
     window, so a hot id is combined map-side instead of landing in one task.
     """
     ids = wanted_ids.select(F.col(id_col).alias(dim_id)).where(F.col(dim_id).isNotNull()).distinct()
-    cut = dim.where(F.col(dim_id).isNotNull()).join(bounded_broadcast(ids), dim_id, "left_semi")
+    # the id list is cheap to recompute (a CSV), so it is size-checked without writing it
+    cut = dim.where(F.col(dim_id).isNotNull()).join(bounded_broadcast(ids, materialize=False), dim_id, "left_semi")
     per_file = cut.groupBy(dim_id, file_order).agg(
         F.count(F.lit(1)).alias("rows_in_file"),
         F.max_by(F.col(dim_key), F.col(row_order)).alias(dim_key))
@@ -41,7 +42,7 @@ def map_ids(ids: DataFrame, dim: DataFrame, id_col: str = "person_source_value",
             file_order: str = "file_no", row_order: str = "row_no", keep_counts: bool = False) -> DataFrame:
     """Every input row kept (duplicates too), ``dim_key`` null when the id is unknown."""
     best = best_dim_rows(dim, ids, dim_id, dim_key, file_order, row_order, id_col)
-    best = bounded_broadcast(best)
+    # at most one row per requested id; a left join lets AQE broadcast it from runtime size
     mapped = ids.join(best, ids[id_col] == best[dim_id], "left").drop(best[dim_id])
     return mapped if keep_counts else mapped.drop("rows_in_file")
 

@@ -1,11 +1,12 @@
 """A distributed, deterministic row index (position in a global order).
 
 Used where the reference numbers rows of a sorted list (patient partition map, metadata
-chunks).  No single-partition window: the data is range-partitioned and sorted, written
-to the reliable checkpoint folder (so partition ids and in-partition positions are fixed
-even if a task is re-run), counted per partition, and each row gets
-``offset(partition) + position in partition``.  The offsets table has one row per
-partition, a proven bound, and is broadcast.
+chunks, timelines).  No single-partition window: the data is range-partitioned and
+sorted, and the same job writes each row with its partition id and position inside the
+partition to the shared checkpoint folder (a fixed, re-readable result, so later counts
+and joins agree even if tasks are re-run).  Partitions are counted, and each row gets
+``offset(partition) + position``.  The offsets table has one row per partition, a
+proven bound, and is broadcast.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from .sizing import write_table
 
 
 def with_row_index(df: DataFrame, order_cols: list[str], index_col: str = "row_index",
@@ -23,17 +24,16 @@ def with_row_index(df: DataFrame, order_cols: list[str], index_col: str = "row_i
     ``order_cols`` must order the rows totally (ties would make positions arbitrary).
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (df.repartitionByRange(n, *order_cols)
-                 .sortWithinPartitions(*order_cols)
-                 .checkpoint(eager=True))
+    # An explicit partition count: AQE does not coalesce it, so partition ids follow the
+    # range order.
+    ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     pid = F.spark_partition_id()
     local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    located = ordered.select("*", pid.alias("_pid"), local.alias("_local"))
-    counts = located.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    stored = write_table(ordered.select("*", pid.alias("_pid"), local.alias("_local")), "row-index")
+    counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
-    return (located.join(F.broadcast(offsets), "_pid")
-                   .withColumn(index_col, (F.col("_offset") + F.col("_local")).cast("long"))
-                   .drop("_pid", "_local", "_offset"))
+    return (stored.join(F.broadcast(offsets), "_pid")
+                  .withColumn(index_col, (F.col("_offset") + F.col("_local")).cast("long"))
+                  .drop("_pid", "_local", "_offset"))

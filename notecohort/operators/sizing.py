@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_dir
 
 # Largest key set (rows) that is ever broadcast.  Keys are short strings, so 1M rows is
 # well under 100 MB per executor.  Beyond it the join stays a shuffle join (AQE splits
@@ -24,6 +24,18 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(value) if value else default
 
 
+def write_table(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage in one job (``Dataset.checkpoint`` computes its input twice unless it is
+    cached first), survives executor loss, and gives the optimizer exact sizes and row
+    counts (parquet footers) for later plans.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def max_broadcast_rows(df: DataFrame) -> int:
     return _conf_int(df, CONF_KEY, DEFAULT_MAX_BROADCAST_ROWS)
 
@@ -31,16 +43,16 @@ def max_broadcast_rows(df: DataFrame) -> int:
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None, materialize: bool = True) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    With ``materialize`` (the default) the key set is first written to the reliable
+    With ``materialize`` (the default) the key set is first written to the shared
     checkpoint folder, so neither the size check nor the join re-runs the plan that
-    produced it (often a large join).  The check then reads at most ``max_rows + 1``
-    rows of the written keys.
+    produced it (often a large join); the count then comes from parquet footers.
     """
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
     if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    n = df.limit(limit + 1).count()
+        df = write_table(df, "keys")
+        n = df.count()
+    else:
+        n = df.limit(limit + 1).count()
     return F.broadcast(df) if n <= limit else df
 
 

@@ -87,13 +87,20 @@ FIXTURE_DEPS = {"note_text_files": ("note_text",)}
 class Fixtures:
     """Registers the base tables of ``sf_dir`` and the fixture views in a session."""
 
+    _registered: dict[int, str] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        key = id(spark)
+        if Fixtures._registered.get(key) == self.sf_dir and all(
+                spark.catalog.tableExists(n) for n in FIXTURE_ORDER):
+            return
         for t in BASE_TABLES:
             spark.read.parquet(f"{self.sf_dir}/{t}.parquet").createOrReplaceTempView(t)
         for name in FIXTURE_ORDER:
             spark.sql(FIXTURE_SQL[name]).createOrReplaceTempView(name)
+        Fixtures._registered[key] = self.sf_dir
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)

@@ -16,6 +16,7 @@ from ..functions.prompts import CHAT_TEMPLATE, FINDINGS_TEMPLATE, render
 from ..functions.responses import parse_response
 from ..functions.text import non_blank
 from ..operators import batching, cohort, notes, staging, timeline
+from ..operators.sizing import write_table
 from ..session import ensure_checkpoint_dir, scratch_dir, ship_package
 from ..sources import readers, sinks
 from ..streaming import incremental
@@ -54,13 +55,23 @@ class Chain:
     def enc(self) -> DataFrame:
         return cohort.filter_encounters(self.fx.encounterfact, self.cohort_keys)
 
+    @cached_property
+    def enc_stage(self) -> DataFrame:
+        """Step-1 output as the next step reads it: written once, then scanned."""
+        return write_table(self.enc, "filtered-encounters")
+
     @cached_property
     def meta_enc(self) -> DataFrame:
-        return notes.join_metadata_encounters(self.fx.note_metadata, self.enc)
+        return notes.join_metadata_encounters(self.fx.note_metadata, self.enc_stage)
+
+    @cached_property
+    def meta_stage(self) -> DataFrame:
+        """Step-2 output (filtered metadata), written once for its two consumers."""
+        return write_table(self.meta_enc, "filtered-metadata")
 
     @cached_property
     def note_keys(self) -> DataFrame:
-        return notes.distinct_note_keys(self.meta_enc)
+        return notes.distinct_note_keys(self.meta_stage)
 
     @cached_property
     def texts(self) -> DataFrame:
@@ -68,13 +79,15 @@ class Chain:
 
     @cached_property
     def notes(self) -> DataFrame:
-        return notes.join_text_metadata(self.texts, self.meta_enc)
+        return notes.join_text_metadata(self.texts, self.meta_stage)
 
     @cached_property
     def text_findings(self) -> DataFrame:
         return staging.findings_table(self.texts, ["deid_note_key"])
 
 
+CHUNK_ORDER = ["deid_note_id", "deid_note_key", "note_type", "patientdurablekey", "patientepicid", "encounterkey",
+               "encounter_patientdurablekey", "datekeyvalue", "enddatekeyvalue"]
 NOTE_OUT = ["deid_note_key", "deid_note_id", "patientdurablekey", "note_type", "stage", "system"]
 
 
@@ -117,7 +130,8 @@ def q_metadata_encounter_join(c: Chain) -> DataFrame:
 
 
 def q_chunk_assign(c: Chain) -> DataFrame:
-    return notes.chunk_assign(c.meta_enc, ["deid_note_id"])
+    # every column: the note id alone repeats, and identical rows are interchangeable
+    return notes.chunk_assign(c.meta_stage, CHUNK_ORDER)
 
 
 def q_distinct_note_keys(c: Chain) -> DataFrame:
@@ -157,8 +171,8 @@ def q_note_key_coverage(c: Chain) -> DataFrame:
 
 
 def q_stage_counts(c: Chain) -> DataFrame:
-    return notes.stage_counts({"encounters_loaded": c.fx.encounterfact, "encounters_matched": c.enc,
-                               "metadata_merged": c.meta_enc, "notes_joined": c.notes})
+    return notes.stage_counts({"encounters_loaded": c.fx.encounterfact, "encounters_matched": c.enc_stage,
+                               "metadata_merged": c.meta_stage, "notes_joined": c.notes})
 
 
 def _rule_query(name: str) -> Callable[[Chain], DataFrame]:
@@ -178,12 +192,12 @@ def q_findings_all(c: Chain) -> DataFrame:
 
 
 def q_findings_exploded(c: Chain) -> DataFrame:
-    return staging.patient_findings(c.texts, c.meta_enc)
+    return staging.patient_findings(c.texts, c.meta_stage)
 
 
 def q_notes_first_finding(c: Chain) -> DataFrame:
     first = staging.first_findings(c.texts.select("deid_note_key", "note_text"))
-    return first.drop("note_text").join(c.meta_enc, "deid_note_key").select(*NOTE_OUT)
+    return first.drop("note_text").join(c.meta_stage, "deid_note_key").select(*NOTE_OUT)
 
 
 def q_finding_summary(c: Chain) -> DataFrame:
@@ -223,7 +237,7 @@ def q_llm_patient_mode(c: Chain) -> DataFrame:
 
 
 def q_staging_timeline(c: Chain) -> DataFrame:
-    return timeline.staging_timeline(c.text_findings, c.meta_enc, c.enc)
+    return timeline.staging_timeline(c.text_findings, c.meta_stage, c.enc_stage)
 
 
 # ---- sources and sinks: write fixtures to the shared scratch folder, read them back -------------
@@ -258,7 +272,7 @@ def q_scan_tolerant(c: Chain) -> DataFrame:
 
 def q_sink_partitioned(c: Chain) -> DataFrame:
     path = scratch_dir(c.spark, "encounters-partitioned")
-    part = cohort.partition_assign(c.enc, c.cohort_keys)
+    part = cohort.partition_assign(c.enc_stage, c.cohort_keys)
     sinks.write_partitioned(part, path)
     schema = T.StructType([f for f in part.schema.fields])
     return sinks.read_partitioned(c.spark, path, schema).select(*part.columns)
@@ -412,7 +426,8 @@ def _oracles() -> dict[str, str]:
         "scan_pruned_metadata": fx(f"select {meta_cols} from note_metadata"),
         "metadata_encounter_join": O.chain("meta_enc", body="select * from meta_enc"),
         "chunk_assign": O.chain("meta_enc", body=(
-            "select *, cast((row_number() over (order by deid_note_id) - 1) // 100000 + 1 as bigint) as chunk_no "
+            "select *, cast((row_number() over (order by " + ", ".join(f"{c} nulls first" for c in CHUNK_ORDER) +
+            ") - 1) // 100000 + 1 as bigint) as chunk_no "
             "from meta_enc")),
         "distinct_note_keys": O.chain("note_keys", body="select * from note_keys"),
         "note_text_semi": O.chain("texts", body="select * from texts"),
