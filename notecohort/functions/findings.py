@@ -1,12 +1,19 @@
 """Staging findings as native Spark expressions (rules F1-F11, evidence F9, first finding E4).
 
 A finding is ``struct<rule, stage, system, evidence, start>``; ``start`` is the 0-based
-code-point offset of the match.  All matches of a rule come from one
-``regexp_extract_all`` pass; their offsets come from ``split`` on the same pattern
-(piece k precedes match k), so start(k) = sum(len(piece j) + len(match j), j < k) +
-len(piece k).  Group values other than the whole match are read with further passes
-that only run for texts that matched.  Cheap guard scans skip the rule passes for
-texts that cannot match, which is most notes.
+code-point offset of the match.  Per rule, in separate projections (so no scan is
+re-run inside a lambda):
+
+1. guards: cheap necessary conditions (most notes skip the rule scans entirely);
+2. matches: one ``regexp_extract_all`` pass;
+3. pieces: ``split`` on the same pattern gives the text before each match, zipped with
+   the matches (and group values, for the few rules that need them);
+4. offsets: start(k) = sum(len(piece j) + len(match j), j < k) + len(piece k), computed
+   as a blocked prefix sum (linear in the number of matches, not quadratic);
+5. findings: stage string, system, evidence window (+-50 characters) per match.
+
+The roman-numeral rule runs in linear time on a masked copy of the text (see
+``roman_search_text``) instead of with look-aheads.
 """
 
 from __future__ import annotations
@@ -25,6 +32,12 @@ FINDING_TYPE = "struct<rule:string,stage:string,system:string,evidence:string,st
 _GUARD_TNM = r"(?iU)t[0-4isx]"
 _GUARD_STAGE = r"(?iU)stag"
 
+# Roman-numeral rule, linear form: a line holding a stage word, the part of a line before
+# its last stage word, the part through its last "century", and a numeral token.
+STAGE_WORD = r"(?iU)\b(?:stage|staging)\b"
+BEFORE_LAST_STAGE = r"(?iUd)\A(.*)\b(?:stage|staging)\b"
+THROUGH_LAST_CENTURY = r"(?iUd)\A.*century"
+NUMERAL_TOKEN = r"(?iU)\b[IVX]{1,4}[A-C]?\b"
 
 # Guards and the group shortcut apply only to the built-in patterns, whose structure is
 # known; user patterns (overrides) always take the exact path.
@@ -32,6 +45,7 @@ _GUARD_OF_PATTERN = {TNM_STANDARD: "_g_tnm", TNM_PREFIXED: "_g_tnm", TNM_COMPONE
                      STAGE_STANDARD: "_g_stage", STAGE_AJCC: "_g_stage", STAGE_COLON: "_g_stage",
                      ROMAN_NUMERAL: "_g_stage"}
 _GROUP1_IS_MATCH = {TNM_STANDARD, TNM_PREFIXED, STAGE_STANDARD, STAGE_AJCC, ROMAN_NUMERAL}
+_BLOCK = 128
 
 
 def _guard_for(rule: Rule) -> str | None:
@@ -39,16 +53,38 @@ def _guard_for(rule: Rule) -> str | None:
     return _GUARD_OF_PATTERN.get(rule.pattern)
 
 
-def _with_guards(df: DataFrame, text_col: str) -> DataFrame:
-    t = F.col(text_col)
-    return df.select("*", t.rlike(_GUARD_TNM).alias("_g_tnm"), t.rlike(_GUARD_STAGE).alias("_g_stage"))
-
-
 def _group_is_match(rule: Rule) -> bool:
     """For built-in rules whose group 1 spans the whole match no group pass is needed."""
     return rule.pattern in _GROUP1_IS_MATCH and rule.stage_form != UPPER_GROUPS
 
 
+def _is_roman(rule: Rule) -> bool:
+    return rule.pattern == ROMAN_NUMERAL
+
+
+def roman_search_text(t: Column) -> Column:
+    """The text with every character that cannot be part of a roman-numeral match
+    replaced by a space (same length, so offsets carry over).
+
+    A numeral matches when a whole-word stage/staging follows it on its line and no
+    "century" follows it there.  So on each line holding a stage word, the matches are
+    exactly the numeral tokens between the end of the line's last "century" and the start
+    of its last stage word; everything else is blanked.  One character before that region
+    is kept so the word-boundary test at its start sees the same neighbour as in the full
+    text; the region always ends before a non-word character.  Every step is one pass.
+    """
+    def mask(line):
+        pre = F.regexp_extract(line, BEFORE_LAST_STAGE, 1)
+        cen = F.length(F.regexp_extract(line, THROUGH_LAST_CENTURY, 0))
+        rs = F.greatest(cen - 1, F.lit(0))
+        kept = F.concat(F.repeat(F.lit(" "), rs), F.substring(pre, rs + 1, F.length(pre) - rs),
+                        F.repeat(F.lit(" "), F.length(line) - F.length(pre)))
+        blank = F.repeat(F.lit(" "), F.length(line))
+        return F.when(line.rlike(STAGE_WORD) & (cen <= F.length(pre)), kept).otherwise(blank)
+
+    return F.array_join(F.transform(F.split(t, "\n", -1), mask), "\n")
+
+
 def _stage_of(rule: Rule, match: Column, groups: list[Column]) -> Column:
     g1 = match if not groups else groups[0]
     if rule.stage_form == UPPER:
@@ -62,65 +98,62 @@ def _stage_of(rule: Rule, match: Column, groups: list[Column]) -> Column:
     raise ValueError(f"unknown stage form {rule.stage_form}")
 
 
-def with_rule_matches(df: DataFrame, text_col: str, rules=RULES, prefix: str = "_m") -> DataFrame:
-    """Add, per rule, the array of whole matches.
+def _search(rule: Rule) -> tuple[str, str]:
+    """(column searched, Java pattern) for a rule."""
+    return ("_roman_text", NUMERAL_TOKEN) if _is_roman(rule) else (None, rule.java)
 
-    Kept in its own projection (after the guard projection) so the later per-finding
-    lambdas read attributes rather than re-running the scans.
-    """
+
+def _with_guards(df: DataFrame, text_col: str, rules) -> DataFrame:
     t = F.col(text_col)
-    empty = F.array().cast("array<string>")
-    cols = []
-    for i, rule in enumerate(rules):
-        m = F.regexp_extract_all(t, F.lit(rule.java), 0)
-        guard = _guard_for(rule)
-        if guard is not None:
-            m = F.when(F.col(guard), m).otherwise(empty)
-        cols.append(F.coalesce(m, empty).alias(f"{prefix}{i}"))
-    return _with_guards(df, text_col).select("*", *cols).drop("_g_tnm", "_g_stage")
+    cols = [t.rlike(_GUARD_TNM).alias("_g_tnm"), t.rlike(_GUARD_STAGE).alias("_g_stage")]
+    staged = df.select("*", *cols)
+    if any(_is_roman(r) for r in rules):
+        staged = staged.withColumn("_roman_text", F.when(F.col("_g_stage"), roman_search_text(t)))
+    return staged
 
 
-def _finding_step(rule: Rule, t: Column, group_names: list[str]):
-    """Fold step: carry the running offset, append one finding per zipped match."""
+def _prefix_starts(z: Column, extra_names: list[str]) -> Column:
+    """``array<struct<m, start, g...>>`` from zipped ``(p, m, g...)``: a blocked prefix sum.
 
-    def step(acc, z):
-        start = acc["off"] + F.length(z["p"])
-        end = start + F.length(z["m"])
+    Blocks of 128 are folded locally (O(128) per element) and block offsets are folded
+    over the block totals, so a text with very many matches stays near-linear.
+    """
+    n = F.size(z)
+    nb = ((n + (_BLOCK - 1)) / _BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), nb - 1), lambda b: F.slice(z, b * _BLOCK + 1, _BLOCK))
+    totals = F.transform(blocks, lambda blk: F.aggregate(
+        blk, F.lit(0), lambda a, e: a + F.length(e["p"]) + F.length(e["m"])))
+    offsets = F.aggregate(
+        totals, F.struct(F.lit(0).alias("off"), F.array().cast("array<int>").alias("out")),
+        lambda acc, x: F.struct((acc["off"] + x).alias("off"), F.concat(acc["out"], F.array(acc["off"])).alias("out")),
+        lambda acc: acc["out"])
+    fields = ",".join(["m:string", "start:int"] + [f"{k}:string" for k in extra_names])
+
+    def local(bz):
+        init = F.struct(bz["base"].alias("off"), F.array().cast(f"array<struct<{fields}>>").alias("out"))
+
+        def step(acc, e):
+            start = acc["off"] + F.length(e["p"])
+            item = F.struct(e["m"].alias("m"), start.cast("int").alias("start"), *[e[k].alias(k) for k in extra_names])
+            return F.struct((start + F.length(e["m"])).alias("off"), F.concat(acc["out"], F.array(item)).alias("out"))
+
+        return F.aggregate(bz["blk"], init, step, lambda acc: acc["out"])
+
+    located = F.flatten(F.transform(F.arrays_zip(blocks.alias("blk"), offsets.alias("base")), local))
+    return F.when(n > 0, located).otherwise(F.array().cast(f"array<struct<{fields}>>"))
+
+
+def _finding_builder(rule: Rule, t: Column, group_names: list[str]):
+    def build(x):
+        start = x["start"]
+        end = start + F.length(x["m"])
         lo = F.greatest(start - EVIDENCE_CHARS, F.lit(0))
         evidence = F.substring(t, lo + 1, end + EVIDENCE_CHARS - lo)
-        stage = _stage_of(rule, z["m"], [z[g] for g in group_names])
-        finding = F.struct(F.lit(rule.name).alias("rule"), stage.alias("stage"),
-                           F.lit(rule.system).alias("system"), evidence.alias("evidence"),
-                           start.cast("int").alias("start"))
-        return F.struct(end.alias("off"), F.concat(acc["out"], F.array(finding)).alias("out"))
+        stage = _stage_of(rule, x["m"], [x[g] for g in group_names])
+        return F.struct(F.lit(rule.name).alias("rule"), stage.alias("stage"), F.lit(rule.system).alias("system"),
+                        evidence.alias("evidence"), start.alias("start"))
 
-    return step
-
-
-def with_rule_findings(df: DataFrame, text_col: str, rules=RULES, prefix: str = "_m",
-                       out_prefix: str = "_f") -> DataFrame:
-    """From the match arrays, build per-rule finding arrays with offsets and evidence."""
-    t = F.col(text_col)
-    out = []
-    for i, rule in enumerate(rules):
-        m = F.col(f"{prefix}{i}")
-        n = F.size(m)
-        pieces = F.slice(F.split(t, rule.java, -1), 1, n)
-        parts = {"p": pieces, "m": m}
-        group_names: list[str] = []
-        if not _group_is_match(rule):
-            for g in range(1, rule.groups + 1):
-                parts[f"g{g}"] = F.regexp_extract_all(t, F.lit(rule.java), g)
-                group_names.append(f"g{g}")
-        zipped = F.arrays_zip(*[c.alias(k) for k, c in parts.items()])
-        init = F.struct(F.lit(0).alias("off"),
-                        F.array().cast(f"array<{FINDING_TYPE}>").alias("out"))
-
-        step = _finding_step(rule, t, group_names)
-        arr = F.aggregate(zipped, init, step, lambda acc: acc["out"])
-        empty = F.array().cast(f"array<{FINDING_TYPE}>")
-        out.append(F.when(n > 0, arr).otherwise(empty).alias(f"{out_prefix}{i}"))
-    return df.select("*", *out)
+    return build
 
 
 def add_findings(df: DataFrame, text_col: str = "note_text", rules=RULES,
@@ -130,14 +163,49 @@ def add_findings(df: DataFrame, text_col: str = "note_text", rules=RULES,
     Blank or null texts give an empty array (the reference skips them).
     """
     rules = tuple(rules)
-    staged = with_rule_matches(df, text_col, rules)
-    staged = with_rule_findings(staged, text_col, rules)
-    parts = [F.col(f"_f{i}") for i in range(len(rules))]
-    allf = F.concat(*parts) if len(parts) > 1 else parts[0]
+    t = F.col(text_col)
+    k = len(rules)
+    staged = _with_guards(df, text_col, rules)
+    # matches
+    cols = []
+    for i, rule in enumerate(rules):
+        col, pattern = _search(rule)
+        src = F.col(col) if col else t
+        m = F.regexp_extract_all(src, F.lit(pattern), 0)
+        guard = _guard_for(rule)
+        if guard is not None:
+            m = F.when(F.col(guard), m)
+        cols.append(F.coalesce(m, F.array().cast("array<string>")).alias(f"_m{i}"))
+    staged = staged.select("*", *cols)
+    # pieces zipped with matches (and group values when needed)
+    cols, groups_of = [], {}
+    for i, rule in enumerate(rules):
+        col, pattern = _search(rule)
+        src = F.col(col) if col else t
+        m = F.col(f"_m{i}")
+        parts = {"p": F.slice(F.split(src, pattern, -1), 1, F.size(m)), "m": m}
+        names = []
+        if not _group_is_match(rule):
+            for g in range(1, rule.groups + 1):
+                parts[f"g{g}"] = F.regexp_extract_all(src, F.lit(pattern), g)
+                names.append(f"g{g}")
+        groups_of[i] = names
+        zipped = F.arrays_zip(*[c.alias(n) for n, c in parts.items()])
+        cols.append(F.when(F.size(m) > 0, zipped).alias(f"_z{i}"))
+    staged = staged.select("*", *cols)
+    # offsets and findings
+    cols = []
     empty = F.array().cast(f"array<{FINDING_TYPE}>")
-    allf = F.when(non_blank(F.col(text_col)), allf).otherwise(empty)
-    drop = [f"_m{i}" for i in range(len(rules))] + [f"_f{i}" for i in range(len(rules))]
-    return staged.withColumn(out_col, allf).drop(*drop)
+    for i, rule in enumerate(rules):
+        z = F.col(f"_z{i}")
+        located = _prefix_starts(z, groups_of[i])
+        cols.append(F.when(z.isNotNull(), F.transform(located, _finding_builder(rule, t, groups_of[i])))
+                    .otherwise(empty).alias(f"_f{i}"))
+    staged = staged.select("*", *cols)
+    allf = F.concat(*[F.col(f"_f{i}") for i in range(k)]) if k > 1 else F.col("_f0")
+    allf = F.when(non_blank(t), allf).otherwise(empty)
+    drop = ["_g_tnm", "_g_stage", "_roman_text"] + [f"_{p}{i}" for p in "mzf" for i in range(k)]
+    return staged.withColumn(out_col, allf).drop(*[c for c in drop if c in staged.columns])
 
 
 def add_first_finding(df: DataFrame, text_col: str = "note_text", rules=RULES,
@@ -152,13 +220,18 @@ def add_first_finding(df: DataFrame, text_col: str = "note_text", rules=RULES,
     t = F.col(text_col)
     tagged = []
     for i, rule in enumerate(rules):
-        first = F.nullif(F.regexp_extract(t, rule.java, 0), F.lit(""))
+        if _is_roman(rule):
+            first = F.regexp_extract(roman_search_text(t), NUMERAL_TOKEN, 0)
+        else:
+            first = F.regexp_extract(t, rule.java, 0)
+        first = F.nullif(first, F.lit(""))
         guard = _guard_for(rule)
         if guard is not None:
             first = F.when(F.col(guard), first)
         tagged.append(F.concat(F.lit(f"{i:03d}"), first))
     hit = F.when(non_blank(t), F.coalesce(*tagged))
-    staged = _with_guards(df, text_col).select("*", hit.alias("_hit")).drop("_g_tnm", "_g_stage")
+    base = df.select("*", t.rlike(_GUARD_TNM).alias("_g_tnm"), t.rlike(_GUARD_STAGE).alias("_g_stage"))
+    staged = base.select("*", hit.alias("_hit")).drop("_g_tnm", "_g_stage")
     idx = F.substring(F.col("_hit"), 1, 3).cast("int")
     match = F.substring(F.col("_hit"), 4, 1 << 30)
     branches = None
