@@ -38,9 +38,13 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app="notecohort-bench", shuffle_partitions=cpus * 2,
                           conf={"spark.driver.memory": "16g"})
     # warm-up (not timed): JVM JIT of the regex and codegen paths, Python workers.  Runs the
-    # same queries on the smallest test folder next to the measured one when there is one.
-    warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
-    warm_dir = warm_dir if os.path.isdir(warm_dir) and warm_dir != sf_dir else sf_dir
+    # same queries on a smaller test folder next to the measured one when there is one.
+    warm_dir = sf_dir
+    for candidate in ("sf0.01", "sf0.001"):
+        path = os.path.join(os.path.dirname(sf_dir), candidate)
+        if os.path.isdir(path) and path != sf_dir:
+            warm_dir = path
+            break
     for name in HEADLINE:
         registry.build(name, spark, warm_dir).write.format("noop").mode("overwrite").save()
     timings: dict[str, float] = {}
