@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.sizing import spread_for_cpu
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -78,6 +80,10 @@ select event_id, case event_id % 10 when 0 then 'NA' when 1 then 'Stage: IIB' wh
 from events
 """,
 }
+# Each test file holds a single row group, which Spark reads in one task.  The two tables
+# behind the metadata and encounter views are spread over all cores after the scan (only
+# while small: see ``spread_for_cpu``); the text table is spread by the findings operators.
+SPREAD_TABLES = ("lineitem", "orders")
 # Views a fixture depends on (other fixtures), in creation order.
 FIXTURE_ORDER = ("patient_ids", "patdurabledim", "encounterfact", "note_metadata", "note_text",
                  "note_text_files", "llm_responses")
@@ -97,7 +103,10 @@ class Fixtures:
                 spark.catalog.tableExists(n) for n in FIXTURE_ORDER):
             return
         for t in BASE_TABLES:
-            spark.read.parquet(f"{self.sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+            df = spark.read.parquet(f"{self.sf_dir}/{t}.parquet")
+            if t in SPREAD_TABLES:
+                df = spread_for_cpu(df)
+            df.createOrReplaceTempView(t)
         for name in FIXTURE_ORDER:
             spark.sql(FIXTURE_SQL[name]).createOrReplaceTempView(name)
         Fixtures._registered[key] = self.sf_dir
