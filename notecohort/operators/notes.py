@@ -51,10 +51,15 @@ def distinct_note_keys(metadata: DataFrame, key: str = "deid_note_key") -> DataF
     return metadata.select(key).where(F.col(key).isNotNull()).distinct()
 
 
-def filter_note_text(note_text: DataFrame, keys: DataFrame, key: str = "deid_note_key") -> DataFrame:
-    """B2: texts whose key is wanted; a semi join, never ``isin`` over a collected list."""
+def filter_note_text(note_text: DataFrame, keys: DataFrame, key: str = "deid_note_key",
+                     materialize_keys: bool = True) -> DataFrame:
+    """B2: texts whose key is wanted; a semi join, never ``isin`` over a collected list.
+
+    Pass ``materialize_keys=False`` when ``keys`` already comes from a written table (the
+    size check then re-reads it instead of writing it again).
+    """
     k = keys.select(key).where(F.col(key).isNotNull()).distinct()
-    return note_text.join(bounded_broadcast(k), key, "left_semi")
+    return note_text.join(bounded_broadcast(k, materialize=materialize_keys), key, "left_semi")
 
 
 def join_text_metadata(note_text: DataFrame, metadata: DataFrame, key: str = "deid_note_key") -> DataFrame:

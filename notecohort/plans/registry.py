@@ -57,8 +57,9 @@ class Chain:
 
     @cached_property
     def enc_stage(self) -> DataFrame:
-        """Step-1 output as the next step reads it: written once, then scanned."""
-        return write_table(self.enc, "filtered-encounters")
+        """Step-1 output as the later steps use it (cheap to recompute: one scan and a
+        broadcast semi-join, so it is not written)."""
+        return self.enc
 
     @cached_property
     def meta_enc(self) -> DataFrame:
@@ -75,7 +76,7 @@ class Chain:
 
     @cached_property
     def texts(self) -> DataFrame:
-        return notes.filter_note_text(self.fx.note_text, self.note_keys)
+        return notes.filter_note_text(self.fx.note_text, self.note_keys, materialize_keys=False)
 
     @cached_property
     def notes(self) -> DataFrame:
