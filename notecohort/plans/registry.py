@@ -11,10 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.patterns import BASIC_RULES, RULES, RULES_BY_NAME, TITLE, Rule, rule_set
+from ..functions.patterns import BASIC_RULES, RULES_BY_NAME, TITLE, Rule, rule_set
 from ..functions.prompts import CHAT_TEMPLATE, FINDINGS_TEMPLATE, render
 from ..functions.responses import parse_response
-from ..functions.text import non_blank
 from ..operators import batching, cohort, notes, staging, timeline
 from ..operators.sizing import write_table
 from ..session import ensure_checkpoint_dir, scratch_dir, ship_package
