@@ -31,6 +31,9 @@ FINDING_TYPE = "struct<rule:string,stage:string,system:string,evidence:string,st
 # Guards: necessary conditions for a rule to match, with the same Unicode case folding.
 _GUARD_TNM = r"(?iU)t[0-4isx]"
 _GUARD_STAGE = r"(?iU)stag"
+# tnm_components also needs a whole M token; without one its greedy backtracking (over
+# every T and N candidate of a line) is skipped entirely.
+_GUARD_M = r"(?iUd)\bM[0-1X]\b"
 
 # Roman-numeral rule, linear form: a line holding a stage word, the part of a line before
 # its last stage word, the part through its last "century", and a numeral token.
@@ -41,7 +44,7 @@ NUMERAL_TOKEN = r"(?iU)\b[IVX]{1,4}[A-C]?\b"
 
 # Guards and the group shortcut apply only to the built-in patterns, whose structure is
 # known; user patterns (overrides) always take the exact path.
-_GUARD_OF_PATTERN = {TNM_STANDARD: "_g_tnm", TNM_PREFIXED: "_g_tnm", TNM_COMPONENTS: "_g_tnm",
+_GUARD_OF_PATTERN = {TNM_STANDARD: "_g_tnm", TNM_PREFIXED: "_g_tnm", TNM_COMPONENTS: "_g_comp",
                      STAGE_STANDARD: "_g_stage", STAGE_AJCC: "_g_stage", STAGE_COLON: "_g_stage",
                      ROMAN_NUMERAL: "_g_stage"}
 _GROUP1_IS_MATCH = {TNM_STANDARD, TNM_PREFIXED, STAGE_STANDARD, STAGE_AJCC, ROMAN_NUMERAL}
@@ -105,13 +108,18 @@ def _search(rule: Rule) -> tuple[str, str]:
 
 def _with_guards(df: DataFrame, text_col: str, rules) -> DataFrame:
     t = F.col(text_col)
-    cols = [t.rlike(_GUARD_TNM).alias("_g_tnm"), t.rlike(_GUARD_STAGE).alias("_g_stage")]
-    staged = df.select("*", *cols)
+    staged = df.select("*", *_guard_columns(t))
     if any(_is_roman(r) for r in rules):
         staged = staged.withColumn("_roman_text", F.when(F.col("_g_stage"), roman_search_text(t)))
     return staged
 
 
+def _guard_columns(t: Column) -> list[Column]:
+    tnm = t.rlike(_GUARD_TNM)
+    return [tnm.alias("_g_tnm"), t.rlike(_GUARD_STAGE).alias("_g_stage"),
+            (tnm & t.rlike(_GUARD_M)).alias("_g_comp")]
+
+
 def _prefix_starts(z: Column, extra_names: list[str]) -> Column:
     """``array<struct<m, start, g...>>`` from zipped ``(p, m, g...)``: a blocked prefix sum.
 
@@ -204,7 +212,7 @@ def add_findings(df: DataFrame, text_col: str = "note_text", rules=RULES,
     staged = staged.select("*", *cols)
     allf = F.concat(*[F.col(f"_f{i}") for i in range(k)]) if k > 1 else F.col("_f0")
     allf = F.when(non_blank(t), allf).otherwise(empty)
-    drop = ["_g_tnm", "_g_stage", "_roman_text"] + [f"_{p}{i}" for p in "mzf" for i in range(k)]
+    drop = ["_g_tnm", "_g_stage", "_g_comp", "_roman_text"] + [f"_{p}{i}" for p in "mzf" for i in range(k)]
     return staged.withColumn(out_col, allf).drop(*[c for c in drop if c in staged.columns])
 
 
@@ -230,8 +238,8 @@ def add_first_finding(df: DataFrame, text_col: str = "note_text", rules=RULES,
             first = F.when(F.col(guard), first)
         tagged.append(F.concat(F.lit(f"{i:03d}"), first))
     hit = F.when(non_blank(t), F.coalesce(*tagged))
-    base = df.select("*", t.rlike(_GUARD_TNM).alias("_g_tnm"), t.rlike(_GUARD_STAGE).alias("_g_stage"))
-    staged = base.select("*", hit.alias("_hit")).drop("_g_tnm", "_g_stage")
+    base = df.select("*", *_guard_columns(t))
+    staged = base.select("*", hit.alias("_hit")).drop("_g_tnm", "_g_stage", "_g_comp")
     idx = F.substring(F.col("_hit"), 1, 3).cast("int")
     match = F.substring(F.col("_hit"), 4, 1 << 30)
     branches = None

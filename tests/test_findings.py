@@ -123,3 +123,11 @@ def test_long_line_is_linear(spark):
     df = spark.createDataFrame([(1, text)], "i int, note_text string")
     n = findings_table(df, ["i"]).count()
     assert n == 80000 + 0  # every numeral token before the stage word on the same line
+
+
+def test_components_without_m_token_is_skipped(spark):
+    """Many T and N candidates and no M token: the guard skips the backtracking scan."""
+    text = "T1 N0 " * 20000
+    df = spark.createDataFrame([(1, text), (2, "seen T2, N1, M0 today")], "i int, note_text string")
+    rows = {r.i: r.stage for r in findings_table(df, ["i"], rules=(RULES[2],)).collect()}
+    assert rows == {2: "T2N1M0"}
