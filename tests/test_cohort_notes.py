@@ -91,3 +91,26 @@ def test_metadata_join_null_keys(spark):
     assert notes.join_metadata_encounters(meta, enc, null_safe=True).count() == 2
     row = notes.join_metadata_encounters(meta, enc).collect()[0]
     assert (row.patientdurablekey, row.encounter_patientdurablekey) == ("p", "q")
+
+
+def test_hot_key_holds_a_third_of_rows(spark):
+    """One key with a third of all rows: winners per key come from partial aggregations,
+    and the results equal a brute-force computation."""
+    rows = [("hot", i, f"h{i}", i % 7) for i in range(3000)] + \
+           [(f"k{i % 500}", 10_000 + i, f"t{i}", (i * 3) % 7) for i in range(6000)]
+    texts = spark.createDataFrame(rows, "deid_note_key string, note_no long, note_text string, file_no long")
+    keys = spark.createDataFrame([("hot",)] + [(f"k{i}",) for i in range(500)], "deid_note_key string")
+    got = sorted((r.deid_note_key, r.note_no) for r in notes.first_batch_wins(texts, keys).collect())
+    first = {}
+    for k, n, _, f in rows:
+        first[k] = min(first.get(k, 99), f // 3)
+    assert got == sorted((k, n) for k, n, _, f in rows if f // 3 == first[k])
+
+    ids = _ids(spark, ["hot"] * 2000 + [str(i) for i in range(1000)])
+    dim = spark.createDataFrame([("hot", f"H{j}", j % 3, j) for j in range(3000)] +
+                                [(str(i), f"K{i}", 1, i) for i in range(1000)],
+                                "patientepicid string, patientdurablekey string, file_no int, row_no long")
+    mapped = cohort.map_ids(ids, dim, keep_counts=True)
+    hot = mapped.where("person_source_value = 'hot'").select("patientdurablekey", "rows_in_file").distinct().collect()
+    assert [(r.patientdurablekey, r.rows_in_file) for r in hot] == [("H2997", 1000)]  # file 0, last row
+    assert mapped.count() == 3000
