@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -48,10 +50,10 @@ def build_session(master: str | None = None, app: str = "notecohort",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting a local one only if none is set.
+    """The shared folder for checkpoints and written tables.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that setting wins.
-    Only when it is unset (local tests) is a fresh scratch folder created.
+    A cluster names it in ``spark.checkpoint.dir``; that setting wins.  Only a local master,
+    where driver and executors are one process, gets a scratch folder when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,27 +61,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="notecohort-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root for written intermediate tables."""
-    root = ensure_checkpoint_dir(spark)
-    base = root[len("file:"):] if root.startswith("file:") else root
-    if "://" in base:  # shared file system on a cluster: Spark's writers create it
-        return f"{base.rstrip('/')}/{name}-{os.getpid()}-{_counter()}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-
-
-_COUNT = [0]
-
-
-def _counter() -> int:
-    _COUNT[0] += 1
-    return _COUNT[0]
+    """A name for a fresh folder under the shared root; whoever writes there creates it."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 _SHIPPED: set[str] = set()
