@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, sharding, simhash
+from . import bpe, linededup, mixing, sharding, simhash, wavelet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,22 @@ def op1_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.bounded_ring(_table(spark, sf_dir, "documents"), shards=16)
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    return bpe.read_vocabulary(public_tokenizers.path(name))
+
+
+def op2_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = vocabulary()
+    texts = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), words), words)
+    return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = wavelet.write_shards(_table(spark, sf_dir, "documents"), vocabulary())
+    return wavelet.read_shards(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=3)
 
@@ -33,7 +50,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bounded_ring, op4_simhash, op5_systematic_mix, op6_line_dedup)}
+    f.__name__: f for f in (op1_bounded_ring, op2_tree_bpe, op3_wavelet_tokens, op4_simhash, op5_systematic_mix, op6_line_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_systematic_mix": r"""
