@@ -3,8 +3,11 @@ connected components over an edge table, and star-shaped contraction of links in
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, ship_package
@@ -83,3 +86,39 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 2
         raise RuntimeError("components: no fixed point within max_rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.Table]]:
+    """The stretches of sorted rows that agree in the first ``keys`` columns (integers, no
+    nulls), across batches; one stretch is held at a time."""
+    held: list[pa.RecordBatch] = []
+    now: tuple | None = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+        new = np.zeros(b.num_rows, bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        cuts = np.r_[0, np.nonzero(new)[0], b.num_rows]
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            key = tuple(c[lo].item() for c in cols)
+            if key != now and held:
+                yield now, pa.Table.from_batches(held)
+                held = []
+            now = key
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield now, pa.Table.from_batches(held)
+
+
+def matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Equal-length lists of numbers as a float64 matrix."""
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1)
+
+
+def usable(vector: Column) -> Column:
+    """Whether a vector takes part: not null, not empty or zero, all components finite."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce(~bad & F.exists(vector, lambda x: x != 0), F.lit(False))

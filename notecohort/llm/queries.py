@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, linededup, mixing, sharding, simhash, wavelet
+from . import ann, bpe, embdedup, linededup, mixing, sharding, simhash, wavelet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,8 +49,17 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op7_block_matrix_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op8_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embdedup.near_duplicates(_table(spark, sf_dir, "embeddings"), min_cosine=0.95)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bounded_ring, op2_tree_bpe, op3_wavelet_tokens, op4_simhash, op5_systematic_mix, op6_line_dedup)}
+    f.__name__: f for f in (op1_bounded_ring, op2_tree_bpe, op3_wavelet_tokens, op4_simhash, op5_systematic_mix, op6_line_dedup,
+                               op7_block_matrix_ann, op8_projection_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_systematic_mix": r"""
