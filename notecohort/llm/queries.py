@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, embdedup, linededup, mixing, sharding, simhash, toxicity, wavelet
+from . import ann, bpe, embdedup, html_extract, linededup, mixing, sharding, simhash, toxicity, wavelet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,9 +61,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bounded_ring, op2_tree_bpe, op3_wavelet_tokens, op4_simhash, op5_systematic_mix, op6_line_dedup,
-                               op7_block_matrix_ann, op8_projection_dedup, op9_toxicity)}
+                               op7_block_matrix_ann, op8_projection_dedup, op9_toxicity, op10_html_main_text)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_systematic_mix": r"""
