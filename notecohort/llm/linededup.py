@@ -143,51 +143,51 @@ def _suspects_udf(spark, segments: DataFrame, bits: int):
     return places
 
 
-def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, bits_per_key: int = BITS_PER_KEY,
-                   max_filter_bits: int = MAX_FILTER_BITS, keep: list[str] | None = None) -> DataFrame:
-    """Every row with ``n_lines, n_dropped, kept`` (the remaining text) beside ``keep``.
-
-    ``kept`` is never null; a row whose lines are all dropped has an empty text.
-    """
-    spark, keep = docs.sparkSession, keep or ["doc_id"]
-    text = F.col("_text")
-    rows = docs.select(F.struct(*keep).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
-                       F.col("text").cast("string").alias("_text"))
+def _scan(docs: DataFrame, keep: list[str], min_chars: int = 20, min_docs: int = 3, bits_per_key: int = BITS_PER_KEY,
+          max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
+    """``row`` (a struct of the columns ``keep``), ``n_lines, n_dropped, kept`` for every row."""
+    text = F.col("text")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       F.col("text").cast("string").alias("text"))
     keys = long_keys(text, min_chars)
     hashes = saved(rows.select(F.transform(keys, lambda k: F.xxhash64(k)).alias("hashes")), "line-hashes")
     lines = hashes.agg(F.sum(F.size("hashes"))).first()[0] or 1
     bits = max(1 << 13, min(max_filter_bits, 1 << (lines * bits_per_key - 1).bit_length()))
-    places = _suspects_udf(spark, seen_twice(hashes, bits), bits)
+    places = _suspects_udf(docs.sparkSession, seen_twice(hashes, bits), bits)
 
-    found = rows.select("*", keys.alias("_keys")).withColumn("_at", places(F.transform("_keys", lambda k: F.xxhash64(k))))
-    suspects = F.transform("_at", lambda i: F.element_at("_keys", i + 1))
-    clean = F.size("_at") == 0
+    found = rows.select("*", keys.alias("keys")).withColumn("at", places(F.transform("keys", lambda k: F.xxhash64(k))))
+    suspects = F.transform("at", lambda i: F.element_at("keys", i + 1))
+    clean = F.size("at") == 0
     # a clean text is finished; a suspected one is kept with its suspected keys
-    table = saved(found.select("_row", "_id", "_text", clean.alias("_clean"),
-                               F.when(~clean, suspects).alias("_keys")), "line-suspects")
-    done = table.where("_clean").select(
-        "_row.*", F.size(lines_of(text)).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"),
+    table = saved(found.select("row", "id", "text", clean.alias("clean"), F.when(~clean, suspects).alias("keys")), "line-suspects")
+    done = table.where("clean").select(
+        "row", F.size(lines_of(text)).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"),
         F.coalesce(text, F.lit("")).alias("kept"))
-    open_rows = table.where("NOT _clean").select("_row", "_id", "_text", "_keys")
-    holding = open_rows.select("_id", F.explode("_keys").alias("key")).distinct()
-    winners = holding.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("_id").alias("winner")).where(F.col("docs") >= min_docs)
-    drops = (holding.join(winners, "key").where(~F.col("_id").eqNullSafe(F.col("winner")))
-             .groupBy("_id").agg(F.collect_set("key").alias("_drop")).withColumnRenamed("_id", "_of"))
-    joined = open_rows.drop("_keys").join(drops, F.col("_id").eqNullSafe(F.col("_of")), "left")
-    left = F.when(F.col("_drop").isNull(), lines_of(text)).otherwise(
-        F.filter(lines_of(text), lambda x: ~F.array_contains("_drop", line_key(x))))
-    joined = joined.withColumn("_left", left)
-    rest = joined.select("_row.*", F.size(lines_of(text)).cast("long").alias("n_lines"),
-                         (F.size(lines_of(text)) - F.size("_left")).cast("long").alias("n_dropped"),
-                         F.array_join("_left", "\n").alias("kept"))
+    suspected = table.where("NOT clean").select("row", "id", "text", "keys")
+    holding = suspected.select("id", F.explode("keys").alias("key")).distinct()
+    winners = holding.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("winner")).where(F.col("docs") >= min_docs)
+    drops = (holding.join(winners, "key").where(~F.col("id").eqNullSafe(F.col("winner")))
+             .groupBy("id").agg(F.collect_set("key").alias("drop")).withColumnRenamed("id", "of"))
+    joined = suspected.drop("keys").join(drops, F.col("id").eqNullSafe(F.col("of")), "left")
+    left = F.when(F.col("drop").isNull(), lines_of(text)).otherwise(
+        F.filter(lines_of(text), lambda x: ~F.array_contains("drop", line_key(x))))
+    rest = joined.withColumn("left", left).select(
+        "row", F.size(lines_of(text)).cast("long").alias("n_lines"),
+        (F.size(lines_of(text)) - F.size("left")).cast("long").alias("n_dropped"), F.array_join("left", "\n").alias("kept"))
     return done.unionByName(rest)
 
 
+def repeated_lines(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id, n_lines, n_dropped, kept`` (the remaining text, never null) for every row."""
+    return _scan(docs, ["doc_id"], **options).select("row.doc_id", "n_lines", "n_dropped", "kept")
+
+
 def drop_repeated_lines(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with the repeated lines gone from ``text`` (null stays null) and ``n_chars``,
     where there is one, counted anew."""
-    out = repeated_lines(docs.withColumn("_null", F.col("text").isNull()), keep=[*docs.columns, "_null"], **options)
-    out = out.withColumn("text", F.when(~F.col("_null"), F.col("kept")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("kept").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    out = _scan(docs, docs.columns, **options)
+    row = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    new = {"text": F.when(row["text"].isNotNull(), F.col("kept"))}
+    if "n_chars" in row:
+        new["n_chars"] = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
+    return out.select(*(new.get(c, x).alias(c) for c, x in row.items()))

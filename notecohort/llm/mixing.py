@@ -66,11 +66,12 @@ def offset(source: Column, seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
-def mix(docs: DataFrame, seed: int = 0, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """``doc_id, size, source, source_size, target, copies, taken`` for every row."""
+def _mixed(docs: DataFrame, keep: list[str], seed: int, weights, max_repeat: int) -> DataFrame:
+    """``row`` (a struct of ``keep``), ``size, source, source_size, target, copies``."""
     text = F.col("text").cast("string")
-    rows = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                             word_count(text).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("crc")), "mix-sizes")
+    rows = saved(docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"), word_count(text).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("crc")), "mix-sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     plan = targets(sources, weights, max_repeat)
     # rows before the source in the index order (nulls first), for positions within it
@@ -84,5 +85,17 @@ def mix(docs: DataFrame, seed: int = 0, weights=WEIGHTS, max_repeat: int = MAX_R
     k = (F.col("pos") - F.col("first_pos")).cast("double")
     crossed = F.floor(offset(F.col("source"), seed) + each * (k + 1)) - F.floor(offset(F.col("source"), seed) + each * k)
     copies = F.least(F.greatest(crossed, F.lit(0)), F.lit(max_repeat)).cast("long")
-    return placed.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies"),
-                         (copies * F.col("size")).alias("taken"))
+    return placed.select("row", "size", "source", "source_size", "target", copies.alias("copies"))
+
+
+def mix(docs: DataFrame, seed: int = 0, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
+    """``doc_id, size, source, source_size, target, copies, taken`` for every row."""
+    out = _mixed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text"), ["doc_id"], seed, weights, max_repeat)
+    return out.select("row.doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def take(docs: DataFrame, seed: int = 0, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it.  Rows travel with their position,
+    so neither null nor repeated ids need a join back."""
+    out = _mixed(docs, docs.columns, seed, weights, max_repeat).where("copies > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
