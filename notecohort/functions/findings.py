@@ -13,14 +13,18 @@ re-run inside a lambda):
 5. findings: stage string, system, evidence window (+-50 characters) per match.
 
 The roman-numeral rule runs in linear time on a masked copy of the text (see
-``roman_search_text``) instead of with look-aheads.
+``roman_search_text``) instead of with look-aheads, and the components rule line by line
+(see ``components``).  Evidence windows are cut from fixed-size blocks of the text.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .components import MATCH, component_matches
 from .patterns import (EVIDENCE_CHARS, ROMAN_NUMERAL, RULES, STAGE_AJCC, STAGE_COLON, STAGE_STANDARD,
                        TITLE, TITLE_STAGE_PREFIX, TNM_COMPONENTS, TNM_PREFIXED, TNM_STANDARD, UPPER,
                        UPPER_GROUPS, Rule)
@@ -31,8 +35,7 @@ FINDING_TYPE = "struct<rule:string,stage:string,system:string,evidence:string,st
 # Guards: necessary conditions for a rule to match, with the same Unicode case folding.
 _GUARD_TNM = r"(?iU)t[0-4isx]"
 _GUARD_STAGE = r"(?iU)stag"
-# tnm_components also needs a whole M token; without one its greedy backtracking (over
-# every T and N candidate of a line) is skipped entirely.
+# tnm_components also needs a whole M token.
 _GUARD_M = r"(?iUd)\bM[0-1X]\b"
 
 # Roman-numeral rule, linear form: a line holding a stage word, the part of a line before
@@ -49,6 +52,9 @@ _GUARD_OF_PATTERN = {TNM_STANDARD: "_g_tnm", TNM_PREFIXED: "_g_tnm", TNM_COMPONE
                      ROMAN_NUMERAL: "_g_stage"}
 _GROUP1_IS_MATCH = {TNM_STANDARD, TNM_PREFIXED, STAGE_STANDARD, STAGE_AJCC, ROMAN_NUMERAL}
 _BLOCK = 128
+# Characters of the text's blocks from which evidence windows are cut.
+_CUT = 512
+_BLOCK_PATTERN = rf"(?s).{{1,{_CUT}}}"
 
 
 def _guard_for(rule: Rule) -> str | None:
@@ -65,6 +71,14 @@ def _is_roman(rule: Rule) -> bool:
     return rule.pattern == ROMAN_NUMERAL
 
 
+def _is_components(rule: Rule) -> bool:
+    return rule.pattern == TNM_COMPONENTS
+
+
+def _component_findings(rule: Rule, matches: Column) -> Column:
+    return F.transform(matches, lambda x: _finding(rule, F.upper(x["groups"]), x["start"], x["end"]))
+
+
 def roman_search_text(t: Column) -> Column:
     """The text with every character that cannot be part of a roman-numeral match
     replaced by a space (same length, so offsets carry over).
@@ -151,15 +165,24 @@ def _prefix_starts(z: Column, extra_names: list[str]) -> Column:
     return F.when(n > 0, located).otherwise(F.array().cast(f"array<struct<{fields}>>"))
 
 
-def _finding_builder(rule: Rule, t: Column, group_names: list[str]):
+def _evidence(start: Column, end: Column) -> Column:
+    """The match with its window, from the text's fixed-size blocks: finding a character by
+    its number walks the text from its beginning, which the blocks keep short."""
+    lo, hi = F.greatest(start - EVIDENCE_CHARS, F.lit(0)), end + EVIDENCE_CHARS
+    first = F.floor(lo / _CUT).cast("int")
+    around = F.array_join(F.slice(F.col("_blocks"), first + 1, F.floor((hi - 1) / _CUT).cast("int") - first + 1), "")
+    return F.substring(around, lo - first * _CUT + 1, hi - lo)
+
+
+def _finding(rule: Rule, stage: Column, start: Column, end: Column) -> Column:
+    return F.struct(F.lit(rule.name).alias("rule"), stage.alias("stage"), F.lit(rule.system).alias("system"),
+                    _evidence(start, end).alias("evidence"), start.cast("int").alias("start"))
+
+
+def _finding_builder(rule: Rule, group_names: list[str]):
     def build(x):
-        start = x["start"]
-        end = start + F.length(x["m"])
-        lo = F.greatest(start - EVIDENCE_CHARS, F.lit(0))
-        evidence = F.substring(t, lo + 1, end + EVIDENCE_CHARS - lo)
         stage = _stage_of(rule, x["m"], [x[g] for g in group_names])
-        return F.struct(F.lit(rule.name).alias("rule"), stage.alias("stage"), F.lit(rule.system).alias("system"),
-                        evidence.alias("evidence"), start.alias("start"))
+        return _finding(rule, stage, x["start"], x["start"] + F.length(x["m"]))
 
     return build
 
@@ -179,15 +202,20 @@ def add_findings(df: DataFrame, text_col: str = "note_text", rules=RULES,
     for i, rule in enumerate(rules):
         col, pattern = _search(rule)
         src = F.col(col) if col else t
-        m = F.regexp_extract_all(src, F.lit(pattern), 0)
+        kind = f"array<{MATCH}>" if _is_components(rule) else "array<string>"
+        m = component_matches(t) if _is_components(rule) else F.regexp_extract_all(src, F.lit(pattern), 0)
         guard = _guard_for(rule)
         if guard is not None:
             m = F.when(F.col(guard), m)
-        cols.append(F.coalesce(m, F.array().cast("array<string>")).alias(f"_m{i}"))
+        cols.append(F.coalesce(m, F.array().cast(kind)).alias(f"_m{i}"))
     staged = staged.select("*", *cols)
+    any_match = functools.reduce(lambda a, b: a | b, [F.size(f"_m{i}") > 0 for i in range(k)])
+    staged = staged.withColumn("_blocks", F.when(any_match, F.regexp_extract_all(t, F.lit(_BLOCK_PATTERN), 0)))
     # pieces zipped with matches (and group values when needed)
     cols, groups_of = [], {}
     for i, rule in enumerate(rules):
+        if _is_components(rule):
+            continue
         col, pattern = _search(rule)
         src = F.col(col) if col else t
         m = F.col(f"_m{i}")
@@ -205,14 +233,17 @@ def add_findings(df: DataFrame, text_col: str = "note_text", rules=RULES,
     cols = []
     empty = F.array().cast(f"array<{FINDING_TYPE}>")
     for i, rule in enumerate(rules):
+        if _is_components(rule):
+            cols.append(_component_findings(rule, F.col(f"_m{i}")).alias(f"_f{i}"))
+            continue
         z = F.col(f"_z{i}")
         located = _prefix_starts(z, groups_of[i])
-        cols.append(F.when(z.isNotNull(), F.transform(located, _finding_builder(rule, t, groups_of[i])))
-                    .otherwise(empty).alias(f"_f{i}"))
+        found = F.when(z.isNotNull(), F.transform(located, _finding_builder(rule, groups_of[i])))
+        cols.append(F.coalesce(found, empty).alias(f"_f{i}"))
     staged = staged.select("*", *cols)
     allf = F.concat(*[F.col(f"_f{i}") for i in range(k)]) if k > 1 else F.col("_f0")
     allf = F.when(non_blank(t), allf).otherwise(empty)
-    drop = ["_g_tnm", "_g_stage", "_g_comp", "_roman_text"] + [f"_{p}{i}" for p in "mzf" for i in range(k)]
+    drop = ["_g_tnm", "_g_stage", "_g_comp", "_roman_text", "_blocks"] + [f"_{p}{i}" for p in "mzf" for i in range(k)]
     return staged.withColumn(out_col, allf).drop(*[c for c in drop if c in staged.columns])
 
 
@@ -228,26 +259,27 @@ def add_first_finding(df: DataFrame, text_col: str = "note_text", rules=RULES,
     t = F.col(text_col)
     tagged = []
     for i, rule in enumerate(rules):
-        if _is_roman(rule):
-            first = F.regexp_extract(roman_search_text(t), NUMERAL_TOKEN, 0)
+        if _is_components(rule):
+            first = F.get(component_matches(t), 0)["groups"]
+        elif _is_roman(rule):
+            first = F.nullif(F.regexp_extract(roman_search_text(t), NUMERAL_TOKEN, 0), F.lit(""))
         else:
-            first = F.regexp_extract(t, rule.java, 0)
-        first = F.nullif(first, F.lit(""))
+            first = F.nullif(F.regexp_extract(t, rule.java, 0), F.lit(""))
         guard = _guard_for(rule)
         if guard is not None:
             first = F.when(F.col(guard), first)
-        tagged.append(F.concat(F.lit(f"{i:03d}"), first))
+        tagged.append(F.when(first.isNotNull(), F.struct(F.lit(i).alias("rule"), first.alias("match"))))
     hit = F.when(non_blank(t), F.coalesce(*tagged))
     base = df.select("*", *_guard_columns(t))
     staged = base.select("*", hit.alias("_hit")).drop("_g_tnm", "_g_stage", "_g_comp")
-    idx = F.substring(F.col("_hit"), 1, 3).cast("int")
-    match = F.substring(F.col("_hit"), 4, 1 << 30)
+    match = F.col("_hit.match")
     branches = None
     for i, rule in enumerate(rules):
-        if _group_is_match(rule):
-            groups = []
-        else:
+        groups = []
+        if not (_group_is_match(rule) or _is_components(rule)):
             groups = [F.regexp_extract(t, rule.java, g) for g in range(1, rule.groups + 1)]
-        value = F.struct(_stage_of(rule, match, groups).alias("stage"), F.lit(rule.system).alias("system"))
-        branches = F.when(idx == i, value) if branches is None else branches.when(idx == i, value)
+        stage = F.upper(match) if _is_components(rule) else _stage_of(rule, match, groups)
+        value = F.struct(stage.alias("stage"), F.lit(rule.system).alias("system"))
+        here = F.col("_hit.rule") == i
+        branches = F.when(here, value) if branches is None else branches.when(here, value)
     return staged.withColumn(out_col, branches).drop("_hit")

@@ -10,27 +10,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# ---------------------------------------------------------------------------------
-# Fixed values (rule order = priority):
-#   tnm_standard        \b(T[0-4isX]{1,3}N[0-3MX]{1,3}M[0-1X]{1})\b                      TNM      upper(group 1)
-#   tnm_prefixed        \b([cp]T[0-4isX]{1,3}N[0-3MX]{1,3}M[0-1X]{1})\b                  TNM      upper(group 1)
-#   tnm_components      \b(T[0-4isX]{1,3})[,\s.].*\b(N[0-3MX]{1,3})[,\s.].*\b(M[0-1X]{1})\b
-#                                                                                         TNM      upper(g1 g2 g3)
-#   stage_standard      \b(Stage\s+[0IVX]{1,4}[A-C]?)\b                                  General  title(group 1)
-#   stage_ajcc          \b(AJCC\s+Stage\s+[0IVX]{1,4}[A-C]?)\b                           AJCC     title(group 1)
-#   stage_colon         \bStage\s*:\s*([0IVX]{1,4}[A-C]?)\b                              General  title("Stage " g1)
-#   roman_numeral_stage (?i)(?=.*?\b(?:stage|staging)\b.{0,100})\b([IVX]{1,4}[A-C]?)\b(?!.*?century)
-#                                                                                         General  title("Stage " g1)
-# Evidence: the match with up to 50 characters on each side.
-# Basic rule set (the smaller extractor): tnm_standard, then stage_standard.
-# ---------------------------------------------------------------------------------
+# Fixed values, in rule order (which is the priority).  Evidence is the match with up to 50
+# characters on each side; the basic rule set is tnm_standard, then stage_standard.
 TNM_STANDARD = r"\b(T[0-4isX]{1,3}N[0-3MX]{1,3}M[0-1X]{1})\b"
 TNM_PREFIXED = r"\b([cp]T[0-4isX]{1,3}N[0-3MX]{1,3}M[0-1X]{1})\b"
 TNM_COMPONENTS = r"\b(T[0-4isX]{1,3})[,\s.].*\b(N[0-3MX]{1,3})[,\s.].*\b(M[0-1X]{1})\b"
 STAGE_STANDARD = r"\b(Stage\s+[0IVX]{1,4}[A-C]?)\b"
 STAGE_AJCC = r"\b(AJCC\s+Stage\s+[0IVX]{1,4}[A-C]?)\b"
 STAGE_COLON = r"\bStage\s*:\s*([0IVX]{1,4}[A-C]?)\b"
-ROMAN_NUMERAL_AS_WRITTEN = r"(?i)(?=.*?\b(?:stage|staging)\b.{0,100})\b([IVX]{1,4}[A-C]?)\b(?!.*?century)"
 EVIDENCE_CHARS = 50
 
 # Our rewrite of the roman-numeral rule: the look-ahead moved behind the numeral.  The

@@ -56,6 +56,11 @@ def note_piece(idx: Column, text: Column) -> Column:
     return F.concat(F.lit(head), idx.cast("string"), F.lit(tail), text)
 
 
+def note_header_length(idx: Column) -> Column:
+    """Characters that a note's header takes in a per-patient request."""
+    return F.length(note_piece(idx, F.lit("")))
+
+
 def over_budget(total_chars: Column, max_context: int = MAX_CONTEXT_TOKENS,
                 chars_per_token: float = CHARS_PER_TOKEN) -> Column:
     """True when ``int(chars / 3.5) + 200 > max_context - 100``: the request goes per note.

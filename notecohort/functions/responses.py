@@ -24,7 +24,7 @@ RESPONSE_TYPE = "struct<stage:string,system:string>"
 
 
 def _after(r: Column, mark: str) -> Column:
-    tail = F.substring(r, F.instr(r, mark) + len(mark), 1 << 30)
+    tail = F.get(F.split(r, mark, 2), 1)  # the marks hold no pattern characters
     return F.regexp_extract(tail, _FIRST_LINE, 1)
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .index import with_row_index
-from .sizing import bounded_broadcast
 
 # The ten encounter columns, in order, and the patient partition rule.
 ENCOUNTER_COLUMNS = ("patientdurablekey", "encounterkey", "datekey", "datekeyvalue", "enddatekey",
@@ -27,8 +26,7 @@ def best_dim_rows(dim: DataFrame, wanted_ids: DataFrame, dim_id: str = "patiente
     window, so a hot id is combined map-side instead of landing in one task.
     """
     ids = wanted_ids.select(F.col(id_col).alias(dim_id)).where(F.col(dim_id).isNotNull()).distinct()
-    # the id list is cheap to recompute (a CSV), so it is size-checked without writing it
-    cut = dim.where(F.col(dim_id).isNotNull()).join(bounded_broadcast(ids, materialize=False), dim_id, "left_semi")
+    cut = dim.where(F.col(dim_id).isNotNull()).join(ids, dim_id, "left_semi")
     per_file = cut.groupBy(dim_id, file_order).agg(
         F.count(F.lit(1)).alias("rows_in_file"),
         F.max_by(F.col(dim_key), F.col(row_order)).alias(dim_key))
@@ -78,11 +76,11 @@ def filter_encounters(encounters: DataFrame, keys: DataFrame, key: str = "patien
     """C2 (with B1): encounters of cohort patients, the ten columns in order.
 
     A left-semi join against the distinct keys: each encounter appears once however often
-    an id is listed (the reference's 500-id batches could double it).  The key set is
-    broadcast only when its size is checked to be bounded.
+    an id is listed (the reference's 500-id batches could double it).  Whether the keys are
+    broadcast is left to Spark's byte threshold and AQE.
     """
     k = keys.select(key).where(F.col(key).isNotNull()).distinct()
-    return encounters.select(*columns).join(bounded_broadcast(k), key, "left_semi")
+    return encounters.select(*columns).join(k, key, "left_semi")
 
 
 def patient_positions(keys: DataFrame, key: str = "patientdurablekey",
@@ -99,6 +97,6 @@ def partition_assign(encounters: DataFrame, keys: DataFrame, key: str = "patient
     """Add ``partition_key`` = position of the patient in the sorted requested keys
     div ``per_partition``, as a string; ``"unknown"`` for a patient outside the list."""
     positions = patient_positions(keys, key, per_partition)
-    joined = encounters.join(bounded_broadcast(positions), key, "left")
+    joined = encounters.join(positions, key, "left")
     part = F.coalesce(F.col("partition_key"), F.lit(UNKNOWN_PARTITION)).alias("partition_key")
     return joined.select(*encounters.columns, part)

@@ -1,83 +1,90 @@
 """Batch inference hook (G2) and the optional exact token gate.
 
 The model is a user function ``prompts: list[str] -> responses: list[str]`` built by a
-zero-argument factory.  It runs inside ``mapInPandas`` on Arrow batches: the factory is
-called once per Python worker (then cached), a failing batch is retried row by row, and
-a row whose call fails gets a null response, so one bad note never fails the job.  Only
-the request id and prompt cross into Python.
+zero-argument factory.  It runs inside ``mapInPandas`` on Arrow batches: each call of
+``infer`` has an id of its own, under which a Python worker builds its model once and
+keeps it for the call's later tasks.  A failing batch is retried row by row; a row whose
+call fails gets a null response and the error's text, so one bad note never fails the job
+and none fails silently.  Only the request id and prompt cross into Python.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_MODEL_CACHE: dict[str, Callable] = {}
+# Models of a worker by call id; the least recently used one makes room.
+_MODELS: OrderedDict[str, Callable] = OrderedDict()
+_MOST_MODELS = 4
+ERROR = "error"
 
 
-def _model(name: str, factory: Callable[[], Callable]) -> Callable:
-    model = _MODEL_CACHE.get(name)
-    if model is None:
-        model = factory()
-        _MODEL_CACHE[name] = model
-    return model
+def _model(call: str, factory: Callable[[], Callable]) -> Callable:
+    if call not in _MODELS:
+        _MODELS[call] = factory()
+        while len(_MODELS) > _MOST_MODELS:
+            _MODELS.popitem(last=False)
+    _MODELS.move_to_end(call)
+    return _MODELS[call]
 
 
-def _call(model: Callable, prompts: list[str]) -> list:
+def _call(model: Callable, prompts: list[str]) -> list[tuple[object, str | None]]:
+    """``(response, error)`` of each prompt."""
     try:
         out = list(model(prompts))
         if len(out) == len(prompts):
-            return out
-    except Exception:
+            return [(r, None) for r in out]
+    except Exception:  # each row is tried alone below, and keeps its own error
         pass
-    results = []
+    results: list[tuple[object, str | None]] = []
     for p in prompts:
         try:
-            results.append(list(model([p]))[0])
-        except Exception:
-            results.append(None)
+            results.append((list(model([p]))[0], None))
+        except Exception as e:
+            results.append((None, f"{type(e).__name__}: {e}"))
     return results
 
 
 def infer(requests: DataFrame, id_cols: list[str], prompt_col: str, model_factory: Callable[[], Callable],
-          model_name: str = "model", out_col: str = "response", batch_rows: int = 32) -> DataFrame:
-    """``id_cols`` of each request row plus ``out_col`` (string, null on error).
+          out_col: str = "response", batch_rows: int = 32) -> DataFrame:
+    """``id_cols`` of each request row plus ``out_col`` and ``error`` (strings; a response is
+    null on error, an error null otherwise).
 
-    ``id_cols`` are passed through unchanged (they may be whole note rows), so results
-    never need a join back.  ``batch_rows`` prompts go to the model per call.
+    ``batch_rows`` prompts go to the model per call.
     """
-    schema = T.StructType([requests.schema[c] for c in id_cols] + [T.StructField(out_col, T.StringType(), True)])
+    schema = T.StructType([requests.schema[c] for c in id_cols] + [
+        T.StructField(out_col, T.StringType(), True), T.StructField(ERROR, T.StringType(), True)])
+    call = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _model(model_name, model_factory)
+        model = _model(call, model_factory)
         for pdf in batches:
-            prompts = pdf[prompt_col].tolist()
-            responses: list = []
-            for i in range(0, len(prompts), batch_rows):
-                chunk = [p if isinstance(p, str) else "" for p in prompts[i:i + batch_rows]]
-                responses.extend(_call(model, chunk))
+            prompts = [p if isinstance(p, str) else "" for p in pdf[prompt_col]]
+            answers = [a for i in range(0, len(prompts), batch_rows) for a in _call(model, prompts[i:i + batch_rows])]
             out = pdf[id_cols].copy()
-            out[out_col] = pd.Series(responses, index=pdf.index, dtype=object)
+            out[out_col] = pd.Series([r for r, _ in answers], index=pdf.index, dtype=object)
+            out[ERROR] = pd.Series([e for _, e in answers], index=pdf.index, dtype=object)
             yield out
 
     return requests.select(*id_cols, prompt_col).mapInPandas(run, schema)
 
 
-def token_counts(prompts: DataFrame, id_cols: list[str], prompt_col: str,
-                 counter_factory: Callable[[], Callable], out_col: str = "n_tokens") -> DataFrame:
-    """Exact token count per prompt with a user tokenizer (``list[str] -> list[int]``)."""
-    schema = T.StructType([prompts.schema[c] for c in id_cols] + [T.StructField(out_col, T.LongType(), True)])
+def token_counts(prompts: DataFrame, prompt_col: str, counter_factory: Callable[[], Callable],
+                 out_col: str = "n_tokens") -> DataFrame:
+    """``prompts`` with the exact token count of each prompt by a user tokenizer
+    (``list[str] -> list[int]``)."""
+    schema = T.StructType([*prompts.schema.fields, T.StructField(out_col, T.LongType(), True)])
+    call = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = _model("tokenizer", counter_factory)
+        counter = _model(call, counter_factory)
         for pdf in batches:
-            out = pdf[id_cols].copy()
-            out[out_col] = pd.Series([int(n) for n in counter(pdf[prompt_col].tolist())], index=pdf.index,
-                                     dtype="int64")
-            yield out
+            counts = [int(n) for n in counter(pdf[prompt_col].tolist())]
+            yield pdf.assign(**{out_col: pd.Series(counts, index=pdf.index, dtype="int64")})
 
-    return prompts.select(*id_cols, prompt_col).mapInPandas(run, schema)
+    return prompts.mapInPandas(run, schema)

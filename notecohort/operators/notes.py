@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import non_blank
 from .index import with_row_index
-from .sizing import bounded_broadcast
 
 # The note types worth extracting (the reference's to-do list, in its order).
 ALLOWED_NOTE_TYPES = ("Progress Notes", "Imaging", "Consults", "Plan of Care", "Lab", "Interdisciplinary",
@@ -28,22 +27,22 @@ def prune_metadata(metadata: DataFrame) -> DataFrame:
     return metadata.select(*METADATA_COLUMNS)
 
 
-def join_metadata_encounters(metadata: DataFrame, encounters: DataFrame, null_safe: bool = False) -> DataFrame:
+def join_metadata_encounters(metadata: DataFrame, encounters: DataFrame) -> DataFrame:
     """Inner join on ``encounterkey`` only.
 
     Both sides carry a patient key; the metadata's stays ``patientdurablekey`` and the
     encounter's becomes ``encounter_patientdurablekey`` (rows where they disagree are
-    kept, as in the reference).  Null keys never match unless ``null_safe``.  Repeated
-    encounter rows multiply.  The shuffle join gets AQE skew splitting; the runtime
-    bloom filter prunes the metadata scan by the (smaller) encounter side.
+    kept, as in the reference).  Null keys never match: pairing every null with every null
+    would be a product in one task.  Repeated encounter rows multiply.  The shuffle join gets
+    AQE skew splitting; the runtime bloom filter prunes the metadata scan by the (smaller)
+    encounter side.
     """
     enc = encounters.select(
         F.col("encounterkey").alias("_ek"),
         F.col("patientdurablekey").alias("encounter_patientdurablekey"),
         "datekeyvalue", "enddatekeyvalue")
     meta = prune_metadata(metadata)
-    cond = meta["encounterkey"].eqNullSafe(enc["_ek"]) if null_safe else meta["encounterkey"] == enc["_ek"]
-    return meta.join(enc, cond, "inner").drop("_ek")
+    return meta.join(enc, meta["encounterkey"] == enc["_ek"], "inner").drop("_ek")
 
 
 def distinct_note_keys(metadata: DataFrame, key: str = "deid_note_key") -> DataFrame:
@@ -51,15 +50,10 @@ def distinct_note_keys(metadata: DataFrame, key: str = "deid_note_key") -> DataF
     return metadata.select(key).where(F.col(key).isNotNull()).distinct()
 
 
-def filter_note_text(note_text: DataFrame, keys: DataFrame, key: str = "deid_note_key",
-                     materialize_keys: bool = True) -> DataFrame:
-    """B2: texts whose key is wanted; a semi join, never ``isin`` over a collected list.
-
-    Pass ``materialize_keys=False`` when ``keys`` already comes from a written table (the
-    size check then re-reads it instead of writing it again).
-    """
+def filter_note_text(note_text: DataFrame, keys: DataFrame, key: str = "deid_note_key") -> DataFrame:
+    """B2: texts whose key is wanted; a semi join, never ``isin`` over a collected list."""
     k = keys.select(key).where(F.col(key).isNotNull()).distinct()
-    return note_text.join(bounded_broadcast(k, materialize=materialize_keys), key, "left_semi")
+    return note_text.join(k, key, "left_semi")
 
 
 def join_text_metadata(note_text: DataFrame, metadata: DataFrame, key: str = "deid_note_key") -> DataFrame:
@@ -83,6 +77,13 @@ def note_type_filter(notes: DataFrame, allowed=ALLOWED_NOTE_TYPES, col: str = "n
     return notes.where(F.col(col).isin(list(allowed)))
 
 
+def first_batch_notes(notes: DataFrame, metadata: DataFrame, key: str = "deid_note_key",
+                      file_rank_col: str = "file_no", files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """E3 + C4: the winning text rows of each file batch joined with their metadata, with
+    ``batch``; one batch of the reference's output is the rows of one ``batch`` value."""
+    return first_batch_wins(notes, metadata, key, file_rank_col, files_per_batch).join(metadata, key, "inner")
+
+
 def with_file_batch(notes: DataFrame, file_rank_col: str = "file_no",
                     files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Batch number of each text row: its file's rank (by sorted path) div ``files_per_batch``."""
@@ -112,12 +113,12 @@ def note_key_coverage(notes: DataFrame, keys: DataFrame, key: str = "deid_note_k
     """
     wanted = keys.select(key).where(F.col(key).isNotNull()).distinct()
     rows = with_file_batch(notes.select(key, file_rank_col), file_rank_col, files_per_batch)
-    found = rows.join(bounded_broadcast(wanted), key, "left_semi").groupBy(key).agg(F.min("batch").alias("batch"))
+    found = rows.join(wanted, key, "left_semi").groupBy(key).agg(F.min("batch").alias("batch"))
     per_batch = found.groupBy("batch").agg(F.count(F.lit(1)).alias("found_new"))
-    n_wanted = wanted.count()  # one number to the driver
+    n_wanted = wanted.agg(F.count(F.lit(1)).alias("wanted"))  # one row
     w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
     running = per_batch.withColumn("found_total", F.sum("found_new").over(w))
-    return (running.withColumn("wanted", F.lit(n_wanted).cast("long"))
+    return (running.join(F.broadcast(n_wanted))
                    .withColumn("percent", F.when(F.col("wanted") > 0,
                                                  F.col("found_total").cast("double") / F.col("wanted") * 100.0)
                                .otherwise(F.lit(0.0))))
@@ -129,9 +130,9 @@ def chunk_assign(rows: DataFrame, order_cols: list[str], chunk_rows: int = CHUNK
     return indexed.withColumn("chunk_no", (F.floor(F.col("_pos") / chunk_rows) + 1).cast("long")).drop("_pos")
 
 
-def sample_keys(rows: DataFrame, key: str = "patientdurablekey", n: int = 3) -> DataFrame:
+def sample_keys(rows: DataFrame, keys: list[str], n: int = 3) -> DataFrame:
     """E5: the first ``n`` keys in key order (the limit is the feature: a head sample)."""
-    return rows.select(key).orderBy(key).limit(n)
+    return rows.select(*keys).orderBy(*keys).limit(n)
 
 
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:

@@ -1,5 +1,4 @@
-"""Size-aware plan helpers: broadcast only behind a checked bound, spread small CPU-heavy
-inputs over all cores, and filter without letting Catalyst re-inline costly columns."""
+"""Plan helpers: written tables, a filter that stays where it is put, an explicit spread."""
 
 from __future__ import annotations
 
@@ -8,74 +7,26 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 
-# Largest key set (rows) that is ever broadcast.  Keys are short strings, so 1M rows is
-# well under 100 MB per executor.  Beyond it the join stays a shuffle join (AQE splits
-# skewed partitions).
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-CONF_KEY = "notecohort.broadcast.maxRows"
-# Inputs estimated below this size are spread round-robin over all cores before
-# per-row CPU-heavy work (regex scans); larger inputs keep their scan splits.
-DEFAULT_SPREAD_BELOW_BYTES = 1 << 30
-SPREAD_KEY = "notecohort.spreadBelowBytes"
-
-
-def _conf_int(df: DataFrame, key: str, default: int) -> int:
-    value = df.sparkSession.conf.get(key, None)
-    return int(value) if value else default
-
 
 def write_table(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Cuts lineage in one job (``Dataset.checkpoint`` computes its input twice unless it is
-    cached first), survives executor loss, and gives the optimizer exact sizes and row
-    counts (parquet footers) for later plans.
+    cached first), survives executor loss, and gives the optimizer exact sizes (parquet
+    footers) for later plans, so it picks broadcast joins from real bytes.
     """
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def max_broadcast_rows(df: DataFrame) -> int:
-    return _conf_int(df, CONF_KEY, DEFAULT_MAX_BROADCAST_ROWS)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None, materialize: bool = True) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    With ``materialize`` (the default) the key set is first written to the shared
-    checkpoint folder, so neither the size check nor the join re-runs the plan that
-    produced it (often a large join); the count then comes from parquet footers.
-    """
-    limit = max_rows if max_rows is not None else max_broadcast_rows(df)
-    if materialize:
-        df = write_table(df, "keys")
-        n = df.count()
-    else:
-        n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan (file sizes for scans)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate unavailable (e.g. Spark Connect)
-        return 1 << 62
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over all cores when it is small; leave it alone when large.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Round-robin ``df`` over ``partitions`` tasks, if a number is given.
 
-    Per-row regex work is CPU-bound.  A small table can arrive in very few partitions (a
-    file with one row group is read by one task), leaving cores idle; a cheap shuffle
-    fixes that.  A large table already has one task per split, and shuffling it would
-    cost more than it saves, so it is left alone.
+    For inputs whose files hold one huge row group, which one task would read; tables with
+    ordinary splits need none.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) < _conf_int(df, SPREAD_KEY, DEFAULT_SPREAD_BELOW_BYTES):
-        return df.repartition(max(cores, 1))
-    return df
+    return df.repartition(partitions) if partitions else df
 
 
 def filter_here(df: DataFrame, condition: Column) -> DataFrame:

@@ -2,40 +2,75 @@
 the previous stage.
 
 Not a ``Window.partitionBy(patient)``: a patient with a third of all findings would sort
-in one task.  Rows get a global position in (patient, date, note, finding) order from the
-distributed row index (range partitions split a hot patient); the sequence number is the
-position minus the patient's first position (a partial aggregation), and the previous
-stage is an equi-join on position - 1 (unique keys, no skew).
+in one task.  Rows are range-partitioned in (patient, date, note, finding) order, which
+splits a hot patient, and one pass over each sorted range gives the position of a row
+within its patient's run there and the stage before it.  What a patient brings along from
+earlier ranges comes from one row per range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .index import with_row_index
+from .index import range_sorted
+from .sizing import write_table
+
+
+def _runs(patient: int, stage: int):
+    """A pass over sorted batches: ``_seq`` (1-based in the run) and ``_prev`` (stage before)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_patient, last_stage, count, first = None, None, 0, True
+        for b in batches:
+            if not b.num_rows:
+                continue
+            who = np.array(b.column(patient).to_pylist(), object)
+            stages = b.column(stage).to_pylist()
+            new = np.r_[first or who[0] != last_patient, who[1:] != who[:-1]]
+            starts = np.nonzero(new)[0]
+            seq = np.arange(1, len(who) + 1) - np.r_[0, starts][np.searchsorted(starts, np.arange(len(who)), side="right")]
+            seq[:starts[0] if len(starts) else len(who)] += count
+            prev = [None if n else s for n, s in zip(new.tolist(), [last_stage, *stages[:-1]], strict=True)]
+            last_patient, last_stage, count, first = who[-1], stages[-1], int(seq[-1]), False
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(seq, pa.int64()), pa.array(prev, pa.string())],
+                                             names=[*b.schema.names, "_seq", "_prev"])
+
+    return run
 
 
-def staging_timeline(findings: DataFrame, metadata: DataFrame, encounters: DataFrame,
-                     key: str = "deid_note_key", patient_col: str = "patientdurablekey",
-                     date_col: str = "datekeyvalue", note_id_col: str = "deid_note_id") -> DataFrame:
-    """``findings``: (key, finding_no, stage, system, ...) per note text.
+def staging_timeline(findings: DataFrame, metadata: DataFrame, key: str = "deid_note_key",
+                     patient_col: str = "patientdurablekey", date_col: str = "datekeyvalue",
+                     note_id_col: str = "deid_note_id", row_cols: tuple[str, ...] = ("note_no",)) -> DataFrame:
+    """``findings``: (key, ``row_cols`` of the text row, finding_no, stage, system) per text
+    row; ``metadata``: rows joined with their encounters, which carry the date.
 
-    Output: patient, date, note id, finding_no, stage, system, seq (1-based per patient),
-    previous_stage (null for the patient's first finding).
+    Output: patient, date, note id, key, ``row_cols``, finding_no, stage, system, seq
+    (1-based per patient), previous_stage (null for the patient's first finding).
     """
-    f = findings.select(key, "finding_no", "stage", "system")
-    meta = metadata.select(key, patient_col, "encounterkey", note_id_col).where(F.col(key).isNotNull())
-    enc = encounters.select("encounterkey", date_col)
-    rows = (f.join(meta, key, "inner").join(enc, "encounterkey", "left")
-             .select(patient_col, date_col, note_id_col, key, "finding_no", "stage", "system"))
-    # note id and text key together: the note id alone can repeat
-    order = [patient_col, date_col, note_id_col, key, "finding_no"]
-    ordered = with_row_index(rows, order, "_gpos")
-    first = ordered.groupBy(patient_col).agg(F.min("_gpos").alias("_first"))
-    prev = ordered.select((F.col("_gpos") + 1).alias("_gpos"), F.col(patient_col).alias("_prev_patient"),
-                          F.col("stage").alias("_prev_stage"))
-    out = ordered.join(first, patient_col, "inner").join(prev, "_gpos", "left")
-    return out.select(patient_col, date_col, note_id_col, key, "finding_no", "stage", "system",
-                      (F.col("_gpos") - F.col("_first") + 1).alias("seq"),
-                      F.when(F.col("_prev_patient") == F.col(patient_col), F.col("_prev_stage")).alias("previous_stage"))
+    cols = [patient_col, date_col, note_id_col, key, *row_cols, "finding_no"]
+    f = findings.select(key, *row_cols, "finding_no", "stage", "system")
+    rows = f.join(metadata.select(key, patient_col, date_col, note_id_col), key, "inner")
+    ordered = range_sorted(rows.select(*cols, "stage", "system"), cols).drop("_local")
+    names = ordered.columns
+    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in ordered.schema.fields)
+    local = write_table(ordered.mapInArrow(_runs(names.index(patient_col), names.index("stage")),
+                                           f"{schema}, _seq long, _prev string"), "timeline")
+    # one row per range: the patients at its ends, and the last row's place and stage
+    ends = write_table(local.groupBy("_pid").agg(
+        F.min_by(patient_col, F.struct(*cols)).alias("head"), F.max_by(patient_col, F.struct(*cols, "_seq")).alias("tail"),
+        F.max_by("_seq", F.struct(*cols, "_seq")).alias("n"), F.max_by("stage", F.struct(*cols, "_seq")).alias("stage")), "ends")
+    run = F.sum("n").over(Window.partitionBy("tail").orderBy("_pid"))
+    one = Window.orderBy("_pid")
+    carry = ends.withColumn("run", run).select(
+        "_pid", F.col("head").alias("_head"), F.lag("tail").over(one).alias("tail"), F.lag("run").over(one).alias("_before"),
+        F.lag("stage").over(one).alias("_last"))
+    carry = carry.where(F.col("_before").isNotNull() & F.col("_head").eqNullSafe(F.col("tail"))).drop("tail")
+    out = local.join(F.broadcast(carry), "_pid", "left")  # at most one row per range
+    here = F.col("_before").isNotNull() & F.col(patient_col).eqNullSafe(F.col("_head"))
+    return out.select(*cols, "stage", "system", (F.col("_seq") + F.when(here, F.col("_before")).otherwise(0)).alias("seq"),
+                      F.when(here & (F.col("_seq") == 1), F.col("_last")).otherwise(F.col("_prev")).alias("previous_stage"))

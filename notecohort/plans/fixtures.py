@@ -9,9 +9,12 @@ attributes, metadata covers every lineitem row, every document becomes a note.
     patient_ids      cohort ids: two market segments, some ids twice, some unknown ids
     patdurabledim    id -> durable key, spread over four "files"; some ids repeated in a
                      later file (first file wins, then the last row of that file)
-    encounterfact    one encounter per order, the ten reference columns
-    note_metadata    one note per lineitem; null note keys on line 7; six note types
-    note_text        one note per document, phrases planted by doc_id % 9
+    encounterfact    one encounter per order, the ten reference columns; urgent orders twice
+    note_metadata    one note per lineitem; null note keys on line 7, keys of blank notes on
+                     line 6, another patient than the encounter's on some; six note types
+    note_text        one note per document (its whole text and a planted phrase), a second
+                     text row under the key of German documents, blank notes with keys of
+                     their own
     note_text_files  note_text plus a copy of every fifth note in another file
     llm_responses    canned model responses, one per event
 """
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.sizing import spread_for_cpu
+from ..operators.sizing import spread
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -44,12 +47,15 @@ select patientdurablekey, encounterkey,
 from (select concat('Customer#', lpad(cast(o_custkey as string), 9, '0')) as patientdurablekey,
  cast(o_orderkey as string) as encounterkey, o_orderdate as d0, o_orderdate + interval '2' day as d1,
  case when o_orderstatus = 'F' then o_orderdate end as a0,
- case when o_orderstatus = 'F' then o_orderdate + interval '2' day end as a1 from orders) o
+ case when o_orderstatus = 'F' then o_orderdate + interval '2' day end as a1 from orders
+ union all select concat('Customer#', lpad(cast(o_custkey as string), 9, '0')), cast(o_orderkey as string),
+ o_orderdate, o_orderdate + interval '4' day, null, null from orders where o_orderpriority = '1-URGENT') o
 """,
     "note_metadata": """
-select concat('Customer#', lpad(cast(o_custkey as string), 9, '0')) as patientdurablekey,
+select concat('Customer#', lpad(cast(case when o_orderpriority = '5-LOW' and l_linenumber = 1 then o_custkey + 1
+  else o_custkey end as string), 9, '0')) as patientdurablekey,
  cast(o_custkey as string) as patientepicid, cast(l_orderkey as string) as encounterkey,
- case when l_linenumber = 7 then null else cast(l_partkey as string) end as deid_note_key,
+ case l_linenumber when 7 then null when 6 then concat('B', cast(l_partkey as string)) else cast(l_partkey as string) end as deid_note_key,
  concat('D', cast(l_orderkey as string), '-', cast(l_linenumber as string)) as deid_note_id,
  case concat(l_returnflag, l_linestatus) when 'AF' then 'Progress Notes' when 'AO' then 'Imaging'
   when 'NF' then 'H&P' when 'NO' then 'Discharge Summary' when 'RF' then 'Telephone Encounter'
@@ -58,32 +64,36 @@ from lineitem join orders on o_orderkey = l_orderkey
 """,
     "note_text": """
 select cast(doc_id as string) as deid_note_key, doc_id as note_no, doc_id % 7 as file_no,
- case doc_id % 9 when 8 then text when 7 then ' ' else concat(substring(text, 1, 200), chr(10), case doc_id % 9
-  when 0 then 'Patient has stage IIB breast cancer. Recent studies confirm T2N1M0 classification.'
-  when 1 then 'Assessment: cT3N2M0 prostate adenocarcinoma, AJCC Stage III.'
-  when 2 then 'TNM classification: T1, N0, M0, indicating early-stage disease.'
-  when 3 then 'Stage: iiia noted'
-  when 4 then 'I reviewed the staging with the patient, type IV then stage'
-  when 5 then 'Stage 0a dcis and stage II'
-  else 'XIX century stage V century II c x staging' end, chr(10), text) end as note_text
+ concat(text, chr(10), case doc_id % 8
+  when 0 then 'Impression: stage IIB carcinoma of the breast, pathology T2N1M0.'
+  when 1 then 'Plan: cT3N2M0 adenocarcinoma, AJCC Stage III, options discussed.'
+  when 2 then 'Summary: T1, N0, M0 on imaging, no spread seen'
+  when 3 then 'Stage: iiia per tumor board'
+  when 4 then 'Lesion of type IV, staging ordered, type II then stage pending'
+  when 5 then 'Stage 0a in situ, then stage II on review'
+  when 6 then 'The XIX century hall has a stage, V century, II c x staging'
+  else 'No findings.' end) as note_text
 from documents
+union all select cast(doc_id as string), doc_id + 2000000000, (doc_id + 3) % 7, concat('Addendum: Stage IVA confirmed.', chr(10), text)
+from documents where lang = 'de'
+union all select concat('B', cast(doc_id as string)), doc_id + 1000000000, doc_id % 7, case doc_id % 3 when 0 then ' ' when 1 then '' end
+from documents where lang = 'es'
 """,
     "note_text_files": """
 select deid_note_key, note_no, file_no, note_text from note_text
-union all select deid_note_key, note_no, (file_no + 3) % 7, concat(note_text, ' (copy)') from note_text where note_no % 5 = 0
+union all select deid_note_key, note_no, (file_no + 3) % 7, note_text || ' (copy)' from note_text where note_no % 5 = 0
 """,
     "llm_responses": """
 select event_id, case event_id % 10 when 0 then 'NA' when 1 then 'Stage: IIB' when 2 then 'TNM: T2N1M0'
- when 3 then concat('TNM: T3N2M1', chr(10)) when 4 then concat('Stage: IV', chr(10), 'Additional notes')
- when 5 then 'T3N2M1' when 6 then 'Based on the clinical note, TNM: T2N0M0'
- when 7 then 'After reviewing the note, Stage: IIIA' when 8 then 'see (x) T1N0M0).' else 'TNM:' end as response
+ when 3 then concat('TNM: T3N2M1', chr(10)) when 4 then concat('Stage: IV', chr(10), 'and a second line')
+ when 5 then 'T3N2M1' when 6 then 'The chart gives TNM: T2N0M0'
+ when 7 then 'On review this is Stage: IIIA' when 8 then 'see (x) T1N0M0).' else 'TNM:' end as response
 from events
 """,
 }
-# Each test file holds a single row group, which Spark reads in one task.  The two tables
-# behind the metadata and encounter views are spread over all cores after the scan (only
-# while small: see ``spread_for_cpu``); the text table is spread by the findings operators.
-SPREAD_TABLES = ("lineitem", "orders")
+# Each test file holds a single row group, which Spark reads in one task.  The tables behind
+# the metadata, encounter and text views are spread after the scan when a number is given.
+SPREAD_TABLES = ("lineitem", "orders", "documents")
 # Views a fixture depends on (other fixtures), in creation order.
 FIXTURE_ORDER = ("patient_ids", "patdurabledim", "encounterfact", "note_metadata", "note_text",
                  "note_text_files", "llm_responses")
@@ -95,7 +105,7 @@ class Fixtures:
 
     _registered: dict[int, str] = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, partitions: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         key = id(spark)
@@ -105,7 +115,7 @@ class Fixtures:
         for t in BASE_TABLES:
             df = spark.read.parquet(f"{self.sf_dir}/{t}.parquet")
             if t in SPREAD_TABLES:
-                df = spread_for_cpu(df)
+                df = spread(df, partitions)
             df.createOrReplaceTempView(t)
         for name in FIXTURE_ORDER:
             spark.sql(FIXTURE_SQL[name]).createOrReplaceTempView(name)

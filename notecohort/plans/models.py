@@ -37,3 +37,29 @@ def keyword_model_factory(template: str = CHAT_TEMPLATE):
         return respond
 
     return factory
+
+
+def failing_model_factory(on: str):
+    """A model that fails on prompts holding ``on`` and answers ``Stage: X`` to all others."""
+
+    def factory():
+        def respond(prompts: list[str]) -> list[str]:
+            if any(on in p for p in prompts):
+                raise ValueError(on)
+            return ["Stage: X"] * len(prompts)
+
+        return respond
+
+    return factory
+
+
+def word_counter_factory():
+    """A tokenizer for G3 that counts runs of other than ASCII white space."""
+
+    def factory():
+        import re
+
+        words = re.compile(r"\S+", re.ASCII).findall
+        return lambda prompts: [len(words(p)) for p in prompts]
+
+    return factory

@@ -3,26 +3,28 @@ fixture views of a test-data folder, with its DuckDB oracle SQL."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.patterns import BASIC_RULES, RULES_BY_NAME, TITLE, Rule, rule_set
+from ..functions.patterns import BASIC_RULES, RULES, RULES_BY_NAME, TITLE, Rule, rule_set
 from ..functions.prompts import CHAT_TEMPLATE, FINDINGS_TEMPLATE, render
 from ..functions.responses import parse_response
 from ..operators import batching, cohort, notes, staging, timeline
+from ..operators.inference import infer
 from ..operators.sizing import write_table
 from ..session import ensure_checkpoint_dir, scratch_dir, ship_package
 from ..sources import readers, sinks
 from ..streaming import incremental
 from . import oracle as O
 from .fixtures import Fixtures, with_fixture_ctes
-from .models import keyword_model_factory
+from .models import failing_model_factory, keyword_model_factory, word_counter_factory
 
+# A context for G3 that some patients pass by estimate and miss by count.
+TOKEN_LIMIT = 2000
 # A user override for G1: components must be adjacent and comma-separated, and a new rule.
 OVERRIDES = {
     "tnm_components": r"\b(T[0-4isX]{1,3}),\s*(N[0-3MX]{1,3}),\s*(M[0-1X]{1})\b",
@@ -34,9 +36,9 @@ class Chain:
     """The cohort chain over the fixtures: ids -> durable keys -> encounters -> metadata
     -> texts -> notes.  Each step is a lazy DataFrame built once per chain."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, partitions: int | None = None):
         self.spark = spark
-        self.fx = Fixtures(spark, sf_dir)
+        self.fx = Fixtures(spark, sf_dir, partitions)
 
     @cached_property
     def mapped_counts(self) -> DataFrame:
@@ -57,7 +59,7 @@ class Chain:
     @cached_property
     def enc_stage(self) -> DataFrame:
         """Step-1 output as the later steps use it (cheap to recompute: one scan and a
-        broadcast semi-join, so it is not written)."""
+        semi-join, so it is not written)."""
         return self.enc
 
     @cached_property
@@ -75,7 +77,7 @@ class Chain:
 
     @cached_property
     def texts(self) -> DataFrame:
-        return notes.filter_note_text(self.fx.note_text, self.note_keys, materialize_keys=False)
+        return notes.filter_note_text(self.fx.note_text, self.note_keys)
 
     @cached_property
     def notes(self) -> DataFrame:
@@ -83,11 +85,15 @@ class Chain:
 
     @cached_property
     def text_findings(self) -> DataFrame:
-        return staging.findings_table(self.texts, ["deid_note_key"])
+        return staging.findings_table(self.texts, TEXT_ROW)
 
 
 CHUNK_ORDER = ["deid_note_id", "deid_note_key", "note_type", "patientdurablekey", "patientepicid", "encounterkey",
                "encounter_patientdurablekey", "datekeyvalue", "enddatekeyvalue"]
+# A text row is known by its key and its number: a key may have several text rows.
+TEXT_ROW = ["deid_note_key", "note_no"]
+# Small enough that the fixtures give several partitions and chunks.
+PER_PARTITION, CHUNK_ROWS = 100, 1000
 NOTE_OUT = ["deid_note_key", "deid_note_id", "patientdurablekey", "note_type", "stage", "system"]
 
 
@@ -114,11 +120,12 @@ def q_encounter_cohort(c: Chain) -> DataFrame:
 
 
 def q_partition_assign(c: Chain) -> DataFrame:
-    return cohort.partition_assign(c.enc, c.cohort_keys)
+    # all encounters: those of patients outside the list go to the unknown partition
+    return cohort.partition_assign(c.fx.encounterfact.select(*cohort.ENCOUNTER_COLUMNS), c.cohort_keys, per_partition=PER_PARTITION)
 
 
 def q_sample_keys(c: Chain) -> DataFrame:
-    return c.enc.select("patientdurablekey", "encounterkey").orderBy("patientdurablekey", "encounterkey").limit(3)
+    return notes.sample_keys(c.enc, ["patientdurablekey", "encounterkey"])
 
 
 def q_scan_pruned_metadata(c: Chain) -> DataFrame:
@@ -131,7 +138,7 @@ def q_metadata_encounter_join(c: Chain) -> DataFrame:
 
 def q_chunk_assign(c: Chain) -> DataFrame:
     # every column: the note id alone repeats, and identical rows are interchangeable
-    return notes.chunk_assign(c.meta_stage, CHUNK_ORDER)
+    return notes.chunk_assign(c.meta_stage, CHUNK_ORDER, CHUNK_ROWS)
 
 
 def q_distinct_note_keys(c: Chain) -> DataFrame:
@@ -176,42 +183,58 @@ def q_stage_counts(c: Chain) -> DataFrame:
 
 
 def _rule_query(name: str) -> Callable[[Chain], DataFrame]:
-    return lambda c: staging.rule_findings(c.fx.note_text, name, ["deid_note_key"])
+    return lambda c: staging.rule_findings(c.fx.note_text, name, TEXT_ROW)
 
 
 def q_findings_basic(c: Chain) -> DataFrame:
-    return staging.basic_findings(c.fx.note_text, ["deid_note_key"])
+    return staging.basic_findings(c.fx.note_text, TEXT_ROW)
 
 
 def q_findings_override(c: Chain) -> DataFrame:
-    return staging.override_findings(c.fx.note_text, OVERRIDES, ["deid_note_key"])
+    return staging.override_findings(c.fx.note_text, OVERRIDES, TEXT_ROW)
 
 
 def q_findings_all(c: Chain) -> DataFrame:
-    return staging.findings_table(c.fx.note_text, ["deid_note_key"])
+    return staging.findings_table(c.fx.note_text, TEXT_ROW)
 
 
 def q_findings_exploded(c: Chain) -> DataFrame:
     return staging.patient_findings(c.texts, c.meta_stage)
 
 
+def q_findings_exploded_all(c: Chain) -> DataFrame:
+    return staging.patient_findings(c.texts, c.meta_stage, rules=RULES)
+
+
+def q_model_plus_regex(c: Chain) -> DataFrame:
+    out = staging.model_and_basic_findings(c.texts.select(*TEXT_ROW, "note_text"), TEXT_ROW, keyword_model_factory(FINDINGS_TEMPLATE))
+    return out.drop("error")
+
+
+def _first(c: Chain, keep_all: bool = False) -> DataFrame:
+    return staging.first_findings(c.texts.select(*TEXT_ROW, "note_text"), keep_all=keep_all).drop("note_text")
+
+
 def q_notes_first_finding(c: Chain) -> DataFrame:
-    first = staging.first_findings(c.texts.select("deid_note_key", "note_text"))
-    return first.drop("note_text").join(c.meta_stage, "deid_note_key").select(*NOTE_OUT)
+    return _first(c).join(c.meta_stage, "deid_note_key").select(*NOTE_OUT)
 
 
 def q_finding_summary(c: Chain) -> DataFrame:
-    first = staging.first_findings(c.texts.select("deid_note_key", "note_text"), keep_all=True)
-    return staging.finding_summary(first.drop("note_text"), c.notes)
+    return staging.finding_summary(_first(c, keep_all=True), c.meta_stage)
+
+
+def _pairs(c: Chain) -> tuple[DataFrame, DataFrame]:
+    stored = batching.stored_texts(c.texts)
+    return stored, batching.note_pairs(stored, c.meta_stage)
 
 
 def q_patient_gate(c: Chain) -> DataFrame:
-    return batching.patient_budget(c.notes)
+    return batching.patient_budget(_pairs(c)[1])
 
 
 def q_patient_concat(c: Chain) -> DataFrame:
-    budget = batching.patient_budget(c.notes)
-    return batching.patient_concat(c.notes, budget.where("fits"), order_cols=["note_no", "deid_note_id"])
+    stored, pairs = _pairs(c)
+    return batching.patient_concat(stored, pairs, batching.patient_budget(pairs), order_cols=["note_no", "deid_note_id"])
 
 
 def q_render_prompt(c: Chain) -> DataFrame:
@@ -225,19 +248,39 @@ def q_parse_response(c: Chain) -> DataFrame:
     return r.select("event_id", parse_response(F.col("response")).alias("p")).select("event_id", "p.stage", "p.system")
 
 
+def q_parse_conversations(c: Chain) -> DataFrame:
+    p = parse_response(F.col("text"))
+    return c.fx.conversations.select("conv_id", "turn", p.alias("p")).select("conv_id", "turn", "p.stage", "p.system")
+
+
+MODE_OUT = [*NOTE_OUT, "request_mode"]
+
+
 def q_llm_per_note(c: Chain) -> DataFrame:
-    out = batching.extract_per_note(c.notes, keyword_model_factory(), model_name="keyword")
-    return out.select(*NOTE_OUT)
+    return batching.extract_per_note(c.texts, c.meta_stage, keyword_model_factory()).select(*MODE_OUT)
 
 
 def q_llm_patient_mode(c: Chain) -> DataFrame:
-    out = batching.extract_by_patient(c.notes, keyword_model_factory(),
-                                      order_cols=["note_no", "deid_note_id"], model_name="keyword")
-    return out.select(*NOTE_OUT)
+    out = batching.extract_by_patient(c.texts, c.meta_stage, keyword_model_factory(), order_cols=["note_no", "deid_note_id"])
+    return out.select(*MODE_OUT)
+
+
+def q_llm_token_gate(c: Chain) -> DataFrame:
+    out = batching.extract_by_patient(c.texts, c.meta_stage, keyword_model_factory(), order_cols=["note_no", "deid_note_id"],
+                                      token_counter=word_counter_factory(), max_context=TOKEN_LIMIT)
+    return out.select(*MODE_OUT)
+
+
+def q_llm_two_models(c: Chain) -> DataFrame:
+    """Two models in one session: each note's answer of both, and the second one's errors."""
+    asked = notes.nonblank_notes(c.texts).select(*TEXT_ROW, render(F.col("note_text"), CHAT_TEMPLATE).alias("prompt"))
+    one = infer(asked, TEXT_ROW, "prompt", keyword_model_factory())
+    two = infer(asked, TEXT_ROW, "prompt", failing_model_factory("IIB carcinoma"))
+    return one.drop("error").withColumnRenamed("response", "first").join(two.withColumnRenamed("response", "second"), TEXT_ROW)
 
 
 def q_staging_timeline(c: Chain) -> DataFrame:
-    return timeline.staging_timeline(c.text_findings, c.meta_stage, c.enc_stage)
+    return timeline.staging_timeline(c.text_findings, c.meta_stage)
 
 
 # ---- sources and sinks: write fixtures to the shared scratch folder, read them back -------------
@@ -263,16 +306,53 @@ def _write_corrupt(spark: SparkSession, path: str) -> None:
     out.close()
 
 
-def q_scan_tolerant(c: Chain) -> DataFrame:
+def q_scan_glob(c: Chain) -> DataFrame:
+    path = scratch_dir(c.spark, "encounters-named")
+    c.fx.encounterfact.write.option("compression", "snappy").parquet(path)
+    c.fx.encounterfact.write.option("compression", "gzip").mode("append").parquet(path)
+    return readers.read_glob_parquet(c.spark, path, "*.snappy.parquet", ["patientdurablekey", "encounterkey", "datekeyvalue"])
+
+
+def q_scan_required(c: Chain) -> DataFrame:
+    path = scratch_dir(c.spark, "dim-files")
+    dim = c.fx.patdurabledim.withColumn("patientdurablekey", F.when(F.col("row_no") % 10 > 0, F.col("patientdurablekey")))
+    dim.write.parquet(path)
+    dim.drop("patientdurablekey").write.mode("append").parquet(path)  # files without the column
+    return readers.read_with_required(c.spark, path, "*.parquet", ["patientepicid", "patientdurablekey"])
+
+
+def q_input_guard(c: Chain) -> DataFrame:
+    path = scratch_dir(c.spark, "guarded")
+    c.fx.encounterfact.write.parquet(path)
+    found = {}
+    for glob in ("*.parquet", "*.orc"):
+        try:
+            readers.require_input(c.spark, path, glob)
+            found[glob] = True
+        except FileNotFoundError:
+            found[glob] = False
+    counts = c.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.select(F.lit(found["*.parquet"]).alias("parquet_found"), F.lit(found["*.orc"]).alias("orc_found"), "row_count")
+
+
+def _tolerant(c: Chain) -> str:
     path = scratch_dir(c.spark, "texts-tolerant")
-    c.fx.note_text_files.repartition("file_no").write.mode("overwrite").parquet(path)
+    c.fx.note_text_files.write.mode("overwrite").parquet(path)
     _write_corrupt(c.spark, f"{path}/part-corrupt.parquet")
-    return readers.read_tolerant(c.spark, path)
+    return path
+
+
+def q_scan_tolerant(c: Chain) -> DataFrame:
+    return readers.read_tolerant(c.spark, _tolerant(c))
+
+
+def q_skipped_files(c: Chain) -> DataFrame:
+    return readers.skipped_files(c.spark, _tolerant(c))
 
 
 def q_sink_partitioned(c: Chain) -> DataFrame:
     path = scratch_dir(c.spark, "encounters-partitioned")
-    part = cohort.partition_assign(c.enc_stage, c.cohort_keys)
+    part = q_partition_assign(c)
     sinks.write_partitioned(part, path)
     schema = T.StructType([f for f in part.schema.fields])
     return sinks.read_partitioned(c.spark, path, schema).select(*part.columns)
@@ -280,44 +360,85 @@ def q_sink_partitioned(c: Chain) -> DataFrame:
 
 def q_sink_chunked(c: Chain) -> DataFrame:
     path = scratch_dir(c.spark, "metadata-chunks")
-    sinks.write_chunked(c.meta_enc, path)
-    return c.spark.read.parquet(path)
+    sinks.write_chunked(c.meta_enc, path, CHUNK_ROWS)
+    rows = c.spark.read.parquet(path)
+    in_file = Window.partitionBy("_file")
+    sized = rows.withColumn("_file", F.col("_metadata.file_path")).withColumn("within_limit", F.count(F.lit(1)).over(in_file) <= CHUNK_ROWS)
+    return sized.drop("_file")
+
+
+def q_sink_twin(c: Chain) -> DataFrame:
+    path = scratch_dir(c.spark, "twin")
+    out = c.enc.select("patientdurablekey", "encounterkey")
+    sinks.write_results(out, f"{path}.parquet")
+    twins = [c.spark.read.parquet(f"{path}.parquet").withColumn("fmt", F.lit("parquet")),
+             c.spark.read.option("header", True).csv(f"{path}.csv").withColumn("fmt", F.lit("csv"))]
+    return twins[0].unionByName(twins[1])
+
+
+def q_sink_csv(c: Chain) -> DataFrame:
+    path = scratch_dir(c.spark, "mapped-csv")
+    sinks.write_csv(c.mapped, path)
+    return c.spark.read.option("header", True).csv(path)
+
+
+def q_resume_stages(c: Chain) -> DataFrame:
+    root = scratch_dir(c.spark, "stages")
+    stages = {"encounters": lambda: c.enc, "metadata": lambda: notes.join_metadata_encounters(
+        c.fx.note_metadata, c.spark.read.parquet(f"{root}/encounters"))}
+    ran = {name: [sinks.run_stage(c.spark, f"{root}/{name}", build) for _ in range(2)] for name, build in stages.items()}
+    parts = [c.spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(name).alias("step"), F.lit(once).alias("ran_first"), F.lit(again).alias("ran_again"), "row_count")
+        for name, (once, again) in ran.items()]
+    return parts[0].unionByName(parts[1])
 
 
 def q_combine_results(c: Chain) -> DataFrame:
     root = scratch_dir(c.spark, "staging-results")
     rows = notes.with_file_batch(c.fx.note_text_files)
-    found = staging.findings_table(rows, ["deid_note_key", "file_no", "batch"])
+    found = staging.findings_table(rows, [*TEXT_ROW, "file_no", "batch"])
     found = found.withColumn("result_batch", F.col("batch"))
     found.write.mode("overwrite").partitionBy("batch").parquet(root)
     return sinks.combine_results(c.spark, root, "batch=*")
 
 
-def q_stream_findings(c: Chain) -> DataFrame:
-    spark = c.spark
-    src = scratch_dir(spark, "stream-src")
-    files = c.fx.note_text_files
-    files.repartition("file_no").write.mode("overwrite").partitionBy("file_no").parquet(src)
-    _order_files_by_name(src)
+def _files(c: Chain, df: DataFrame, name: str, order: list[str]) -> str:
+    """``df`` as one file per ``file_no``, named in its order, rows in ``order``, without the
+    made-up numbers: the files are what is tested, so each is the work of one task."""
+    path = scratch_dir(c.spark, name)
+    named = df.withColumn("f", F.format_string("%03d", F.col("file_no").cast("int"))).drop("file_no")
+    named.repartition("f").sortWithinPartitions("f", *order).drop("row_no").write.partitionBy("f").parquet(path)
+    return path
+
+
+def q_id_mapping_files(c: Chain) -> DataFrame:
+    path = _files(c, c.fx.patdurabledim, "dim-ordered", ["row_no"])
+    dim = readers.read_with_file_order(c.spark, path).select("patientepicid", "patientdurablekey", "file_no", "row_no")
+    return cohort.map_ids(c.fx.patient_ids, dim).select("person_source_value", "patientdurablekey")
+
+
+def q_first_batch_files(c: Chain) -> DataFrame:
+    path = _files(c, c.fx.note_text_files, "texts-ordered", ["note_no"])
+    rows = readers.read_with_file_order(c.spark, path)
+    out = notes.first_batch_notes(rows, c.meta_stage)
+    return out.select(*TEXT_ROW, "note_text", "batch", "deid_note_id", "encounterkey")
+
+
+def _streamed(c: Chain, what: str) -> DataFrame:
+    src = _files(c, c.fx.note_text_files, "stream-src", ["note_no"])
     schema = T.StructType([T.StructField("deid_note_key", T.StringType()), T.StructField("note_no", T.LongType()),
-                           T.StructField("note_text", T.StringType()), T.StructField("file_no", T.LongType())])
-    sink = scratch_dir(spark, "stream-sink")
-    ckpt = scratch_dir(spark, "stream-ckpt")
-    incremental.stream_first_batch(spark, src, schema, _all_note_keys(c), sink, ckpt)
-    streamed = incremental.read_sink(spark, sink)
-    return staging.findings_table(streamed, ["deid_note_key", "file_no", "batch_id"])
-
-
-def _order_files_by_name(root: str) -> None:
-    """Give local files modification times in path order (the file source's order)."""
-    if "://" in root and not root.startswith("file:"):
-        return
-    base = root[len("file:"):] if root.startswith("file:") else root
-    paths = []
-    for d, _, fs in os.walk(base):
-        paths += [os.path.join(d, f) for f in fs if f.endswith(".parquet")]
-    for i, p in enumerate(sorted(paths)):
-        os.utime(p, (1_600_000_000 + i * 10, 1_600_000_000 + i * 10))
+                           T.StructField("note_text", T.StringType())])
+    out = scratch_dir(c.spark, "stream-out")
+    incremental.stream_first_batch(c.spark, src, schema, c.note_keys, out, scratch_dir(c.spark, "stream-ckpt"), metadata=c.meta_stage)
+    return incremental.read_output(c.spark, out, what)
+
+
+def q_stream_findings(c: Chain) -> DataFrame:
+    return _streamed(c, incremental.FINDINGS)
+
+
+def q_stream_notes(c: Chain) -> DataFrame:
+    return _streamed(c, incremental.NOTES).select(*TEXT_ROW, "note_text", "batch", "deid_note_id", "encounterkey")
 
 
 SPARK: dict[str, Callable[[Chain], DataFrame]] = {
@@ -351,29 +472,45 @@ SPARK: dict[str, Callable[[Chain], DataFrame]] = {
     "findings_basic": q_findings_basic,
     "findings_override": q_findings_override,
     "findings_exploded": q_findings_exploded,
+    "findings_exploded_all": q_findings_exploded_all,
+    "model_plus_regex": q_model_plus_regex,
     "notes_first_finding": q_notes_first_finding,
     "finding_summary": q_finding_summary,
     "patient_gate": q_patient_gate,
     "patient_concat": q_patient_concat,
     "render_prompt": q_render_prompt,
     "parse_response": q_parse_response,
+    "parse_conversations": q_parse_conversations,
     "llm_per_note": q_llm_per_note,
     "llm_patient_mode": q_llm_patient_mode,
+    "llm_token_gate": q_llm_token_gate,
+    "llm_two_models": q_llm_two_models,
     "staging_timeline": q_staging_timeline,
     "scan_csv_ids": q_scan_csv_ids,
     "scan_recursive": q_scan_recursive,
     "scan_tolerant": q_scan_tolerant,
+    "scan_glob": q_scan_glob,
+    "scan_required": q_scan_required,
+    "input_guard": q_input_guard,
+    "skipped_files": q_skipped_files,
     "sink_partitioned": q_sink_partitioned,
     "sink_chunked": q_sink_chunked,
+    "sink_twin": q_sink_twin,
+    "sink_csv": q_sink_csv,
+    "resume_stages": q_resume_stages,
     "combine_results": q_combine_results,
+    "id_mapping_files": q_id_mapping_files,
+    "first_batch_files": q_first_batch_files,
     "stream_findings": q_stream_findings,
+    "stream_notes": q_stream_notes,
 }
 
 
 def build(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    return SPARK[name](Chain(spark, sf_dir))
+    # each test file is one row group, which one task would read
+    return SPARK[name](Chain(spark, sf_dir, spark.sparkContext.defaultParallelism))
 
 
 # ---- DuckDB side -------------------------------------------------------------------------------
@@ -386,7 +523,8 @@ def _oracles() -> dict[str, str]:
     enc_cols = ", ".join(cohort.ENCOUNTER_COLUMNS)
     meta_cols = ", ".join(notes.METADATA_COLUMNS)
     types = ", ".join(O.q(t) for t in notes.ALLOWED_NOTE_TYPES)
-    texts_findings = ("f", O.findings_sql("texts", ["deid_note_key"]))
+    texts_findings = ("f", O.findings_sql("texts", TEXT_ROW))
+    basic_findings = ("f", O.findings_sql("texts", TEXT_ROW, BASIC_RULES))
     wanted = "select distinct deid_note_key from note_metadata where deid_note_key is not null"
     e3 = (f"with wanted as ({wanted}), rows as (select *, file_no // 3 as batch from note_text_files "
           "where deid_note_key in (select deid_note_key from wanted)) "
@@ -399,10 +537,27 @@ def _oracles() -> dict[str, str]:
               f"floor(cast({total} as double) / 3.5) + 200 <= 8092 as fits from "
               f"(select patientdurablekey, {piece} as piece from notes where patientdurablekey is not null "
               f"and {_nb()}) group by patientdurablekey")
+    count = "len(regexp_extract_all(prompt, '\\S+'))"
     concat = (f"select patientdurablekey, string_agg({piece}, chr(10) || chr(10) order by note_no, deid_note_id) "
               f"as request_text from notes where {_nb()} and patientdurablekey in "
               f"(select patientdurablekey from budget where fits) group by patientdurablekey")
     note_out = ", ".join(NOTE_OUT)
+    exploded = ("select m.patientdurablekey, f.stage, f.system, f.evidence from f "
+                "join meta_enc m on f.deid_note_key = m.deid_note_key")
+    patient_mode = [
+        ("bres", f"select patientdurablekey, {O.stub_stage('request_text')} as stage, "
+                 f"{O.stub_system('request_text')} as system from req"),
+        ("batched", "select n.deid_note_key, n.deid_note_id, n.patientdurablekey, n.note_type, b.stage, b.system "
+                    "from notes n join bres b on n.patientdurablekey = b.patientdurablekey where b.stage is not null"),
+        ("single", f"select deid_note_key, deid_note_id, patientdurablekey, note_type, "
+                   f"{O.stub_stage('note_text')} as stage, {O.stub_system('note_text')} as system from notes "
+                   f"where {_nb()} and patientdurablekey in (select patientdurablekey from budget where not fits)")]
+    both_modes = ("select *, 'patient' as request_mode from batched "
+                  "union all select *, 'note' from single where stage is not null")
+    won = ("select deid_note_key, note_no, note_text, batch from (select *, file_no // 3 as batch, "
+           "min(file_no // 3) over (partition by deid_note_key) as mb from note_text_files "
+           "where deid_note_key in (select deid_note_key from meta_enc)) where batch = mb")
+    won_notes = "select won.*, m.deid_note_id, m.encounterkey from won join meta_enc m using (deid_note_key)"
     stage_r, system_r = O.parse_sql("response")
     out = {
         "encounter_projection": fx(f"select {enc_cols} from encounterfact"),
@@ -417,17 +572,17 @@ def _oracles() -> dict[str, str]:
             "not exists (select 1 from dim_cut d where d.patientepicid = p.person_source_value)")),
         "encounter_cohort": O.chain("enc", body="select * from enc"),
         "partition_assign": O.chain("enc", [("pos", (
-            "select patientdurablekey, cast((row_number() over (order by patientdurablekey) - 1) // 1000 as varchar) "
+            "select patientdurablekey, cast((row_number() over (order by patientdurablekey) - 1) // 100 as varchar) "
             "as partition_key from cohort"))], body=(
-            "select enc.*, coalesce(pos.partition_key, 'unknown') as partition_key from enc "
-            "left join pos on enc.patientdurablekey = pos.patientdurablekey")),
+            f"select {', '.join('e.' + x for x in cohort.ENCOUNTER_COLUMNS)}, coalesce(pos.partition_key, 'unknown') as partition_key "
+            "from encounterfact e left join pos on e.patientdurablekey = pos.patientdurablekey")),
         "sample_keys": O.chain("enc", body=(
             "select patientdurablekey, encounterkey from enc order by patientdurablekey, encounterkey limit 3")),
         "scan_pruned_metadata": fx(f"select {meta_cols} from note_metadata"),
         "metadata_encounter_join": O.chain("meta_enc", body="select * from meta_enc"),
         "chunk_assign": O.chain("meta_enc", body=(
             "select *, cast((row_number() over (order by " + ", ".join(f"{c} nulls first" for c in CHUNK_ORDER) +
-            ") - 1) // 100000 + 1 as bigint) as chunk_no "
+            ") - 1) // 1000 + 1 as bigint) as chunk_no "
             "from meta_enc")),
         "distinct_note_keys": O.chain("note_keys", body="select * from note_keys"),
         "note_text_semi": O.chain("texts", body="select * from texts"),
@@ -451,64 +606,87 @@ def _oracles() -> dict[str, str]:
             "union all select 'encounters_matched', count(*) from enc "
             "union all select 'metadata_merged', count(*) from meta_enc "
             "union all select 'notes_joined', count(*) from notes")),
-        "findings_all": fx(O.findings_sql("note_text", ["deid_note_key"])),
-        "findings_basic": fx(O.findings_sql("note_text", ["deid_note_key"], BASIC_RULES)),
-        "findings_override": fx(O.findings_sql("note_text", ["deid_note_key"], rule_set(OVERRIDES))),
-        "findings_exploded": O.chain("meta_enc", [("note_keys", O.CHAIN["note_keys"]), ("texts", O.CHAIN["texts"]),
-                                                  texts_findings], body=(
-            "select m.patientdurablekey, f.stage, f.system, f.evidence from f "
-            "join meta_enc m on f.deid_note_key = m.deid_note_key")),
+        "findings_all": fx(O.findings_sql("note_text", TEXT_ROW)),
+        "findings_basic": fx(O.findings_sql("note_text", TEXT_ROW, BASIC_RULES)),
+        "findings_override": fx(O.findings_sql("note_text", TEXT_ROW, rule_set(OVERRIDES))),
+        "findings_exploded": O.chain("texts", [basic_findings], body=exploded),
+        "findings_exploded_all": O.chain("texts", [texts_findings], body=exploded),
+        "model_plus_regex": O.chain("texts", [basic_findings, ("m", (
+            f"select deid_note_key, note_no, {O.stub_stage('note_text')} as stage, {O.stub_system('note_text')} as system from texts "
+            f"where {_nb()}"))], body=(
+            "select deid_note_key, note_no, 0 as finding_no, 'model' as source, stage, system, "
+            "case system when 'TNM' then 'TNM: ' else 'Stage: ' end || stage as evidence from m where stage is not null "
+            "union all select f.deid_note_key, f.note_no, f.finding_no + case when m.stage is not null then 1 else 0 end, 'regex', "
+            "f.stage, f.system, f.evidence from f left join m using (deid_note_key, note_no)")),
         "notes_first_finding": O.chain("texts", [texts_findings], body=(
             "select m.deid_note_key, m.deid_note_id, m.patientdurablekey, m.note_type, f.stage, f.system from f "
             "join meta_enc m on f.deid_note_key = m.deid_note_key where f.finding_no = 0")),
-        "finding_summary": O.chain("notes", [texts_findings, ("ff", (
-            "select n.deid_note_id, n.patientdurablekey from notes n join f on n.deid_note_key = f.deid_note_key "
-            "where f.finding_no = 0"))], body=(
-            "select (select count(*) from ff) as notes_with_staging, "
-            "(select count(distinct patientdurablekey) from ff) as patients_with_staging, "
-            "(select count(distinct patientdurablekey) from notes) as unique_patients")),
+        # by rows of notes, each asked whether its text row has any finding
+        "finding_summary": O.chain("notes", [texts_findings, ("told", (
+            "select patientdurablekey, exists (select 1 from f where f.note_no = n.note_no) as staged from notes n"))], body=(
+            "select count(*) filter (where staged) as notes_with_staging, "
+            "count(distinct patientdurablekey) filter (where staged) as patients_with_staging, "
+            "count(distinct patientdurablekey) as unique_patients from told")),
         "patient_gate": O.chain("notes", body=budget),
         "patient_concat": O.chain("notes", [("budget", budget)], body=concat),
         "render_prompt": fx(
             f"select deid_note_key, {O.template_sql(CHAT_TEMPLATE, 'note_text')} as prompt, "
             f"{O.template_sql(FINDINGS_TEMPLATE, 'note_text')} as findings_prompt from note_text where {_nb()}"),
         "parse_response": fx(f"select event_id, {stage_r} as stage, {system_r} as system from llm_responses"),
+        "parse_conversations": "select conv_id, turn, {} as stage, {} as system from conversations".format(*O.parse_sql("text")),
         "llm_per_note": O.chain("notes", body=(
-            f"select {note_out} from (select *, {O.stub_stage('note_text')} as stage, "
+            f"select {note_out}, 'note' as request_mode from (select *, {O.stub_stage('note_text')} as stage, "
             f"{O.stub_system('note_text')} as system from notes where {_nb()}) where stage is not null")),
-        "llm_patient_mode": O.chain("notes", [
-            ("budget", budget), ("req", concat.replace("from notes", "from notes", 1)),
-            ("bres", f"select patientdurablekey, {O.stub_stage('request_text')} as stage, "
-                     f"{O.stub_system('request_text')} as system from req"),
-            ("batched", "select n.deid_note_key, n.deid_note_id, n.patientdurablekey, n.note_type, b.stage, b.system "
-                        "from notes n join bres b on n.patientdurablekey = b.patientdurablekey where b.stage is not null"),
-            ("single", f"select deid_note_key, deid_note_id, patientdurablekey, note_type, "
-                       f"{O.stub_stage('note_text')} as stage, {O.stub_system('note_text')} as system from notes "
-                       f"where {_nb()} and patientdurablekey in (select patientdurablekey from budget where not fits)")],
-            body="select * from batched union all select * from single where stage is not null"),
+        "llm_patient_mode": O.chain("notes", [("budget", budget), ("req", concat), *patient_mode], body=both_modes),
+        "llm_token_gate": O.chain("notes", [
+            ("estimate", budget.replace("<= 8092", f"<= {TOKEN_LIMIT - 100}")),
+            ("ask", concat.replace("from budget", "from estimate")),
+            ("exact", f"select patientdurablekey, {count} < {TOKEN_LIMIT - 100} as ok from (select patientdurablekey, "
+                      f"{O.template_sql(CHAT_TEMPLATE, 'request_text')} as prompt from ask)"),
+            ("budget", "select e.patientdurablekey, coalesce(x.ok, false) as fits from estimate e left join exact x using (patientdurablekey)"),
+            ("req", "select * from ask where patientdurablekey in (select patientdurablekey from budget where fits)"),
+            *patient_mode], body=both_modes),
+        "llm_two_models": O.chain("texts", body=(
+            f"select deid_note_key, note_no, case {O.stub_system('note_text')} when 'TNM' then 'TNM: ' || {O.stub_stage('note_text')} "
+            f"when 'General' then 'Stage: ' || {O.stub_stage('note_text')} else 'NA' end as first, "
+            "case when contains(note_text, 'IIB carcinoma') then null else 'Stage: X' end as second, "
+            "case when contains(note_text, 'IIB carcinoma') then 'ValueError: IIB carcinoma' end as error "
+            f"from texts where {_nb()}")),
         "staging_timeline": O.chain("texts", [texts_findings, ("rows", (
-            "select m.patientdurablekey, m.datekeyvalue, m.deid_note_id, m.deid_note_key, f.finding_no, f.stage, "
+            "select m.patientdurablekey, m.datekeyvalue, m.deid_note_id, m.deid_note_key, f.note_no, f.finding_no, f.stage, "
             "f.system from f join meta_enc m on f.deid_note_key = m.deid_note_key"))], body=(
-            "select *, row_number() over w as seq, lag(stage) over w as previous_stage from rows "
-            "window w as (partition by patientdurablekey order by datekeyvalue nulls first, deid_note_id, deid_note_key, finding_no)")),
+            "select *, row_number() over w as seq, lag(stage) over w as previous_stage from rows window w as "
+            "(partition by patientdurablekey order by datekeyvalue nulls first, deid_note_id, deid_note_key, note_no, finding_no)")),
+        "scan_glob": fx("select patientdurablekey, encounterkey, datekeyvalue from encounterfact"),
+        "scan_required": fx("select patientepicid, case when row_no % 10 > 0 then patientdurablekey end as patientdurablekey, "
+                            "file_no, row_no from patdurabledim"),
+        "input_guard": fx("select true as parquet_found, false as orc_found, count(*) as row_count from encounterfact"),
+        "skipped_files": "select 'part-corrupt.parquet' as file_name",
+        "sink_twin": O.chain("enc", body=(
+            "select patientdurablekey, encounterkey, 'parquet' as fmt from enc union all select patientdurablekey, encounterkey, 'csv' from enc")),
+        "sink_csv": O.chain("mapped", body="select person_source_value, patientdurablekey, patientepicid from mapped".replace(", patientepicid", "")),
+        "resume_stages": O.chain("meta_enc", body=(
+            "select 'encounters' as step, true as ran_first, false as ran_again, count(*) as row_count from enc "
+            "union all select 'metadata', true, false, count(*) from meta_enc")),
+        "id_mapping_files": O.chain("mapped", body="select person_source_value, patientdurablekey from mapped"),
+        "first_batch_files": O.chain("meta_enc", [("won", won)], body=won_notes),
+        "stream_notes": O.chain("meta_enc", [("won", won)], body=won_notes),
+        "stream_findings": O.chain("meta_enc", [("won", won), ("f", O.findings_sql("won", [*TEXT_ROW, "batch"]))], body="select * from f"),
         "scan_csv_ids": fx("select person_source_value from patient_ids"),
         "scan_recursive": fx(f"select {enc_cols} from encounterfact"),
         "scan_tolerant": fx("select * from note_text_files"),
-        "sink_chunked": O.chain("meta_enc", body="select * from meta_enc"),
+        "sink_chunked": O.chain("meta_enc", body="select *, true as within_limit from meta_enc"),
         "combine_results": fx(O.findings_sql("(select *, file_no // 3 as batch from note_text_files)",
-                                             ["deid_note_key", "file_no", "batch"]).replace(
-            "select deid_note_key, file_no, batch, cast(row_number()",
-            "select deid_note_key, file_no, batch as result_batch, cast(row_number()", 1)),
-        "stream_findings": fx(O.findings_sql(f"({e3})", ["deid_note_key", "file_no", "batch"]).replace(
-            "select deid_note_key, file_no, batch, cast(row_number()",
-            "select deid_note_key, file_no, batch as batch_id, cast(row_number()", 1)),
+                                             [*TEXT_ROW, "file_no", "batch"]).replace(
+            "select deid_note_key, note_no, file_no, batch, cast(row_number()",
+            "select deid_note_key, note_no, file_no, batch as result_batch, cast(row_number()", 1)),
     }
     out["sink_partitioned"] = out["partition_assign"]
     for rname, key in (("tnm_standard", "find_tnm_standard"), ("tnm_prefixed", "find_tnm_prefixed"),
                        ("tnm_components", "find_tnm_components"), ("stage_standard", "find_stage_standard"),
                        ("stage_ajcc", "find_stage_ajcc"), ("stage_colon", "find_stage_colon"),
                        ("roman_numeral_stage", "find_roman_numeral")):
-        out[key] = fx(O.findings_sql("note_text", ["deid_note_key"], (RULES_BY_NAME[rname],)))
+        out[key] = fx(O.findings_sql("note_text", TEXT_ROW, (RULES_BY_NAME[rname],)))
     return out
 
 

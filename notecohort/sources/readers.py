@@ -3,11 +3,11 @@ file-order columns, and the missing-input guard."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.sizing import bounded_broadcast
-
 
 def _fs_glob(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching a Hadoop glob (metadata listing only, no data read)."""
@@ -57,28 +57,44 @@ def read_tolerant(spark: SparkSession, path: str, glob: str = "*.parquet") -> Da
             .option("mergeSchema", True).option("pathGlobFilter", glob).parquet(path))
 
 
-def read_with_required(spark: SparkSession, path: str, glob: str, required: list[str]) -> DataFrame:
-    """Merged-schema read where rows lacking any required column are dropped (a file
-    without the columns contributes nulls there, so it contributes no rows)."""
-    df = read_glob_parquet(spark, path, glob, merge_schema=True)
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        return df.limit(0).select(*df.columns, *[F.lit(None).cast("string").alias(c) for c in missing])
-    cond = None
-    for c in required:
-        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
-    return df.where(cond)
+def read_with_required(spark: SparkSession, path: str, glob: str, required: list[str], threads: int = 16) -> DataFrame:
+    """The rows of the files that have every required column; other files are skipped.
 
+    The gate is on files, not rows: a row of a good file may hold nulls there.  Schemas are
+    read from the footers, some files at a time.
+    """
+    files = _fs_glob(spark, f"{path.rstrip('/')}/{glob}")
+    with ThreadPoolExecutor(threads) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
+    good = [f for f, schema in zip(files, schemas, strict=True) if set(required) <= set(schema.names)]
+    if good:
+        return spark.read.option("mergeSchema", True).parquet(*good)
+    return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in required))
 
-def with_file_order(df: DataFrame, file_rank_col: str = "file_no", row_col: str = "row_no") -> DataFrame:
-    """Columns that make file order explicit: the rank of the source file by sorted path
-    (0-based) and the row's index inside its file.
 
-    The rank comes from a window over the distinct file paths (one row per file, a
-    bounded table), joined back by broadcast after a size check.
-    """
-    located = df.select("*", F.col("_metadata.file_path").alias("_path"),
-                        F.col("_metadata.row_index").alias(row_col))
-    paths = located.select("_path").distinct()
-    ranks = paths.select("_path", (F.row_number().over(Window.orderBy("_path")) - 1).cast("long").alias(file_rank_col))
-    return located.join(bounded_broadcast(ranks), "_path").drop("_path")
+def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+    """``_path`` of every file below ``path`` that matches; file contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return files.select(F.col("_metadata.file_path").alias("_path"))
+
+
+def file_ranks(spark: SparkSession, path: str, glob: str = "*.parquet", file_rank_col: str = "file_no") -> DataFrame:
+    """``_path`` and its 0-based rank by sorted path; the window sees one row per file."""
+    rank = (F.row_number().over(Window.orderBy("_path")) - 1).cast("long")
+    return list_files(spark, path, glob).select("_path", rank.alias(file_rank_col))
+
+
+def read_with_file_order(spark: SparkSession, path: str, glob: str = "*.parquet", file_rank_col: str = "file_no",
+                         row_col: str = "row_no") -> DataFrame:
+    """Parquet files with columns that make file order explicit: the rank of the source file
+    by sorted path (0-based) and the row's index inside its file."""
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).parquet(path)
+    located = rows.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias(row_col))
+    return located.join(file_ranks(spark, path, glob, file_rank_col), "_path").drop("_path")
+
+
+def skipped_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+    """``file_name`` of the files that ``read_tolerant`` takes no row from (unreadable or empty)."""
+    seen = read_tolerant(spark, path, glob).select(F.col("_metadata.file_path").alias("_path")).distinct()
+    return list_files(spark, path, glob).join(seen, "_path", "left_anti").select(
+        F.element_at(F.split("_path", "/"), -1).alias("file_name"))

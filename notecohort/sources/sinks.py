@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +15,8 @@ FINDINGS_COLUMNS = ("patientdurablekey", "stage", "system", "evidence")
 
 def write_partitioned(df: DataFrame, path: str, col: str = "partition_key", mode: str = "overwrite") -> None:
     """Hive-style ``col=value/`` folders.  Rows are clustered by the partition column
-    first so each task writes few folders."""
-    df.repartition(col).write.mode(mode).partitionBy(col).parquet(path)
+    first so each task writes few folders; the rebalance hint lets AQE split a hot value."""
+    df.hint("rebalance", col).write.mode(mode).partitionBy(col).parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -36,16 +35,11 @@ def write_chunked(df: DataFrame, path: str, chunk_rows: int = 100_000, mode: str
 def write_results(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A10: the same rows to ``{path}.parquet/`` and ``{path}.csv/`` (header, no index).
 
-    The frame is persisted (memory and disk, recomputable if an executor is lost) so the
-    second writer does not recompute it.
+    The CSV is made from the parquet just written, so nothing is computed twice.
     """
-    base = path[: -len(".parquet")] if path.endswith(".parquet") else path
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cached.write.mode(mode).parquet(f"{base}.parquet")
-        cached.write.mode(mode).option("header", True).csv(f"{base}.csv")
-    finally:
-        cached.unpersist()
+    base = path.removesuffix(".parquet")
+    df.write.mode(mode).parquet(f"{base}.parquet")
+    df.sparkSession.read.schema(df.schema).parquet(f"{base}.parquet").write.mode(mode).option("header", True).csv(f"{base}.csv")
 
 
 def write_findings(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -1,68 +1,102 @@
 """H1: file-batch incremental note extraction.
 
 The reference walks the note-text files three at a time, keeps rows whose key is still
-wanted, and drops a key from the search once a batch has found it.  Here that is a
-Structured Streaming query over the file source:
-
-* ``maxFilesPerTrigger`` files per micro-batch, ``trigger(availableNow=True)`` so the
-  query drains what exists and stops (bounded memory per batch, like the reference);
-* a stream-static left-semi join keeps wanted keys;
-* ``foreachBatch`` removes keys already written by an earlier batch (left-anti against
-  the sink's lower batch ids, partition-pruned), so the first batch wins while all rows
-  of a key inside that batch stay;
-* each batch overwrites its own ``batch_id=`` folder, so a replay after a failure is
-  idempotent, and the checkpoint makes a rerun resume where it stopped.
-
-The file source takes files in modification-time order; batches equal the batch
-operator's sorted-path batches when the two orders agree.
+wanted, joins them with metadata, and drops a key from the search once a batch has found
+it.  Here that is a Structured Streaming query over the file source, a few files per
+micro-batch (``maxFilesPerTrigger``, ``availableNow``):
+
+* a file's batch number is its rank by sorted path, not its time of arrival;
+* a table of ``(key, batch)``, the first batch that holds each key so far, is carried from
+  micro-batch to micro-batch.  It is read once and written once per micro-batch and never
+  has more rows than there are wanted keys;
+* a micro-batch writes the rows of keys for which its files hold the first batch known,
+  their findings, and (given metadata) their notes; a later file of an earlier batch may
+  still win, so readers keep the rows whose batch is the final one;
+* every output is a folder of the micro-batch's number that is overwritten on a replay;
+* the query ends early once every wanted key is found, if files arrive in path order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import threading
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.sizing import bounded_broadcast
+from ..functions.patterns import RULES
+from ..operators.notes import FILES_PER_BATCH
+from ..operators.staging import findings_table
+from ..sources.readers import _fs_glob, file_ranks
+
+TEXTS, FINDINGS, NOTES, KEYS = "texts", "findings", "notes", "keys"
+
 
+def _in_path_order(spark: SparkSession, source_dir: str, glob: str) -> bool:
+    """Whether each file is younger than the one before it in path order (the file source
+    takes the oldest first)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(source_dir)
+    before = F.lag("modificationTime").over(Window.orderBy("path"))  # one row per file
+    return not files.select("path", "modificationTime").withColumn("_before", before).where(
+        "_before >= modificationTime").limit(1).count()
 
-def _already_written(spark: SparkSession, sink: str, batch_id: int, key: str) -> DataFrame | None:
-    try:
-        written = spark.read.parquet(sink)
-    except Exception:  # nothing written yet
-        return None
-    if "batch_id" not in written.columns:
-        return None
-    return written.where(F.col("batch_id") < batch_id).select(key).distinct()
+
+def _key_table(spark: SparkSession, out_dir: str) -> str | None:
+    """The newest table of first batches, if any was finished."""
+    done = [p.rsplit("/", 2)[1] for p in _fs_glob(spark, f"{out_dir}/{KEYS}/*/_SUCCESS")]
+    return f"{out_dir}/{KEYS}/{max(done, key=int)}" if done else None
 
 
 def stream_first_batch(spark: SparkSession, source_dir: str, schema: StructType, wanted_keys: DataFrame,
-                       sink_dir: str, checkpoint_dir: str, key: str = "deid_note_key",
-                       files_per_trigger: int = 3, glob: str = "*.parquet") -> None:
-    """Run the incremental extraction to completion (availableNow) and return.
-
-    The sink holds the first-batch-wins text rows partitioned by ``batch_id``.
-    """
-    keys = bounded_broadcast(wanted_keys.select(key).where(F.col(key).isNotNull()).distinct())
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-              .option("pathGlobFilter", glob).parquet(source_dir))
-    wanted = stream.join(keys, key, "left_semi")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        earlier = _already_written(batch.sparkSession, sink_dir, batch_id, key)
-        if earlier is not None:
-            rows = rows.join(earlier, key, "left_anti")
-        rows.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
-
-    query = (wanted.writeStream.foreachBatch(write_batch)
-             .option("checkpointLocation", checkpoint_dir)
+                       out_dir: str, checkpoint_dir: str, key: str = "deid_note_key", text_col: str = "note_text",
+                       files_per_batch: int = FILES_PER_BATCH, glob: str = "*.parquet", metadata: DataFrame | None = None,
+                       rules=RULES) -> int:
+    """Run the incremental extraction over the files present; returns the micro-batches run."""
+    out_dir = out_dir.rstrip("/")
+    wanted = wanted_keys.select(key).where(F.col(key).isNotNull()).distinct()
+    ranks = file_ranks(spark, source_dir, glob, "_rank")
+    may_end, n_wanted = _in_path_order(spark, source_dir, glob), wanted.count()
+    all_found, run, last = threading.Event(), [], _key_table(spark, out_dir)
+    if may_end and last is not None and spark.read.parquet(last).count() == n_wanted:
+        return 0  # an earlier run found them all
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+              .option("recursiveFileLookup", True).option("pathGlobFilter", glob).parquet(source_dir))
+    located = stream.select("*", F.col("_metadata.file_path").alias("_path")).join(ranks, "_path", "left")
+    # a file that came after the listing belongs behind all others
+    batch_no = F.floor(F.coalesce("_rank", F.lit((1 << 62) - 1)) / files_per_batch).cast("long")
+    rows = located.withColumn("batch", batch_no).drop("_path", "_rank").join(wanted, key, "left_semi")
+
+    def write_batch(batch: DataFrame, number: int) -> None:
+        here = batch.sparkSession
+        first = batch.groupBy(key).agg(F.min("batch").alias("batch"))
+        if number:
+            first = first.unionByName(here.read.parquet(f"{out_dir}/{KEYS}/{number - 1}")).groupBy(key).agg(F.min("batch").alias("batch"))
+        first.write.mode("overwrite").parquet(f"{out_dir}/{KEYS}/{number}")
+        first = here.read.schema(first.schema).parquet(f"{out_dir}/{KEYS}/{number}")
+        texts = batch.join(first, [key, "batch"])
+        texts.write.mode("overwrite").parquet(f"{out_dir}/{TEXTS}/part={number}")
+        texts = here.read.schema(texts.schema).parquet(f"{out_dir}/{TEXTS}/part={number}")
+        ids = [c for c in texts.columns if c != text_col]
+        findings_table(texts, ids, text_col, rules).write.mode("overwrite").parquet(f"{out_dir}/{FINDINGS}/part={number}")
+        if metadata is not None:  # C4 inside the batch
+            texts.join(metadata, key).write.mode("overwrite").parquet(f"{out_dir}/{NOTES}/part={number}")
+        run.append(number)
+        if may_end and first.count() == n_wanted:
+            all_found.set()
+
+    query = (rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
              .trigger(availableNow=True).start())
-    query.awaitTermination()
-    if query.exception() is not None:  # pragma: no cover - surfaced by awaitTermination
-        raise RuntimeError(str(query.exception()))
+    while not query.awaitTermination(1):
+        if all_found.is_set():
+            query.stop()
+    return len(run)
 
 
-def read_sink(spark: SparkSession, sink_dir: str) -> DataFrame:
-    """The streamed rows with their ``batch_id``."""
-    return spark.read.option("basePath", sink_dir).parquet(sink_dir)
+def read_output(spark: SparkSession, out_dir: str, what: str = TEXTS, key: str = "deid_note_key") -> DataFrame:
+    """The rows of an output (texts, findings or notes) that belong to their key's first batch."""
+    out_dir = out_dir.rstrip("/")
+    first = _key_table(spark, out_dir)
+    if first is None:
+        raise FileNotFoundError(f"no finished batch in {out_dir}")
+    rows = spark.read.option("basePath", f"{out_dir}/{what}").parquet(f"{out_dir}/{what}")
+    return rows.drop("part").join(spark.read.parquet(first), [key, "batch"])

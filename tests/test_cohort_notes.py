@@ -1,10 +1,14 @@
 """Cohort and note operators: invariants and brute-force checks on small tables."""
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from notecohort.operators import cohort, notes
 from notecohort.operators.index import with_row_index
-from notecohort.sources.readers import with_file_order
+from notecohort.operators.staging import finding_summary
+from notecohort.operators.timeline import staging_timeline
+from notecohort.sources.readers import read_with_file_order
 
 
 def _ids(spark, values):
@@ -33,7 +37,7 @@ def test_id_mapping_from_files(spark, tmp_dir):
     for i, rows in enumerate([[("5", "A"), ("6", "B")], [("5", "C"), ("7", "D"), ("7", "E")]]):
         spark.createDataFrame(rows, "patientepicid string, patientdurablekey string").coalesce(1) \
             .write.parquet(f"{tmp_dir}/part{i}.snappy.parquet")
-    dim = with_file_order(spark.read.option("recursiveFileLookup", True).parquet(tmp_dir))
+    dim = read_with_file_order(spark, tmp_dir)
     mapped = cohort.map_ids(_ids(spark, ["5", "7"]), dim)
     assert sorted((r.person_source_value, r.patientdurablekey) for r in mapped.collect()) == [("5", "A"), ("7", "E")]
 
@@ -53,7 +57,7 @@ def test_row_index_and_partition_assign(spark):
     got = {r.patientdurablekey: r.partition_key for r in pos}
     assert got["k00000"] == "0" and got["k00999"] == "0" and got["k01000"] == "1" and got["k02499"] == "2"
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("v"))
-    idx = with_row_index(df, ["v"], "pos", num_partitions=7).collect()
+    idx = with_row_index(df, ["v"], "pos").collect()
     assert all(r.v == r.pos for r in idx) and len(idx) == 5000
 
 
@@ -88,7 +92,6 @@ def test_metadata_join_null_keys(spark):
                                 "patientdurablekey string, encounterkey string, datekeyvalue timestamp, "
                                 "enddatekeyvalue timestamp")
     assert notes.join_metadata_encounters(meta, enc).count() == 1
-    assert notes.join_metadata_encounters(meta, enc, null_safe=True).count() == 2
     row = notes.join_metadata_encounters(meta, enc).collect()[0]
     assert (row.patientdurablekey, row.encounter_patientdurablekey) == ("p", "q")
 
@@ -114,3 +117,43 @@ def test_hot_key_holds_a_third_of_rows(spark):
     hot = mapped.where("person_source_value = 'hot'").select("patientdurablekey", "rows_in_file").distinct().collect()
     assert [(r.patientdurablekey, r.rows_in_file) for r in hot] == [("H2997", 1000)]  # file 0, last row
     assert mapped.count() == 3000
+
+
+def test_timeline_over_many_ranges(spark):
+    """A patient that fills several ranges, repeated encounters and null dates and patients."""
+    rows = []
+    for i in range(3000):
+        patient = "hot" if i % 3 else (None if i % 5 == 0 else f"p{i % 40}")
+        rows.append((f"k{i % 700}", patient, i % 11 if i % 13 else None, f"n{i % 900}"))
+    schema = "deid_note_key string, patientdurablekey string, datekeyvalue int, deid_note_id string"
+    metadata = spark.createDataFrame(rows + rows[:200], schema)
+    found = [(f"k{i}", i, n, f"Stage {n}", "General") for i in range(700) for n in range(i % 3)]
+    findings = spark.createDataFrame(found, "deid_note_key string, note_no long, finding_no int, stage string, system string")
+    out = staging_timeline(findings, metadata).collect()
+    low = lambda *x: tuple((v is not None, v) for v in x)  # noqa: E731  nulls first
+    every = sorted(((p, d, n, k, no, fi, s) for k, p, d, n in rows + rows[:200] for k2, no, fi, s, _ in found if k == k2),
+                   key=lambda r: low(r[0], r[1], r[2], r[3]) + r[4:6])
+    want, last, seq = [], object(), 0
+    for i, r in enumerate(every):
+        seq = seq + 1 if r[0] == last else 1
+        want.append((*r, seq, every[i - 1][6] if seq > 1 else None))
+        last = r[0]
+    got = [(r.patientdurablekey, r.datekeyvalue, r.deid_note_id, r.deid_note_key, r.note_no, r.finding_no, r.stage, r.seq, r.previous_stage)
+           for r in out]
+    assert Counter(got) == Counter(want)
+
+
+def test_summary_with_repeated_keys(spark):
+    first = spark.createDataFrame([("k", "Stage I"), ("k", None), ("m", None)], "deid_note_key string, stage string")
+    metadata = spark.createDataFrame([("k", "p"), ("k", "q"), ("m", "r")], "deid_note_key string, patientdurablekey string")
+    assert tuple(finding_summary(first, metadata).first()) == (2, 2, 3)
+
+
+def test_partition_ids_and_chunks_take_several_values(spark):
+    enc = spark.range(1000).select(*[F.concat(F.lit("p"), F.lpad((F.col("id") % 70).cast("string"), 3, "0")).alias("patientdurablekey"),
+                                     F.col("id").cast("string").alias("encounterkey")])
+    keys = enc.where("patientdurablekey < 'p050'").select("patientdurablekey")
+    got = {(r.patientdurablekey, r.partition_key) for r in cohort.partition_assign(enc, keys, per_partition=10).collect()}
+    assert got == {(f"p{i:03d}", str(i // 10) if i < 50 else "unknown") for i in range(70)}
+    sizes = notes.chunk_assign(enc, ["encounterkey"], 300).groupBy("chunk_no").count().collect()
+    assert {(r.chunk_no, r["count"]) for r in sizes} == {(1, 300), (2, 300), (3, 300), (4, 100)}

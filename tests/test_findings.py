@@ -1,6 +1,7 @@
 """Staging findings: golden vectors, edge texts and a differential check against Python re."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,9 +126,43 @@ def test_long_line_is_linear(spark):
     assert n == 80000 + 0  # every numeral token before the stage word on the same line
 
 
-def test_components_without_m_token_is_skipped(spark):
-    """Many T and N candidates and no M token: the guard skips the backtracking scan."""
-    text = "T1 N0 " * 20000
-    df = spark.createDataFrame([(1, text), (2, "seen T2, N1, M0 today")], "i int, note_text string")
-    rows = {r.i: r.stage for r in findings_table(df, ["i"], rules=(RULES[2],)).collect()}
-    assert rows == {2: "T2N1M0"}
+PIECES = ["T1", "t2b", "Tis", "TX", "T1i2", "N0", "n1", "NX", "N3M", "M0", "m1", "MX", "M01", "T1N0M0", ",", ".", " ", "  ",
+          "\n", "\r", "\t", "x", "é", "a1", "-"]
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_components_equal_python_re(spark, seed):
+    rnd = random.Random(seed)
+    texts = ["".join(rnd.choice(PIECES) + (rnd.choice(" ,. \n") if rnd.random() < 0.8 else "") for _ in range(rnd.randint(3, 40)))
+             for _ in range(1500)]
+    texts += ["T1\nN0\nM0 T2\nN1\nM1", "T1 N0 M0 T2 N1\nM1", "T1,N0,\nM0", "T1 N0\nT2 N1 M1", "x T1\n N0 M0\nN1\nM1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, note_text string")
+    rules = (RULES[2],)
+    got = {}
+    for r in findings_table(df, ["i"], rules=rules).collect():
+        got.setdefault(r.i, []).append((r.finding_no, (r.rule, r.stage, r.system, r.evidence, r.start)))
+    want = {i: pyoracle.findings(t, rules) for i, t in enumerate(texts)}
+    assert sum(map(bool, want.values())) > 150
+    for i, text in enumerate(texts):
+        assert [f for _, f in sorted(got.get(i, []))] == want[i], repr(text)
+    first = {r.i: r.stage for r in first_findings(df, rules=rules, keep_all=True).collect()}
+    assert all(first[i] == (f[0][1] if f else None) for i, f in want.items())
+
+
+def test_components_are_linear(spark):
+    """A long line of T and N tokens, with no M, with one elsewhere, and with one at its end."""
+    line = "T1, N1, " * 30_000
+    df = spark.createDataFrame([(1, line), (2, "M0 here\n" + line), (3, line + "M0"), (4, "seen T2, N1, M0 today"), (5, "T1 N0 M0\n" * 20_000)],
+                               "i int, note_text string")
+    begun = time.time()
+    rows = [(r.i, r.stage) for r in findings_table(df, ["i"], rules=(RULES[2],)).collect()]
+    assert time.time() - begun < 60
+    assert [s for i, s in rows if i < 5] == ["T1N1M0", "T2N1M0"] and sum(i == 5 for i, _ in rows) == 20_000
+
+
+def test_evidence_is_linear(spark):
+    text = "T2N1M0 " * 100_000
+    df = spark.createDataFrame([(1, text)], "i int, note_text string")
+    begun = time.time()
+    out = findings_table(df, ["i"], rules=BASIC_RULES).agg(F.count("*"), F.max(F.length("evidence")), F.max("start")).first()
+    assert time.time() - begun < 60 and tuple(out) == (100_000, 106, 7 * 99_999)

@@ -41,8 +41,20 @@ def test_required_columns_gate(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/r")
     pd.DataFrame({"patientepicid": ["1"], "patientdurablekey": ["a"]}).to_parquet(f"{tmp_dir}/r/f1.parquet")
     pd.DataFrame({"patientepicid": ["2"]}).to_parquet(f"{tmp_dir}/r/f2.parquet")
-    df = readers.read_with_required(spark, f"{tmp_dir}/r", "*.parquet", ["patientepicid", "patientdurablekey"])
-    assert [(r.patientepicid, r.patientdurablekey) for r in df.collect()] == [("1", "a")]
+    pd.DataFrame({"patientepicid": ["3", None], "patientdurablekey": [None, "b"]}).to_parquet(f"{tmp_dir}/r/f3.parquet")
+    both = ["patientepicid", "patientdurablekey"]
+    df = readers.read_with_required(spark, f"{tmp_dir}/r", "*.parquet", both)
+    # the gate is on files: rows with nulls stay
+    assert {(r.patientepicid, r.patientdurablekey) for r in df.collect()} == {("1", "a"), ("3", None), (None, "b")}
+    assert readers.read_with_required(spark, f"{tmp_dir}/r", "f2*", both).count() == 0
+    assert [r.file_name for r in readers.skipped_files(spark, f"{tmp_dir}/r").collect()] == []
+
+
+def test_file_order(spark, tmp_dir):
+    for name in ("b", "a", "c"):
+        spark.createDataFrame([(name, i) for i in range(3)], "f string, i int").coalesce(1).write.parquet(f"{tmp_dir}/o/{name}")
+    rows = readers.read_with_file_order(spark, f"{tmp_dir}/o").collect()
+    assert {(r.f, r.i, r.file_no, r.row_no) for r in rows} == {(n, i, k, i) for k, n in enumerate("abc") for i in range(3)}
 
 
 def test_partitioned_chunked_twin_findings_csv(spark, tmp_dir):
@@ -57,7 +69,8 @@ def test_partitioned_chunked_twin_findings_csv(spark, tmp_dir):
         "partition_key=0", "partition_key=1", "partition_key=2"]
     sinks.write_chunked(df.repartition(1), f"{tmp_dir}/c", chunk_rows=100)
     files = [f for f in os.listdir(f"{tmp_dir}/c") if f.endswith(".parquet")]
-    assert len(files) == 3 and spark.read.parquet(f"{tmp_dir}/c").count() == 250
+    assert sorted(spark.read.parquet(f"{tmp_dir}/c/{f}").count() for f in files) == [50, 100, 100]
+    assert spark.read.parquet(f"{tmp_dir}/c").count() == 250
     sinks.write_results(df, f"{tmp_dir}/res.parquet")
     assert spark.read.parquet(f"{tmp_dir}/res.parquet").count() == spark.read.option("header", True).csv(f"{tmp_dir}/res.csv").count()
     sinks.write_findings(df, f"{tmp_dir}/f")

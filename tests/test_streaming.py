@@ -2,29 +2,59 @@
 
 import os
 
+import pytest
 from pyspark.sql import types as T
 
-from notecohort.operators import notes
+from notecohort.operators import notes, staging
+from notecohort.sources import readers
 from notecohort.streaming import incremental
 
+SCHEMA = T.StructType([T.StructField("deid_note_key", T.StringType()), T.StructField("note_no", T.LongType()),
+                       T.StructField("note_text", T.StringType())])
 
-def test_stream_equals_batch(spark, tmp_dir):
-    rows = [(f"k{i % 9}", i, f"text {i}", i % 7) for i in range(60)]
+
+def _files(spark, folder, rows):
     df = spark.createDataFrame(rows, "deid_note_key string, note_no long, note_text string, file_no long")
+    df.repartition("file_no").write.partitionBy("file_no").parquet(folder)
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet"))
+
+
+@pytest.mark.parametrize("order", ["path", "reverse"])
+def test_stream_equals_batch_in_any_order_of_arrival(spark, tmp_dir, order):
     src = f"{tmp_dir}/src"
-    df.repartition("file_no").write.partitionBy("file_no").parquet(src)
-    paths = sorted(os.path.join(d, f) for d, _, fs in os.walk(src) for f in fs if f.endswith(".parquet"))
-    for i, p in enumerate(paths):
+    paths = _files(spark, src, [(f"k{i % 9}", i, f"text {i} stage II", i % 7) for i in range(60)])
+    for i, p in enumerate(paths if order == "path" else paths[::-1]):
         os.utime(p, (1_600_000_000 + 10 * i, 1_600_000_000 + 10 * i))
     keys = spark.createDataFrame([(f"k{i}",) for i in range(7)], "deid_note_key string")
-    schema = T.StructType([T.StructField("deid_note_key", T.StringType()), T.StructField("note_no", T.LongType()),
-                           T.StructField("note_text", T.StringType()), T.StructField("file_no", T.LongType())])
-    incremental.stream_first_batch(spark, src, schema, keys, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt")
-    streamed = incremental.read_sink(spark, f"{tmp_dir}/sink")
-    batch = notes.first_batch_wins(df, keys)
-    s = sorted((r.deid_note_key, r.note_no, r.batch_id) for r in streamed.collect())
-    b = sorted((r.deid_note_key, r.note_no, r.batch) for r in batch.collect())
-    assert s == b and len(s) > 0
+    metadata = spark.createDataFrame([("k1", "n1"), ("k1", "n2"), ("k9", "n3")], "deid_note_key string, deid_note_id string")
+    args = (spark, src, SCHEMA, keys, f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
+    incremental.stream_first_batch(*args, metadata=metadata)
+    streamed = incremental.read_output(spark, f"{tmp_dir}/out")
+    rows = readers.read_with_file_order(spark, src)
+    batch = notes.first_batch_wins(rows, keys)
+    got = sorted((r.deid_note_key, r.note_no, r.batch) for r in streamed.collect())
+    assert got == sorted((r.deid_note_key, r.note_no, r.batch) for r in batch.collect()) and got
+    found = incremental.read_output(spark, f"{tmp_dir}/out", incremental.FINDINGS)
+    want = staging.findings_table(batch, ["deid_note_key", "note_no", "batch"])
+    key = lambda r: (r.deid_note_key, r.note_no, r.batch, r.finding_no, r.stage, r.start)
+    assert sorted(map(key, found.collect())) == sorted(map(key, want.collect()))
+    joined = incremental.read_output(spark, f"{tmp_dir}/out", incremental.NOTES)
+    assert joined.count() == notes.first_batch_notes(rows, metadata.where("deid_note_key = 'k1'")).count()
     # a rerun with the same checkpoint has nothing new to do
-    incremental.stream_first_batch(spark, src, schema, keys, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt")
-    assert incremental.read_sink(spark, f"{tmp_dir}/sink").count() == len(s)
+    assert incremental.stream_first_batch(*args, metadata=metadata) == 0
+    assert streamed.count() == len(got)
+
+
+def test_stream_ends_when_all_keys_are_found(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    paths = _files(spark, src, [("a" if i < 3 else f"z{i}", i, "t", i) for i in range(9)])
+    for i, p in enumerate(paths):
+        os.utime(p, (1_600_000_000 + 10 * i, 1_600_000_000 + 10 * i))
+    keys = spark.createDataFrame([("a",)], "deid_note_key string")
+    ran = incremental.stream_first_batch(spark, src, SCHEMA, keys, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", files_per_batch=1)
+    assert ran < 9 and incremental.read_output(spark, f"{tmp_dir}/out").count() == 1
+
+
+def test_errors_are_not_swallowed(spark, tmp_dir):
+    with pytest.raises(FileNotFoundError):
+        incremental.read_output(spark, f"{tmp_dir}/none")
