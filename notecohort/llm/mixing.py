@@ -79,7 +79,7 @@ def _mixed(docs: DataFrame, keep: list[str], seed: int, weights, max_repeat: int
     plan = plan.select("*", F.coalesce(F.sum("n_docs").over(ahead), F.lit(0)).alias("first_pos"))
     # the last column only splits a range of identical rows over tasks
     placed = with_row_index(rows.withColumn("tie", F.monotonically_increasing_id()),
-                            ["source", "size", "doc_id", "crc", "tie"], "pos")
+                            ["source", "size", "doc_id", "crc", "tie"], "pos", written=True)
     placed = placed.join(plan.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name")))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     k = (F.col("pos") - F.col("first_pos")).cast("double")

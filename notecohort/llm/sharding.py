@@ -79,7 +79,7 @@ def bounded_ring(docs: DataFrame, shards: int = 16, vnodes: int = 128) -> DataFr
     rows = saved(rows.withColumn("at", F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull())), "ring-rows")
     # the last column only splits a range of identical rows over tasks
     placed = with_row_index(rows.withColumn("tie", F.monotonically_increasing_id()),
-                            ["at", "doc_id", "text_crc32", "size", "tie"], "pos")
+                            ["at", "doc_id", "text_crc32", "size", "tie"], "pos", written=True)
     points, owner = ring(shards, vnodes)
     # rows up to and including a point are its arc; those beyond the last point wrap to the first
     span = len(points) + 1
