@@ -50,7 +50,8 @@ class Chain:
 
     @cached_property
     def cohort_keys(self) -> DataFrame:
-        return cohort.cohort_keys(self.mapped)
+        """Written once: several steps use it, and a plan over two encounter tables twice."""
+        return write_table(cohort.cohort_keys(self.mapped), "cohort-keys")
 
     @cached_property
     def enc(self) -> DataFrame:
@@ -73,7 +74,7 @@ class Chain:
 
     @cached_property
     def note_keys(self) -> DataFrame:
-        return notes.distinct_note_keys(self.meta_stage)
+        return write_table(notes.distinct_note_keys(self.meta_stage), "note-keys")
 
     @cached_property
     def texts(self) -> DataFrame:
