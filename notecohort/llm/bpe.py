@@ -34,21 +34,23 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import prepare, shuffle_partitions
 
 LEAF_CHARS = 1 << 14
 #: Longer than any special token or contraction of the vocabulary.
 MARGIN = 32
 FIRST_WINDOW = 8
-#: Of each of the two generations of a worker's cache, and of its cache of pieces.
-CACHED_CHUNKS = 300_000
-BLOCK_BYTES = 1 << 23
+#: Entries of each of the two generations of a worker's caches; one takes about 200 bytes.
+CACHED_CHUNKS = 50_000
+_SLAB = 1 << 14
+BLOCK_BYTES = 1 << 22
 _ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
 #: Chunks that the short way may take: Latin-1 without controls, spaces and "<", which may
 #: begin a special token.  They are in NFC, and lower case is one letter for one.
 _PLAIN = re.compile(rb"(?:[\x21-\x3b\x3d-\x7e]|\xc2[\xa1-\xac\xae-\xbf]|\xc3[\x80-\xbf])+").fullmatch
+_MARKS = frozenset(".,;:!?")
 #: The steps before the merges that the short way knows; any other vocabulary goes the long way.
 _STEPS = ([("NFC", None), ("Replace", "\\s+"), ("Lowercase", None)], [("Split", True), ("ByteLevel", False)])
 
@@ -71,7 +73,8 @@ class Codec:
     (the split pattern is the vocabulary's own); all others go through the whole library.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, cached: int = CACHED_CHUNKS):
+        self.cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -102,26 +105,33 @@ class Codec:
         except (KeyError, TypeError, ValueError):
             return None
 
-    def _new(self, chunks: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        slow = [c for c in chunks if not (self.split and _PLAIN(c))]
-        yield from zip(slow, self._ids([c.decode("utf-8") for c in slow]), strict=True)
-        if len(self.pieces) > CACHED_CHUNKS:
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a lower-case piece, from the caches or the library's model."""
+        ids = self.old_pieces.get(piece)
+        if ids is None:
+            shown = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS)
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+        self.pieces[piece] = ids
+        return ids
+
+    def _new(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        if len(self.pieces) > self.cached:
             self.old_pieces, self.pieces = self.pieces, {}
-        pieces, older, split, merge, rest = self.pieces, self.old_pieces, self.split, self.tokenizer.model.tokenize, set(slow)
+        known, make, split, out, slow = self.pieces.get, self._piece, self.split, {}, []
         for chunk in chunks:
-            if chunk in rest:
+            if not (split and _PLAIN(chunk)):
+                slow.append(chunk)
                 continue
-            out = []
-            for piece in split(chunk.decode("utf-8").lower()):
-                ids = pieces.get(piece)
-                if ids is None:
-                    ids = older.get(piece)
-                    if ids is None:
-                        shown = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS)
-                        ids = array("I", [t.id for t in merge(shown)]).tobytes()
-                    pieces[piece] = ids
-                out.append(ids)
-            yield chunk, b"".join(out)
+            text = chunk.decode("utf-8").lower()
+            word, mark = (text, "") if text.isalpha() else (text[:-1], text[-1])
+            # letters are one piece, and a mark after them is another
+            if not mark or mark in _MARKS and word.isalpha():
+                ids = known(word) or make(word)
+                out[chunk] = ids + (known(mark) or make(mark)) if mark else ids
+            else:
+                out[chunk] = b"".join([known(x) or make(x) for x in split(text)])
+        out.update(zip(slow, self._ids([c.decode("utf-8") for c in slow]), strict=True))
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (no nulls) in a row, and where each text's ids begin and end."""
@@ -132,25 +142,34 @@ class Codec:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
         flat, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
         pick = coded.indices.to_numpy(zero_copy_only=False)
-        size = sizes[pick]
-        ends = np.cumsum(size)
-        out = flat[np.repeat(first[pick] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
-        per_text = np.r_[0, np.cumsum(pc.list_value_length(chunks).to_numpy(zero_copy_only=False))].astype(np.int64)
-        return out, np.r_[0, ends][per_text]
+        ends = np.r_[0, np.cumsum(sizes[pick])]
+        out = np.empty(ends[-1], "<u4")
+        for lo in range(0, len(pick), _SLAB):  # few enough ids at a time for a core's cache
+            some = pick[lo:lo + _SLAB]
+            at = np.repeat(first[some] - ends[lo:lo + len(some)] + ends[lo], sizes[some])
+            at += np.arange(len(at))
+            flat.take(at, out=out[ends[lo]:ends[lo + len(some)]])
+        return out, ends[np.r_[0, np.cumsum(pc.list_value_length(chunks).to_numpy(zero_copy_only=False))]]
 
     def _lookup(self, chunks: list[bytes]) -> list[bytes]:
         """Ids of distinct chunks.  The cache has two generations: a chunk that is met again
         moves to the younger one, and the older is dropped when the younger is full."""
-        if len(self.cache) > CACHED_CHUNKS:
+        if len(self.cache) > self.cached:
             self.older, self.cache = self.cache, {}
         young, older = self.cache, self.older
-        out = [young.get(c) or older.get(c) for c in chunks]
-        new = [c for c, x in zip(chunks, out, strict=True) if x is None]
-        found = dict(self._new(new))
-        out = [found[c] if x is None else x for c, x in zip(chunks, out, strict=True)]
-        young.update(zip(chunks, out, strict=True))
+        out = list(map(young.get, chunks))
+        missing = [i for i, x in enumerate(out) if x is None]
+        met = [older.get(chunks[i]) for i in missing]
+        found = self._new([chunks[i] for i, x in zip(missing, met, strict=True) if x is None])
+        for i, x in zip(missing, met, strict=True):
+            c = chunks[i]
+            out[i] = young[c] = found[c] if x is None else x
         return out
 
+    def release(self) -> None:
+        """Forget all chunks: workers live on, and their next task may be another stage's."""
+        self.cache, self.older, self.pieces, self.old_pieces = {}, {}, {}, {}
+
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, starts and ends (in code points) of a text."""
         e = self.tokenizer.encode(text, add_special_tokens=False)
@@ -161,14 +180,14 @@ class Codec:
         return self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
 
 
-_CODECS: dict[int, Codec] = {}
+_CODECS: dict[tuple[int, int], Codec] = {}
 
 
-def codec(vocabulary: str) -> Codec:
+def codec(vocabulary: str, cached: int = CACHED_CHUNKS) -> Codec:
     """One codec for each vocabulary and Python worker."""
-    key = hash(vocabulary)
+    key = hash(vocabulary), cached
     if key not in _CODECS:
-        _CODECS[key] = Codec(vocabulary)
+        _CODECS[key] = Codec(vocabulary, cached)
     return _CODECS[key]
 
 
@@ -270,18 +289,27 @@ def _unpack(r: dict) -> Node:
 
 _NODE = "ids binary, solid boolean, texts array<string>, spans array<binary>"
 _NODE_ARROW = [("ids", pa.binary()), ("solid", pa.bool_()), ("texts", pa.list_(pa.string())), ("spans", pa.list_(pa.binary()))]
-_ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
 
-def text_blocks(column: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.Array]]:
-    """``(first row, texts)`` in blocks of about ``most`` bytes; null is the empty text."""
-    texts = pc.fill_null(column, "")
-    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-    start = 0
-    while start < len(texts):
-        stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, side="right")))
-        yield start, texts.slice(start, stop - start)
-        start = stop
+def text_blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """``(doc_ids, texts)`` of rows ``doc_id, text`` in blocks of about ``most`` bytes (one row
+    at least), across batches; null is the empty text."""
+    held, size = [], 0
+    for b in batches:
+        texts = pc.fill_null(b.column(1), "")
+        upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(texts):
+            before = int(upto[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(upto, before + most - size, side="right")))
+            held.append((b.column(0).slice(start, stop - start), texts.slice(start, stop - start)))
+            size += int(upto[stop - 1]) - before
+            start = stop
+            if size >= most or start < len(texts):
+                yield tuple(pa.concat_arrays(x) for x in zip(*held, strict=True))
+                held, size = [], 0
+    if held:
+        yield tuple(pa.concat_arrays(x) for x in zip(*held, strict=True))
 
 
 def as_binary(ids: np.ndarray, at: np.ndarray) -> pa.Array:
@@ -290,18 +318,28 @@ def as_binary(ids: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * 4).astype(np.int32)), data])
 
 
-def encode(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS) -> DataFrame:
-    """``doc_id, ids, n_tokens`` for every row; ids are binary, little-endian unsigned 32-bit."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def encode(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS, decoded: bool = False) -> DataFrame:
+    """``doc_id, ids, n_tokens`` for every row; ids are binary, little-endian unsigned 32-bit.
+
+    With ``decoded`` the ids are decoded in the same pass (as ``decode`` does in one of its
+    own, which takes a second Python worker for each task).
+    """
+    columns = "doc_id long, ids binary" + ", decoded string" * decoded
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())] + [("decoded", pa.string())] * decoded)
+
+    def finished(c: Codec, doc_ids: pa.Array, ids: pa.Array) -> pa.RecordBatch:
+        texts = [pa.array([c.decode(x.as_py()) for x in ids], pa.string())] if decoded else []
+        return pa.RecordBatch.from_arrays([doc_ids, ids, *texts], schema=schema)
+
+    shared = prepare(docs.sparkSession).sparkContext.broadcast(vocabulary)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     is_long = F.char_length("text") > leaf_chars
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(shared.value)
-        for b in batches:
-            for start, texts in text_blocks(b.column(1)):
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(start, len(texts)), as_binary(*c.encode(texts))], schema=_ENCODED)
+        for doc_ids, texts in text_blocks(batches):
+            yield finished(c, doc_ids, as_binary(*c.encode(texts)))
+        c.release()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -318,13 +356,14 @@ def encode(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS) -> Da
             for r in b.to_pylist():
                 yield pa.RecordBatch.from_pylist(
                     [{"doc_id": r["doc_id"], "row": r["row"], "leaf": r["leaf"], **_pack(leaf(c, r["text"]))}], schema)
+        c.release()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(shared.value)
         now, doc, nodes = None, None, []
 
         def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{"doc_id": doc, "ids": tree(c, nodes).ids.tobytes()}], _ENCODED)
+            return finished(c, pa.array([doc], pa.int64()), pa.array([tree(c, nodes).ids.tobytes()], pa.binary()))
 
         for b in batches:
             for i in range(b.num_rows):
@@ -337,19 +376,19 @@ def encode(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS) -> Da
         if nodes:
             yield done()
 
-    short = rows.where(~is_long).mapInArrow(whole, "doc_id long, ids binary")
+    short = rows.where(~is_long).mapInArrow(whole, columns)
     # every long row gets a number of its own, as a doc_id may repeat
     long_rows = rows.where(is_long).select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
     n = shuffle_partitions(docs)
     parts = long_rows.mapInArrow(cut, "doc_id long, row long, leaf int, text string").repartition(n, "row", "leaf")
     parts = parts.mapInArrow(leaves, f"doc_id long, row long, leaf int, {_NODE}")
-    joined = parts.repartition(n, "row").sortWithinPartitions("row", "leaf").mapInArrow(merge, "doc_id long, ids binary")
+    joined = parts.repartition(n, "row").sortWithinPartitions("row", "leaf").mapInArrow(merge, columns)
     return short.unionByName(joined).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """``encoded`` with ``decoded``: the library's text for ``ids``, special tokens included."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = prepare(encoded.sparkSession).sparkContext.broadcast(vocabulary)
     where = encoded.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

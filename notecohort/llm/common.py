@@ -3,11 +3,12 @@ connected components over an edge table, and star-shaped contraction of links in
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, ship_package
@@ -17,13 +18,28 @@ SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: What is handed to a Python worker at once, at most; long texts make large batches.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
+_BYTES, _ROWS = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Ship the package to the Python workers and bound their batches (a smaller setting of
+    the session's own stays)."""
+    ship_package(spark)
+    if int(re.sub(r"\D", "", spark.conf.get(_BYTES))) > BATCH_BYTES:
+        spark.conf.set(_BYTES, f"{BATCH_BYTES}b")
+    if not 0 < int(spark.conf.get(_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(_ROWS, str(BATCH_ROWS))
+    return spark
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage, gives later stages exact sizes, and survives the loss of executors.
     """
-    ship_package(df.sparkSession)
-    path = scratch_dir(df.sparkSession, name)
+    path = scratch_dir(prepare(df.sparkSession), name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import prepare
+
 SAMPLE_PAGES = 1500
 SAMPLE_NODES = 60_000
 TEMPLATES = 120
@@ -386,6 +388,7 @@ def _training_rows(pages: list[Page]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_nodes: int = SAMPLE_NODES) -> Trees:
+    prepare(pages.sparkSession)
     turn = F.xxhash64("page_id", "url")
     last = pages.select(turn.alias("turn")).orderBy("turn").limit(sample_pages).agg(F.max("turn")).first()[0]
 

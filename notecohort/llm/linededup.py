@@ -145,10 +145,10 @@ def _suspects_udf(spark, segments: DataFrame, bits: int):
 
 def _scan(docs: DataFrame, keep: list[str], min_chars: int = 20, min_docs: int = 3, bits_per_key: int = BITS_PER_KEY,
           max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
-    """``row`` (a struct of the columns ``keep``), ``n_lines, n_dropped, kept`` for every row."""
-    text = F.col("text")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col("doc_id").cast("long").alias("id"),
-                       F.col("text").cast("string").alias("text"))
+    """``row`` (a struct of the columns ``keep``, doc_id and text among them), ``n_lines,
+    n_dropped, kept`` for every row."""
+    text, doc = F.col("row.text").cast("string"), F.col("row.doc_id").cast("long")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"))
     keys = long_keys(text, min_chars)
     hashes = saved(rows.select(F.transform(keys, lambda k: F.xxhash64(k)).alias("hashes")), "line-hashes")
     lines = hashes.agg(F.sum(F.size("hashes"))).first()[0] or 1
@@ -159,11 +159,11 @@ def _scan(docs: DataFrame, keep: list[str], min_chars: int = 20, min_docs: int =
     suspects = F.transform("at", lambda i: F.element_at("keys", i + 1))
     clean = F.size("at") == 0
     # a clean text is finished; a suspected one is kept with its suspected keys
-    table = saved(found.select("row", "id", "text", clean.alias("clean"), F.when(~clean, suspects).alias("keys")), "line-suspects")
+    table = saved(found.select("row", clean.alias("clean"), F.when(~clean, suspects).alias("keys")), "line-suspects")
     done = table.where("clean").select(
         "row", F.size(lines_of(text)).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"),
         F.coalesce(text, F.lit("")).alias("kept"))
-    suspected = table.where("NOT clean").select("row", "id", "text", "keys")
+    suspected = table.where("NOT clean").select("row", doc.alias("id"), "keys")
     holding = suspected.select("id", F.explode("keys").alias("key")).distinct()
     winners = holding.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("winner")).where(F.col("docs") >= min_docs)
     drops = (holding.join(winners, "key").where(~F.col("id").eqNullSafe(F.col("winner")))
@@ -179,7 +179,7 @@ def _scan(docs: DataFrame, keep: list[str], min_chars: int = 20, min_docs: int =
 
 def repeated_lines(docs: DataFrame, **options) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept`` (the remaining text, never null) for every row."""
-    return _scan(docs, ["doc_id"], **options).select("row.doc_id", "n_lines", "n_dropped", "kept")
+    return _scan(docs, ["doc_id", "text"], **options).select("row.doc_id", "n_lines", "n_dropped", "kept")
 
 
 def drop_repeated_lines(docs: DataFrame, **options) -> DataFrame:

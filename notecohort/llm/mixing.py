@@ -67,11 +67,16 @@ def offset(source: Column, seed: int = 0) -> Column:
 
 
 def _mixed(docs: DataFrame, keep: list[str], seed: int, weights, max_repeat: int) -> DataFrame:
-    """``row`` (a struct of ``keep``), ``size, source, source_size, target, copies``."""
+    """``row`` (a struct of ``keep``), ``size, source, source_size, target, copies``.
+
+    Narrow rows are written before they are ranged.  Rows that carry their text are not:
+    counting words again costs less than another copy of all texts.
+    """
     text = F.col("text").cast("string")
-    rows = saved(docs.select(
+    rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("source").cast("string").alias("source"), word_count(text).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("crc")), "mix-sizes")
+        F.col("source").cast("string").alias("source"), word_count(text).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("crc"))
+    rows = rows if "text" in keep else saved(rows, "mix-sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     plan = targets(sources, weights, max_repeat)
     # rows before the source in the index order (nulls first), for positions within it

@@ -24,8 +24,7 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 
 def op2_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = vocabulary()
-    texts = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), words), words)
+    texts = bpe.encode(_table(spark, sf_dir, "documents"), vocabulary(), decoded=True)
     return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mix64, saved, shuffle_partitions, star
+from .common import components, mix64, prepare, saved, shuffle_partitions, star
 
 REFERENCES = 16
 TILE = 4096
@@ -71,6 +71,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
             fps = np.fromiter((fingerprint(t.as_py(), words_per_shingle) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
+    prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 

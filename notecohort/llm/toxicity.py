@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import prepare, saved
 
 EDIT_1, EDIT_2 = 5, 9
 PREFIXES = (4, 5, 6)
@@ -296,7 +296,7 @@ def train(docs: DataFrame, labels: DataFrame, is_train: Column, max_per_class: i
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -322,7 +322,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOL
     The text is scored once, beside its row; a null doc_id needs no join.
     """
     model = train(docs, labels, ~held_out(F.col("doc_id")))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
     where = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ shard at a time.  Files are written through Spark as one row each, so a lost exe
 leaves no half-written file behind.  Starts come from one number per shard.
 
 Defined cases: a null text is an empty one, which has its end id alone; null doc_ids come
-first; rows with equal doc_id are ordered by a hash of the text; repeated rows are stored
+first; rows with equal doc_id follow each other in the order of the table; repeated rows are stored
 each; extra columns are ignored; an empty table gives an empty table.
 """
 
@@ -35,11 +35,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import codec, text_blocks
-from .common import saved, shuffle_partitions
+from .common import prepare, saved, shuffle_partitions
 
 MAGIC = b"WVM1"
 END_ID = 2
-SHARD_TOKENS = 1 << 21
+#: The planes of a shard of this size are parted within a core's cache.
+SHARD_TOKENS = 1 << 18
+#: A worker's caches and blocks of text are larger here than for encoding alone: this stage
+#: holds little else.
+CACHED_CHUNKS, BLOCK_BYTES = 300_000, 3 << 22
 _WORD_BITS = 64
 
 
@@ -87,11 +91,11 @@ class WaveletMatrix:
         now = ids.astype(np.uint16 if levels <= 16 else np.uint32)
         packed, zeros = [], []
         for level in range(levels - 1, -1, -1):
-            one = (now >> level & 1).astype(bool)
+            one = (now & now.dtype.type(1 << level)) != 0
             packed.append(np.packbits(one, bitorder="little"))
-            low = now[~one]
+            low = now.take(np.flatnonzero(~one))
             zeros.append(len(low))
-            now = np.concatenate([low, now[one]])
+            now = np.concatenate([low, now.take(np.flatnonzero(one))])
         return cls(len(ids), packed, zeros)
 
     @property
@@ -106,8 +110,8 @@ class WaveletMatrix:
         for level, packed in enumerate(reversed(self.packed)):
             one = np.unpackbits(packed, count=self.n, bitorder="little").view(bool)
             zeros, out = self.zeros[len(self.packed) - 1 - level], np.empty_like(now)
-            out[~one] = now[:zeros]
-            out[one] = now[zeros:] | now.dtype.type(1 << level)
+            out[np.flatnonzero(~one)] = now[:zeros]
+            out[np.flatnonzero(one)] = now[zeros:] | now.dtype.type(1 << level)
             now = out
         return now.astype(np.uint32)
 
@@ -174,12 +178,12 @@ def from_file(raw: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
 def write_shards(docs: DataFrame, vocabulary: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Encode and write the token files; returns the written table ``part, shard, n_tokens,
     first_doc, file`` (one row a file, in ascending doc_id order of ``part, shard``)."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = prepare(docs.sparkSession).sparkContext.broadcast(vocabulary)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, part, shard = codec(shared.value), TaskContext.get().partitionId(), 0
+        c, part, shard = codec(shared.value, CACHED_CHUNKS), TaskContext.get().partitionId(), 0
         ids, doc_ids, lengths, held = [], [], [], 0
         end = np.array([END_ID], "<u4")
 
@@ -187,26 +191,24 @@ def write_shards(docs: DataFrame, vocabulary: str, shard_tokens: int = SHARD_TOK
             return pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "n_tokens": held, "first_doc": doc_ids[0],
                                                 "file": to_file(doc_ids, lengths, np.concatenate(ids))}], _SHARDS)
 
-        for b in batches:
-            names = b.column(0).to_pylist()
-            for start, texts in text_blocks(b.column(1)):
-                found, at = c.encode(texts)
-                for i, (lo, hi) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
-                    n = hi - lo + 1
-                    if held and held + n > shard_tokens:
-                        yield close()
-                        shard, held = shard + 1, 0
-                        ids, doc_ids, lengths = [], [], []
-                    ids += [found[lo:hi], end]
-                    doc_ids.append(names[start + i])
-                    lengths.append(n)
-                    held += n
+        for names, texts in text_blocks(batches, BLOCK_BYTES):
+            found, at = c.encode(texts)
+            for name, lo, hi in zip(names.to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                n = hi - lo + 1
+                if held and held + n > shard_tokens:
+                    yield close()
+                    shard, held = shard + 1, 0
+                    ids, doc_ids, lengths = [], [], []
+                ids += [found[lo:hi], end]
+                doc_ids.append(name)
+                lengths.append(n)
+                held += n
         if held:
             yield close()
 
-    # the last column only splits a range of identical rows over tasks
-    order = ["doc_id", "hash", "tie"]
-    dealt = rows.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("tie"))
+    # the second column only splits a range of equal ids over tasks
+    order = ["doc_id", "tie"]
+    dealt = rows.select("*", F.monotonically_increasing_id().alias("tie"))
     dealt = dealt.repartitionByRange(shuffle_partitions(docs), *order).sortWithinPartitions(*order)
     files = dealt.select("doc_id", "text").mapInArrow(run, "part int, shard int, n_tokens long, first_doc long, file binary")
     return saved(files, "token-files")
@@ -218,10 +220,13 @@ _SHARDS = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_tokens", p
 
 def read_shards(files: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of every document, from the files alone."""
-    # one row a file; the window sees no document
-    ahead = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("part", "shard", "n_tokens").select(
-        "part", "shard", F.coalesce(F.sum("n_tokens").over(ahead), F.lit(0)).cast("long").alias("start"))
+    # one row a file, then one a part: neither window sees a document
+    sizes = files.select("part", "shard", "n_tokens")
+    before = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"))
+    parts = parts.select("part", before(Window.orderBy("part")).alias("ahead"))
+    starts = sizes.select("part", "shard", before(Window.partitionBy("part").orderBy("shard")).alias("within")).join(parts, "part").select(
+        "part", "shard", (F.col("ahead") + F.col("within")).cast("long").alias("start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -87,6 +87,8 @@ def test_encode_and_decode_odd_rows(odd, none, leaf):
     got = Counter((r.doc_id, r.n_tokens, bytes(r.ids), r.decoded) for r in out)
     want = Counter((d, len(i := ids_of(t)), i.tobytes(), LIBRARY.decode(i.tolist(), skip_special_tokens=False)) for d, t in given(odd))
     assert got == want
+    both = bpe.encode(odd, VOCABULARY, leaf, decoded=True).collect()
+    assert Counter((r.doc_id, r.n_tokens, bytes(r.ids), r.decoded) for r in both) == want
     assert bpe.decode(bpe.encode(none, VOCABULARY), VOCABULARY).collect() == []
 
 
