@@ -59,8 +59,7 @@ def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A null text is an empty one; repeated rows give equal rows.
     """
-    words = vocabulary()
-    texts = bpe.decode(bpe.encode(docs, words), words)
+    texts = bpe.encode(docs, vocabulary(), decoded=True)
     return texts.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
