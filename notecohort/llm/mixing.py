@@ -82,6 +82,8 @@ def _mixed(docs: DataFrame, keep: list[str], seed: int, weights, max_repeat: int
     # rows before the source in the index order (nulls first), for positions within it
     ahead = Window.orderBy(F.col("source").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     plan = plan.select("*", F.coalesce(F.sum("n_docs").over(ahead), F.lit(0)).alias("first_pos"))
+    # written, the table of sources shows its real bytes, and Spark broadcasts it if they are few
+    plan = saved(plan, "mix-plan")
     # the last column only splits a range of identical rows over tasks
     placed = with_row_index(rows.withColumn("tie", F.monotonically_increasing_id()),
                             ["source", "size", "doc_id", "crc", "tie"], "pos", written=True)
