@@ -43,6 +43,25 @@ def test_quotation_is_told_from_abuse():
     assert T.features(lexicon, "a nitwitt")[1] > 0 and T.features(lexicon, "") == [0.0] * T.FEATURES
 
 
+def test_contractions_and_brackets_are_no_quotation(spark, made):
+    lexicon = T.Lexicon([("nitwit", False, 6.0)])
+    for s in ("you don't think nitwit and you can't", "he (a nitwit here) went", 'a "thing" nitwit and "more"', "it's a nitwit (yes)",
+              "the boys' own nitwit and the girls' too"):
+        assert T.features(lexicon, s)[0] > 0 and T.features(lexicon, s)[2] == 0, s
+    for s in ('the "old nitwit" word', "the 'don't nitwit' word", "the „nitwit“ word", "the «nitwit» word", '"nitwit"'):
+        assert T.features(lexicon, s)[0] == 0 and T.features(lexicon, s)[2] > 0, s
+    docs, labels, _ = made
+    plain = "some nitwit and a blockhead with a scoundrel"
+    texts = [plain, "he doesn't nitwit, can't (blockhead), won't, isn't a scoundrel, don't", "well (nitwit) and (blockhead) and (scoundrel) so",
+             '"nitwit" and then some more words so that these stand far enough apart from each other "blockhead" '
+             'and then again some more words so that these stand far enough apart "scoundrel"']
+    more = docs.unionByName(spark.createDataFrame([(10_000 + i, t, None, "s", 1, 2) for i, t in enumerate(texts)], docs.schema))
+    got = {r.doc_id: r for r in T.toxicity(more, labels).collect() if r.doc_id >= 10_000}
+    assert all(got[10_000 + i].predicted for i in range(3))
+    base = float(T.train(docs, labels, ~T.held_out(F.col("doc_id"))).score(np.zeros((1, T.FEATURES)))[0])
+    assert base < got[10_003].score < got[10_000].score
+
+
 def corpus(n=600):
     rnd = random.Random(2)
     docs, labels = [], []
