@@ -4,8 +4,14 @@ The lexicon is a trie of words and word beginnings learned from labelled rows.
 Levenshtein automaton is intersected with the trie: its states are sets of (trie node,
 edits spent), built as they are met, so a word of the text is matched against all terms in
 one walk over its letters and is dropped at the first letter that no term can follow.
-Whole words tolerate one edit from ``EDIT_1`` letters on and two from ``EDIT_2``; word
-beginnings are matched exactly.
+Whole words tolerate one edit from ``EDIT_1`` letters on and two from ``EDIT_2``, two letters
+that change places being one edit; word beginnings are matched exactly, and the whole words
+of the lexicon that start with one stay beside it with their own edits.  Words that clean
+training texts hold about as often as toxic ones stand for no term but themselves, and a term
+with more than ``RARE`` such words beside it that are found in one clean text only tolerates
+no edits: other texts hold others (the estimate of Good and Turing).  A match with an edit
+has the fixed share ``MISSPELT`` of its term's weight, so that it counts as much where the
+labelled rows hold no misspelling; the model is fitted on matches without edits.
 
 Every match is weighed by its context: within ``WINDOW`` characters, a match inside a
 quotation (a mark that opens after white space, is still open at the match and is closed
@@ -49,6 +55,8 @@ COVER = 4
 THRESHOLD = 0.3
 FEATURES = 5
 QUOTED = 0.25
+MISSPELT = 0.8
+RARE = 1
 _WORDS = re.compile(r"[^\W_]+").findall
 _CACHED_WORDS = 200_000
 _CACHED_STATES = 50_000
@@ -59,15 +67,21 @@ ADDRESS = frozenset("you your du dein ihr tu toi vous ton votre tú usted vosotr
 
 
 class Lexicon:
-    """A trie of terms and the automaton over it.  A term is (text, is_prefix, weight)."""
+    """A trie of terms and the automaton over it.  A term is (text, is_prefix, weight).
 
-    def __init__(self, terms: list[tuple[str, bool, float]]):
-        self.terms = terms
+    ``swaps`` counts two letters that change places as one edit; the words of ``clean`` are
+    matched without edits only, the terms of ``strict`` tolerate none.
+    """
+
+    def __init__(self, terms: list[tuple[str, bool, float]], swaps: bool = False, clean: frozenset[str] = frozenset(),
+                 strict: frozenset[str] = frozenset()):
+        self.terms, self.swaps, self.clean = terms, swaps, clean
+        self.limit = [0 if prefix or text in strict else self.edits(text) for text, prefix, _ in terms]
         self.next: list[dict[str, int]] = [{}]
         self.ends: list[list[int]] = [[]]
         self.slack = [0]  # most edits that a term below a node tolerates
-        for t, (text, prefix, _) in enumerate(terms):
-            node, slack = 0, 0 if prefix else self.edits(text)
+        for t, (text, _, _) in enumerate(terms):
+            node, slack = 0, self.limit[t]
             self.slack[0] = max(self.slack[0], slack)
             for c in text:
                 if c not in self.next[node]:
@@ -90,39 +104,49 @@ class Lexicon:
         self.moves: list[dict[str, int]] = []
         self.starts_with: list[int | None] = []  # term whose beginning has just been completed
         self.words: dict[str, tuple[int, int] | None] = {}
-        self.start = self._state({(0, 0)})
+        self.start = self._state({(0, 0, "")})
 
-    def _state(self, pairs: set[tuple[int, int]]) -> int:
+    def _state(self, pairs: set[tuple[int, int, str]]) -> int:
+        """The state of (node, edits spent, letter that must come next after a swap, or "")."""
         todo = list(pairs)
         while todo:  # a letter of the term may be missing from the word
-            node, spent = todo.pop()
-            for child in self.next[node].values():
-                if spent < self.slack[child] and (child, spent + 1) not in pairs:
-                    pairs.add((child, spent + 1))
-                    todo.append((child, spent + 1))
-        least: dict[int, int] = {}
-        for node, spent in pairs:
-            least[node] = min(spent, least.get(node, spent))
-        key = frozenset(least.items())
+            node, spent, due = todo.pop()
+            for child in self.next[node].values() if not due else ():
+                if spent < self.slack[child] and (child, spent + 1, "") not in pairs:
+                    pairs.add((child, spent + 1, ""))
+                    todo.append((child, spent + 1, ""))
+        least: dict[tuple[int, str], int] = {}
+        for node, spent, due in pairs:
+            least[node, due] = min(spent, least.get((node, due), spent))
+        key = frozenset((node, spent, due) for (node, due), spent in least.items())
         if not key:
             return -1
         if key not in self.states:
             self.states[key] = len(self.sets)
             self.sets.append(key)
             self.moves.append({})
-            done = [t for node, spent in key if not spent for t in self.ends[node] if self.terms[t][1]]
+            done = [t for node, spent, due in key if not spent and not due for t in self.ends[node] if self.terms[t][1]]
             self.starts_with.append(min(done, default=None))
         return self.states[key]
 
     def _move(self, state: int, c: str) -> int:
         pairs = set()
-        for node, spent in self.sets[state]:
+        for node, spent, due in self.sets[state]:
+            if due:
+                if c == due:
+                    pairs.add((node, spent, ""))
+                continue
             child = self.next[node].get(c)
             if child is not None:
-                pairs.add((child, spent))
+                pairs.add((child, spent, ""))
             if spent < self.slack[node]:  # a letter too many, or another letter
-                pairs.add((node, spent + 1))
-            pairs.update((x, spent + 1) for k, x in self.next[node].items() if k != c and spent < self.slack[x])
+                pairs.add((node, spent + 1, ""))
+            for k, x in self.next[node].items():
+                if k != c and spent < self.slack[x]:
+                    pairs.add((x, spent + 1, ""))
+                    y = self.next[x].get(c) if self.swaps else None
+                    if y is not None and spent < self.slack[y]:
+                        pairs.add((y, spent + 1, k))
         to = self.moves[state][c] = self._state(pairs)
         return to
 
@@ -142,8 +166,8 @@ class Lexicon:
                 found = (self.starts_with[state], 0)
                 break
         if found is None and state >= 0:
-            ended = [(spent, t) for node, spent in self.sets[state] for t in self.ends[node]
-                     if not self.terms[t][1] and spent <= self.edits(self.terms[t][0])]
+            ended = [(spent, t) for node, spent, due in self.sets[state] if not due for t in self.ends[node]
+                     if not self.terms[t][1] and spent <= (0 if word in self.clean else self.limit[t])]
             if ended:
                 spent, t = min(ended)
                 found = (t, spent)
@@ -183,21 +207,21 @@ def features(lexicon: Lexicon, text: str) -> list[float]:
         term, spent = hits[word]
         weight = lexicon.terms[term][2]
         inside, address = context(text, start, end)
-        near = any(abs(spots[k][0] - start) <= WINDOW for k in (i - 1, i + 1) if 0 <= k < len(spots) and hits[spots[k][2]][1] == 0)
+        near = any(abs(spots[k][0] - start) <= WINDOW for k in (i - 1, i + 1) if 0 <= k < len(spots))
         if inside and not near:
             quoted += weight
-        elif spent:
-            misspelt += weight / (1 + spent)
         else:
-            direct += weight
-            aimed += near or address
+            share = MISSPELT ** spent
+            direct += 0 if spent else weight
+            misspelt += share * weight if spent else 0
+            aimed += share * (near or address)
     return [float(np.log1p(direct)), float(np.log1p(misspelt)), float(np.log1p(quoted)),
             100 * (direct + misspelt + QUOTED * quoted) / (len(words) + 20), float(np.log1p(aimed))]
 
 
 def design(x: np.ndarray) -> np.ndarray:
-    """The model's inputs: quoted matches add their fixed share to the direct ones."""
-    return np.c_[np.log1p(np.expm1(x[:, 0]) + QUOTED * np.expm1(x[:, 2])), x[:, [1, 3, 4]]]
+    """The model's inputs: misspelt matches, by their share, and quoted ones are added to the direct ones."""
+    return np.c_[np.log1p(np.expm1(x[:, 0]) + np.expm1(x[:, 1]) + QUOTED * np.expm1(x[:, 2])), x[:, 3:]]
 
 
 @dataclass
@@ -207,6 +231,11 @@ class Model:
     scale: np.ndarray = field(default_factory=lambda: np.ones(FEATURES))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES + 1))
     trained: bool = False
+    clean: frozenset[str] = frozenset()
+    strict: frozenset[str] = frozenset()
+
+    def lexicon(self) -> Lexicon:
+        return Lexicon(self.terms, True, self.clean, self.strict)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if not self.trained:
@@ -274,7 +303,37 @@ def _terms(sample: DataFrame) -> list[tuple[str, bool, float]]:
         chosen.append(k)
         left.discard(k)
         cover += has[:, k]
-    return [(kept[k].rstrip("$"), not kept[k].endswith("$"), float(np.log(good[kept[k]]["odds"]))) for k in chosen]
+    chosen = [kept[k] for k in chosen]
+    # the whole words below a beginning stay beside it: they tolerate edits
+    below = [k for k in good if k.endswith("$") and any(k[:n] in stems.intersection(chosen) for n in PREFIXES if n < len(k) - 1)]
+    return [(k.rstrip("$"), not k.endswith("$"), float(np.log(good[k]["odds"]))) for k in chosen + below]
+
+
+def _clean_words(sample: DataFrame, terms: list[tuple[str, bool, float]]) -> tuple[frozenset[str], frozenset[str]]:
+    """Words within the edits of a term that clean lexical rows hold about as often as toxic ones,
+    and the terms that have more than ``RARE`` of them that are found in one clean row only."""
+    terms_of = sample.sparkSession.sparkContext.broadcast(terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(terms_of.value, True)
+        for b in batches:
+            keep = [(m := lexicon.match(w)) is not None and m[1] > 0 for w in b.column(0).to_pylist()]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    words = sample.where("lexical").select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("word"))
+    counts = words.groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c"))
+    n = sample.where("lexical").agg(F.count_if(F.col("toxic") == 0).alias("n0"), F.count_if(F.col("toxic") == 1).alias("n1")).first()
+    odds = ((F.col("t") + 0.5) / (n["n1"] + 1)) / ((F.col("c") + 0.5) / (n["n0"] + 1))
+    found = counts.where((F.col("c") > 0) & (odds < 5)).select("word", "c").mapInArrow(run, "word string, c long").collect()  # words of a bounded sample
+    clean, strict = frozenset(r["word"] for r in found), frozenset()
+    rare = [r["word"] for r in found if r["c"] == 1]
+    while True:  # a word beside a strict term may stand beside another term too
+        lexicon = Lexicon(terms, True, strict=strict)
+        beside = Counter(terms[m[0]][0] for w in rare if (m := lexicon.match(w)) and m[1])
+        more = {t for t, n in beside.items() if n > RARE}
+        if not more:
+            return clean, strict
+        strict |= more
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
@@ -292,10 +351,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
 def train(docs: DataFrame, labels: DataFrame, is_train: Column, max_per_class: int = MAX_PER_CLASS) -> Model:
     sample = _sample(docs, labels, is_train, max_per_class)
     terms = _terms(sample)
+    clean, strict = _clean_words(sample, terms) if terms else (frozenset(), frozenset())
     lexicon_of = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(lexicon_of.value)
+        lexicon = Lexicon(lexicon_of.value, strict=frozenset(t for t, _, _ in lexicon_of.value))  # no edits
         for b in batches:
             rows = [features(lexicon, t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), b.column(1)], names=["x", "toxic"])
@@ -307,7 +367,7 @@ def train(docs: DataFrame, labels: DataFrame, is_train: Column, max_per_class: i
     x = design(np.array([r["x"] for r in got]))
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     scale[scale < 1e-6] = 1.0
-    return Model(terms, mean, scale, _logistic((x - mean) / scale, y), True)
+    return Model(terms, mean, scale, _logistic((x - mean) / scale, y), True, clean, strict)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -316,7 +376,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        lexicon = Lexicon(m.terms)
+        lexicon = m.lexicon()
         for b in batches:
             x = np.array([features(lexicon, t.as_py() or "") for t in b.column(1)]).reshape(-1, FEATURES)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(m.score(x))], names=["doc_id", "score"])
@@ -343,7 +403,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOL
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        lexicon = Lexicon(m.terms)
+        lexicon = m.lexicon()
         for b in batches:
             x = np.array([features(lexicon, t.as_py() or "") for t in b.column(where)]).reshape(-1, FEATURES)
             yield b.filter(pa.array(m.score(x) < threshold))

@@ -78,6 +78,63 @@ def corpus(n=600):
     return docs, labels
 
 
+def test_swaps_are_one_edit():
+    rnd = random.Random(5)
+    terms = [("".join(rnd.choice("abc") for _ in range(rnd.randint(2, 10))), False, 1.0) for _ in range(30)]
+    lexicon = T.Lexicon(terms, swaps=True)
+
+    def distance(a, b):  # edits and changes of place of two letters, none edited twice
+        d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 2:i] == b[j - 1] + b[j - 2]:
+                    d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+        return d[-1][-1]
+
+    for _ in range(3000):
+        word = rnd.choice(terms)[0]
+        for _ in range(rnd.randint(0, 2)):
+            i = rnd.randrange(len(word))
+            word = word[:i] + rnd.choice([word[i:i + 2][::-1], "d"]) + word[i + 2:]
+        near = [d for t, _, _ in terms if (d := distance(t, word)) <= T.Lexicon.edits(t)]
+        got = lexicon.match(word)
+        assert (got is None) == (not near) and (got is None or got[1] == min(near)), word
+
+
+def test_texts_with_misspelt_terms_alone_are_found(spark):
+    docs, labels = corpus()
+    for bad in BAD:  # no misspelling in the labelled rows
+        docs = [(i, t.replace(bad[:2] + "x" + bad[3:], bad), *r) for i, t, *r in docs]
+    rnd = random.Random(6)
+    words = lambda: ["".join(rnd.choice("aeioulmnrst") for _ in range(rnd.randint(2, 9))) for _ in range(40)]
+    tried = []
+    for kind in ("clean", "letter", "swap"):
+        for _ in range(40):
+            w = words()
+            for _ in range(0 if kind == "clean" else 2):
+                bad = rnd.choice([b for b in BAD if len(b) > 4])
+                i = rnd.randrange(1, len(bad) - 2)
+                i += bad[i] == bad[i + 1]
+                w.insert(rnd.randrange(len(w)), bad[:i] + "x" + bad[i + 1:] if kind == "letter" else bad[:i] + bad[i + 1] + bad[i] + bad[i + 2:])
+            tried.append((kind, " ".join(w)))
+    schema = "doc_id long, text string, lang string, source string, toxic int, score int"
+    table = spark.createDataFrame(docs + [(10_000 + i, t, None, "s", 1, 2) for i, (_, t) in enumerate(tried)], schema)
+    got = {r.doc_id: r.predicted for r in T.toxicity(table, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    share = {k: np.mean([got[10_000 + i] for i, (x, _) in enumerate(tried) if x == k]) for k in ("clean", "letter", "swap")}
+    assert share["clean"] < 0.05 and min(share["letter"], share["swap"]) > 0.95, share
+
+
+def test_whole_words_stay_beside_beginnings(spark):
+    rows = [(i % 2, f"{a}{w} tail{i}" if i % 2 else f"plain words{i} morn", True)
+            for i, (a, w) in enumerate([("grumb", x) for x in ("lersome", "lingly", "elicious")] * 40)]
+    sample = spark.createDataFrame([(t, y, x) for y, t, x in rows], "text string, toxic int, lexical boolean")
+    terms = T._terms(sample)
+    stems = [t for t, prefix, _ in terms if prefix]
+    assert stems and {"grumblersome", "grumblingly", "grumbelicious"} <= {t for t, prefix, _ in terms if not prefix}
+    assert T.Lexicon(terms, True).match("gurmblingly")[1] == 1
+
+
 @pytest.fixture(scope="module")
 def made(spark):
     docs, labels = corpus()
