@@ -107,3 +107,25 @@ def test_recall_on_the_given_vectors(spark):
     want = brute_groups(rows)
     assert sum(x[0] for x in got.values()) >= 0.99 * sum(n for _, n, _ in want) > 0
     assert sum(got[d] == (n, c) for d, n, c in want) >= 0.99 * len(want)
+
+
+def test_recall_of_planted_pairs_holds_as_the_table_grows(spark):
+    rng = np.random.default_rng(8)
+    for n in (4_000, 20_000):
+        v = embdedup.unit(rng.standard_normal((n, 64)))
+        pairs = 1_500
+        other = rng.standard_normal((pairs, 64))
+        other = embdedup.unit(other - np.einsum("ij,ij->i", other, v[:pairs])[:, None] * v[:pairs])
+        cos = rng.uniform(0.9505, 0.96, pairs)[:, None]
+        v[pairs:2 * pairs] = cos * v[:pairs] + np.sqrt(1 - cos**2) * other
+        got = {r.vec_id: r.component_id for r in embdedup.near_duplicates(table(spark, enumerate(v)), window=1).collect()}
+        assert np.mean([got[i] == got[pairs + i] for i in range(pairs)]) > 0.995, n
+
+
+def test_passes_grow_with_the_rows():
+    p = 1 - np.arccos(0.95) / np.pi
+    for n in (1, 32, 20_000, 10**5, 10**6, 10**7, 10**8, 10**9):
+        passes = embdedup.passes_for(n, 32, 0.95)
+        assert passes >= 16 and (1 - p ** np.log2(max(n / 32, 1))) ** passes <= 0.001
+    assert [embdedup.passes_for(n, 32, 0.95) for n in (10**5, 10**6, 10**7, 10**8)] == [21, 31, 45, 66]
+    assert embdedup.passes_for(10**6, 32, 1.0) == 16
