@@ -16,7 +16,9 @@ also used with its telling tags and tokens taken away, so that density and place
 
 Defined cases: a null or empty html, or one without main text, gives the empty text; broken
 markup is read as browsers do in the main (open elements end with their parent, an
-unfinished comment or script runs to the end of the page); null ids and urls and repeated
+unfinished comment or script runs to the end of the page; contents of svg, select
+and object are noise up to the closing tag; without one, and in svg in any case, the next block
+or the end of an element around ends them; an svg that closes itself is empty); null ids and urls and repeated
 rows are rows like any other; extra columns are ignored; an empty table gives an empty one.
 """
 
@@ -25,6 +27,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,13 +42,17 @@ SAMPLE_PAGES = 1500
 SAMPLE_NODES = 60_000
 TEMPLATES = 120
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg select object".split())
+RAW = frozenset("script style title textarea noscript template iframe".split())
+NOISE_TAGS = frozenset(["select", "object"])
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strong sub sup time tt u var".split())
 #: Elements that a new one of the same group ends, and the containers that the search stops at.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("html body div article main section nav footer header aside form table ul ol dl blockquote td th".split())
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+BLOCK = ENDS_P | SCOPE | CLOSES.keys() - {"option"} | {"head", "figure", "figcaption", "details", "summary"}
+#: What ends an svg before its closing tag, as browsers do.
+BREAKS_OUT = BLOCK | frozenset("b big br center code em embed i img listing menu meta nobr ruby s small span strike strong sub sup tt u var".split())
 TAGS = ["html", "body", "head", "div", "section", "article", "main", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li",
         "table", "tr", "td", "th", "pre", "blockquote", "figure", "figcaption", "nav", "footer", "header", "aside", "form",
         "button", "fieldset", "dl", "dt", "dd", "details", "summary", "address"]
@@ -59,6 +66,9 @@ BAD_TOKENS = frozenset(
     "subscribe tags toolbar widget reply replies respond complementary contentinfo alert".split())
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>").match
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>").match
+#: Comments and raw-text elements as a whole, or one tag.
+_MARKS = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea|noscript|template|iframe)(?![^\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|"
+                    r"<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>", re.IGNORECASE | re.DOTALL).finditer
 _ATTR = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE).findall
 _TOKENS = re.compile(r"[a-z]+").findall
 _PUNCT = re.compile(r"[.,;:!?]").findall
@@ -74,7 +84,44 @@ class Page:
         self.pieces: list[tuple[int, int, str]] = []  # node, break counter, text
 
 
+def _svg_end(source: str, at: int) -> int:
+    """Where the contents of an svg end that begin at ``at``."""
+    within, first = Counter(), None
+    for m in _MARKS(source, at):
+        slash, name, attrs = m.group(2), (m.group(3) or "").lower(), m.group(4)
+        if not name:
+            continue
+        if slash and name == "svg" and not within["svg"]:
+            return m.end()
+        if name in BREAKS_OUT if not slash else name in BREAKS_OUT | INLINE and not within[name]:
+            first = m.start() if first is None else first
+            if not within["foreignobject"]:
+                return m.start()
+        if slash:
+            within[name] -= within[name] > 0
+        elif name not in VOID and not attrs.endswith("/"):
+            within[name] += 1
+    return len(source) if first is None else first
+
+
+def _closed_at(source: str, name: str, at: int) -> dict[int, int]:
+    """For each element of that name from ``at`` on that has a closing tag: where its contents begin, where the tag ends."""
+    opened, ends = [at], {}
+    for m in _MARKS(source, at):
+        if (m.group(3) or "").lower() == name:
+            if not m.group(2):
+                opened.append(m.end())
+            elif opened:
+                ends[opened.pop()] = m.end()
+    return ends
+
+
+def _block_at(source: str, at: int) -> int:
+    return next((m.start() for m in _MARKS(source, at) if (m.group(3) or "").lower() in BLOCK), len(source))
+
+
 def parse(source: str) -> Page:
+    ends: dict[str, dict[int, int]] = {}
     page, stack, links, at, breaks = Page(), [("", 0)], 0, 0, 0
 
     def text(raw: str) -> None:
@@ -133,6 +180,14 @@ def parse(source: str) -> Page:
             end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(source, at)
             at = end.end() if end else len(source)
             continue
+        if name == "svg":
+            at = at if attrs.endswith("/") else _svg_end(source, at)
+            continue
+        if name in NOISE_TAGS:
+            if name not in ends:
+                ends[name] = _closed_at(source, name, at)
+            at = ends[name].get(at) or _block_at(source, at)
+            continue
         enders = CLOSES.get(name, set()) | ({"p"} if name in ENDS_P else set())
         if enders:
             for i in range(len(stack) - 1, 0, -1):

@@ -202,6 +202,35 @@ def test_odd_pages(spark):
     assert H.main_text(empty).collect() == []
 
 
+def told(source):
+    """All text that the parser keeps."""
+    return " ".join("".join(t for _, _, t in H.parse(source).pieces).split())
+
+
+def test_unclosed_and_empty_elements_end_before_the_text():
+    kept = "<p>one</p> <p>two</p> "
+    for noise in ('<svg viewBox="0 0 1 1"/>', "<svg />", "<svg><path d='M0'/><text>x</text></svg>", "<svg><path d='M0'/>", "<svg><title>t</title>x",
+                  "<svg><foreignObject><div>x</div></foreignObject></svg>", "<svg><a href='/'><text>x</text></a></svg>", "<svg><svg>x</svg>y</svg>",
+                  "<object data='x'>x", "<object data='x'><p>x</p></object>", "<object>x<object>y</object>", "<select><option>x</option></select>",
+                  "<select><option>x", "<select><option>x<option>y</select>", "<object><script>'<object>'</script><p>x</p></object>"):
+        assert told(kept + noise + kept) == "one two one two", noise
+        assert told(kept + noise + kept + noise + kept + "<svg>x</svg>") == "one two one two one two", noise
+        assert told(f"<div><span>one</span>{noise}</div> <p>two</p>") == "one two", noise
+    assert told("<p>one <a href='/'><svg><path></a>two</p>") == "one two" and told("<svg><path><b>one</b>") == "one"
+    assert told(kept + "<svg><foreignObject><div>one</div>") == "one two one" and told(kept + "<script>x" + kept) == "one two"
+    many = "<object>" * 20_000
+    assert told(many + "<p>one</p>") == "one"
+
+
+def test_icons_do_not_cut_an_article(spark):
+    inside = "".join(f"<p>Sentence number {i} of the article, with some words, that goes on for a while.</p>{'<svg class=icon />' * (i == 3)}" for i in range(12))
+    source = f"<html><body><nav><a href='/'>home</a></nav><article><h1>Title here</h1>{inside}</article><footer>end</footer></body></html>"
+    rows = spark.createDataFrame([(1, "u", source), (2, "u", source.replace("<svg class=icon />", "")), (3, "u", source.replace("<svg class=icon />", "<svg><path>"))],
+                                 "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in H.main_text(rows).collect()}
+    assert "number 11" in got[2] and got[1] == got[2] == got[3]
+
+
 def test_pages_without_telling_markup(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     trees = H.train(pages)
