@@ -239,8 +239,25 @@ def keep_one(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 3) ->
     """The rows of ``docs`` whose doc_id names their group: one document of each group.
 
     Rows with a null doc_id stay (nothing names them), and so do repeated rows of the
-    document that is kept.
+    document that is kept.  Rows that share a doc_id but differ in text are told apart by
+    their fingerprints; only such rows are fingerprinted again.
     """
     groups = simhash_groups(docs.select("doc_id", "text"), words_per_shingle, max_bits)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    names = F.collect_set(F.when(F.col("doc_id") == F.col("component_id"), F.col("fingerprint")))
+    goes = groups.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") != F.col("component_id")).alias("goes"), names.alias("named by"))
+    goes = saved(goes.where("goes").drop("goes"), "ids-that-go")
+    kept = docs.join(goes.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    several = saved(goes.where(F.size("named by") > 0), "ids-that-go-and-stay")
+    if several.isEmpty():
+        return kept
+    where = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            stays = [f"{fingerprint(t, words_per_shingle):016x}" in n
+                     for t, n in zip(b.column(where).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True)]
+            yield b.select(docs_columns).filter(pa.array(stays, pa.bool_()))
+
+    docs_columns = list(range(len(docs.columns)))
+    rows = docs.join(several, "doc_id").select(*docs.columns, "named by")
+    return kept.unionByName(rows.mapInArrow(run, docs.schema))

@@ -131,6 +131,14 @@ def test_simhash_of_odd_rows(odd, none):
     assert simhash.simhash_groups(none).collect() == [] and simhash.keep_one(none).collect() == []
 
 
+def test_an_id_that_repeats_with_another_text_keeps_its_group(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in ("left", "right"))
+    rows = [(1, a, 7), (5, a, 7), (5, b, 7), (5, b, 7), (9, b, 7), (None, b, 7), (6, None, 7), (None, None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, goes int")
+    want = [(1, a, 7), (5, b, 7), (5, b, 7), (None, b, 7), (6, None, 7), (None, None, 7)]
+    assert Counter(map(tuple, simhash.keep_one(docs).collect())) == Counter(want)
+
+
 def test_keep_one_keeps_one(odd):
     rows = given(odd)
     want = Counter(d for (d, _), c in zip(rows, brute.groups(rows), strict=True) if d is None or d == c)
