@@ -26,7 +26,7 @@ and id are no inputs of a score.  Scoring reads every whole text.
 
 Defined cases: a null or empty text has no match and gets the model's base score; a null
 doc_id is scored like any other and is never held out; repeated rows get equal scores;
-with several labels for one id the toxic one holds; labels without text are ignored;
+with several labels for one id, or for equal texts, the toxic one holds; labels without text are ignored;
 without toxic training rows the lexicon is empty and every score is 0; extra columns are
 ignored; an empty table gives an empty table.
 """
@@ -258,7 +258,8 @@ def _sample(docs: DataFrame, labels: DataFrame, is_train: Column, per_class: int
     parts = [known.where(F.col("toxic") == c).orderBy("turn").limit(per_class) for c in (0, 1)]
     ids = parts[0].unionByName(parts[1])  # 2 * per_class rows: a proven bound
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
-    return saved(rows.select("text", "toxic", (F.shiftright("turn", 20) % 2 == 0).alias("lexical")).dropDuplicates(["text"]), "training-texts")
+    texts = rows.groupBy("text").agg(F.max("toxic").alias("toxic"), F.min("turn").alias("turn"))  # equal texts: the toxic label holds
+    return saved(texts.select("text", "toxic", (F.shiftright("turn", 20) % 2 == 0).alias("lexical")), "training-texts")
 
 
 def _starts(n: int) -> Column:

@@ -154,6 +154,14 @@ def test_held_out_rows_are_told(made):
     assert Counter(map(tuple, T.toxicity(docs, other).collect())) == Counter(map(tuple, out))
 
 
+def test_equal_texts_take_the_toxic_label(spark):
+    rows = [(i, f"text {i // 4}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 3)) for i in range(400)], "doc_id long, quality int, toxic int")
+    first, again = (T._sample(d, labels, F.lit(True), 4000).collect() for d in (docs, docs.repartition(3)))
+    assert len(first) == 100 and all(r.toxic == 1 for r in first) and set(first) == set(again)
+
+
 def test_toxicity_of_odd_rows(spark, odd, none, made):
     docs, labels, _ = made
     model = T.train(docs, labels, F.lit(True))
