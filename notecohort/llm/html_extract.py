@@ -8,8 +8,8 @@ in it, or noise: below noise there is only noise, and below main text there is n
 to "above", so an ancestor and a descendant never contradict each other.  The text of the
 nodes in the main text is given out block by block.
 
-Trees are fitted on a bounded sample: at most ``sample_pages`` pages, in the order of a hash,
-whose nodes are labelled where their markup tells (article and main against navigation,
+Trees are fitted on a bounded sample: at most ``sample_pages`` pages and ``sample_nodes``
+(60,000) of their nodes, both in the order of a hash, whose nodes are labelled where their markup tells (article and main against navigation,
 footer, form and the like), and ``TEMPLATES`` pages made by rule that show sidebars,
 notices, forms and reader comments, with and without telling markup.  Each sample page is
 also used with its telling tags and tokens taken away, so that density and place are learned.
