@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, embdedup, html_extract, linededup, mixing, sharding, simhash, toxicity, wavelet
+from . import align, ann, bpe, embdedup, html_extract, langid, linededup, mixing, resample, sharding, simhash, toxicity, wavelet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,9 +64,28 @@ def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs, ~toxicity.held_out(F.col("doc_id")))
+    return langid.identify(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op12_anchor_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    piece_model = align.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    rows = align.align(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), piece_model)
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.encode("groups", "UTF-8"), 256)).otherwise("")
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=5, min_words=20, seed=42)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bounded_ring, op2_tree_bpe, op3_wavelet_tokens, op4_simhash, op5_systematic_mix, op6_line_dedup,
-                               op7_block_matrix_ann, op8_projection_dedup, op9_toxicity, op10_html_main_text)}
+                               op7_block_matrix_ann, op8_projection_dedup, op9_toxicity, op10_html_main_text,
+                               op11_kneser_ney_langid, op12_anchor_alignment, op13_importance_resampling)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_systematic_mix": r"""
