@@ -154,12 +154,52 @@ def test_components_are_linear(spark):
     line = "T1, N1, " * 30_000
     df = spark.createDataFrame([(1, line), (2, "M0 here\n" + line), (3, line + "M0"), (4, "seen T2, N1, M0 today"), (5, "T1 N0 M0\n" * 20_000)],
                                "i int, note_text string")
-    begun = time.time()
     rows = [(r.i, r.stage) for r in findings_table(df, ["i"], rules=(RULES[2],)).collect()]
-    assert time.time() - begun < 60
     assert [s for i, s in rows if i < 5] == ["T1N1M0", "T2N1M0"] and sum(i == 5 for i, _ in rows) == 20_000
 
 
+def _seconds(df, **kw):
+    """Best of three runs over every row."""
+    best = float("inf")
+    for _ in range(3):
+        begun = time.time()
+        findings_table(df, ["i"], **kw).write.format("noop").mode("overwrite").save()
+        best = min(best, time.time() - begun)
+    return best
+
+
+@pytest.mark.parametrize("line, rule", [("T1 N0 M0\n", 2), ("T2N1M0 ", 0), ("Stage IV\n", 3), ("II of this stage\n", 6)])
+def test_time_grows_with_the_matches(spark, line, rule):
+    """Twice the lines take about twice the time, not four times."""
+    small, large = (spark.createDataFrame([(1, line * n)], "i int, note_text string") for n in (10_000, 40_000))
+    _seconds(small, rules=(RULES[rule],))
+    assert _seconds(large, rules=(RULES[rule],)) < 8 * _seconds(small, rules=(RULES[rule],))
+
+
+def test_texts_that_hold_the_marks(spark):
+    """Private-use characters that mark matches inside the plan may stand in a text."""
+    texts = ["\ue0f1Stage: IV\ue0f2 T1N0M0 \ue0f3 AJCC Stage II", "\ue0f3\ue0f2 stage x\ue0f1", "\ue0f1 T1, N0, M0 \ue0f2 I staging"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, note_text string")
+    got = {}
+    for r in findings_table(df, ["i"]).collect():
+        got.setdefault(r.i, []).append((r.finding_no, (r.rule, r.stage, r.system, r.evidence, r.start)))
+    assert [[f for _, f in sorted(got.get(i, []))] for i in range(3)] == [pyoracle.findings(t) for t in texts]
+
+
+@pytest.mark.parametrize("lines", [1, 3, 7])
+def test_first_finding_of_texts_of_lines(spark, lines):
+    """First findings are decided by the lines around the first candidate, or by the whole text."""
+    rnd = random.Random(lines)
+    texts = ["\n".join("".join(rnd.choice(PIECES + ["stage", " II ", "century", "staging"]) for _ in range(rnd.randint(0, 6)))
+                       for _ in range(rnd.randint(1, lines + 4))) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, note_text string")
+    for rules in ((RULES[2],), (RULES[6],)):
+        first = {r.i: r.stage for r in first_findings(df, rules=rules, keep_all=True).collect()}
+        for i, text in enumerate(texts):
+            f = pyoracle.findings(text, rules)
+            assert first[i] == (f[0][1] if f else None), repr(text)
+
+
 def test_evidence_is_linear(spark):
     text = "T2N1M0 " * 100_000
     df = spark.createDataFrame([(1, text)], "i int, note_text string")
