@@ -17,8 +17,10 @@ groups; a token of A and one of B are linked if their bytes overlap.
    ``broadcast_pairs`` of them (16 bytes each); otherwise each block's distinct pairs are
    joined with them and come back to the block by a cogroup.
 
-Encoding A goes by pieces that begin at a space: the library splits there in any case, as long
-as the space is not amid white space; texts with such spaces are encoded in one piece.
+Tokenisation goes by pieces that begin at a space, each distinct piece being encoded once and
+remembered for a while: A's library splits there in any case, and no piece of B's vocabulary
+has a space behind another character, so no merge crosses it.  Texts with a space amid white
+space, or vocabularies that are not so, are encoded whole.
 
 Defined cases: null and empty texts, and those whose joined bytes differ from the space and
 the text in A or B, have no tokens, zeros and an empty string of groups; null doc_ids and
@@ -44,11 +46,14 @@ from .bpe import _BYTE_CHARS, text_blocks
 from .common import prepare, saved
 
 BROADCAST_PAIRS = 1 << 22
-BLOCK_BYTES = 1 << 21
-CACHED_PIECES = 100_000
+BLOCK_BYTES = 1 << 20
+CACHED_PIECES = 50_000
+#: Texts that are handed to a library at once: its results take a kilobyte each.
+_AT_ONCE = 2048
 #: Held by a task before it hands its counts on.
 _HELD_PAIRS = 1 << 20
-_AMID_SPACE = re.compile(r"\s (?!\S)")
+_AMID_SPACE = re.compile(r"\s (?!\S)|  ")
+_PROBES = ["Ａ ﬁ é① ½ x", "the first\nline and\tmore", "漢字 カタ。 ö e\u0301 \u0301", "don't I'll 123 4,5", "\U0001F600 ok \u200b z", "a <s> </s> <0x41>"]
 _BLOCK = "block string, docs binary, sizes binary, windows binary, a_ids binary, a_n binary, b_ids binary, b_n binary"
 
 
@@ -60,14 +65,11 @@ class Pieces:
         self.data = np.frombuffer(b"".join(pieces) + b"\0", np.uint8)
         self.length = np.fromiter(map(len, pieces), np.int64, len(pieces))
         self.first = np.cumsum(self.length) - self.length
+        self.bytes = pieces
         self.marked = np.fromiter((p[:1] == b" " for p in pieces), bool, len(pieces))
 
     def joined(self, ids: np.ndarray) -> bytes:
-        n = self.length[ids]
-        ends = np.cumsum(n)
-        at = np.repeat(self.first[ids] - ends + n, n)
-        at += np.arange(len(at))
-        return self.data[at].tobytes()
+        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
 
 class TokenizerA:
@@ -88,22 +90,11 @@ class TokenizerA:
         names = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.pieces = Pieces([bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode("utf-8")
                               for t in (names.get(i, "") for i in range(max(names) + 1))])
-        self.cache: dict[str, np.ndarray] = {}
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of a space and each text."""
-        if not self.by_pieces:
-            return self._ids([" " + t for t in texts])
-        if len(self.cache) > CACHED_PIECES:
-            self.cache = {}
-        cache, split = self.cache, [None if _AMID_SPACE.search(" " + t) else t.split(" ") for t in texts]
-        new = list({p for s in split if s is not None for p in s if p not in cache})
-        cache.update(zip(new, self._ids([" " + p for p in new]), strict=True))
-        whole = iter(self._ids([" " + t for t, s in zip(texts, split, strict=True) if s is None]))
-        return [next(whole) if s is None else np.concatenate([cache[p] for p in s]) for s in split]
+        got = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in got]
 
 
 class TokenizerB:
@@ -115,18 +106,55 @@ class TokenizerB:
         self.pieces = Pieces([bytes([int(t[3:5], 16)]) if self.model.is_byte(i) else t.replace("▁", " ").encode("utf-8")
                               for i, t in enumerate(names)])
 
+        self.by_pieces = not any(" " in p.lstrip(b" ").decode("utf-8", "replace") for p in self.pieces.bytes) and all(
+            self.model.encode(t) == [i for w in t.split(" ") for i in self.model.encode(w)] for t in _PROBES)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x, np.uint32) for x in self.model.encode(texts, num_threads=1)]
 
 
-_LOADED: dict[int, tuple[TokenizerA, TokenizerB]] = {}
+class Both:
+    """Both tokenizers, and the pieces of texts that they have met."""
+
+    def __init__(self, a: str, b: bytes):
+        self.a, self.b = TokenizerA(a), TokenizerB(b)
+        self.by_pieces = self.a.by_pieces and self.b.by_pieces
+        self.cache: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def _coded(self, texts: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
+        """The ids of a space and each text in A and in B; None if their bytes are not the text's."""
+        for lo in range(0, len(texts), _AT_ONCE):
+            some = texts[lo:lo + _AT_ONCE]
+            for t, x, y in zip(some, self.a.encode(some), self.b.encode(some), strict=True):
+                whole = b" " + t.encode("utf-8")
+                sound = self.a.pieces.joined(x) == whole and self.b.pieces.joined(y) == whole
+                yield (x.tobytes(), y.tobytes()) if sound else None
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of each text in A and B as unsigned 32-bit numbers; None for a text without tokens."""
+        cache = self.cache = {} if len(self.cache) > CACHED_PIECES else self.cache
+        split = [t.split(" ") if t and self.by_pieces and not _AMID_SPACE.search(" " + t) and not t.endswith(" ") else None for t in texts]
+        new = list({p for s in split if s is not None for p in s if p not in cache})
+        cache.update(zip(new, self._coded(new), strict=True))
+        whole = self._coded([t for t, s in zip(texts, split, strict=True) if t and s is None])
+        out = []
+        for t, s in zip(texts, split, strict=True):
+            if not t or s is None:
+                out.append(next(whole) if t else None)
+                continue
+            parts = [cache[p] for p in s]
+            out.append(None if None in parts else (b"".join([a for a, _ in parts]), b"".join([b for _, b in parts])))
+        return out
+
+
+_LOADED: dict[int, Both] = {}
 
 
-def tokenizers(a: str, b: bytes) -> tuple[TokenizerA, TokenizerB]:
+def tokenizers(a: str, b: bytes) -> Both:
     """Both tokenizers, loaded once in a Python worker."""
     key = hash((a, b))
     if key not in _LOADED:
-        _LOADED[key] = TokenizerA(a), TokenizerB(b)
+        _LOADED[key] = Both(a, b)
     return _LOADED[key]
 
 
@@ -196,23 +224,21 @@ def windows_of(docs: DataFrame, a: str, b: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        ta, tb = tokenizers(*models.value)
+        both = tokenizers(*models.value)
+        pieces_a, pieces_b = both.a.pieces, both.b.pieces
         for doc_ids, column in text_blocks(batches, BLOCK_BYTES):
-            texts = column.to_pylist()
-            coded = list(zip(ta.encode(texts), tb.encode(texts), strict=True))
-            sound = [bool(t) and ta.pieces.joined(x) == (whole := b" " + t.encode("utf-8")) and tb.pieces.joined(y) == whole
-                     for t, (x, y) in zip(texts, coded, strict=True)]
-            kept = [c for c, s in zip(coded, sound, strict=True) if s]
-            none = [np.zeros(0, np.uint32)]
-            ids_a, ids_b = (np.concatenate(none + [c[k] for c in kept]) for k in (0, 1))
-            bytes_of = np.array([int(ta.pieces.length[x].sum()) for x, _ in kept], np.int64)
-            begins = np.cumsum(bytes_of) - bytes_of
-            at_a, at_b = cut(ids_a, ids_b, ta.pieces, tb.pieces, begins)
+            coded = both.encode(column.to_pylist())
+            sound = np.array([c is not None for c in coded], bool)
+            kept = [c for c in coded if c is not None]
+            raw_a, raw_b = (b"".join([c[k] for c in kept]) for k in (0, 1))
+            ids_a, ids_b = np.frombuffer(raw_a, np.uint32), np.frombuffer(raw_b, np.uint32)
+            tokens = np.cumsum([0] + [len(x) >> 2 for x, _ in kept])
+            upto = np.r_[0, np.cumsum(pieces_a.length[ids_a])]
+            begins = upto[tokens[:-1]]
+            at_a, at_b = cut(ids_a, ids_b, pieces_a, pieces_b, begins)
             # the windows of a text are those from its first token on
-            tokens = np.cumsum([0] + [len(x) for x, _ in kept])
-            n_windows = np.zeros(len(texts), np.int64)
-            n_windows[np.array(sound, bool)] = np.diff(np.searchsorted(at_a, tokens))
-            raw_a, raw_b = ids_a.tobytes(), ids_b.tobytes()
+            n_windows = np.zeros(len(coded), np.int64)
+            n_windows[sound] = np.diff(np.searchsorted(at_a, tokens))
             ends_a, ends_b = [*at_a.tolist(), len(ids_a)], [*at_b.tolist(), len(ids_b)]
             number: dict[tuple[bytes, bytes], int] = {}
             windows = [number.setdefault((raw_a[4 * i:4 * j], raw_b[4 * k:4 * m]), len(number))
@@ -232,13 +258,13 @@ def windows_of(docs: DataFrame, a: str, b: bytes) -> DataFrame:
 _BLOCK_ARROW = pa.schema([("block", pa.string())] + [(f.split()[0], pa.binary()) for f in _BLOCK.split(", ")[1:]])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], ta: TokenizerA, tb: TokenizerB) -> Iterator[tuple[dict, Windows, np.ndarray]]:
+def _blocks(batches: Iterator[pa.RecordBatch], both: Both) -> Iterator[tuple[dict, Windows, np.ndarray]]:
     """Each block, its aligned windows and the windows of its texts one after the other."""
     for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
             ids = [np.frombuffer(row[name], "<u4") for name in ("a_ids", "a_n", "b_ids", "b_n")]
-            yield row, Windows(*ids, ta.pieces, tb.pieces), np.frombuffer(row["windows"], "<u4").astype(np.int64)
+            yield row, Windows(*ids, both.a.pieces, both.b.pieces), np.frombuffer(row["windows"], "<u4").astype(np.int64)
 
 
 def pair_counts(blocks: DataFrame, a: str, b: bytes) -> DataFrame:
@@ -250,9 +276,8 @@ def pair_counts(blocks: DataFrame, a: str, b: bytes) -> DataFrame:
         return pairs, np.bincount(at, np.concatenate([n for _, n in held]), len(pairs)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ta, tb = tokenizers(*models.value)
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for _, w, placed in _blocks(batches, ta, tb):
+        for _, w, placed in _blocks(batches, tokenizers(*models.value)):
             times = np.bincount(placed, minlength=len(w.n_links))
             held.append(merged([(w.pairs, np.repeat(times, w.n_links))]))
             if sum(len(p) for p, _ in held) > 2 * _HELD_PAIRS:
@@ -306,15 +331,15 @@ def align(docs: DataFrame, a: str, b: bytes, broadcast_pairs: int = BROADCAST_PA
         table = spark.sparkContext.broadcast([got.column(k).to_numpy() for k in range(3)])
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            (known, links, best), (ta, tb) = table.value, tokenizers(*models.value)
-            for row, w, placed in _blocks(batches, ta, tb):
+            known, links, best = table.value
+            for row, w, placed in _blocks(batches, tokenizers(*models.value)):
                 at = np.searchsorted(known, w.pairs)
                 yield _scored(row, w, placed, links[at], best[at])
 
         return blocks.mapInArrow(score, _OUT)
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, w, _ in _blocks(batches, *tokenizers(*models.value)):
+        for row, w, _ in _blocks(batches, tokenizers(*models.value)):
             found = np.unique(w.pairs)
             yield pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(found)), pa.array(found)], names=["block", "pair"])
 
@@ -322,7 +347,7 @@ def align(docs: DataFrame, a: str, b: bytes, broadcast_pairs: int = BROADCAST_PA
         known = right.sort_by("pair")
         known, links, best = (known.column(k).to_numpy() for k in ("pair", "links", "best"))
         out = []
-        for row, w, placed in _blocks(iter(left.to_batches()), *tokenizers(*models.value)):
+        for row, w, placed in _blocks(iter(left.to_batches()), tokenizers(*models.value)):
             at = np.searchsorted(known, w.pairs)
             out.append(_scored(row, w, placed, links[at], best[at]))
         return pa.Table.from_batches(out, _OUT_ARROW)

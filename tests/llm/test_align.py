@@ -115,10 +115,20 @@ def test_no_sound_text(spark, broadcast_pairs):
 
 
 def test_windows_begin_at_shared_space_marks():
-    ta, tb = align.tokenizers(A, B)
+    both = align.tokenizers(A, B)
+    assert both.by_pieces
+    pa, pb = both.a.pieces, both.b.pieces
     for t in ("the quick brown foxes jump", "antidisestablish mentarian's 12345 words", "x" * 50):
-        a, b = ta.encode([t])[0], tb.encode([t])[0]
-        at_a, at_b = align.cut(a, b, ta.pieces, tb.pieces, [0])
+        a, b = both.a.encode([t])[0], both.b.encode([t])[0]
+        at_a, at_b = align.cut(a, b, pa, pb, [0])
         assert at_a[0] == at_b[0] == 0 and len(at_a) == len(t.split())
         for i, j in zip(at_a, at_b, strict=True):
-            assert ta.pieces.joined(a[i:])[:1] == tb.pieces.joined(b[j:])[:1] == b" " and ta.pieces.joined(a[:i]) == tb.pieces.joined(b[:j])
+            assert pa.joined(a[i:])[:1] == pb.joined(b[j:])[:1] == b" " and pa.joined(a[:i]) == pb.joined(b[:j])
+
+
+def test_pieces_and_whole_texts_agree(spark):
+    """The remembered pieces give the ids of whole texts."""
+    both = align.tokenizers(A, B)
+    docs = [t for _, t in given(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))]
+    for t, got in zip(docs, both.encode(docs), strict=True):
+        assert [list(memoryview(x).cast("I")) for x in got] == [a_bytes(" " + t)[0], b_bytes(t)[0]]
