@@ -6,9 +6,8 @@ it.  Here that is a Structured Streaming query over the file source, a few files
 micro-batch (``maxFilesPerTrigger``, ``availableNow``):
 
 * a file's batch number is its rank by sorted path, not its time of arrival;
-* a table of ``(key, batch)``, the first batch that holds each key so far, is carried from
-  micro-batch to micro-batch.  It is read once and written once per micro-batch and never
-  has more rows than there are wanted keys;
+* the first batch of each key so far is a table in levels (see ``levels``): a micro-batch
+  reads the few runs there are for its own keys and writes a run of the keys it found first;
 * a micro-batch writes the rows of keys for which its files hold the first batch known,
   their findings, and (given metadata) their notes; a later file of an earlier batch may
   still win, so readers keep the rows whose batch is the final one;
@@ -26,8 +25,10 @@ from pyspark.sql.types import StructType
 
 from ..functions.patterns import RULES
 from ..operators.notes import FILES_PER_BATCH
+from ..operators.sizing import write_table
 from ..operators.staging import findings_table
-from ..sources.readers import _fs_glob, file_ranks
+from ..sources.readers import file_ranks, with_file_ranks
+from .levels import KeyLevels
 
 TEXTS, FINDINGS, NOTES, KEYS = "texts", "findings", "notes", "keys"
 
@@ -41,12 +42,6 @@ def _in_path_order(spark: SparkSession, source_dir: str, glob: str) -> bool:
         "_before >= modificationTime").limit(1).count()
 
 
-def _key_table(spark: SparkSession, out_dir: str) -> str | None:
-    """The newest table of first batches, if any was finished."""
-    done = [p.rsplit("/", 2)[1] for p in _fs_glob(spark, f"{out_dir}/{KEYS}/*/_SUCCESS")]
-    return f"{out_dir}/{KEYS}/{max(done, key=int)}" if done else None
-
-
 def stream_first_batch(spark: SparkSession, source_dir: str, schema: StructType, wanted_keys: DataFrame,
                        out_dir: str, checkpoint_dir: str, key: str = "deid_note_key", text_col: str = "note_text",
                        files_per_batch: int = FILES_PER_BATCH, glob: str = "*.parquet", metadata: DataFrame | None = None,
@@ -55,25 +50,33 @@ def stream_first_batch(spark: SparkSession, source_dir: str, schema: StructType,
     out_dir = out_dir.rstrip("/")
     wanted = wanted_keys.select(key).where(F.col(key).isNotNull()).distinct()
     ranks = file_ranks(spark, source_dir, glob, "_rank")
+    levels = KeyLevels(spark, f"{out_dir}/{KEYS}", key)
     may_end, n_wanted = _in_path_order(spark, source_dir, glob), wanted.count()
-    all_found, run, last = threading.Event(), [], _key_table(spark, out_dir)
-    if may_end and last is not None and spark.read.parquet(last).count() == n_wanted:
+    all_found, run = threading.Event(), []
+    last = levels.last()
+    found = levels.first_batches(last).count() if may_end and last >= 0 else 0
+    if may_end and last >= 0 and found == n_wanted:
         return 0  # an earlier run found them all
+    total = {last: found}  # keys found up to a micro-batch
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .option("recursiveFileLookup", True).option("pathGlobFilter", glob).parquet(source_dir))
-    located = stream.select("*", F.col("_metadata.file_path").alias("_path")).join(ranks, "_path", "left")
+    located = with_file_ranks(stream.select("*", F.col("_metadata.file_path").alias("_path")), ranks, "_rank", "left")
     # a file that came after the listing belongs behind all others
     batch_no = F.floor(F.coalesce("_rank", F.lit((1 << 62) - 1)) / files_per_batch).cast("long")
     rows = located.withColumn("batch", batch_no).drop("_path", "_rank").join(wanted, key, "left_semi")
 
     def write_batch(batch: DataFrame, number: int) -> None:
         here = batch.sparkSession
-        first = batch.groupBy(key).agg(F.min("batch").alias("batch"))
+        levels.sweep(number - 1)
+        first = batch.groupBy(key).agg(F.min("batch").alias("batch")).withColumn("fresh", F.lit(True))
         if number:
-            first = first.unionByName(here.read.parquet(f"{out_dir}/{KEYS}/{number - 1}")).groupBy(key).agg(F.min("batch").alias("batch"))
-        first.write.mode("overwrite").parquet(f"{out_dir}/{KEYS}/{number}")
-        first = here.read.schema(first.schema).parquet(f"{out_dir}/{KEYS}/{number}")
-        texts = batch.join(first, [key, "batch"])
+            # the keys of the micro-batch, a small table, look themselves up in the runs
+            first = write_table(first.drop("fresh"), "batch-keys")
+            known = levels.read(0, number - 1).join(first.select(key), key, "left_semi").groupBy(key).agg(F.min("batch").alias("_known"))
+            first = first.join(known, key, "left").where("_known IS NULL OR batch <= _known").select(
+                key, "batch", F.col("_known").isNull().alias("fresh"))
+        first = levels.add(number, first)
+        texts = batch.join(first.drop("fresh"), [key, "batch"])
         texts.write.mode("overwrite").parquet(f"{out_dir}/{TEXTS}/part={number}")
         texts = here.read.schema(texts.schema).parquet(f"{out_dir}/{TEXTS}/part={number}")
         ids = [c for c in texts.columns if c != text_col]
@@ -81,8 +84,12 @@ def stream_first_batch(spark: SparkSession, source_dir: str, schema: StructType,
         if metadata is not None:  # C4 inside the batch
             texts.join(metadata, key).write.mode("overwrite").parquet(f"{out_dir}/{NOTES}/part={number}")
         run.append(number)
-        if may_end and first.count() == n_wanted:
-            all_found.set()
+        if may_end:
+            if number - 1 not in total:  # a replay of the last run
+                total[number - 1] = levels.first_batches(number - 1).count() if number else 0
+            total[number] = total[number - 1] + first.where("fresh").count()
+            if total[number] == n_wanted:
+                all_found.set()
 
     query = (rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
              .trigger(availableNow=True).start())
@@ -95,8 +102,8 @@ def stream_first_batch(spark: SparkSession, source_dir: str, schema: StructType,
 def read_output(spark: SparkSession, out_dir: str, what: str = TEXTS, key: str = "deid_note_key") -> DataFrame:
     """The rows of an output (texts, findings or notes) that belong to their key's first batch."""
     out_dir = out_dir.rstrip("/")
-    first = _key_table(spark, out_dir)
-    if first is None:
+    levels = KeyLevels(spark, f"{out_dir}/{KEYS}", key)
+    if (last := levels.last()) < 0:
         raise FileNotFoundError(f"no finished batch in {out_dir}")
     rows = spark.read.option("basePath", f"{out_dir}/{what}").parquet(f"{out_dir}/{what}")
-    return rows.drop("part").join(spark.read.parquet(first), [key, "batch"])
+    return rows.drop("part").join(levels.first_batches(last), [key, "batch"])
