@@ -1,76 +1,64 @@
 """Per-patient staging timeline (E6): findings in date order with a sequence number and
 the previous stage.
 
-Not a ``Window.partitionBy(patient)``: a patient with a third of all findings would sort
-in one task.  Rows are range-partitioned in (patient, date, note, finding) order, which
-splits a hot patient, and one pass over each sorted range gives the position of a row
-within its patient's run there and the stage before it.  What a patient brings along from
-earlier ranges comes from one row per range.
+Most patients are one window each, ordered by (date, note, finding).  A patient with more
+than ``MAX_RUN`` rows would sort in one task: such patients are range-partitioned in (patient,
+date, note, finding) order instead, a window runs over each patient's part of a range, and
+what the patient brings along from earlier ranges comes from one row per range.  All of it
+is native Spark; which patients are long is one narrow aggregation over a written table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .index import range_sorted
 from .sizing import write_table
 
+MAX_RUN = 1_000_000
+
 
-def _runs(patient: int, stage: int):
-    """A pass over sorted batches: ``_seq`` (1-based in the run) and ``_prev`` (stage before)."""
+def _in_windows(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    w = Window.partitionBy(*by).orderBy(*order)
+    return rows.select("*", F.row_number().over(w).cast("long").alias("seq"), F.lag("stage").over(w).alias("previous_stage"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_patient, last_stage, count, first = None, None, 0, True
-        for b in batches:
-            if not b.num_rows:
-                continue
-            who = np.array(b.column(patient).to_pylist(), object)
-            stages = b.column(stage).to_pylist()
-            new = np.r_[first or who[0] != last_patient, who[1:] != who[:-1]]
-            starts = np.nonzero(new)[0]
-            seq = np.arange(1, len(who) + 1) - np.r_[0, starts][np.searchsorted(starts, np.arange(len(who)), side="right")]
-            seq[:starts[0] if len(starts) else len(who)] += count
-            prev = [None if n else s for n, s in zip(new.tolist(), [last_stage, *stages[:-1]], strict=True)]
-            last_patient, last_stage, count, first = who[-1], stages[-1], int(seq[-1]), False
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(seq, pa.int64()), pa.array(prev, pa.string())],
-                                             names=[*b.schema.names, "_seq", "_prev"])
 
-    return run
+def _in_ranges(rows: DataFrame, patient: str, order: list[str]) -> DataFrame:
+    """The same for patients of any length: windows over ranges of the written table ``rows``."""
+    ordered = range_sorted(rows, [patient, *order], written=True).drop("_local")
+    local = write_table(_in_windows(ordered, ["_pid", patient], order), "timeline")
+    # one row for each patient's part of a range; a patient with several parts spans whole ranges
+    place = F.struct(*order)
+    parts = local.groupBy(patient, "_pid").agg(F.count(F.lit(1)).alias("n"), F.max_by("stage", F.struct(place, "seq")).alias("last"))
+    before = Window.partitionBy(patient).orderBy("_pid")
+    carry = parts.select(F.col(patient).alias("_who"), F.col("_pid").alias("_at"),
+                         F.coalesce(F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                         F.lag("last").over(before).alias("_last"))
+    out = local.join(carry, F.col(patient).eqNullSafe(F.col("_who")) & (F.col("_pid") == F.col("_at")))
+    first: Column = (F.col("seq") == 1) & (F.col("_before") > 0)
+    return out.withColumn("previous_stage", F.when(first, F.col("_last")).otherwise(F.col("previous_stage"))).withColumn(
+        "seq", F.col("seq") + F.col("_before")).drop("_who", "_at", "_before", "_last", "_pid")
 
 
 def staging_timeline(findings: DataFrame, metadata: DataFrame, key: str = "deid_note_key",
                      patient_col: str = "patientdurablekey", date_col: str = "datekeyvalue",
-                     note_id_col: str = "deid_note_id", row_cols: tuple[str, ...] = ("note_no",)) -> DataFrame:
+                     note_id_col: str = "deid_note_id", row_cols: tuple[str, ...] = ("note_no",), max_run: int = MAX_RUN) -> DataFrame:
     """``findings``: (key, ``row_cols`` of the text row, finding_no, stage, system) per text
     row; ``metadata``: rows joined with their encounters, which carry the date.
 
     Output: patient, date, note id, key, ``row_cols``, finding_no, stage, system, seq
     (1-based per patient), previous_stage (null for the patient's first finding).
     """
-    cols = [patient_col, date_col, note_id_col, key, *row_cols, "finding_no"]
+    order = [date_col, note_id_col, key, *row_cols, "finding_no"]
     f = findings.select(key, *row_cols, "finding_no", "stage", "system")
     rows = f.join(metadata.select(key, patient_col, date_col, note_id_col), key, "inner")
-    ordered = range_sorted(rows.select(*cols, "stage", "system"), cols).drop("_local")
-    names = ordered.columns
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in ordered.schema.fields)
-    local = write_table(ordered.mapInArrow(_runs(names.index(patient_col), names.index("stage")),
-                                           f"{schema}, _seq long, _prev string"), "timeline")
-    # one row per range: the patients at its ends, and the last row's place and stage
-    ends = write_table(local.groupBy("_pid").agg(
-        F.min_by(patient_col, F.struct(*cols)).alias("head"), F.max_by(patient_col, F.struct(*cols, "_seq")).alias("tail"),
-        F.max_by("_seq", F.struct(*cols, "_seq")).alias("n"), F.max_by("stage", F.struct(*cols, "_seq")).alias("stage")), "ends")
-    run = F.sum("n").over(Window.partitionBy("tail").orderBy("_pid"))
-    one = Window.orderBy("_pid")
-    carry = ends.withColumn("run", run).select(
-        "_pid", F.col("head").alias("_head"), F.lag("tail").over(one).alias("tail"), F.lag("run").over(one).alias("_before"),
-        F.lag("stage").over(one).alias("_last"))
-    carry = carry.where(F.col("_before").isNotNull() & F.col("_head").eqNullSafe(F.col("tail"))).drop("tail")
-    out = local.join(F.broadcast(carry), "_pid", "left")  # at most one row per range
-    here = F.col("_before").isNotNull() & F.col(patient_col).eqNullSafe(F.col("_head"))
-    return out.select(*cols, "stage", "system", (F.col("_seq") + F.when(here, F.col("_before")).otherwise(0)).alias("seq"),
-                      F.when(here & (F.col("_seq") == 1), F.col("_last")).otherwise(F.col("_prev")).alias("previous_stage"))
+    rows = write_table(rows.select(patient_col, *order, "stage", "system"), "patient-findings")
+    n = rows.groupBy(patient_col).agg(F.count(F.lit(1)).alias("_n"))
+    long = write_table(n.where(F.col("_n") > max_run).select(F.col(patient_col).alias("_long")), "long-patients")
+    if not long.limit(1).count():
+        return _in_windows(rows, [patient_col], order)
+    # at most rows / max_run patients
+    is_long = F.col(patient_col).eqNullSafe(F.col("_long"))
+    short, rest = rows.join(long, is_long, "left_anti"), rows.join(long, is_long, "left_semi")
+    return _in_windows(short, [patient_col], order).unionByName(_in_ranges(write_table(rest, "long-findings"), patient_col, order))
