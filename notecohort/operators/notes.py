@@ -3,7 +3,7 @@ filter, first-batch-wins de-duplication, chunk numbers, coverage and row-count r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import non_blank
@@ -130,16 +130,38 @@ def chunk_assign(rows: DataFrame, order_cols: list[str], chunk_rows: int = CHUNK
     return indexed.withColumn("chunk_no", (F.floor(F.col("_pos") / chunk_rows) + 1).cast("long")).drop("_pos")
 
 
+def write_bucketed(rows: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
+    """``rows`` as a table in ``buckets`` buckets of ``key``, sorted in each, with its files under
+    ``path``; written once, it is joined by ``key`` in every later run without a shuffle.
+
+    Rows are dealt by the key before the write, so a bucket is one file.
+    """
+    dealt = rows.repartition(buckets, key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(table)
+    return rows.sparkSession.table(table)
+
+
 def sample_keys(rows: DataFrame, keys: list[str], n: int = 3) -> DataFrame:
     """E5: the first ``n`` keys in key order (the limit is the feature: a head sample)."""
     return rows.select(*keys).orderBy(*keys).limit(n)
 
 
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """D3: one row per named step with its row count, as one plan (union of counts)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("step"), "row_count")
-             for name, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+class StepCounts:
+    """D3: row counts of named steps, gathered while the steps run (``observe``): no step is
+    executed a second time to be counted.
+
+    ``of(name, df)`` gives the step to go on with.  ``table()`` waits for an action that runs
+    all steps and gives one row per step, in the order in which they were named.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.seen: dict[str, Observation] = {}
+
+    def of(self, name: str, step: DataFrame) -> DataFrame:
+        self.seen[name] = Observation(name)
+        return step.observe(self.seen[name], F.count(F.lit(1)).alias("row_count"))
+
+    def table(self) -> DataFrame:
+        rows = [(name, seen.get["row_count"]) for name, seen in self.seen.items()]
+        return self.spark.createDataFrame(rows, "step string, row_count long")

@@ -95,6 +95,13 @@ CHUNK_ORDER = ["deid_note_id", "deid_note_key", "note_type", "patientdurablekey"
 TEXT_ROW = ["deid_note_key", "note_no"]
 # Small enough that the fixtures give several partitions and chunks.
 PER_PARTITION, CHUNK_ROWS = 100, 1000
+BUCKETS = 8
+# Rows of a file where the fixtures are written as files: their number grows with the table.
+ROWS_PER_FILE = 150
+# Rows of a row group in the files of which one is broken.
+GROUP_ROWS = 10
+# A date key that some encounters come before.
+SINCE = 19980101
 NOTE_OUT = ["deid_note_key", "deid_note_id", "patientdurablekey", "note_type", "stage", "system"]
 
 
@@ -179,8 +186,29 @@ def q_note_key_coverage(c: Chain) -> DataFrame:
 
 
 def q_stage_counts(c: Chain) -> DataFrame:
-    return notes.stage_counts({"encounters_loaded": c.fx.encounterfact, "encounters_matched": c.enc_stage,
-                               "metadata_merged": c.meta_stage, "notes_joined": c.notes})
+    counts = notes.StepCounts(c.spark)
+    matched = cohort.filter_encounters(counts.of("encounters_loaded", c.fx.encounterfact), c.cohort_keys)
+    merged = notes.join_metadata_encounters(c.fx.note_metadata, counts.of("encounters_matched", matched))
+    merged = write_table(counts.of("metadata_merged", merged), "filtered-metadata")
+    texts = notes.filter_note_text(c.fx.note_text, write_table(notes.distinct_note_keys(merged), "note-keys"))
+    joined = counts.of("notes_joined", notes.join_text_metadata(texts, merged))
+    joined.write.format("noop").mode("overwrite").save()
+    return counts.table()
+
+
+def _bucketed(c: Chain, rows: DataFrame, name: str, key: str) -> DataFrame:
+    path = scratch_dir(c.spark, name)
+    return notes.write_bucketed(rows, path.rsplit("/", 1)[1].replace("-", "_"), key, BUCKETS, path)
+
+
+def q_metadata_encounter_bucketed(c: Chain) -> DataFrame:
+    metadata = _bucketed(c, notes.prune_metadata(c.fx.note_metadata), "metadata-buckets", "encounterkey")
+    return notes.join_metadata_encounters(metadata, _bucketed(c, c.enc_stage, "encounter-buckets", "encounterkey"))
+
+
+def q_note_text_join_bucketed(c: Chain) -> DataFrame:
+    texts = _bucketed(c, c.fx.note_text, "text-buckets", "deid_note_key")
+    return notes.join_text_metadata(texts, _bucketed(c, c.meta_stage, "metadata-buckets", "deid_note_key"))
 
 
 def _rule_query(name: str) -> Callable[[Chain], DataFrame]:
@@ -347,8 +375,33 @@ def q_scan_tolerant(c: Chain) -> DataFrame:
     return readers.read_tolerant(c.spark, _tolerant(c))
 
 
+def _break_second_group(spark: SparkSession, path: str) -> None:
+    """Overwrite the second row group of a parquet file with zeros; the footer stays."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    content = bytearray(spark.read.format("binaryFile").load(path).first()["content"])
+    group = pq.ParquetFile(pa.BufferReader(bytes(content))).metadata.row_group(1)
+    for k in range(group.num_columns):
+        column = group.column(k)
+        at = min(x for x in (column.dictionary_page_offset, column.data_page_offset) if x)
+        content[at:at + column.total_compressed_size] = bytes(column.total_compressed_size)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    out.write(content)
+    out.close()
+
+
 def q_skipped_files(c: Chain) -> DataFrame:
-    return readers.skipped_files(c.spark, _tolerant(c))
+    """One file per ``file_no`` in row groups of ten; the third breaks in its second group, and
+    one more is no parquet file."""
+    path = scratch_dir(c.spark, "texts-broken")
+    dealt = c.fx.note_text_files.repartitionById(7, F.col("file_no").cast("int"))
+    dealt.write.option("parquet.block.row.count.limit", GROUP_ROWS).parquet(path)
+    _break_second_group(c.spark, readers._fs_glob(c.spark, f"{path}/part-00002*")[0])
+    _write_corrupt(c.spark, f"{path}/part-corrupt.parquet")
+    name = F.regexp_extract("file_name", r"^part-\w+", 0)
+    return readers.skipped_files(c.spark, path).select(name.alias("file_name"), "promised", "rows_read", "status")
 
 
 def q_sink_partitioned(c: Chain) -> DataFrame:
@@ -368,6 +421,12 @@ def q_sink_chunked(c: Chain) -> DataFrame:
     return sized.drop("_file")
 
 
+def q_chunk_files(c: Chain) -> DataFrame:
+    path = scratch_dir(c.spark, "metadata-chunk-files")
+    sinks.write_chunk_files(c.meta_enc, path, CHUNK_ORDER, CHUNK_ROWS)
+    return sinks.read_chunk_files(c.spark, path)
+
+
 def q_sink_twin(c: Chain) -> DataFrame:
     path = scratch_dir(c.spark, "twin")
     out = c.enc.select("patientdurablekey", "encounterkey")
@@ -394,6 +453,24 @@ def q_resume_stages(c: Chain) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def q_resume_changed(c: Chain) -> DataFrame:
+    """Four runs of two stages: the first; nothing changed; a parameter changed; an input changed."""
+    root = scratch_dir(c.spark, "stages-changed")
+    c.enc.write.parquet(f"{root}/in")
+    out = []
+    for run, since in ((1, 0), (2, 0), (3, SINCE), (4, SINCE)):
+        if run == 4:
+            c.enc.write.mode("append").parquet(f"{root}/in")
+        ran = {"encounters": sinks.run_stage(
+            c.spark, f"{root}/encounters", lambda since=since: c.spark.read.parquet(f"{root}/in").where(F.col("datekey") >= since),
+            inputs=[f"{root}/in"], params={"since": since})}
+        ran["metadata"] = sinks.run_stage(
+            c.spark, f"{root}/metadata", lambda: notes.join_metadata_encounters(c.fx.note_metadata, c.spark.read.parquet(f"{root}/encounters")),
+            inputs=[f"{root}/encounters"])
+        out += [(run, step, did, c.spark.read.parquet(f"{root}/{step}").count()) for step, did in ran.items()]
+    return c.spark.createDataFrame(out, "run int, step string, ran boolean, row_count long")
+
+
 def q_combine_results(c: Chain) -> DataFrame:
     root = scratch_dir(c.spark, "staging-results")
     rows = notes.with_file_batch(c.fx.note_text_files)
@@ -403,30 +480,34 @@ def q_combine_results(c: Chain) -> DataFrame:
     return sinks.combine_results(c.spark, root, "batch=*")
 
 
-def _files(c: Chain, df: DataFrame, name: str, order: list[str]) -> str:
-    """``df`` as one file per ``file_no``, named in its order, rows in ``order``, without the
-    made-up numbers: the files are what is tested, so each is the work of one task."""
+def _files(c: Chain, df: DataFrame, name: str, row: str) -> str:
+    """``df`` as files that sort by (``file_no``, part), rows in order of ``row``, without the
+    made-up numbers.  A ``file_no`` has so many parts that a file holds about ``ROWS_PER_FILE``
+    rows at any size of the table; a task writes whole files."""
     path = scratch_dir(c.spark, name)
-    named = df.withColumn("f", F.format_string("%03d", F.col("file_no").cast("int"))).drop("file_no")
-    named.repartition("f").sortWithinPartitions("f", *order).drop("row_no").write.partitionBy("f").parquet(path)
+    n = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file_no").alias("files")).first()
+    parts = 1 + n["n"] // (ROWS_PER_FILE * max(n["files"], 1))
+    named = df.withColumn("f", F.format_string("%03d-%09d", F.col("file_no").cast("int"), F.pmod(F.col(row), F.lit(parts))))
+    dealt = named.drop("file_no").repartition(max(n["files"] * parts, 1), "f").sortWithinPartitions("f", row)
+    dealt.drop("row_no").write.partitionBy("f").parquet(path)
     return path
 
 
 def q_id_mapping_files(c: Chain) -> DataFrame:
-    path = _files(c, c.fx.patdurabledim, "dim-ordered", ["row_no"])
+    path = _files(c, c.fx.patdurabledim, "dim-ordered", "row_no")
     dim = readers.read_with_file_order(c.spark, path).select("patientepicid", "patientdurablekey", "file_no", "row_no")
     return cohort.map_ids(c.fx.patient_ids, dim).select("person_source_value", "patientdurablekey")
 
 
 def q_first_batch_files(c: Chain) -> DataFrame:
-    path = _files(c, c.fx.note_text_files, "texts-ordered", ["note_no"])
+    path = _files(c, c.fx.note_text_files, "texts-ordered", "note_no")
     rows = readers.read_with_file_order(c.spark, path)
     out = notes.first_batch_notes(rows, c.meta_stage)
     return out.select(*TEXT_ROW, "note_text", "batch", "deid_note_id", "encounterkey")
 
 
 def _streamed(c: Chain, what: str) -> DataFrame:
-    src = _files(c, c.fx.note_text_files, "stream-src", ["note_no"])
+    src = _files(c, c.fx.note_text_files, "stream-src", "note_no")
     schema = T.StructType([T.StructField("deid_note_key", T.StringType()), T.StructField("note_no", T.LongType()),
                            T.StructField("note_text", T.StringType())])
     out = scratch_dir(c.spark, "stream-out")
@@ -496,6 +577,10 @@ SPARK: dict[str, Callable[[Chain], DataFrame]] = {
     "skipped_files": q_skipped_files,
     "sink_partitioned": q_sink_partitioned,
     "sink_chunked": q_sink_chunked,
+    "chunk_files": q_chunk_files,
+    "metadata_encounter_bucketed": q_metadata_encounter_bucketed,
+    "note_text_join_bucketed": q_note_text_join_bucketed,
+    "resume_changed": q_resume_changed,
     "sink_twin": q_sink_twin,
     "sink_csv": q_sink_csv,
     "resume_stages": q_resume_stages,
@@ -555,8 +640,10 @@ def _oracles() -> dict[str, str]:
                    f"where {_nb()} and patientdurablekey in (select patientdurablekey from budget where not fits)")]
     both_modes = ("select *, 'patient' as request_mode from batched "
                   "union all select *, 'note' from single where stage is not null")
-    won = ("select deid_note_key, note_no, note_text, batch from (select *, file_no // 3 as batch, "
-           "min(file_no // 3) over (partition by deid_note_key) as mb from note_text_files "
+    parts = "(select 1 + count(*) // ({} * count(distinct file_no)) as parts from {{}})".format(ROWS_PER_FILE)
+    won = ("select deid_note_key, note_no, note_text, batch from (select *, min(batch) over (partition by deid_note_key) as mb from "
+           "(select *, (dense_rank() over (order by file_no, note_no % parts) - 1) // 3 as batch "
+           f"from note_text_files, {parts.format('note_text_files')}) "
            "where deid_note_key in (select deid_note_key from meta_enc)) where batch = mb")
     won_notes = "select won.*, m.deid_note_id, m.encounterkey from won join meta_enc m using (deid_note_key)"
     stage_r, system_r = O.parse_sql("response")
@@ -662,14 +749,25 @@ def _oracles() -> dict[str, str]:
         "scan_required": fx("select patientepicid, case when row_no % 10 > 0 then patientdurablekey end as patientdurablekey, "
                             "file_no, row_no from patdurabledim"),
         "input_guard": fx("select true as parquet_found, false as orc_found, count(*) as row_count from encounterfact"),
-        "skipped_files": "select 'part-corrupt.parquet' as file_name",
+        "skipped_files": fx(
+            f"select 'part-00002' as file_name, count(*) as promised, cast({GROUP_ROWS} as bigint) as rows_read, 'partial' as status "
+            "from note_text_files where file_no = 2 union all select 'part-corrupt', null, 0, 'unreadable'"),
+        "resume_changed": O.chain("meta_enc", [
+            ("since", f"select * from enc where datekey >= {SINCE}"),
+            ("n", "select (select count(*) from enc) as e, (select count(*) from meta_enc) as m, (select count(*) from since) as f, "
+                  "(select count(*) from note_metadata join since using (encounterkey)) as k")], body=" union all ".join(
+            f"select {run} as run, '{step}' as step, {ran} as ran, {count} as row_count from n" for run, step, ran, count in (
+                (1, "encounters", "true", "e"), (1, "metadata", "true", "m"), (2, "encounters", "false", "e"), (2, "metadata", "false", "m"),
+                (3, "encounters", "true", "f"), (3, "metadata", "true", "k"), (4, "encounters", "true", "2 * f"), (4, "metadata", "true", "2 * k")))),
         "sink_twin": O.chain("enc", body=(
             "select patientdurablekey, encounterkey, 'parquet' as fmt from enc union all select patientdurablekey, encounterkey, 'csv' from enc")),
         "sink_csv": O.chain("mapped", body="select person_source_value, patientdurablekey, patientepicid from mapped".replace(", patientepicid", "")),
         "resume_stages": O.chain("meta_enc", body=(
             "select 'encounters' as step, true as ran_first, false as ran_again, count(*) as row_count from enc "
             "union all select 'metadata', true, false, count(*) from meta_enc")),
-        "id_mapping_files": O.chain("mapped", body="select person_source_value, patientdurablekey from mapped"),
+        "id_mapping_files": O.chain("mapped", body="select person_source_value, patientdurablekey from mapped").replace(
+            "order by file_no, row_no desc", "order by file_no, row_no % parts, row_no desc").replace(
+            "from dim_cut", f"from dim_cut, {parts.format('patdurabledim')}", 1),
         "first_batch_files": O.chain("meta_enc", [("won", won)], body=won_notes),
         "stream_notes": O.chain("meta_enc", [("won", won)], body=won_notes),
         "stream_findings": O.chain("meta_enc", [("won", won), ("f", O.findings_sql("won", [*TEXT_ROW, "batch"]))], body="select * from f"),
@@ -683,6 +781,9 @@ def _oracles() -> dict[str, str]:
             "select deid_note_key, note_no, file_no, batch as result_batch, cast(row_number()", 1)),
     }
     out["sink_partitioned"] = out["partition_assign"]
+    out["chunk_files"] = out["chunk_assign"]  # the number of the file is the number of the chunk
+    out["metadata_encounter_bucketed"] = out["metadata_encounter_join"]
+    out["note_text_join_bucketed"] = out["note_text_join"]
     for rname, key in (("tnm_standard", "find_tnm_standard"), ("tnm_prefixed", "find_tnm_prefixed"),
                        ("tnm_components", "find_tnm_components"), ("stage_standard", "find_stage_standard"),
                        ("stage_ajcc", "find_stage_ajcc"), ("stage_colon", "find_stage_colon"),

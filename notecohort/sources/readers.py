@@ -3,11 +3,19 @@ file-order columns, and the missing-input guard."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.sizing import write_table
+from ..session import ship_package
+
+#: Ranks of up to so many files (16 MB) are sent to the rows.
+BROADCAST_FILES = 1 << 20
+
 
 def _fs_glob(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching a Hadoop glob (metadata listing only, no data read)."""
@@ -57,23 +65,59 @@ def read_tolerant(spark: SparkSession, path: str, glob: str = "*.parquet") -> Da
             .option("mergeSchema", True).option("pathGlobFilter", glob).parquet(path))
 
 
-def read_with_required(spark: SparkSession, path: str, glob: str, required: list[str], threads: int = 16) -> DataFrame:
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_path, columns, shape, promised`` of parquet files, from their footers; null columns and
+    rows of a file whose footer cannot be read."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    for b in batches:
+        out = []
+        for path in b.column(0).to_pylist():
+            store, name = fs.FileSystem.from_uri(path)
+            try:
+                with store.open_input_file(name) as f:
+                    meta = pq.ParquetFile(f).metadata
+                schema = meta.schema.to_arrow_schema().remove_metadata()
+                out.append({"_path": path, "columns": schema.names, "shape": str(schema), "promised": meta.num_rows})
+            except (pa.ArrowInvalid, OSError) as e:
+                if isinstance(e, FileNotFoundError):
+                    raise
+                out.append({"_path": path, "columns": None, "shape": None, "promised": None})
+        yield pa.RecordBatch.from_pylist(out, _FOOTER)
+
+
+_FOOTER = pa.schema([("_path", pa.string()), ("columns", pa.list_(pa.string())), ("shape", pa.string()), ("promised", pa.int64())])
+
+
+def read_footers(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+    """``_path, columns, shape, promised`` of every file, read by the executors; a written table
+    of one row a file."""
+    ship_package(spark)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return write_table(list_files(spark, path, glob).repartition(tasks).mapInArrow(_footers, "_path string, columns array<string>, shape string, promised long"), "footers")
+
+
+def read_with_required(spark: SparkSession, path: str, glob: str, required: list[str]) -> DataFrame:
     """The rows of the files that have every required column; other files are skipped.
 
-    The gate is on files, not rows: a row of a good file may hold nulls there.  Schemas are
-    read from the footers, some files at a time.
+    The gate is on files, not rows: a row of a good file may hold nulls there.  Footers are
+    read by the executors; the driver gets one file for each distinct schema, and the names of
+    the good files (which Spark's file index holds there too) only if some file is not.
     """
-    files = _fs_glob(spark, f"{path.rstrip('/')}/{glob}")
-    with ThreadPoolExecutor(threads) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
-    good = [f for f, schema in zip(files, schemas, strict=True) if set(required) <= set(schema.names)]
-    if good:
-        return spark.read.option("mergeSchema", True).parquet(*good)
-    return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in required))
+    good = F.coalesce(F.size(F.array_intersect("columns", F.array(*map(F.lit, required)))) == len(set(required)), F.lit(False))
+    files = read_footers(spark, path, glob).select("_path", "shape", good.alias("good"))
+    one_each = [unquote(r["_path"]) for r in files.where("good").groupBy("shape").agg(F.min("_path").alias("_path")).orderBy("_path").collect()]
+    if not one_each:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in required))
+    reader = spark.read.schema(spark.read.option("mergeSchema", True).parquet(*one_each).schema)
+    if files.where("NOT good").limit(1).count():
+        return reader.parquet(*[unquote(r["_path"]) for r in files.where("good").orderBy("_path").collect()])
+    return reader.option("pathGlobFilter", glob).parquet(path)
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """``_path`` of every file below ``path`` that matches; file contents are not read."""
+    """``_path`` (a URI) of every file below ``path`` that matches; file contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     return files.select(F.col("_metadata.file_path").alias("_path"))
 
@@ -84,17 +128,47 @@ def file_ranks(spark: SparkSession, path: str, glob: str = "*.parquet", file_ran
     return list_files(spark, path, glob).select("_path", rank.alias(file_rank_col))
 
 
+def with_file_ranks(rows: DataFrame, ranks: DataFrame, file_rank_col: str = "file_no", how: str = "inner",
+                    broadcast_files: int = BROADCAST_FILES) -> DataFrame:
+    """``rows`` with the rank of their ``_path``, without moving them as long as the ranks can go
+    to them: as 64-bit hashes of the paths, 16 bytes a file, for up to ``broadcast_files`` files.
+
+    Beyond that, or should two paths share a hash, the rows are joined by path.
+    """
+    hashed = ranks.select(F.xxhash64("_path").alias("_file"), file_rank_col)
+    n = hashed.agg(F.count(F.lit(1)).alias("files"), F.count_distinct("_file").alias("hashes")).first()
+    if n["files"] > broadcast_files or n["hashes"] < n["files"]:
+        return rows.join(ranks, "_path", how)
+    return rows.withColumn("_file", F.xxhash64("_path")).join(F.broadcast(hashed), "_file", how).drop("_file")
+
+
 def read_with_file_order(spark: SparkSession, path: str, glob: str = "*.parquet", file_rank_col: str = "file_no",
                          row_col: str = "row_no") -> DataFrame:
     """Parquet files with columns that make file order explicit: the rank of the source file
     by sorted path (0-based) and the row's index inside its file."""
     rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).parquet(path)
     located = rows.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias(row_col))
-    return located.join(file_ranks(spark, path, glob, file_rank_col), "_path").drop("_path")
+    return with_file_ranks(located, file_ranks(spark, path, glob, file_rank_col), file_rank_col).drop("_path")
+
+
+def file_report(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+    """``_path, promised, rows_read, status`` of every file that ``read_tolerant`` meets.
+
+    The rows that a footer promises are held against the rows read: a file is ``whole``,
+    ``partial`` (it broke half-way: the rows before that were read, the rest is lost) or
+    ``unreadable`` (no footer, so nothing is promised).
+    """
+    rows = read_tolerant(spark, path, glob)
+    # every column is decoded, as a broken page shows only then; the digest is kept so that it is not pruned
+    read = rows.groupBy(F.col("_metadata.file_path").alias("_path")).agg(
+        F.count(F.lit(1)).alias("rows_read"), F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])).alias("_digest"))
+    read = write_table(read, "rows-read")
+    n = F.coalesce("rows_read", F.lit(0)).cast("long")
+    status = F.when(F.col("promised").isNull(), "unreadable").when(n < F.col("promised"), "partial").otherwise("whole")
+    return read_footers(spark, path, glob).join(read, "_path", "left").select("_path", "promised", n.alias("rows_read"), status.alias("status"))
 
 
 def skipped_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """``file_name`` of the files that ``read_tolerant`` takes no row from (unreadable or empty)."""
-    seen = read_tolerant(spark, path, glob).select(F.col("_metadata.file_path").alias("_path")).distinct()
-    return list_files(spark, path, glob).join(seen, "_path", "left_anti").select(
-        F.element_at(F.split("_path", "/"), -1).alias("file_name"))
+    """``file_name, promised, rows_read, status`` of the files that ``read_tolerant`` did not read whole."""
+    return file_report(spark, path, glob).where("status <> 'whole'").select(
+        F.element_at(F.split("_path", "/"), -1).alias("file_name"), "promised", "rows_read", "status")

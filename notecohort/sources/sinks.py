@@ -3,11 +3,14 @@ batch results, and stage resume markers."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.notes import chunk_assign
+from ..operators.sizing import write_table
 from .readers import _fs_glob
 
 FINDINGS_COLUMNS = ("patientdurablekey", "stage", "system", "evidence")
@@ -32,6 +35,24 @@ def write_chunked(df: DataFrame, path: str, chunk_rows: int = 100_000, mode: str
     df.write.mode(mode).option("maxRecordsPerFile", chunk_rows).parquet(path)
 
 
+def write_chunk_files(df: DataFrame, path: str, order_cols: list[str], chunk_rows: int = 100_000, mode: str = "overwrite") -> None:
+    """A9 with E2: numbered files, ``part-00000`` being chunk 1, each of exactly ``chunk_rows`` rows
+    in ``order_cols`` order but the last, which holds the rest.
+
+    Rows go to the task of their chunk number; a task holds one chunk, whatever the input.
+    """
+    numbered = write_table(chunk_assign(df, order_cols, chunk_rows), "numbered-chunks")
+    last = numbered.agg(F.max("chunk_no")).first()[0] or 1
+    dealt = numbered.repartitionById(last, (F.col("chunk_no") - 1).cast("int"))
+    dealt.sortWithinPartitions(*order_cols).drop("chunk_no").write.mode(mode).parquet(path)
+
+
+def read_chunk_files(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of ``write_chunk_files`` with ``chunk_no``, the number of the file they stand in."""
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("long") + 1
+    return spark.read.parquet(path).withColumn("chunk_no", number)
+
+
 def write_results(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A10: the same rows to ``{path}.parquet/`` and ``{path}.csv/`` (header, no index).
 
@@ -60,19 +81,58 @@ def combine_results(spark: SparkSession, path: str, glob: str = "staging_results
     return spark.read.option("mergeSchema", True).parquet(*matches)
 
 
-def stage_done(spark: SparkSession, path: str) -> bool:
-    """A stage's output is complete when its ``_SUCCESS`` marker exists."""
-    return bool(_fs_glob(spark, f"{path.rstrip('/')}/_SUCCESS"))
+MANIFEST = "_MANIFEST.json"
+
+
+def stage_manifest(spark: SparkSession, inputs: Sequence[str] = (), params: dict | None = None) -> dict:
+    """What a stage's output depends on: its parameters, and of each input folder the number of
+    files, their bytes and a digest over all paths, sizes and times (listed by Spark, not read)."""
+    listed = {}
+    for path in inputs:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
+        one = files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+                        F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("digest")).first()
+        listed[path] = [one["files"], one["bytes"], one["digest"]]
+    return {"inputs": listed, "params": params or {}}
+
+
+def _manifest_file(spark: SparkSession, path: str):
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{MANIFEST}")
+    return file, file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def stage_done(spark: SparkSession, path: str, manifest: dict | None = None) -> bool:
+    """A stage's output is complete when its ``_SUCCESS`` marker exists and, given a
+    manifest, when it was made from just those inputs and parameters."""
+    if not _fs_glob(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        return False
+    if manifest is None:
+        return True
+    file, fs = _manifest_file(spark, path)
+    if not fs.exists(file):
+        return False
+    stored = spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(fs.open(file))  # some hundred bytes
+    return bytes(stored).decode("utf-8") == json.dumps(manifest, sort_keys=True)
 
 
 def run_stage(spark: SparkSession, path: str, build: Callable[[], DataFrame],
-              write: Callable[[DataFrame, str], None] | None = None) -> bool:
+              write: Callable[[DataFrame, str], None] | None = None,
+              inputs: Sequence[str] | None = None, params: dict | None = None) -> bool:
     """Build and write a stage unless its output is already complete.
 
-    Returns True when the stage ran, False when it was skipped.  A rerun therefore starts
-    at the first stage without a ``_SUCCESS`` marker.
+    Returns True when the stage ran, False when it was skipped.  A rerun starts at the first
+    stage without a ``_SUCCESS`` marker.  With ``inputs`` (folders that the stage reads) or
+    ``params``, a manifest is kept beside the output, and a changed input or parameter makes
+    the stage run again; its new files then make the stages after it, which list its folder
+    among their inputs, run again too.
     """
-    if stage_done(spark, path):
+    manifest = None if inputs is None and params is None else stage_manifest(spark, inputs or (), params)
+    if stage_done(spark, path, manifest):
         return False
     (write or (lambda d, p: d.write.mode("overwrite").parquet(p)))(build(), path)
+    if manifest is not None:
+        file, fs = _manifest_file(spark, path)
+        out = fs.create(file, True)
+        out.write(bytearray(json.dumps(manifest, sort_keys=True).encode("utf-8")))
+        out.close()
     return True

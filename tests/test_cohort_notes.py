@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from notecohort.operators import cohort, notes
@@ -119,7 +120,8 @@ def test_hot_key_holds_a_third_of_rows(spark):
     assert mapped.count() == 3000
 
 
-def test_timeline_over_many_ranges(spark):
+@pytest.mark.parametrize("max_run", [1_000_000, 100, 1])
+def test_timeline_over_many_ranges(spark, max_run):
     """A patient that fills several ranges, repeated encounters and null dates and patients."""
     rows = []
     for i in range(3000):
@@ -129,7 +131,9 @@ def test_timeline_over_many_ranges(spark):
     metadata = spark.createDataFrame(rows + rows[:200], schema)
     found = [(f"k{i}", i, n, f"Stage {n}", "General") for i in range(700) for n in range(i % 3)]
     findings = spark.createDataFrame(found, "deid_note_key string, note_no long, finding_no int, stage string, system string")
-    out = staging_timeline(findings, metadata).collect()
+    plan = staging_timeline(findings, metadata, max_run=max_run)
+    assert "Python" not in (text := plan._jdf.queryExecution().toString()) and "InArrow" not in text
+    out = plan.collect()
     low = lambda *x: tuple((v is not None, v) for v in x)  # noqa: E731  nulls first
     every = sorted(((p, d, n, k, no, fi, s) for k, p, d, n in rows + rows[:200] for k2, no, fi, s, _ in found if k == k2),
                    key=lambda r: low(r[0], r[1], r[2], r[3]) + r[4:6])
@@ -157,3 +161,38 @@ def test_partition_ids_and_chunks_take_several_values(spark):
     assert got == {(f"p{i:03d}", str(i // 10) if i < 50 else "unknown") for i in range(70)}
     sizes = notes.chunk_assign(enc, ["encounterkey"], 300).groupBy("chunk_no").count().collect()
     assert {(r.chunk_no, r["count"]) for r in sizes} == {(1, 300), (2, 300), (3, 300), (4, 100)}
+
+
+def test_step_counts_without_a_second_run(spark):
+    """Steps are counted while they run: a row of a step is computed once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def tick(x):
+        seen.add(1)
+        return x
+
+    counts = notes.StepCounts(spark)
+    first = counts.of("first", spark.range(100).select(tick("id").alias("id")))
+    second = counts.of("second", first.where(F.col("id") % 4 == 0))
+    joined = counts.of("joined", second.join(spark.range(50), "id"))
+    joined.write.format("noop").mode("overwrite").save()
+    assert [tuple(r) for r in counts.table().collect()] == [("first", 100), ("second", 25), ("joined", 13)]
+    assert seen.value == 100
+
+
+def test_bucketed_text_is_not_shuffled(spark, tmp_dir):
+    text = spark.range(500).select((F.col("id") % 90).cast("string").alias("deid_note_key"), F.col("id").alias("note_no"),
+                                   F.lit("words").alias("note_text"))
+    meta = spark.range(120).select((F.col("id") % 95).cast("string").alias("deid_note_key"), F.col("id").cast("string").alias("deid_note_id"))
+    want = Counter(map(tuple, notes.join_text_metadata(text, meta).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = notes.join_text_metadata(notes.write_bucketed(text, "bucketed_text", "deid_note_key", 4, f"{tmp_dir}/t"),
+                                          notes.write_bucketed(meta, "bucketed_meta", "deid_note_key", 4, f"{tmp_dir}/m"))
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert Counter(map(tuple, joined.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bucketed_text")
+        spark.sql("DROP TABLE bucketed_meta")

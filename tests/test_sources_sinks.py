@@ -48,6 +48,70 @@ def test_required_columns_gate(spark, tmp_dir):
     assert {(r.patientepicid, r.patientdurablekey) for r in df.collect()} == {("1", "a"), ("3", None), (None, "b")}
     assert readers.read_with_required(spark, f"{tmp_dir}/r", "f2*", both).count() == 0
     assert [r.file_name for r in readers.skipped_files(spark, f"{tmp_dir}/r").collect()] == []
+    # names that a URI spells otherwise; with no file to skip the folder is read as a whole
+    odd = f"{tmp_dir}/a b+c%20d"
+    os.makedirs(odd)
+    pd.DataFrame({"patientepicid": ["1"], "patientdurablekey": ["a"]}).to_parquet(f"{odd}/f 1.parquet")
+    pd.DataFrame({"patientdurablekey": ["c"], "patientepicid": ["2"], "more": [1]}).to_parquet(f"{odd}/f2.parquet")
+    assert sorted(r.patientepicid for r in readers.read_with_required(spark, odd, "*.parquet", both).collect()) == ["1", "2"]
+    pd.DataFrame({"patientepicid": [5]}).to_parquet(f"{odd}/f3.parquet")  # another type, and a column is missing
+    assert sorted(r.patientepicid for r in readers.read_with_required(spark, odd, "*.parquet", both).collect()) == ["1", "2"]
+
+
+def test_report_of_partly_read_files(spark, tmp_dir):
+    from notecohort.plans.registry import _break_second_group
+
+    rows = spark.range(100).select("id", F.concat(F.lit("text "), F.col("id").cast("string")).alias("t"))
+    rows.repartition(1).sortWithinPartitions("id").write.option("parquet.block.row.count.limit", 30).parquet(f"{tmp_dir}/q")
+    rows.limit(7).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/q")
+    assert {r.status for r in readers.file_report(spark, f"{tmp_dir}/q").collect()} == {"whole"}
+    long = [r["_path"] for r in readers.file_report(spark, f"{tmp_dir}/q").collect() if r.promised == 100]
+    _break_second_group(spark, long[0])
+    with open(f"{tmp_dir}/q/none.parquet", "wb") as f:
+        f.write(b"not parquet")
+    got = {(r.promised, r.rows_read, r.status) for r in readers.file_report(spark, f"{tmp_dir}/q").collect()}
+    assert got == {(100, 30, "partial"), (7, 7, "whole"), (None, 0, "unreadable")}
+    assert sorted(r.status for r in readers.skipped_files(spark, f"{tmp_dir}/q").collect()) == ["partial", "unreadable"]
+
+
+def test_file_ranks_by_broadcast_and_by_join(spark, tmp_dir):
+    for name in ("b", "a", "c"):
+        spark.range(3).coalesce(1).write.parquet(f"{tmp_dir}/o/{name}")
+    ranks = readers.file_ranks(spark, f"{tmp_dir}/o", file_rank_col="n")
+    rows = readers.list_files(spark, f"{tmp_dir}/o").union(spark.createDataFrame([("new",)], "_path string"))
+    for limit in (10, 0):
+        got = {(r["_path"].split("/")[-2] if "/" in r["_path"] else None, r.n) for r in readers.with_file_ranks(rows, ranks, "n", "left", limit).collect()}
+        assert got == {("a", 0), ("b", 1), ("c", 2), (None, None)}
+
+
+def test_chunk_files(spark, tmp_dir):
+    rows = spark.range(250).select(F.col("id"), (F.col("id") * 7919 % 250).alias("k")).repartition(5)
+    sinks.write_chunk_files(rows, f"{tmp_dir}/k", ["k"], chunk_rows=100)
+    names = sorted(f for f in os.listdir(f"{tmp_dir}/k") if f.endswith(".parquet"))
+    assert [f[:10] for f in names] == ["part-00000", "part-00001", "part-00002"]
+    for i, f in enumerate(names):
+        assert [r.k for r in spark.read.parquet(f"{tmp_dir}/k/{f}").collect()] == list(range(100 * i, min(100 * i + 100, 250)))
+    back = sinks.read_chunk_files(spark, f"{tmp_dir}/k")
+    assert back.count() == 250 and back.where("chunk_no <> floor(k / 100) + 1").count() == 0
+    sinks.write_chunk_files(rows.limit(0), f"{tmp_dir}/none", ["k"])
+    assert sinks.read_chunk_files(spark, f"{tmp_dir}/none").count() == 0
+
+
+def test_resume_sees_changes(spark, tmp_dir):
+    spark.range(5).write.parquet(f"{tmp_dir}/in")
+
+    def run(limit, path="one"):
+        return sinks.run_stage(spark, f"{tmp_dir}/{path}", lambda: spark.read.parquet(f"{tmp_dir}/in").where(F.col("id") < limit),
+                               inputs=[f"{tmp_dir}/in"], params={"limit": limit})
+
+    def after():
+        return sinks.run_stage(spark, f"{tmp_dir}/two", lambda: spark.read.parquet(f"{tmp_dir}/one"), inputs=[f"{tmp_dir}/one"])
+
+    assert (run(3), after()) == (True, True) and (run(3), after()) == (False, False)
+    assert (run(4), after()) == (True, True) and (run(4), after()) == (False, False)
+    spark.range(1).write.mode("append").parquet(f"{tmp_dir}/in")
+    assert (run(4), after()) == (True, True) and spark.read.parquet(f"{tmp_dir}/two").count() == 5
+    assert sinks.stage_done(spark, f"{tmp_dir}/one")  # without a manifest the marker alone decides
 
 
 def test_file_order(spark, tmp_dir):
