@@ -143,6 +143,28 @@ def _suspects_udf(spark, segments: DataFrame, bits: int):
     return places
 
 
+_TO_LOWER = str.maketrans(UPPER, LOWER)
+
+
+def _without_udf():
+    """A column function (text, keys): the text without the lines of those keys, in one pass over
+    its lines, and how many went; nulls for a null text."""
+
+    @F.pandas_udf("kept string, n_dropped long")
+    def without(text: pd.Series, drop: pd.Series) -> pd.DataFrame:
+        out = []
+        for t, keys in zip(text, drop, strict=True):
+            if t is None:
+                out.append((None, None))
+                continue
+            keys, lines = frozenset(keys), t.split("\n")
+            kept = [x for x in lines if x.strip(SPACE).translate(_TO_LOWER) not in keys]
+            out.append(("\n".join(kept), len(lines) - len(kept)))
+        return pd.DataFrame(out, columns=["kept", "n_dropped"]).astype({"kept": object, "n_dropped": "Int64"})
+
+    return without
+
+
 def _scan(docs: DataFrame, keep: list[str], min_chars: int = 20, min_docs: int = 3, bits_per_key: int = BITS_PER_KEY,
           max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
     """``row`` (a struct of the columns ``keep``, doc_id and text among them), ``n_lines,
@@ -169,11 +191,10 @@ def _scan(docs: DataFrame, keep: list[str], min_chars: int = 20, min_docs: int =
     drops = (holding.join(winners, "key").where(~F.col("id").eqNullSafe(F.col("winner")))
              .groupBy("id").agg(F.collect_set("key").alias("drop")).withColumnRenamed("id", "of"))
     joined = suspected.drop("keys").join(drops, F.col("id").eqNullSafe(F.col("of")), "left")
-    left = F.when(F.col("drop").isNull(), lines_of(text)).otherwise(
-        F.filter(lines_of(text), lambda x: ~F.array_contains("drop", line_key(x))))
-    rest = joined.withColumn("left", left).select(
-        "row", F.size(lines_of(text)).cast("long").alias("n_lines"),
-        (F.size(lines_of(text)) - F.size("left")).cast("long").alias("n_dropped"), F.array_join("left", "\n").alias("kept"))
+    left = joined.select("row", "drop", _without_udf()(F.when(F.col("drop").isNotNull(), text), F.col("drop")).alias("left"))
+    rest = left.select("row", F.size(lines_of(text)).cast("long").alias("n_lines"),
+                       F.coalesce("left.n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+                       F.coalesce("left.kept", text, F.lit("")).alias("kept"))
     return done.unionByName(rest)
 
 

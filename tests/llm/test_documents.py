@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -234,3 +235,19 @@ def test_digest_columns_of_the_queries(spark):
         i = np.r_[ids_of(t), 2].astype("<u4")
         assert tuple(out[d]) == (d, start, len(i), zlib.crc32(i.tobytes()))
         start += len(i)
+
+
+def test_time_grows_with_a_texts_repeated_lines(spark):
+    """Three equal documents of n lines each: four times the lines take about four times the time."""
+    def seconds(n):
+        text = "\n".join(f"line number {i} of a long text" for i in range(n))
+        docs = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string").repartition(3)
+        best = 1e9
+        for _ in range(2):
+            begun = time.perf_counter()
+            got = linededup.repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.length("kept").alias("n")).collect()
+            best = min(best, time.perf_counter() - begun)
+            assert {(r.doc_id, r.n_lines, r.n_dropped, r.n) for r in got} == {(0, n, n, 0), (1, n, n, 0), (2, n, 0, len(text))}
+        return best
+
+    assert seconds(100_000) < 8 * seconds(25_000)
