@@ -64,11 +64,9 @@ BAD_TOKENS = frozenset(
     "footer form header legal login masthead menu modal nav navbar navigation newsletter notice notification pager "
     "pagination popup promo promotion recommended related search share sharing sidebar signup social sponsor sponsored "
     "subscribe tags toolbar widget reply replies respond complementary contentinfo alert".split())
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>").match
-_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>").match
-#: Comments and raw-text elements as a whole, or one tag.
-_MARKS = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea|noscript|template|iframe)(?![^\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|"
-                    r"<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>", re.IGNORECASE | re.DOTALL).finditer
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)").match
+_SPECIAL = re.compile(r"[>\"']").search
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE).search for name in RAW}
 _ATTR = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE).findall
 _TOKENS = re.compile(r"[a-z]+").findall
 _PUNCT = re.compile(r"[.,;:!?]").findall
@@ -84,45 +82,138 @@ class Page:
         self.pieces: list[tuple[int, int, str]] = []  # node, break counter, text
 
 
-def _svg_end(source: str, at: int) -> int:
-    """Where the contents of an svg end that begin at ``at``."""
-    within, first = Counter(), None
-    for m in _MARKS(source, at):
-        slash, name, attrs = m.group(2), (m.group(3) or "").lower(), m.group(4)
-        if not name:
-            continue
-        if slash and name == "svg" and not within["svg"]:
-            return m.end()
-        if name in BREAKS_OUT if not slash else name in BREAKS_OUT | INLINE and not within[name]:
-            first = m.start() if first is None else first
-            if not within["foreignobject"]:
-                return m.start()
-        if slash:
-            within[name] -= within[name] > 0
-        elif name not in VOID and not attrs.endswith("/"):
-            within[name] += 1
-    return len(source) if first is None else first
+class Source:
+    """A page's markup, read tag by tag.  Every method takes time in proportion to what it
+    passes over: what cannot be a tag is remembered and not tried twice."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.dead: set[int] = set()  # quotes from which no ">" is reached outside quotes
+        self.ends: dict[str, dict[int, int]] = {}
+        self.gt = (0, -1)  # from the first place to the second there is no ">" but at the second
+
+    def next_gt(self, at: int) -> int:
+        """The first ">" from ``at`` on, -1 if there is none."""
+        if not self.gt[0] <= at <= self.gt[1]:
+            end = self.text.find(">", at)
+            if end < 0:
+                self.gt = (at, len(self.text))
+            else:
+                self.gt = (at, end)
+        return self.gt[1] if self.gt[1] < len(self.text) else -1
+
+    def tag(self, lt: int) -> tuple[int, str, str, str] | None:
+        """End, slash, name and attributes of the tag at ``lt``: up to the first ">" outside quotes,
+        or up to the first of all if the quotes do not close."""
+        m = _NAME(self.text, lt)
+        if m is None:
+            return None
+        at, met = m.end(), []
+        while True:
+            special = _SPECIAL(self.text, at)
+            if special is None or special.start() in self.dead:
+                break
+            c = special.start()
+            if self.text[c] == ">":
+                return c + 1, m.group(1), m.group(2).lower(), self.text[m.end():c]
+            met.append(c)
+            close = self.text.find(self.text[c], c + 1)
+            if close < 0:
+                break
+            at = close + 1
+        self.dead.update(met)
+        gt = self.next_gt(m.end())
+        return None if gt < 0 else (gt + 1, m.group(1), m.group(2).lower(), self.text[m.end():gt])
+
+    def marks(self, at: int) -> Iterator[tuple[int, int, str, str, str]]:
+        """Start, end, slash, name and attributes of every tag from ``at`` on, but for those in
+        comments and raw-text elements."""
+        while (lt := self.text.find("<", at)) >= 0:
+            if self.text.startswith("<!--", lt):
+                end = self.text.find("-->", lt + 4)
+                at = len(self.text) if end < 0 else end + 3
+                continue
+            found = self.tag(lt)
+            if found is None:
+                if self.next_gt(lt) < 0:
+                    return
+                at = lt + 1
+                continue
+            at, slash, name, attrs = found
+            if name in RAW and not slash:
+                end = _RAW_END[name](self.text, at)
+                at = end.end() if end else len(self.text)
+                continue
+            yield lt, at, slash, name, attrs
+
+    def closed(self, name: str, at: int) -> int | None:
+        """Where the closing tag ends of the element of that name whose contents begin at ``at``; all
+        elements of the name from the first one on are paired in one pass."""
+        if name not in self.ends:
+            opened, ends = [at], {}
+            for _, end, slash, tag, attrs in self.marks(at):
+                if tag == name:
+                    if not slash:
+                        if name != "svg" or not attrs.endswith("/"):
+                            opened.append(end)
+                    elif opened:
+                        ends[opened.pop()] = end
+            self.ends[name] = ends
+        return self.ends[name].get(at)
+
+    def svg_end(self, at: int) -> int:
+        """Where the contents of an svg end that begin at ``at``: at its closing tag, or before it at
+        a tag that breaks out of it; without a closing tag, at the first such tag even in foreign content."""
+        closing, within = self.closed("svg", at), Counter()
+        for start, end, slash, name, attrs in self.marks(at):
+            if closing is not None and end >= closing:
+                return closing
+            if name in BREAKS_OUT if not slash else name in BREAKS_OUT | INLINE and not within[name]:
+                if closing is None or not within["foreignobject"]:
+                    return start
+            if slash:
+                within[name] -= within[name] > 0
+            elif name not in VOID and not attrs.endswith("/"):
+                within[name] += 1
+        return len(self.text)
+
+    def block(self, at: int) -> int:
+        return next((start for start, _, _, name, _ in self.marks(at) if name in BLOCK), len(self.text))
+
+
+class Open:
+    """The open elements as a stack of (name, node), with the places of each name, of the elements
+    that are not inline, and of those that end a search for an element to close."""
 
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
+        self.push("", 0)
 
-def _closed_at(source: str, name: str, at: int) -> dict[int, int]:
-    """For each element of that name from ``at`` on that has a closing tag: where its contents begin, where the tag ends."""
-    opened, ends = [at], {}
-    for m in _MARKS(source, at):
-        if (m.group(3) or "").lower() == name:
-            if not m.group(2):
-                opened.append(m.end())
-            elif opened:
-                ends[opened.pop()] = m.end()
-    return ends
+    def _of(self, name: str) -> list[list[int]]:
+        own = [self.places.setdefault(name, [])]
+        return own + [self.blocks] * (name not in INLINE) + [self.scopes] * (name in SCOPE)
 
+    def push(self, name: str, node: int) -> None:
+        for places in self._of(name):
+            places.append(len(self.stack))
+        self.stack.append((name, node))
 
-def _block_at(source: str, at: int) -> int:
-    return next((m.start() for m in _MARKS(source, at) if (m.group(3) or "").lower() in BLOCK), len(source))
+    def pop(self) -> tuple[str, int]:
+        for places in self._of(self.stack[-1][0]):
+            places.pop()
+        return self.stack.pop()
+
+    def last(self, name: str) -> int:
+        """Place of the innermost element of a name, 0 if there is none."""
+        return (self.places.get(name) or (0,))[-1]
 
 
 def parse(source: str) -> Page:
-    ends: dict[str, dict[int, int]] = {}
-    page, stack, links, at, breaks = Page(), [("", 0)], 0, 0, 0
+    page, marks, opened, links, at, breaks = Page(), Source(source), Open(), 0, 0, 0
+    stack = opened.stack
 
     def text(raw: str) -> None:
         if raw:
@@ -135,12 +226,12 @@ def parse(source: str) -> Page:
 
     def close(depth: int) -> None:
         nonlocal links, breaks
-        for name, node in reversed(stack[depth:]):
+        while len(stack) > depth:
+            name, node = opened.pop()
             links -= name == "a"
             if name not in INLINE:
                 breaks += 1
             page.last[node] = len(page.tag) - 1
-        del stack[depth:]
 
     while True:
         lt = source.find("<", at)
@@ -157,17 +248,19 @@ def parse(source: str) -> Page:
             end = source.find(">", lt)
             at = len(source) if end < 0 else end + 1
             continue
-        m = _TAG(source, lt) or _LOOSE(source, lt)
-        if m is None:
+        found = marks.tag(lt)
+        if found is None:
+            if marks.next_gt(lt) < 0:  # no further tag
+                text(source[at:])
+                break
             text(source[at:lt + 1])
             at = lt + 1
             continue
         text(source[at:lt])
-        at, (slash, name, attrs) = m.end(), m.groups()
-        name = name.lower()
+        at, slash, name, attrs = found
         if slash:
-            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if k and not (name in INLINE and any(x not in INLINE for x, _ in stack[k + 1:])):
+            k = opened.last(name)
+            if k and not (name in INLINE and opened.blocks and opened.blocks[-1] > k):
                 close(k)
             continue
         if name == "br":
@@ -177,29 +270,24 @@ def parse(source: str) -> Page:
             breaks += name == "hr"
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(source, at)
+            end = _RAW_END[name](source, at)
             at = end.end() if end else len(source)
             continue
         if name == "svg":
-            at = at if attrs.endswith("/") else _svg_end(source, at)
+            at = at if attrs.endswith("/") else marks.svg_end(at)
             continue
         if name in NOISE_TAGS:
-            if name not in ends:
-                ends[name] = _closed_at(source, name, at)
-            at = ends[name].get(at) or _block_at(source, at)
+            at = marks.closed(name, at) or marks.block(at)
             continue
         enders = CLOSES.get(name, set()) | ({"p"} if name in ENDS_P else set())
         if enders:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in enders:
-                    close(i)
-                    break
-                if stack[i][0] in SCOPE:
-                    break
+            k = max(map(opened.last, enders))
+            if k and (not opened.scopes or opened.scopes[-1] <= k):
+                close(k)
         tokens = _TOKENS(" ".join(a or b or c for a, b, c in _ATTR(attrs)).lower()) if "=" in attrs else []
         if name in INLINE and not tokens:
             links += name == "a"
-            stack.append((name, stack[-1][1]))
+            opened.push(name, stack[-1][1])
             continue
         links += name == "a"
         parent = stack[-1][1]
@@ -212,7 +300,7 @@ def parse(source: str) -> Page:
                               (page.bad, sum(t in BAD_TOKENS for t in tokens) + (name in BAD_TAGS)),
                               (page.gold, ("data-main" in attrs) - ("data-noise" in attrs))):
             column.append(value)
-        stack.append((name, node))
+        opened.push(name, node)
     close(0)
     page.last[0] = len(page.tag) - 1
     return page
@@ -232,7 +320,8 @@ class Nodes:
         self.root = join("parent") < 0
         self.parent = np.where(self.root, np.arange(len(base)), join("parent") + base)
         self.last = join("last") + base
-        self.levels = [np.nonzero(self.depth == d)[0] for d in range(1, int(self.depth.max(initial=0)) + 1)]
+        by_depth = np.argsort(self.depth, kind="stable")
+        self.levels = np.split(by_depth, np.cumsum(np.bincount(self.depth))[:-1])[1:] if len(base) else []
 
     def subtree(self, own: np.ndarray) -> np.ndarray:
         total = np.r_[0, np.cumsum(own)]

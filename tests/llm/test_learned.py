@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -230,6 +231,32 @@ def test_unclosed_and_empty_elements_end_before_the_text():
     assert told(many + "<p>one</p>") == "one"
 
 
+BROKEN = ["<a", "<p a=\"'>", "<svg><foreignObject>", "<svg><foreignObject><div>", "< ", "<b>|</zz>", "<div><b>|</b>", "<span>|<p></p>", "<div>",
+          "<select>", "<object><p>", "<ul><li>", "<svg><path><b>x", "<!--", "<a \"'>", "&", "<script>", "<a class="]
+
+
+@pytest.mark.parametrize("piece", BROKEN)
+@pytest.mark.parametrize("end", ["", ">", "</svg>", "<b \">"])
+def test_time_grows_with_the_page(piece, end):
+    """Broken markup of all kinds takes time in proportion to its length, not to its square."""
+    def seconds(n):
+        best = 1e9
+        for _ in range(2):
+            begun = time.perf_counter()
+            H.Nodes([H.parse("".join(x * n for x in piece.split("|")) + end)])
+            best = min(best, time.perf_counter() - begun)
+        return best
+
+    assert seconds(16_000) < 8 * max(seconds(4_000), 0.01)
+
+
+def test_tags_end_outside_quotes():
+    tags = lambda s: [(s[a:b], slash, name) for a, b, slash, name, _ in H.Source(s).marks(0)]
+    assert tags("<a href='x>y'>t</a><b c=\"'>\">u") == [("<a href='x>y'>", "", "a"), ("</a>", "/", "a"), ("<b c=\"'>\">", "", "b")]
+    assert tags("<p it's><q>") == [("<p it's>", "", "p"), ("<q>", "", "q")]
+    assert tags("<a <!-- x --><script><b></script><c") == [("<a <!-- x -->", "", "a")] and tags("1 < 2 <3 > <d/>") == [("<d/>", "", "d")]
+
+
 def test_icons_do_not_cut_an_article(spark):
     inside = "".join(f"<p>Sentence number {i} of the article, with some words, that goes on for a while.</p>{'<svg class=icon />' * (i == 3)}" for i in range(12))
     source = f"<html><body><nav><a href='/'>home</a></nav><article><h1>Title here</h1>{inside}</article><footer>end</footer></body></html>"
