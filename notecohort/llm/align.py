@@ -17,10 +17,9 @@ groups; a token of A and one of B are linked if their bytes overlap.
    ``broadcast_pairs`` of them (16 bytes each); otherwise each block's distinct pairs are
    joined with them and come back to the block by a cogroup.
 
-Tokenisation goes by pieces that begin at a space, each distinct piece being encoded once and
-remembered for a while: A's library splits there in any case, and no piece of B's vocabulary
-has a space behind another character, so no merge crosses it.  Texts with a space amid white
-space, or vocabularies that are not so, are encoded whole.
+A's merges are applied by ``tiktoken``, from the ranks in the vocabulary file itself, to texts of
+characters that every Unicode version classes alike (up to U+024F and general punctuation);
+all other texts, and vocabularies of another make, go through the ``tokenizers`` library.
 
 Defined cases: null and empty texts, and those whose joined bytes differ from the space and
 the text in A or B, have no tokens, zeros and an empty string of groups; null doc_ids and
@@ -46,14 +45,11 @@ from .bpe import _BYTE_CHARS, text_blocks
 from .common import prepare, saved
 
 BROADCAST_PAIRS = 1 << 22
-BLOCK_BYTES = 1 << 20
-CACHED_PIECES = 50_000
-#: Texts that are handed to a library at once: its results take a kilobyte each.
-_AT_ONCE = 2048
+BLOCK_BYTES = 1 << 21
 #: Held by a task before it hands its counts on.
 _HELD_PAIRS = 1 << 20
-_AMID_SPACE = re.compile(r"\s (?!\S)|  ")
-_PROBES = ["Ａ ﬁ é① ½ x", "the first\nline and\tmore", "漢字 カタ。 ö e\u0301 \u0301", "don't I'll 123 4,5", "\U0001F600 ok \u200b z", "a <s> </s> <0x41>"]
+#: Characters whose class as letter, number, space or other is the same in all Unicode versions in use.
+_STABLE = re.compile(r"[\x00-\u024f\u2010-\u2027\u2030-\u205e]*").fullmatch
 _BLOCK = "block string, docs binary, sizes binary, windows binary, a_ids binary, a_n binary, b_ids binary, b_n binary"
 
 
@@ -64,37 +60,61 @@ class Pieces:
     def __init__(self, pieces: list[bytes]):
         self.data = np.frombuffer(b"".join(pieces) + b"\0", np.uint8)
         self.length = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        self.first = np.cumsum(self.length) - self.length
-        self.bytes = pieces
+        self.first = (np.cumsum(self.length) - self.length).astype(np.int32)
         self.marked = np.fromiter((p[:1] == b" " for p in pieces), bool, len(pieces))
 
     def joined(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
+        """The bytes of all tokens in a row."""
+        n = self.length[ids]
+        ends = np.cumsum(n)
+        at = np.repeat(self.first[ids] - (ends - n).astype(np.int32), n)
+        at += np.arange(len(at), dtype=np.int32)
+        return self.data[at].tobytes()
 
 
 class TokenizerA:
     def __init__(self, vocabulary: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.vocabulary = vocabulary
         spec = json.loads(vocabulary)
-        split = spec.get("pre_tokenizer") or {}
-        #: whether a piece's ids are those it has in a text
-        self.by_pieces = (spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex")
-                          and not split.get("add_prefix_space") and spec["model"]["type"] == "BPE")
         byte_of = {c: b for b, c in _BYTE_CHARS.items()}
-        names = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec.get("added_tokens", [])}
         self.pieces = Pieces([bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode("utf-8")
                               for t in (names.get(i, "") for i in range(max(names) + 1))])
+        self.short = self._short_way(spec, byte_of)
+
+    @staticmethod
+    def _short_way(spec: dict, byte_of: dict[str, int]):
+        """The merges as ranks, if every token but the single bytes is what one merge makes, in the order of the merges."""
+        split, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        vocab, merges = model["vocab"], [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+        plain = (spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+                 and model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
+                                                                              "end_of_word_suffix", "byte_fallback", "ignore_merges")))
+        if not plain or any(vocab.get(x + y) != 256 + i for i, (x, y) in enumerate(merges)) or any(vocab.get(c, 256) > 255 for c in byte_of):
+            return None
+        import tiktoken
+
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if i < 256 + len(merges)}
+        # how the library splits a text before the merges: fixed by its ByteLevel step
+        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+        return tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    @cached_property
+    def library(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        whole = Tokenizer.from_str(self.vocabulary)
+        whole.encode_special_tokens = True
+        whole.no_truncation()
+        whole.no_padding()
+        return whole
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of a space and each text."""
-        got = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in got]
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a space and the text."""
+        if self.short is not None and _STABLE(text):
+            return self.short.encode_to_numpy(" " + text, disallowed_special=())
+        return np.array(self.library.encode(" " + text, add_special_tokens=False).ids, np.uint32)
 
 
 class TokenizerB:
@@ -106,45 +126,30 @@ class TokenizerB:
         self.pieces = Pieces([bytes([int(t[3:5], 16)]) if self.model.is_byte(i) else t.replace("▁", " ").encode("utf-8")
                               for i, t in enumerate(names)])
 
-        self.by_pieces = not any(" " in p.lstrip(b" ").decode("utf-8", "replace") for p in self.pieces.bytes) and all(
-            self.model.encode(t) == [i for w in t.split(" ") for i in self.model.encode(w)] for t in _PROBES)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.uint32) for x in self.model.encode(texts, num_threads=1)]
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text), np.uint32)
 
 
 class Both:
-    """Both tokenizers, and the pieces of texts that they have met."""
+    """Both tokenizers."""
 
     def __init__(self, a: str, b: bytes):
         self.a, self.b = TokenizerA(a), TokenizerB(b)
-        self.by_pieces = self.a.by_pieces and self.b.by_pieces
-        self.cache: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _coded(self, texts: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
-        """The ids of a space and each text in A and in B; None if their bytes are not the text's."""
-        for lo in range(0, len(texts), _AT_ONCE):
-            some = texts[lo:lo + _AT_ONCE]
-            for t, x, y in zip(some, self.a.encode(some), self.b.encode(some), strict=True):
-                whole = b" " + t.encode("utf-8")
-                sound = self.a.pieces.joined(x) == whole and self.b.pieces.joined(y) == whole
-                yield (x.tobytes(), y.tobytes()) if sound else None
-
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
-        """Ids of each text in A and B as unsigned 32-bit numbers; None for a text without tokens."""
-        cache = self.cache = {} if len(self.cache) > CACHED_PIECES else self.cache
-        split = [t.split(" ") if t and self.by_pieces and not _AMID_SPACE.search(" " + t) and not t.endswith(" ") else None for t in texts]
-        new = list({p for s in split if s is not None for p in s if p not in cache})
-        cache.update(zip(new, self._coded(new), strict=True))
-        whole = self._coded([t for t, s in zip(texts, split, strict=True) if t and s is None])
-        out = []
-        for t, s in zip(texts, split, strict=True):
-            if not t or s is None:
-                out.append(next(whole) if t else None)
-                continue
-            parts = [cache[p] for p in s]
-            out.append(None if None in parts else (b"".join([a for a, _ in parts]), b"".join([b for _, b in parts])))
-        return out
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of each text in A and B; None for a text without tokens."""
+        whole = [b" " + t.encode("utf-8") if t else b"" for t in texts]
+        ids = [(self.a.encode(t), self.b.encode(t)) if t else None for t in texts]
+        for k, pieces in enumerate((self.a.pieces, self.b.pieces)):
+            ids = [c if c is not None and int(pieces.length[c[k]].sum()) == len(w) else None for c, w in zip(ids, whole, strict=True)]
+            joined, at = pieces.joined(np.concatenate([np.zeros(0, np.uint32), *(c[k] for c in ids if c is not None)])), 0
+            for i, c in enumerate(ids):
+                if c is not None:
+                    if joined[at:at + len(whole[i])] != whole[i]:
+                        ids[i] = None
+                    at += len(whole[i])
+        return ids
 
 
 _LOADED: dict[int, Both] = {}
@@ -164,11 +169,13 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-def cut(a: np.ndarray, b: np.ndarray, pa_: Pieces, pb: Pieces, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First tokens of all windows in A and in B.  ``texts`` holds the byte offsets at which
-    texts begin, which are anchors too."""
-    start_a, start_b = np.cumsum(pa_.length[a]) - pa_.length[a], np.cumsum(pb.length[b]) - pb.length[b]
-    anchors = np.union1d(np.intersect1d(start_a[pa_.marked[a]], start_b[pb.marked[b]], assume_unique=True), texts)
+def cut(a: np.ndarray, b: np.ndarray, pieces_a: Pieces, pieces_b: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """First tokens of all windows in A and in B, of texts one after the other.
+
+    A text's first tokens both begin with the space before it, so each text begins a window.
+    """
+    start_a, start_b = np.cumsum(pieces_a.length[a]) - pieces_a.length[a], np.cumsum(pieces_b.length[b]) - pieces_b.length[b]
+    anchors = np.intersect1d(start_a[pieces_a.marked[a]], start_b[pieces_b.marked[b]], assume_unique=True)
     return np.searchsorted(start_a, anchors), np.searchsorted(start_b, anchors)
 
 
@@ -230,12 +237,10 @@ def windows_of(docs: DataFrame, a: str, b: bytes) -> DataFrame:
             coded = both.encode(column.to_pylist())
             sound = np.array([c is not None for c in coded], bool)
             kept = [c for c in coded if c is not None]
-            raw_a, raw_b = (b"".join([c[k] for c in kept]) for k in (0, 1))
-            ids_a, ids_b = np.frombuffer(raw_a, np.uint32), np.frombuffer(raw_b, np.uint32)
-            tokens = np.cumsum([0] + [len(x) >> 2 for x, _ in kept])
-            upto = np.r_[0, np.cumsum(pieces_a.length[ids_a])]
-            begins = upto[tokens[:-1]]
-            at_a, at_b = cut(ids_a, ids_b, pieces_a, pieces_b, begins)
+            ids_a, ids_b = (np.concatenate([np.zeros(0, np.uint32), *(c[k] for c in kept)]) for k in (0, 1))
+            raw_a, raw_b = ids_a.tobytes(), ids_b.tobytes()
+            tokens = np.cumsum([0] + [len(x) for x, _ in kept])
+            at_a, at_b = cut(ids_a, ids_b, pieces_a, pieces_b)
             # the windows of a text are those from its first token on
             n_windows = np.zeros(len(coded), np.int64)
             n_windows[sound] = np.diff(np.searchsorted(at_a, tokens))

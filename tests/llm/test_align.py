@@ -116,19 +116,23 @@ def test_no_sound_text(spark, broadcast_pairs):
 
 def test_windows_begin_at_shared_space_marks():
     both = align.tokenizers(A, B)
-    assert both.by_pieces
+    assert both.a.short is not None
     pa, pb = both.a.pieces, both.b.pieces
     for t in ("the quick brown foxes jump", "antidisestablish mentarian's 12345 words", "x" * 50):
-        a, b = both.a.encode([t])[0], both.b.encode([t])[0]
-        at_a, at_b = align.cut(a, b, pa, pb, [0])
+        a, b = both.a.encode(t), both.b.encode(t)
+        at_a, at_b = align.cut(a, b, pa, pb)
         assert at_a[0] == at_b[0] == 0 and len(at_a) == len(t.split())
         for i, j in zip(at_a, at_b, strict=True):
             assert pa.joined(a[i:])[:1] == pb.joined(b[j:])[:1] == b" " and pa.joined(a[:i]) == pb.joined(b[:j])
 
 
-def test_pieces_and_whole_texts_agree(spark):
-    """The remembered pieces give the ids of whole texts."""
-    both = align.tokenizers(A, B)
-    docs = [t for _, t in given(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))]
-    for t, got in zip(docs, both.encode(docs), strict=True):
-        assert [list(memoryview(x).cast("I")) for x in got] == [a_bytes(" " + t)[0], b_bytes(t)[0]]
+def test_ids_are_those_of_the_library(spark):
+    """Both ways of A, on texts of all kinds of characters."""
+    both, rnd = align.tokenizers(A, B), random.Random(9)
+    texts = [t for _, t in given(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))]
+    stable = [chr(c) for c in [*range(0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F)]]
+    texts += ["".join(rnd.choice(stable + [" ", " ", "a", "'s", "1"]) for _ in range(rnd.randint(1, 80))) for _ in range(3000)]
+    assert all(align._STABLE(t) for t in texts[-3000:])
+    texts += ["".join(stable), "漢字 \u0378 \U0001F600 x", "x" * 200_000, "ab " * 50_000 + "\u0301"]
+    for t in texts:
+        assert both.a.encode(t).tolist() == a_bytes(" " + t)[0]
