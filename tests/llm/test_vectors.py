@@ -109,23 +109,64 @@ def test_recall_on_the_given_vectors(spark):
     assert sum(got[d] == (n, c) for d, n, c in want) >= 0.99 * len(want)
 
 
-def test_recall_of_planted_pairs_holds_as_the_table_grows(spark):
-    rng = np.random.default_rng(8)
-    for n in (4_000, 20_000):
-        v = embdedup.unit(rng.standard_normal((n, 64)))
-        pairs = 1_500
-        other = rng.standard_normal((pairs, 64))
-        other = embdedup.unit(other - np.einsum("ij,ij->i", other, v[:pairs])[:, None] * v[:pairs])
-        cos = rng.uniform(0.9505, 0.96, pairs)[:, None]
-        v[pairs:2 * pairs] = cos * v[:pairs] + np.sqrt(1 - cos**2) * other
-        got = {r.vec_id: r.component_id for r in embdedup.near_duplicates(table(spark, enumerate(v)), window=1).collect()}
-        assert np.mean([got[i] == got[pairs + i] for i in range(pairs)]) > 0.995, n
-
-
-def test_passes_grow_with_the_rows():
-    p = 1 - np.arccos(0.95) / np.pi
-    for n in (1, 32, 20_000, 10**5, 10**6, 10**7, 10**8, 10**9):
-        passes = embdedup.passes_for(n, 32, 0.95)
-        assert passes >= 16 and (1 - p ** np.log2(max(n / 32, 1))) ** passes <= 0.001
-    assert [embdedup.passes_for(n, 32, 0.95) for n in (10**5, 10**6, 10**7, 10**8)] == [21, 31, 45, 66]
-    assert embdedup.passes_for(10**6, 32, 1.0) == 16
+def planted(n, mean_cosine, pairs, seed=8, dim=64):
+    """``n`` vectors around a shared direction; vector ``pairs + i`` is a partner of vector i just above the threshold."""
+    rng = np.random.default_rng(seed)
+    shared = np.eye(dim)[0]
+    v = embdedup.unit(np.sqrt(mean_cosine) * shared + np.sqrt(1 - mean_cosine) * rng.standard_normal((n, dim)) / np.sqrt(dim))
+    other = rng.standard_normal((pairs, dim))
+    other = embdedup.unit(other - np.einsum("ij,ij->i", other, v[:pairs])[:, None] * v[:pairs])
+    cos = rng.uniform(0.9505, 0.953, pairs)[:, None]
+    v[pairs:2 * pairs] = cos * v[:pairs] + np.sqrt(1 - cos**2) * other
+    return v
+
+
+@pytest.mark.parametrize("mean_cosine", [0.0, 0.5, 0.7, 0.85])
+def test_recall_of_planted_pairs_holds_as_the_table_grows(mean_cosine):
+    """Measured passes and windows over whole orders, at two sizes."""
+    for n in (10_000, 60_000):
+        v, pairs = planted(n, mean_cosine, 1_000), 1_000
+        plan = embdedup.measure(v[np.random.default_rng(1).permutation(n)[:8_000]], n, 0.95)
+        hit = np.zeros(pairs, bool)
+        for p in range(plan.passes):
+            place = np.empty(n, int)
+            place[np.argsort(embdedup.project(v, plan.mean, embdedup.planes(64, p, 0)), kind="stable")] = np.arange(n)
+            hit |= abs(place[:pairs] - place[pairs:2 * pairs]) <= plan.window
+        assert hit.mean() >= 0.99, (n, plan.window, plan.passes)
+
+
+@pytest.mark.parametrize("n, mean_cosine", [(3_000, 0.85), (12_000, 0.7), (12_000, 0.0)])
+def test_planted_pairs_are_united(spark, n, mean_cosine):
+    v, pairs = planted(n, mean_cosine, 500), 500
+    got = {r.vec_id: r.component_id for r in embdedup.near_duplicates(table(spark, enumerate(v))).collect()}
+    assert np.mean([got[i] == got[pairs + i] for i in range(pairs)]) >= 0.99
+
+
+def test_windows_reach_over_several_ranges(spark):
+    """One pass whose window holds the whole table, dealt over more ranges than it has windows: nothing is lost."""
+    rng = np.random.default_rng(6)
+    v = rng.standard_normal((300, 4))
+    rows = [(i, x) for i, x in enumerate(v)]
+    want = {i: (n, c) for i, n, c in brute_groups(rows)}
+    for passes, window in ((1, 300), (40, 20)):
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embdedup.near_duplicates(table(spark, rows).repartition(3), passes=passes, window=window).collect()}
+        assert {i: (n, c) for i, (n, c) in want.items()} == got
+
+
+def test_passes_follow_what_is_measured():
+    rng = np.random.default_rng(2)
+    even = rng.standard_normal((4_000, 64))
+    plans = [embdedup.measure(even, n, 0.95) for n in (10**4, 10**6, 10**8)]
+    assert plans[0].passes < plans[1].passes < plans[2].passes
+    assert embdedup.measure(even[:20], 20, 0.95).passes == 1  # one window holds all
+    assert embdedup.measure(even, 10**6, 1.0).passes == 1  # equal directions have equal keys
+    skewed = embdedup.measure(even + 12 * np.eye(64)[0], 10**6, 0.95)
+    assert skewed.passes * skewed.window > plans[1].passes * plans[1].window
+
+
+def test_window_links_are_all_close_pairs():
+    v = planted(700, 0.8, 200, dim=8)
+    cos = embdedup.unit(v) @ embdedup.unit(v).T
+    for window, new_from, strip in ((5, 0, 64), (100, 0, 64), (40, 300, 7), (1000, 0, 1000), (3, 699, 10)):
+        got = {(lo + i, lo + j) for lo, _, a, b in embdedup.window_links(v, window, 0.95, new_from, strip) for i, j in zip(a.tolist(), b.tolist())}
+        assert got == {(i, j) for i in range(700) for j in range(i + 1, min(i + window, 699) + 1) if cos[i, j] >= 0.95 and j >= new_from}
