@@ -19,9 +19,11 @@ behind it) or after a reporting word counts as quoted, one beside another match
 address as abuse.  A quoted match has the fixed share ``QUOTED`` of its weight, whether or not
 the labelled rows hold any.  A logistic model over the summed weights gives the score.
 
-Learning uses labelled rows only where ``is_train`` holds and at most ``max_per_class`` of
-each class (the documented bound of the sample, taken in the order of a hash of the id);
-half of them choose the lexicon, the other half fit the model.  Labels, language, source
+Learning uses labelled rows only where ``is_train`` holds.  Half of them, all of that half,
+choose the lexicon: words and beginnings are counted over their whole texts, and every one that
+passes a test of significance is a term.  At most ``max_per_class`` rows of each class of the
+other half (the documented bound of the sample, taken in the order of a hash of the id) fit the
+few weights of the model.  Labels, language, source
 and id are no inputs of a score.  Scoring reads every whole text.
 
 Defined cases: a null or empty text has no match and gets the model's base score; a null
@@ -37,6 +39,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import erfc, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -46,12 +49,11 @@ from pyspark.sql import functions as F
 from .common import prepare, saved
 
 EDIT_1, EDIT_2 = 5, 9
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 WINDOW = 48
-MAX_PER_CLASS = 4000
-MAX_CANDIDATES = 4096
-MAX_TERMS = 512
-COVER = 4
+MAX_PER_CLASS = 2000
+MIN_ROWS, ODDS = 3, 10
+FALSE_TERMS = 0.3
 THRESHOLD = 0.3
 FEATURES = 5
 QUOTED = 0.25
@@ -248,72 +250,80 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, is_train: Column, per_class: int) -> DataFrame:
-    """At most ``per_class`` labelled training rows of each class, with their texts."""
+def _labelled(docs: DataFrame, labels: DataFrame, is_train: Column) -> DataFrame:
+    """``toxic, turn`` of the ids of all labelled training rows, and whether they choose the lexicon."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & is_train).groupBy("doc_id").agg(
         F.max(F.col("toxic").cast("int")).alias("toxic"))
     # only ids that have a text are worth a place in the sample
     known = known.join(docs.select("doc_id").where("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi")
-    known = saved(known.withColumn("turn", F.xxhash64("doc_id")), "training-ids")
-    parts = [known.where(F.col("toxic") == c).orderBy("turn").limit(per_class) for c in (0, 1)]
-    ids = parts[0].unionByName(parts[1])  # 2 * per_class rows: a proven bound
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
-    texts = rows.groupBy("text").agg(F.max("toxic").alias("toxic"), F.min("turn").alias("turn"))  # equal texts: the toxic label holds
-    return saved(texts.select("text", "toxic", (F.shiftright("turn", 20) % 2 == 0).alias("lexical")), "training-texts")
+    turn = F.xxhash64("doc_id")
+    return saved(known.select("doc_id", "toxic", turn.alias("turn"), (F.shiftright(turn, 20) % 2 == 0).alias("lexical")), "training-ids")
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(ids, "doc_id")
+    return rows.groupBy("text").agg(F.max("toxic").alias("toxic"))  # equal texts: the toxic label holds
 
 
 def _starts(n: int) -> Column:
     return F.transform(F.filter("w", lambda x: F.length(x) > n), lambda x: F.substring(x, 1, n))
 
 
-def _terms(sample: DataFrame) -> list[tuple[str, bool, float]]:
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
+_SPLIT = r"[^\p{L}\p{N}]+"
+
+
+def _significant(t: Column, c: Column, n1: int, n0: int) -> Column:
+    """The likelihood ratio (G squared) of a key that ``t`` of ``n1`` toxic and ``c`` of ``n0`` clean rows hold."""
+    share = (t + c) / F.lit(float(n1 + n0))
+    part = lambda seen, all_, p: F.when(seen > 0, seen * F.log(seen / (all_ * p))).otherwise(0.0)
+    return 2 * (part(t, n1, share) + part(c, n0, share) + part(n1 - t, n1, 1 - share) + part(n0 - c, n0, 1 - share))
+
+
+def _terms(rows: DataFrame) -> tuple[list[tuple[str, bool, float]], DataFrame, int, int]:
+    """The terms that the rows ``text, toxic`` tell to be toxic, counts ``key, t, c`` of all their words and
+    beginnings, and the numbers of toxic and of clean rows.
+
+    A term is held by ``MIN_ROWS`` toxic rows and by ``ODDS`` times the share of toxic rows as of clean
+    ones; of the keys that are, those are taken whose likelihood ratio is so high that at most a share
+    ``FALSE_TERMS`` of the taken would be so by chance, of all keys counted (Benjamini and Hochberg).
+    """
     starts = [_starts(n) for n in PREFIXES]
     whole = F.transform(F.filter("w", lambda x: F.length(x) >= PREFIXES[0]), lambda x: F.concat(x, F.lit("$")))
-    keys = sample.where("lexical").select("toxic", F.monotonically_increasing_id().alias("row"), words.alias("w")).select(
-        "toxic", "row", F.explode(F.array_distinct(F.concat(whole, *starts))).alias("key"))
-    sizes = {r["toxic"]: r["n"] for r in sample.where("lexical").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
+    short = F.transform(F.filter("w", lambda x: (F.length(x) > 0) & (F.length(x) < PREFIXES[0])), lambda x: F.concat(x, F.lit("$")))
+    words = rows.select("toxic", F.array_distinct(F.split(F.lower("text"), _SPLIT)).alias("w"))
+    keys = words.select("toxic", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), whole, short, *starts))).alias("key"))
+    counts = saved(keys.groupBy("key").agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c")), "term-counts")
+    n = counts.agg(F.max(F.when(F.col("key") == "", F.struct("t", "c"))).alias("rows"), F.count(F.lit(1)).alias("keys")).first()
+    n1, n0 = (n["rows"]["t"], n["rows"]["c"]) if n["rows"] else (0, 0)
     if not n1:
-        return []
-    counts = keys.groupBy("key").agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c"))
-    odds = ((F.col("t") + 0.5) / (n1 + 1)) / ((F.col("c") + 0.5) / (n0 + 1))
-    good = counts.where((F.col("t") >= max(3, 0.008 * n1)) & (odds >= 20)).withColumn("odds", odds)
-    good = {r["key"]: r for r in good.orderBy(F.desc("t"), "key").limit(MAX_CANDIDATES).collect()}
+        return [], counts, n1, n0
+    t, c = F.col("t"), F.col("c")
+    odds = ((t + 0.5) / (n1 + 1)) / ((c + 0.5) / (n0 + 1))
+    ratio = F.floor(_significant(t, c, n1, n0) * 8).cast("int")
+    good = counts.withColumn("odds", odds).withColumn("ratio", ratio).where((t >= MIN_ROWS) & (F.col("odds") >= ODDS) & (F.length("key") > PREFIXES[0] - F.when(F.col("key").endswith("$"), 0).otherwise(1)))
+    least, taken = np.inf, 0
+    for r in good.groupBy("ratio").count().orderBy(F.desc("ratio")).collect():  # some hundred steps
+        taken += r["count"]
+        if n["keys"] * erfc(sqrt(r["ratio"] / 16)) / 2 <= FALSE_TERMS * taken:
+            least = r["ratio"]
+    good = {r["key"]: r for r in good.where(F.col("ratio") >= float(least)).orderBy(F.desc("t"), "key").collect()}
     # a beginning that one word accounts for is left to the word, and a longer one to a shorter
     best: Counter = Counter()
     for k, r in good.items():
-        for n in PREFIXES:
-            if k.endswith("$") and len(k) - 1 > n:
-                best[k[:n]] = max(best[k[:n]], r["t"])
+        for m in PREFIXES:
+            if k.endswith("$") and len(k) - 1 > m:
+                best[k[:m]] = max(best[k[:m]], r["t"])
     stems = {k for k, r in good.items() if not k.endswith("$") and best[k] < 0.8 * r["t"]}
-    stems = {k for k in stems if not any(k[:n] in stems for n in PREFIXES if n < len(k))}
-    kept = [k for k in good if k in stems or k.endswith("$") and not any(k[:n] in stems for n in PREFIXES if n < len(k) - 1)]
-    # multiple cover: a term stays while enough toxic rows have few terms without it
-    number = sample.sparkSession.createDataFrame([(k, i) for i, k in enumerate(kept)], "key string, term int")
-    rows = keys.where("toxic = 1").join(F.broadcast(number), "key").groupBy("row").agg(F.collect_set("term").alias("terms"))
-    has = np.zeros((n1 + 1, len(kept)), bool)
-    for i, r in enumerate(rows.toLocalIterator()):  # max_per_class rows at most
-        has[i, r["terms"]] = True
-    cover, chosen, left = np.zeros(len(has), int), [], set(range(len(kept)))
-    while left and len(chosen) < MAX_TERMS:
-        gain = has[cover < COVER].sum(axis=0)
-        k = max(left, key=lambda i: (gain[i], -i))
-        if gain[k] < max(2, 0.008 * n1):
-            break
-        chosen.append(k)
-        left.discard(k)
-        cover += has[:, k]
-    chosen = [kept[k] for k in chosen]
+    stems = {k for k in stems if not any(k[:m] in stems for m in PREFIXES if m < len(k))}
     # the whole words below a beginning stay beside it: they tolerate edits
-    below = [k for k in good if k.endswith("$") and any(k[:n] in stems.intersection(chosen) for n in PREFIXES if n < len(k) - 1)]
-    return [(k.rstrip("$"), not k.endswith("$"), float(np.log(good[k]["odds"]))) for k in chosen + below]
+    chosen = [k for k in good if k in stems or k.endswith("$")]
+    return [(k.rstrip("$"), not k.endswith("$"), float(np.log(good[k]["odds"]))) for k in chosen], counts, n1, n0
 
 
-def _clean_words(sample: DataFrame, terms: list[tuple[str, bool, float]]) -> tuple[frozenset[str], frozenset[str]]:
+def _clean_words(counts: DataFrame, n1: int, n0: int, terms: list[tuple[str, bool, float]]) -> tuple[frozenset[str], frozenset[str]]:
     """Words within the edits of a term that clean lexical rows hold about as often as toxic ones,
     and the terms that have more than ``RARE`` of them that are found in one clean row only."""
-    terms_of = sample.sparkSession.sparkContext.broadcast(terms)
+    terms_of = counts.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(terms_of.value, True)
@@ -321,11 +331,9 @@ def _clean_words(sample: DataFrame, terms: list[tuple[str, bool, float]]) -> tup
             keep = [(m := lexicon.match(w)) is not None and m[1] > 0 for w in b.column(0).to_pylist()]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    words = sample.where("lexical").select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("word"))
-    counts = words.groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c"))
-    n = sample.where("lexical").agg(F.count_if(F.col("toxic") == 0).alias("n0"), F.count_if(F.col("toxic") == 1).alias("n1")).first()
-    odds = ((F.col("t") + 0.5) / (n["n1"] + 1)) / ((F.col("c") + 0.5) / (n["n0"] + 1))
-    found = counts.where((F.col("c") > 0) & (odds < 5)).select("word", "c").mapInArrow(run, "word string, c long").collect()  # words of a bounded sample
+    odds = ((F.col("t") + 0.5) / (n1 + 1)) / ((F.col("c") + 0.5) / (n0 + 1))
+    words = counts.where(F.col("key").endswith("$") & (F.col("c") > 0) & (odds < 5)).select(F.expr("rtrim('$', key)").alias("word"), "c")
+    found = words.mapInArrow(run, "word string, c long").collect()  # words that differ from a term by its edits
     clean, strict = frozenset(r["word"] for r in found), frozenset()
     rare = [r["word"] for r in found if r["c"] == 1]
     while True:  # a word beside a strict term may stand beside another term too
@@ -350,9 +358,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
 
 
 def train(docs: DataFrame, labels: DataFrame, is_train: Column, max_per_class: int = MAX_PER_CLASS) -> Model:
-    sample = _sample(docs, labels, is_train, max_per_class)
-    terms = _terms(sample)
-    clean, strict = _clean_words(sample, terms) if terms else (frozenset(), frozenset())
+    ids = _labelled(docs, labels, is_train)
+    terms, counts, n1, n0 = _terms(_texts(docs, ids.where("lexical")))
+    clean, strict = _clean_words(counts, n1, n0, terms) if terms else (frozenset(), frozenset())
+    parts = [ids.where(~F.col("lexical") & (F.col("toxic") == c)).orderBy("turn").limit(max_per_class) for c in (0, 1)]
+    sample = saved(_texts(docs, F.broadcast(parts[0].unionByName(parts[1]).select("doc_id", "toxic"))), "training-texts")  # 2 * max_per_class rows
     lexicon_of = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,7 +371,7 @@ def train(docs: DataFrame, labels: DataFrame, is_train: Column, max_per_class: i
             rows = [features(lexicon, t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), b.column(1)], names=["x", "toxic"])
 
-    got = sample.where("NOT lexical").select("text", "toxic").mapInArrow(run, "x array<double>, toxic int").collect()  # bounded sample
+    got = sample.select("text", "toxic").mapInArrow(run, "x array<double>, toxic int").collect()  # bounded sample
     y = np.array([r["toxic"] for r in got], float)
     if not terms or not 0 < y.sum() < len(y):
         return Model()
