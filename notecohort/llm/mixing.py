@@ -69,14 +69,13 @@ def offset(source: Column, seed: int = 0) -> Column:
 def _mixed(docs: DataFrame, keep: list[str], seed: int, weights, max_repeat: int) -> DataFrame:
     """``row`` (a struct of ``keep``), ``size, source, source_size, target, copies``.
 
-    Narrow rows are written before they are ranged.  Rows that carry their text are not:
-    counting words again costs less than another copy of all texts.
+    The rows, which are narrow, are written before they are ranged.
     """
     text = F.col("text").cast("string")
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"), word_count(text).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("crc"))
-    rows = rows if "text" in keep else saved(rows, "mix-sizes")
+    rows = saved(rows, "mix-sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     plan = targets(sources, weights, max_repeat)
     # rows before the source in the index order (nulls first), for positions within it
@@ -102,7 +101,13 @@ def mix(docs: DataFrame, seed: int = 0, weights=WEIGHTS, max_repeat: int = MAX_R
 
 
 def take(docs: DataFrame, seed: int = 0, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it.  Rows travel with their position,
-    so neither null nor repeated ids need a join back."""
-    out = _mixed(docs, docs.columns, seed, weights, max_repeat).where("copies > 0")
-    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    """``docs`` with each row as often as the mix takes it.
+
+    Rows are written once with a number of their own, so neither null nor repeated ids matter:
+    only narrow rows are ranged by size, and the copies come back to the whole rows by number
+    (by broadcast while they are few, else by a join that deals the rows evenly).
+    """
+    whole = saved(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.monotonically_increasing_id().alias("id")), "mix-rows")
+    narrow = whole.select("id", "row.doc_id", "row.source", "row.text")
+    copies = _mixed(narrow, ["id"], seed, weights, max_repeat).where("copies > 0").select("row.id", "copies")
+    return whole.join(copies, "id").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
