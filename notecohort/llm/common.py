@@ -3,7 +3,6 @@ connected components over an edge table, and star-shaped contraction of links in
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +23,11 @@ _BYTES, _ROWS = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.executi
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Ship the package to the Python workers and bound their batches (a smaller setting of
-    the session's own stays)."""
+    """Ship the package to the Python workers and bound their batches for the rest of the session
+    (a smaller setting of the session's own stays)."""
     ship_package(spark)
-    if int(re.sub(r"\D", "", spark.conf.get(_BYTES))) > BATCH_BYTES:
+    to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes  # "64m" and the like
+    if not 0 < to_bytes(spark.conf.get(_BYTES)) <= BATCH_BYTES:
         spark.conf.set(_BYTES, f"{BATCH_BYTES}b")
     if not 0 < int(spark.conf.get(_ROWS)) <= BATCH_ROWS:
         spark.conf.set(_ROWS, str(BATCH_ROWS))
