@@ -45,7 +45,8 @@ from .bpe import _BYTE_CHARS, text_blocks
 from .common import prepare, saved
 
 BROADCAST_PAIRS = 1 << 22
-BLOCK_BYTES = 1 << 21
+#: Small enough that the arrays of a block are no large objects to the JVM.
+BLOCK_BYTES = 1 << 18
 #: Held by a task before it hands its counts on.
 _HELD_PAIRS = 1 << 20
 #: Characters whose class as letter, number, space or other is the same in all Unicode versions in use.
