@@ -12,14 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .components import let
+
 # The markers and the characters stripped from a bare TNM word.
 NA_MARK, TNM_MARK, STAGE_MARK = "NA", "TNM:", "Stage:"
 STRIP_CHARS = ".,;:()"
 
 _WS = r"[\s\x{1C}-\x{1F}]"  # Python's str.strip()/split() white space
 _FIRST_LINE = r"(?U)\A" + _WS + r"*([^\n]*?)" + _WS + r"*(?:\n|\z)"
-_SPLIT_WS = r"(?U)" + _WS + r"+"
-_EDGE_PUNCT = r"\A[.,;:()]+|[.,;:()]+\z"
+# The first word that starts with T and holds an N and an M.
+_WORD_CHAR = r"[^\s\x{1C}-\x{1F}]"
+_TNM_WORD = rf"(?U)(?<!{_WORD_CHAR})T(?={_WORD_CHAR}*N)(?={_WORD_CHAR}*M){_WORD_CHAR}*"
 RESPONSE_TYPE = "struct<stage:string,system:string>"
 
 
@@ -29,17 +32,16 @@ def _after(r: Column, mark: str) -> Column:
 
 
 def parse_response(response: Column) -> Column:
-    """``struct<stage, system>``; both null when the response carries no staging."""
+    """``struct<stage, system>``; both null when the response carries no staging.
+
+    One CASE over structs, so each response is searched by its own branch only, once.
+    """
     r = response
-    words = F.split(r, _SPLIT_WS, -1)
-    tnm_words = F.filter(words, lambda w: w.startswith("T") & w.contains("N") & w.contains("M"))
-    bare = F.regexp_replace(F.get(tnm_words, 0), _EDGE_PUNCT, "")
-    stage = (F.when(r.isNull() | r.contains(NA_MARK), F.lit(None))
-              .when(r.contains(TNM_MARK), _after(r, TNM_MARK))
-              .when(r.contains(STAGE_MARK), _after(r, STAGE_MARK))
-              .otherwise(bare))
-    system = (F.when(r.isNull() | r.contains(NA_MARK), F.lit(None))
-               .when(r.contains(TNM_MARK), F.lit("TNM"))
-               .when(r.contains(STAGE_MARK), F.lit("General"))
-               .when(bare.isNotNull(), F.lit("TNM")))
-    return F.struct(stage.alias("stage"), system.alias("system"))
+    both = lambda stage, system: F.struct(stage.alias("stage"), system.alias("system"))
+    none = F.lit(None).cast("string")
+    word = F.nullif(F.regexp_extract(r, _TNM_WORD, 0), F.lit(""))
+    bare = let(F.btrim(word, F.lit(STRIP_CHARS)), lambda w: both(w, F.when(w.isNotNull(), F.lit("TNM"))))
+    return (F.when(r.isNull() | r.contains(NA_MARK), both(none, none))
+             .when(r.contains(TNM_MARK), both(_after(r, TNM_MARK), F.lit("TNM")))
+             .when(r.contains(STAGE_MARK), both(_after(r, STAGE_MARK), F.lit("General")))
+             .otherwise(bare))

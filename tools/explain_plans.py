@@ -15,7 +15,8 @@ from notecohort.session import build_session  # noqa: E402
 QUERIES = ["encounter_cohort", "metadata_encounter_join", "note_text_join", "findings_exploded",
            "notes_first_finding", "partition_assign", "first_batch_wins", "llm_patient_mode", "staging_timeline"]
 # Shown once more as they are beyond the broadcast threshold.
-SHUFFLED = ["encounter_cohort", "metadata_encounter_join", "note_text_join", "first_batch_wins"]
+SHUFFLED = ["encounter_cohort", "metadata_encounter_join", "note_text_join", "metadata_encounter_bucketed", "note_text_join_bucketed",
+            "first_batch_wins"]
 KEEP = re.compile(r"^[ :+|*()0-9-]*(\w*Exchange|\w*Join|\w*Scan|\w*Aggregate|Window|Generate|MapInPandas|"
                   r"Filter|Sort|AdaptiveSparkPlan|BroadcastExchange|Union)")
 
