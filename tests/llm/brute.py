@@ -108,3 +108,38 @@ def edit_distance(a, b):
         for j, y in enumerate(b, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
     return row[-1]
+
+
+def swap_distance(a, b):
+    """Edits between two words, two neighbours that change places being one."""
+    d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def toxic_score(model, text, context, edits, window=48, misspelt=0.8, quoted=0.25):
+    """The score of a text by a model's terms, words and weights: every word against every term."""
+    text, spots = (text or "").lower(), []
+    words = [(m.start(), m.end(), m.group()) for m in re.finditer(r"[^\W_]+", text)]
+    for start, end, word in words:
+        best = min(((len(t), i, 0) for i, (t, prefix, _) in enumerate(model.terms) if prefix and word.startswith(t)), default=None)
+        if best is None:
+            best = min(((k, i, k) for i, (t, prefix, _) in enumerate(model.terms) if not prefix
+                        and (k := swap_distance(t, word)) <= (0 if word in model.clean or t in model.strict else edits(t))), default=None)
+        if best is not None:
+            spots.append((start, end, model.terms[best[1]][2], best[2]))
+    sums = [0.0, 0.0, 0.0, 0.0]
+    for i, (start, end, weight, spent) in enumerate(spots):
+        inside, address = context(text, start, end)
+        near = any(abs(spots[k][0] - start) <= window for k in (i - 1, i + 1) if 0 <= k < len(spots))
+        share = misspelt ** spent
+        sums[2 if inside and not near else bool(spent)] += weight if inside and not near or not spent else share * weight
+        sums[3] += 0 if inside and not near else share * (near or address)
+    whole = sums[0] + sums[1] + quoted * sums[2]
+    density = 100 * whole / (len(words) + 20)
+    x = (np.array([math.log1p(whole), density, math.log1p(sums[3])]) - model.mean) / model.scale
+    return 1 / (1 + math.exp(-min(max(model.weights[0] + float(x @ model.weights[1:]), -50), 50))) if model.trained else 0.0

@@ -165,6 +165,17 @@ def test_held_out_rows_are_told(made):
     assert Counter(map(tuple, T.toxicity(docs, other).collect())) == Counter(map(tuple, out))
 
 
+def test_scores_equal_brute_force(made):
+    docs, labels, _ = made
+    model = T.train(docs, labels, ~T.held_out(F.col("doc_id")))
+    texts = ["", "you nitwit", 'a "nitwit" word', "ntiwit and blokhead", "(scoundrel) dimwitt, oafs you", "he said nitwit. plain words"]
+    texts += [r.text for r in docs.orderBy("doc_id").limit(150).collect()]
+    lexicon = model.lexicon()
+    got = model.score(np.array([T.features(lexicon, t or "") for t in texts]))
+    want = [brute.toxic_score(model, t, T.context, T.Lexicon.edits) for t in texts]
+    assert model.trained and np.allclose(got, want, atol=1e-9) and max(want) > 0.9
+
+
 def test_equal_texts_take_the_toxic_label(spark):
     rows = [(i, f"text {i // 4}") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)

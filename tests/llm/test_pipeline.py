@@ -19,10 +19,8 @@ SF = "/root/testdata/sf0.001"
 def test_run_equals_brute_force(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels, ~toxicity.held_out(F.col("doc_id")))
-    lexicon = toxicity.Lexicon(model.terms)
     rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
-    scores = model.score(np.array([toxicity.features(lexicon, t or "") for _, t, _ in rows]))
-    rows = [r for r, s in zip(rows, scores, strict=True) if s < 0.3]
+    rows = [r for r in rows if brute.toxic_score(model, r[1], toxicity.context, toxicity.Lexicon.edits) < 0.3]
     kept = brute.dedup_lines([r[:2] for r in rows])
     rows = [(d, None if t is None else x[2], s) for (d, t, s), x in zip(rows, kept, strict=True)]
     rows = [r for r, g in zip(rows, brute.groups([r[:2] for r in rows]), strict=True) if r[0] == g]
