@@ -53,7 +53,9 @@ PREFIXES = (4, 5, 6, 7, 8)
 WINDOW = 48
 MAX_PER_CLASS = 2000
 MIN_ROWS, ODDS = 3, 10
-FALSE_TERMS = 0.3
+FALSE_TERMS = 0.02
+#: Ids, or keys, that are sent to all tasks at most (some 30 bytes each); more are joined.
+BROADCAST_IDS = 2_000_000
 THRESHOLD = 0.3
 FEATURES = 5
 QUOTED = 0.25
@@ -251,18 +253,27 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, is_train: Column) -> DataFrame:
-    """``toxic, turn`` of the ids of all labelled training rows, and whether they choose the lexicon."""
+    """``doc_id, h, toxic, turn, lexical`` of one row for each distinct labelled training text (``h`` is its
+    hash): equal texts take the toxic label, and a turn and a half by their hash.  Narrow rows only."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & is_train).groupBy("doc_id").agg(
         F.max(F.col("toxic").cast("int")).alias("toxic"))
-    # only ids that have a text are worth a place in the sample
-    known = known.join(docs.select("doc_id").where("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi")
-    turn = F.xxhash64("doc_id")
-    return saved(known.select("doc_id", "toxic", turn.alias("turn"), (F.shiftright(turn, 20) % 2 == 0).alias("lexical")), "training-ids")
+    texts = docs.select("doc_id", _hash().alias("h")).join(known, "doc_id").groupBy("h").agg(
+        F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
+    turn = F.xxhash64("h")
+    return saved(texts.select("doc_id", "h", "toxic", turn.alias("turn"), (F.shiftright(turn, 20) % 2 == 0).alias("lexical")), "training-ids")
+
+
+def _hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(ids, "doc_id")
-    return rows.groupBy("text").agg(F.max("toxic").alias("toxic"))  # equal texts: the toxic label holds
+    """``text, toxic`` of the chosen texts: their ids go to the rows while they are few."""
+    ids = ids.select("doc_id", "h", "toxic")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), _hash().alias("h"))
+    # rows that repeat an id and its text are one text
+    return rows.join(ids, ["doc_id", "h"])
 
 
 def _starts(n: int) -> Column:
@@ -279,32 +290,38 @@ def _significant(t: Column, c: Column, n1: int, n0: int) -> Column:
     return 2 * (part(t, n1, share) + part(c, n0, share) + part(n1 - t, n1, 1 - share) + part(n0 - c, n0, 1 - share))
 
 
-def _terms(rows: DataFrame) -> tuple[list[tuple[str, bool, float]], DataFrame, int, int]:
-    """The terms that the rows ``text, toxic`` tell to be toxic, counts ``key, t, c`` of all their words and
-    beginnings, and the numbers of toxic and of clean rows.
+def _keys(rows: DataFrame) -> DataFrame:
+    """The distinct words (marked with ``$``) and beginnings of each row."""
+    starts = [_starts(n) for n in PREFIXES]
+    whole = F.transform(F.filter("w", lambda x: F.length(x) >= PREFIXES[0]), lambda x: F.concat(x, F.lit("$")))
+    words = rows.select(F.array_distinct(F.split(F.lower("text"), _SPLIT)).alias("w"))
+    return words.select(F.explode(F.array_distinct(F.concat(whole, *starts))).alias("key"))
+
+
+def _terms(toxic: DataFrame, clean: DataFrame, n1: int, n0: int) -> list[tuple[str, bool, float]]:
+    """The terms that rows of ``text`` tell to be toxic, of ``n1`` toxic and ``n0`` clean ones.
 
     A term is held by ``MIN_ROWS`` toxic rows and by ``ODDS`` times the share of toxic rows as of clean
     ones; of the keys that are, those are taken whose likelihood ratio is so high that at most a share
-    ``FALSE_TERMS`` of the taken would be so by chance, of all keys counted (Benjamini and Hochberg).
+    ``FALSE_TERMS`` of the taken would be so by chance, of all keys of the toxic rows (Benjamini and
+    Hochberg).  Clean rows are counted for the keys that enough toxic rows hold.
     """
-    starts = [_starts(n) for n in PREFIXES]
-    whole = F.transform(F.filter("w", lambda x: F.length(x) >= PREFIXES[0]), lambda x: F.concat(x, F.lit("$")))
-    short = F.transform(F.filter("w", lambda x: (F.length(x) > 0) & (F.length(x) < PREFIXES[0])), lambda x: F.concat(x, F.lit("$")))
-    words = rows.select("toxic", F.array_distinct(F.split(F.lower("text"), _SPLIT)).alias("w"))
-    keys = words.select("toxic", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), whole, short, *starts))).alias("key"))
-    counts = saved(keys.groupBy("key").agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c")), "term-counts")
-    n = counts.agg(F.max(F.when(F.col("key") == "", F.struct("t", "c"))).alias("rows"), F.count(F.lit(1)).alias("keys")).first()
-    n1, n0 = (n["rows"]["t"], n["rows"]["c"]) if n["rows"] else (0, 0)
     if not n1:
-        return [], counts, n1, n0
+        return []
+    counts = saved(_keys(toxic).groupBy("key").agg(F.count(F.lit(1)).alias("t")), "toxic-keys")
+    held = counts.where(F.col("t") >= MIN_ROWS)
+    few = held.count() <= BROADCAST_IDS
+    beside = _keys(clean).join(F.broadcast(held.select("key")) if few else held.select("key"), "key", "left_semi").groupBy("key").agg(
+        F.count(F.lit(1)).alias("c"))
     t, c = F.col("t"), F.col("c")
     odds = ((t + 0.5) / (n1 + 1)) / ((c + 0.5) / (n0 + 1))
     ratio = F.floor(_significant(t, c, n1, n0) * 8).cast("int")
-    good = counts.withColumn("odds", odds).withColumn("ratio", ratio).where((t >= MIN_ROWS) & (F.col("odds") >= ODDS) & (F.length("key") > PREFIXES[0] - F.when(F.col("key").endswith("$"), 0).otherwise(1)))
-    least, taken = np.inf, 0
+    both = held.join(beside, "key", "left").select("key", "t", F.coalesce("c", F.lit(0)).alias("c"))
+    good = saved(both.withColumn("odds", odds).withColumn("ratio", ratio).where(F.col("odds") >= ODDS), "term-counts")
+    tested, least, taken = counts.count(), np.inf, 0
     for r in good.groupBy("ratio").count().orderBy(F.desc("ratio")).collect():  # some hundred steps
         taken += r["count"]
-        if n["keys"] * erfc(sqrt(r["ratio"] / 16)) / 2 <= FALSE_TERMS * taken:
+        if tested * erfc(sqrt(r["ratio"] / 16)) / 2 <= FALSE_TERMS * taken:
             least = r["ratio"]
     good = {r["key"]: r for r in good.where(F.col("ratio") >= float(least)).orderBy(F.desc("t"), "key").collect()}
     # a beginning that one word accounts for is left to the word, and a longer one to a shorter
@@ -317,23 +334,26 @@ def _terms(rows: DataFrame) -> tuple[list[tuple[str, bool, float]], DataFrame, i
     stems = {k for k in stems if not any(k[:m] in stems for m in PREFIXES if m < len(k))}
     # the whole words below a beginning stay beside it: they tolerate edits
     chosen = [k for k in good if k in stems or k.endswith("$")]
-    return [(k.rstrip("$"), not k.endswith("$"), float(np.log(good[k]["odds"]))) for k in chosen], counts, n1, n0
+    return [(k.rstrip("$"), not k.endswith("$"), float(np.log(good[k]["odds"]))) for k in chosen]
 
 
-def _clean_words(counts: DataFrame, n1: int, n0: int, terms: list[tuple[str, bool, float]]) -> tuple[frozenset[str], frozenset[str]]:
-    """Words within the edits of a term that clean lexical rows hold about as often as toxic ones,
+def _clean_words(rows: DataFrame, n1: int, n0: int, terms: list[tuple[str, bool, float]]) -> tuple[frozenset[str], frozenset[str]]:
+    """Words within the edits of a term that clean rows of ``text, toxic`` hold about as often as toxic ones,
     and the terms that have more than ``RARE`` of them that are found in one clean row only."""
-    terms_of = counts.sparkSession.sparkContext.broadcast(terms)
+    terms_of = rows.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(terms_of.value, True)
+        lexicon, found = Lexicon(terms_of.value, True), Counter()
         for b in batches:
-            keep = [(m := lexicon.match(w)) is not None and m[1] > 0 for w in b.column(0).to_pylist()]
-            yield b.filter(pa.array(keep, pa.bool_()))
+            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                found.update((w, toxic) for w in set(_WORDS(text.lower())) if (m := lexicon.match(w)) is not None and m[1] > 0)
+        yield pa.RecordBatch.from_pylist([{"word": w, "toxic": x, "n": n} for (w, x), n in found.items()], _NEAR)
 
+    near = rows.select("text", "toxic").mapInArrow(run, "word string, toxic int, n long")  # words that differ from a term by its edits
+    counts = near.groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"),
+                                      F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
     odds = ((F.col("t") + 0.5) / (n1 + 1)) / ((F.col("c") + 0.5) / (n0 + 1))
-    words = counts.where(F.col("key").endswith("$") & (F.col("c") > 0) & (odds < 5)).select(F.expr("rtrim('$', key)").alias("word"), "c")
-    found = words.mapInArrow(run, "word string, c long").collect()  # words that differ from a term by its edits
+    found = counts.where((F.col("c") > 0) & (odds < 5)).select("word", "c").collect()
     clean, strict = frozenset(r["word"] for r in found), frozenset()
     rare = [r["word"] for r in found if r["c"] == 1]
     while True:  # a word beside a strict term may stand beside another term too
@@ -345,6 +365,9 @@ def _clean_words(counts: DataFrame, n1: int, n0: int, terms: list[tuple[str, boo
         strict |= more
 
 
+_NEAR = pa.schema([("word", pa.string()), ("toxic", pa.int32()), ("n", pa.int64())])
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
     x, w = np.c_[np.ones(len(x)), x], np.zeros(x.shape[1] + 1)
     keep = np.diag([1e-6] + [ridge] * (len(w) - 1))
@@ -359,10 +382,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
 
 def train(docs: DataFrame, labels: DataFrame, is_train: Column, max_per_class: int = MAX_PER_CLASS) -> Model:
     ids = _labelled(docs, labels, is_train)
-    terms, counts, n1, n0 = _terms(_texts(docs, ids.where("lexical")))
-    clean, strict = _clean_words(counts, n1, n0, terms) if terms else (frozenset(), frozenset())
-    parts = [ids.where(~F.col("lexical") & (F.col("toxic") == c)).orderBy("turn").limit(max_per_class) for c in (0, 1)]
-    sample = saved(_texts(docs, F.broadcast(parts[0].unionByName(parts[1]).select("doc_id", "toxic"))), "training-texts")  # 2 * max_per_class rows
+    choose, fit = ids.where("lexical"), ids.where("NOT lexical")
+    n = {r["toxic"]: r["count"] for r in choose.groupBy("toxic").count().collect()}
+    n1, n0 = n.get(1, 0), n.get(0, 0)
+    terms = _terms(_texts(docs, choose.where("toxic = 1")), _texts(docs, choose.where("toxic = 0")), n1, n0)
+    clean, strict = _clean_words(_texts(docs, choose), n1, n0, terms) if terms else (frozenset(), frozenset())
+    parts = [fit.where(F.col("toxic") == c).orderBy("turn").limit(max_per_class) for c in (0, 1)]
+    sample = saved(_texts(docs, parts[0].unionByName(parts[1])), "training-texts")  # 2 * max_per_class rows
     lexicon_of = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

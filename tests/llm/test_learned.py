@@ -126,10 +126,16 @@ def test_texts_with_misspelt_terms_alone_are_found(spark):
     assert share["clean"] < 0.05 and min(share["letter"], share["swap"]) > 0.95, share
 
 
+def lexicon_terms(spark, rows):
+    table = spark.createDataFrame(rows, "text string, toxic int").repartition(6)
+    n1 = sum(y for _, y in rows)
+    return T._terms(table.where("toxic = 1"), table.where("toxic = 0"), n1, len(rows) - n1)
+
+
 def test_whole_words_stay_beside_beginnings(spark):
     rows = [(f"{a}{w} tail{i}" if i % 2 else f"plain words{i} morn", i % 2)
             for i, (a, w) in enumerate([("grumb", x) for x in ("lersome", "lingly", "elicious")] * 40)]
-    terms = T._terms(spark.createDataFrame(rows, "text string, toxic int"))[0]
+    terms = lexicon_terms(spark, rows)
     stems = [t for t, prefix, _ in terms if prefix]
     assert stems and {"grumblersome", "grumblingly", "grumbelicious"} <= {t for t, prefix, _ in terms if not prefix}
     assert T.Lexicon(terms, True).match("gurmblingly")[1] == 1
@@ -141,7 +147,7 @@ def test_the_lexicon_has_no_caps(spark):
     word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
     bad, plain = [word() for _ in range(900)], [word() for _ in range(4000)]
     rows = [(" ".join(rnd.sample(plain, 12) + [bad[i % 900]] * (i < 6300)), int(i < 6300)) for i in range(16_000)]
-    terms = {t for t, prefix, _ in T._terms(spark.createDataFrame(rows, "text string, toxic int").repartition(6))[0]}
+    terms = {t for t, prefix, _ in lexicon_terms(spark, rows)}
     known = lambda w: any(w.startswith(t) for t in terms)
     assert sum(map(known, bad)) > 0.99 * len(bad) and sum(map(known, plain)) < 0.02 * len(plain)
 
@@ -180,7 +186,7 @@ def test_equal_texts_take_the_toxic_label(spark):
     rows = [(i, f"text {i // 4}") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     labels = spark.createDataFrame([(i, 1, int(i % 4 == 3)) for i in range(400)], "doc_id long, quality int, toxic int")
-    first, again = (T._texts(d, T._labelled(d, labels, F.lit(True)).select("doc_id", "toxic")).collect() for d in (docs, docs.repartition(3)))
+    first, again = (T._texts(d, T._labelled(d, labels, F.lit(True))).collect() for d in (docs, docs.repartition(3)))
     assert len(first) == 100 and all(r.toxic == 1 for r in first) and set(first) == set(again)
 
 
