@@ -19,7 +19,9 @@ groups; a token of A and one of B are linked if their bytes overlap.
 
 A's merges are applied by ``tiktoken``, from the ranks in the vocabulary file itself, to texts of
 characters that every Unicode version classes alike (up to U+024F and general punctuation);
-all other texts, and vocabularies of another make, go through the ``tokenizers`` library.
+all other texts, and vocabularies of another make, go through the ``tokenizers`` library.  B's
+ids of a word are remembered: no piece of its vocabulary has a space behind another character,
+so no merge crosses one (texts with stray spaces, and other models, are encoded whole).
 
 Defined cases: null and empty texts, and those whose joined bytes differ from the space and
 the text in A or B, have no tokens, zeros and an empty string of groups; null doc_ids and
@@ -42,15 +44,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _BYTE_CHARS, text_blocks
-from .common import prepare, saved
+from .common import mix64, prepare, saved
 
 BROADCAST_PAIRS = 1 << 22
+#: Words whose ids in B a worker remembers.
+CACHED_PIECES = 50_000
 #: Small enough that the arrays of a block are no large objects to the JVM.
-BLOCK_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 19
 #: Held by a task before it hands its counts on.
 _HELD_PAIRS = 1 << 20
 #: Characters whose class as letter, number, space or other is the same in all Unicode versions in use.
 _STABLE = re.compile(r"[\x00-\u024f\u2010-\u2027\u2030-\u205e]*").fullmatch
+_PROBES = ["Ａ ﬁ é① ½ x", "the first\nline and\tmore", "漢字 カタ。 ö e\u0301 \u0301", "don't I'll 123 4,5", "\U0001F600 ok \u200b z", "a <s> </s> <0x41>"]
 _BLOCK = "block string, docs binary, sizes binary, windows binary, a_ids binary, a_n binary, b_ids binary, b_n binary"
 
 
@@ -124,12 +129,24 @@ class TokenizerB:
 
         self.model = SentencePieceProcessor(model_proto=model)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.pieces = Pieces([bytes([int(t[3:5], 16)]) if self.model.is_byte(i) else t.replace("▁", " ").encode("utf-8")
-                              for i, t in enumerate(names)])
+        names_as_bytes = [bytes([int(t[3:5], 16)]) if self.model.is_byte(i) else t.replace("▁", " ").encode("utf-8") for i, t in enumerate(names)]
+        self.pieces = Pieces(names_as_bytes)
 
 
+        self.by_pieces = not any(" " in p.lstrip(b" ").decode("utf-8", "replace") for p in names_as_bytes) and all(
+            self.model.encode(t) == [i for w in t.split(" ") for i in self.model.encode(w)] for t in _PROBES)
+        self.cache: dict[str, bytes] = {}
+
     def encode(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text), np.uint32)
+        if not self.by_pieces or text.startswith(" ") or text.endswith(" ") or "  " in text:
+            return np.array(self.model.encode(text), np.uint32)
+        cache = self.cache = {} if len(self.cache) > CACHED_PIECES else self.cache
+        parts = text.split(" ")
+        new = [p for p in set(parts) if p not in cache]
+        for lo in range(0, len(new), CACHED_PIECES):
+            some = new[lo:lo + CACHED_PIECES]
+            cache.update(zip(some, [np.array(x, np.uint32).tobytes() for x in self.model.encode(some, num_threads=1)], strict=True))
+        return np.frombuffer(b"".join(map(cache.__getitem__, parts)), np.uint32)
 
 
 class Both:
@@ -180,6 +197,16 @@ def cut(a: np.ndarray, b: np.ndarray, pieces_a: Pieces, pieces_b: Pieces) -> tup
     return np.searchsorted(start_a, anchors), np.searchsorted(start_b, anchors)
 
 
+_NAMES: list[np.ndarray] = []
+
+
+def _names(ids: int) -> np.ndarray:
+    """Each id with each of the marks that may stand behind it, made once in a worker."""
+    if not _NAMES or len(_NAMES[0]) < ids:
+        _NAMES[:] = [np.array([[f"{i}{m}" for m in ",|;\n"] for i in range(max(ids, 1 << 16))], object)]
+    return _NAMES[0]
+
+
 class Windows:
     """Aligned windows: both id lists of all of them in a row, and the links between them."""
 
@@ -216,9 +243,38 @@ class Windows:
         mark = np.zeros(n, np.int64)  # behind a token: "," or "|" or ";" or the window's end
         mark[:-1] = np.where(group[1:] != group[:-1], 2, np.where(side[1:] != side[:-1], 1, 0))
         mark[(self.first_a + self.first_b)[1:] - 1] = 3
-        names, at = np.unique(ids, return_inverse=True)
-        table = np.array([[f"{i}{m}" for m in ",|;\n"] for i in names.tolist()], object).reshape(-1, 4)
-        return "".join(table[at, mark].tolist()).split("\n")[:-1]
+        table = _names(int(ids.max(initial=0)) + 1)
+        return "".join(table[ids, mark].tolist()).split("\n")[:-1]
+
+
+def _hashes(ids: np.ndarray, first: np.ndarray, n: np.ndarray, salt: int) -> np.ndarray:
+    """A 64-bit hash of each window's ids and their places."""
+    place = np.arange(len(ids)) - np.repeat(first, n)
+    return np.add.reduceat(mix64((ids.astype(np.uint64) << np.uint64(32)) ^ (place + (salt << 20)).astype(np.uint64)), first)
+
+
+def _slices(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places of all tokens of the windows that begin at ``first``."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def distinct_windows(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of all equal windows, and for each window which of those it equals.
+
+    Windows are told apart by a hash, and each is then compared with the first of its hash, id
+    by id; should two differ, another hash is taken.
+    """
+    if not len(at_a):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    n_a, n_b, salt = np.diff(at_a, append=len(a)), np.diff(at_b, append=len(b)), 1
+    while True:
+        h = mix64(_hashes(a, at_a, n_a, salt)) ^ _hashes(b, at_b, n_b, salt + 1)
+        _, first, which = np.unique(h, return_index=True, return_inverse=True)
+        same = first[which]
+        if (np.array_equal(n_a, n_a[same]) and np.array_equal(n_b, n_b[same])
+                and np.array_equal(a, a[_slices(at_a[same], n_a)]) and np.array_equal(b, b[_slices(at_b[same], n_b)])):
+            return first, which
+        salt += 2
 
 
 def _pack(x: np.ndarray, kind) -> bytes:
@@ -239,23 +295,19 @@ def windows_of(docs: DataFrame, a: str, b: bytes) -> DataFrame:
             sound = np.array([c is not None for c in coded], bool)
             kept = [c for c in coded if c is not None]
             ids_a, ids_b = (np.concatenate([np.zeros(0, np.uint32), *(c[k] for c in kept)]) for k in (0, 1))
-            raw_a, raw_b = ids_a.tobytes(), ids_b.tobytes()
             tokens = np.cumsum([0] + [len(x) for x, _ in kept])
             at_a, at_b = cut(ids_a, ids_b, pieces_a, pieces_b)
             # the windows of a text are those from its first token on
             n_windows = np.zeros(len(coded), np.int64)
             n_windows[sound] = np.diff(np.searchsorted(at_a, tokens))
-            ends_a, ends_b = [*at_a.tolist(), len(ids_a)], [*at_b.tolist(), len(ids_b)]
-            number: dict[tuple[bytes, bytes], int] = {}
-            windows = [number.setdefault((raw_a[4 * i:4 * j], raw_b[4 * k:4 * m]), len(number))
-                       for i, j, k, m in zip(ends_a[:-1], ends_a[1:], ends_b[:-1], ends_b[1:], strict=True)]
-            wide_a, wide_b = ([k[side] for k in number] for side in (0, 1))
+            first, windows = distinct_windows(ids_a, at_a, ids_b, at_b)
+            n_a, n_b = np.diff(at_a, append=len(ids_a))[first], np.diff(at_b, append=len(ids_b))[first]
             null = doc_ids.is_null().to_numpy(zero_copy_only=False)
             docs_ = np.stack([doc_ids.fill_null(0).to_numpy(), null.astype(np.int64)])
             yield pa.RecordBatch.from_pylist([{
-                "block": uuid.uuid4().hex, "docs": _pack(docs_, "<i8"), "sizes": _pack(n_windows, "<i8"), "windows": _pack(np.array(windows), "<u4"),
-                "a_ids": b"".join(wide_a), "a_n": _pack(np.array([len(x) >> 2 for x in wide_a]), "<u4"),
-                "b_ids": b"".join(wide_b), "b_n": _pack(np.array([len(x) >> 2 for x in wide_b]), "<u4")}], _BLOCK_ARROW)
+                "block": uuid.uuid4().hex, "docs": _pack(docs_, "<i8"), "sizes": _pack(n_windows, "<i8"), "windows": _pack(windows, "<u4"),
+                "a_ids": _pack(ids_a[_slices(at_a[first], n_a)], "<u4"), "a_n": _pack(n_a, "<u4"),
+                "b_ids": _pack(ids_b[_slices(at_b[first], n_b)], "<u4"), "b_n": _pack(n_b, "<u4")}], _BLOCK_ARROW)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, _BLOCK)

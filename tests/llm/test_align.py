@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from sentencepiece import SentencePieceProcessor
@@ -135,4 +136,15 @@ def test_ids_are_those_of_the_library(spark):
     assert all(align._STABLE(t) for t in texts[-3000:])
     texts += ["".join(stable), "漢字 \u0378 \U0001F600 x", "x" * 200_000, "ab " * 50_000 + "\u0301"]
     for t in texts:
-        assert both.a.encode(t).tolist() == a_bytes(" " + t)[0]
+        assert both.a.encode(t).tolist() == a_bytes(" " + t)[0] and both.b.encode(t).tolist() == LIBRARY_B.encode(t)
+
+
+def test_distinct_windows():
+    rng = np.random.default_rng(3)
+    windows = [(tuple(rng.integers(0, 3, rng.integers(1, 4))), tuple(rng.integers(0, 3, rng.integers(1, 4)))) for _ in range(2000)]
+    a, b = (np.concatenate([np.array(w[k], np.uint32) for w in windows]) for k in (0, 1))
+    at_a, at_b = (np.cumsum([0] + [len(w[k]) for w in windows])[:-1] for k in (0, 1))
+    first, which = align.distinct_windows(a, at_a, b, at_b)
+    assert len(first) == len(set(windows)) and [windows[first[k]] for k in which] == windows
+    none = np.zeros(0, np.int64)
+    assert [len(x) for x in align.distinct_windows(none, none, none, none)] == [0, 0]
