@@ -54,6 +54,9 @@ WINDOW = 48
 MAX_PER_CLASS = 2000
 MIN_ROWS, ODDS = 3, 10
 FALSE_TERMS = 0.02
+PART = 0.1
+#: Stronger terms beside which a term has no row of its own, and the share of its rows that have to be.
+COVER, OWN = 8, 0.2
 #: Ids, or keys, that are sent to all tasks at most (some 30 bytes each); more are joined.
 BROADCAST_IDS = 2_000_000
 THRESHOLD = 0.3
@@ -291,11 +294,19 @@ def _significant(t: Column, c: Column, n1: int, n0: int) -> Column:
 
 
 def _keys(rows: DataFrame) -> DataFrame:
-    """The distinct words (marked with ``$``) and beginnings of each row."""
+    """``row, key``: the distinct words (marked with ``$``) and beginnings of each row."""
     starts = [_starts(n) for n in PREFIXES]
     whole = F.transform(F.filter("w", lambda x: F.length(x) >= PREFIXES[0]), lambda x: F.concat(x, F.lit("$")))
-    words = rows.select(F.array_distinct(F.split(F.lower("text"), _SPLIT)).alias("w"))
-    return words.select(F.explode(F.array_distinct(F.concat(whole, *starts))).alias("key"))
+    words = rows.select(F.monotonically_increasing_id().alias("row"), F.array_distinct(F.split(F.lower("text"), _SPLIT)).alias("w"))
+    return words.select("row", F.explode(F.array_distinct(F.concat(whole, *starts))).alias("key"))
+
+
+def _own_rows(toxic: DataFrame, terms: list[str]) -> dict[str, int]:
+    """Of each term the toxic rows in which at most ``COVER - 1`` terms come before it in the list."""
+    number = F.broadcast(toxic.sparkSession.createDataFrame([(k, i) for i, k in enumerate(terms)], "key string, term int"))
+    in_rows = _keys(toxic).join(number, "key").groupBy("row").agg(F.slice(F.sort_array(F.collect_list("term")), 1, COVER).alias("first"))
+    got = in_rows.select(F.explode("first").alias("term")).groupBy("term").count().collect()  # a row a term
+    return {terms[r["term"]]: r["count"] for r in got}
 
 
 def _terms(toxic: DataFrame, clean: DataFrame, n1: int, n0: int) -> list[tuple[str, bool, float]]:
@@ -310,9 +321,10 @@ def _terms(toxic: DataFrame, clean: DataFrame, n1: int, n0: int) -> list[tuple[s
         return []
     counts = saved(_keys(toxic).groupBy("key").agg(F.count(F.lit(1)).alias("t")), "toxic-keys")
     held = counts.where(F.col("t") >= MIN_ROWS)
-    few = held.count() <= BROADCAST_IDS
-    beside = _keys(clean).join(F.broadcast(held.select("key")) if few else held.select("key"), "key", "left_semi").groupBy("key").agg(
-        F.count(F.lit(1)).alias("c"))
+    # hashes are enough to leave the other keys of clean rows out
+    wanted = held.select(F.xxhash64("key").alias("k"))
+    wanted = F.broadcast(wanted) if held.count() <= BROADCAST_IDS else wanted
+    beside = _keys(clean).withColumn("k", F.xxhash64("key")).join(wanted, "k", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("c"))
     t, c = F.col("t"), F.col("c")
     odds = ((t + 0.5) / (n1 + 1)) / ((c + 0.5) / (n0 + 1))
     ratio = F.floor(_significant(t, c, n1, n0) * 8).cast("int")
@@ -332,8 +344,12 @@ def _terms(toxic: DataFrame, clean: DataFrame, n1: int, n0: int) -> list[tuple[s
                 best[k[:m]] = max(best[k[:m]], r["t"])
     stems = {k for k, r in good.items() if not k.endswith("$") and best[k] < 0.8 * r["t"]}
     stems = {k for k in stems if not any(k[:m] in stems for m in PREFIXES if m < len(k))}
-    # the whole words below a beginning stay beside it: they tolerate edits
-    chosen = [k for k in good if k in stems or k.endswith("$")]
+    # whole words that make up a good part of a beginning stay beside it: they tolerate edits
+    above = lambda k: next((k[:m] for m in PREFIXES if m < len(k) - 1 and k[:m] in stems), None)
+    chosen = [k for k in good if k in stems or k.endswith("$") and (above(k) is None or good[k]["t"] >= PART * good[above(k)]["t"])]
+    # near copies of toxic texts share all their words: what counts is a term's rows without stronger terms
+    own = _own_rows(toxic, chosen) if chosen else {}
+    chosen = [k for k in chosen if own.get(k, 0) >= max(MIN_ROWS, OWN * good[k]["t"])]
     return [(k.rstrip("$"), not k.endswith("$"), float(np.log(good[k]["odds"]))) for k in chosen]
 
 
