@@ -35,3 +35,10 @@ def test_only_coarse_scans_are_spread(spark, tmp_dir):
 def test_scratch_tables_are_zstd(spark):
     table = sizing.write_table(spark.range(10), "t")
     assert all(f.endswith(".zstd.parquet") for f in table.inputFiles())
+
+
+def test_buckets_follow_the_bytes(spark):
+    rows = spark.range(1000).select("id", F.repeat(F.lit("x"), 84).alias("t"), F.lit(None).cast("string").alias("none"))
+    assert sizing.table_bytes(rows) == 1000 * (3 * 8 + 84) and sizing.table_bytes(rows.limit(0)) == 0
+    counts = [notes.bucket_count(rows.limit(n), rows.limit(1), least=2, bucket_bytes=10_800) for n in (0, 200, 201, 1000)]
+    assert counts == [2, 2, 4, 16]
