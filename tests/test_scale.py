@@ -42,3 +42,13 @@ def test_buckets_follow_the_bytes(spark):
     assert sizing.table_bytes(rows) == 1000 * (3 * 8 + 84) and sizing.table_bytes(rows.limit(0)) == 0
     counts = [notes.bucket_count(rows.limit(n), rows.limit(1), least=2, bucket_bytes=10_800) for n in (0, 200, 201, 1000)]
     assert counts == [2, 2, 4, 16]
+
+
+def test_bucketed_metadata_stay_where_they_are(spark, tmp_dir):
+    """With as many buckets as shuffle partitions only the other side of a join is moved."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(100).select(F.col("id").cast("string").alias("k"), "id")
+    table = f"buckets_{os.path.basename(tmp_dir).replace('-', '_')}"
+    bucketed = notes.write_bucketed(df, table, "k", notes.bucket_count(df, least=n), f"{tmp_dir}/b")
+    joined = bucketed.hint("merge").join(df.withColumnRenamed("id", "other"), "k")
+    assert plan(joined).count("Exchange hashpartitioning") == 1 and joined.count() == 100
