@@ -52,3 +52,16 @@ def test_bucketed_metadata_stay_where_they_are(spark, tmp_dir):
     bucketed = notes.write_bucketed(df, table, "k", notes.bucket_count(df, least=n), f"{tmp_dir}/b")
     joined = bucketed.hint("merge").join(df.withColumnRenamed("id", "other"), "k")
     assert plan(joined).count("Exchange hashpartitioning") == 1 and joined.count() == 100
+
+
+def test_first_batch_moves_texts_once(spark):
+    rows = spark.createDataFrame([("a", 1, 0), ("a", 2, 4), ("a", 3, 1), (None, 4, 0), ("b", 5, 5), ("c", 6, None)],
+                                 "deid_note_key string, note_no long, file_no long")
+    won = notes.first_batch_wins(rows)
+    assert sorted((r.deid_note_key, r.batch, r.note_no) for r in won.collect()) == [("a", 0, 1), ("a", 0, 3), ("b", 1, 5)]
+    assert won.columns == ["deid_note_key", "batch", "note_no", "file_no"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "batch" not in " ".join(x for x in plan(won).splitlines() if "hashpartitioning" in x)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
