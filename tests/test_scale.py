@@ -65,3 +65,23 @@ def test_first_batch_moves_texts_once(spark):
         assert "batch" not in " ".join(x for x in plan(won).splitlines() if "hashpartitioning" in x)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("order", ["path", "reverse"])
+def test_micro_batches_of_many_batches(spark, tmp_dir, order):
+    """Fewer micro-batches, the same batches of three files."""
+    src = f"{tmp_dir}/src"
+    df = spark.createDataFrame([(f"k{i % 9}", i, f"stage II {i}", i % 14) for i in range(90)], "deid_note_key string, note_no long, note_text string, file_no long")
+    df.withColumn("file_no", F.format_string("%02d", "file_no")).repartition("file_no").write.partitionBy("file_no").parquet(src)
+    paths = sorted(os.path.join(d, f) for d, _, fs in os.walk(src) for f in fs if f.endswith(".parquet"))
+    for i, p in enumerate(paths if order == "path" else paths[::-1]):
+        os.utime(p, (1_600_000_000 + 10 * i, 1_600_000_000 + 10 * i))
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(7)] + [("none",)], "deid_note_key string")
+    meta = spark.createDataFrame([("k1", "n1"), ("k1", "n2"), ("k9", "n3")], "deid_note_key string, deid_note_id string")
+    ran = incremental.stream_first_batch(spark, src, SCHEMA, keys, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", metadata=meta, batches_per_trigger=2)
+    assert ran == 3  # 14 files, six at a time
+    rows = readers.read_with_file_order(spark, src)
+    key = lambda r: (r.deid_note_key, r.note_no, r.batch)
+    assert sorted(map(key, incremental.read_output(spark, f"{tmp_dir}/out").collect())) == sorted(map(key, notes.first_batch_wins(rows, keys).collect()))
+    joined = incremental.read_output(spark, f"{tmp_dir}/out", incremental.NOTES)
+    assert joined.count() == notes.first_batch_notes(rows, meta.where("deid_note_key = 'k1'")).count() > 0
