@@ -1,7 +1,8 @@
 """Batch inference hook (G2) and the optional exact token gate.
 
 The model is a user function ``prompts: list[str] -> responses: list[str]`` built by a
-zero-argument factory.  It runs inside ``mapInPandas`` on Arrow batches: each call of
+zero-argument factory.  It runs inside ``mapInArrow``, and only the prompts of one model call
+are Python strings at a time: each call of
 ``infer`` has an id of its own, under which a Python worker builds its model once and
 keeps it for the call's later tasks.  A failing batch is retried row by row; a row whose
 call fails gets a null response and the error's text, so one bad note never fails the job
@@ -14,7 +15,7 @@ import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -61,30 +62,32 @@ def infer(requests: DataFrame, id_cols: list[str], prompt_col: str, model_factor
         T.StructField(out_col, T.StringType(), True), T.StructField(ERROR, T.StringType(), True)])
     call = uuid.uuid4().hex
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(call, model_factory)
-        for pdf in batches:
-            prompts = [p if isinstance(p, str) else "" for p in pdf[prompt_col]]
-            answers = [a for i in range(0, len(prompts), batch_rows) for a in _call(model, prompts[i:i + batch_rows])]
-            out = pdf[id_cols].copy()
-            out[out_col] = pd.Series([r for r, _ in answers], index=pdf.index, dtype=object)
-            out[ERROR] = pd.Series([e for _, e in answers], index=pdf.index, dtype=object)
-            yield out
+        for batch in batches:
+            prompts = batch.column(len(id_cols))
+            answers = [a for i in range(0, len(prompts), batch_rows)
+                       for a in _call(model, [p or "" for p in prompts.slice(i, batch_rows).to_pylist()])]
+            told = [pa.array([a[k] for a in answers], pa.string(), from_pandas=True) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(id_cols)], *told], names=[*id_cols, out_col, ERROR])
 
-    return requests.select(*id_cols, prompt_col).mapInPandas(run, schema)
+    return requests.select(*id_cols, prompt_col).mapInArrow(run, schema)
 
 
 def token_counts(prompts: DataFrame, prompt_col: str, counter_factory: Callable[[], Callable],
-                 out_col: str = "n_tokens") -> DataFrame:
+                 out_col: str = "n_tokens", batch_rows: int = 32) -> DataFrame:
     """``prompts`` with the exact token count of each prompt by a user tokenizer
-    (``list[str] -> list[int]``)."""
+    (``list[str] -> list[int]``), which is given ``batch_rows`` prompts a call."""
     schema = T.StructType([*prompts.schema.fields, T.StructField(out_col, T.LongType(), True)])
     call = uuid.uuid4().hex
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    at = prompts.columns.index(prompt_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _model(call, counter_factory)
-        for pdf in batches:
-            counts = [int(n) for n in counter(pdf[prompt_col].tolist())]
-            yield pdf.assign(**{out_col: pd.Series(counts, index=pdf.index, dtype="int64")})
+        for batch in batches:
+            texts = batch.column(at)
+            counts = [int(n) for i in range(0, len(texts), batch_rows) for n in counter(texts.slice(i, batch_rows).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64())], names=[*batch.schema.names, out_col])
 
-    return prompts.mapInPandas(run, schema)
+    return prompts.mapInArrow(run, schema)

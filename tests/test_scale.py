@@ -67,6 +67,20 @@ def test_first_batch_moves_texts_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_prompts_cross_as_arrow(spark):
+    """No batch of prompts becomes a table of Python strings; a null prompt is an empty one."""
+    df = spark.createDataFrame([(i, f"p{i}" if i % 7 else None) for i in range(100)], "i long, prompt string")
+
+    def factory():
+        return lambda prompts: [f"{len(prompts) <= 4} {p}" for p in prompts]
+
+    out = infer(df, ["i"], "prompt", factory, batch_rows=4)
+    assert {r.i: (r.response, r.error) for r in out.collect()} == {i: (f"True p{i}" if i % 7 else "True ", None) for i in range(100)}
+    counted = token_counts(df.where("prompt IS NOT NULL"), "prompt", lambda: lambda prompts: [len(p) if len(prompts) <= 4 else -1 for p in prompts], batch_rows=4)
+    assert counted.where("n_tokens <> length(prompt)").count() == 0
+    assert all("MapInArrow" in plan(x) and "MapInPandas" not in plan(x) for x in (out, counted))
+
+
 @pytest.mark.parametrize("order", ["path", "reverse"])
 def test_micro_batches_of_many_batches(spark, tmp_dir, order):
     """Fewer micro-batches, the same batches of three files."""
