@@ -67,6 +67,17 @@ def test_first_batch_moves_texts_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_summary_counts_by_key_and_patient(spark):
+    first = spark.createDataFrame([("a", "II"), ("a", None), ("a", "I"), ("b", None), (None, "I"), ("z", "I")], "deid_note_key string, stage string")
+    meta = spark.createDataFrame([("a", "p"), ("a", "p"), ("a", None), ("b", "q"), ("b", "p"), (None, "r"), ("y", "s")],
+                                 "deid_note_key string, patientdurablekey string")
+    out = staging.finding_summary(first, meta)
+    assert tuple(out.first()) == (6, 1, 2)
+    assert tuple(staging.finding_summary(first.limit(0), meta).first()) == (0, 0, 0)
+    assert "Expand" not in plan(out)
+    assert [f.dataType.typeName() for f in out.schema] == ["long"] * 3
+
+
 def test_prompts_cross_as_arrow(spark):
     """No batch of prompts becomes a table of Python strings; a null prompt is an empty one."""
     df = spark.createDataFrame([(i, f"p{i}" if i % 7 else None) for i in range(100)], "i long, prompt string")
