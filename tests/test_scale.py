@@ -78,6 +78,18 @@ def test_summary_counts_by_key_and_patient(spark):
     assert [f.dataType.typeName() for f in out.schema] == ["long"] * 3
 
 
+def test_a_task_writes_several_chunk_files(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(sinks, "TASK_ROWS", 30)
+    rows = spark.range(257).select(F.col("id"), (F.col("id") * 7919 % 257).alias("k")).repartition(5)
+    sinks.write_chunk_files(rows, f"{tmp_dir}/k", ["k"], chunk_rows=10)
+    names = sorted(f for f in os.listdir(f"{tmp_dir}/k") if f.endswith(".parquet"))
+    assert len(names) == 26 and len({f[:10] for f in names}) == 9  # three chunks a task
+    for i, f in enumerate(names):
+        assert [r.k for r in spark.read.parquet(f"{tmp_dir}/k/{f}").collect()] == list(range(10 * i, min(10 * i + 10, 257)))
+    back = sinks.read_chunk_files(spark, f"{tmp_dir}/k")
+    assert back.count() == 257 and back.where("chunk_no <> floor(k / 10) + 1").count() == 0
+
+
 def test_prompts_cross_as_arrow(spark):
     """No batch of prompts becomes a table of Python strings; a null prompt is an empty one."""
     df = spark.createDataFrame([(i, f"p{i}" if i % 7 else None) for i in range(100)], "i long, prompt string")
