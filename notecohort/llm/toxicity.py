@@ -61,6 +61,8 @@ COVER, OWN = 8, 0.2
 BROADCAST_IDS = 2_000_000
 THRESHOLD = 0.3
 FEATURES = 5
+#: The model's inputs that ``design`` makes of them.
+INPUTS = FEATURES - 2
 QUOTED = 0.25
 MISSPELT = 0.8
 RARE = 1
@@ -234,9 +236,9 @@ def design(x: np.ndarray) -> np.ndarray:
 @dataclass
 class Model:
     terms: list[tuple[str, bool, float]] = field(default_factory=list)
-    mean: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES))
-    scale: np.ndarray = field(default_factory=lambda: np.ones(FEATURES))
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES + 1))
+    mean: np.ndarray = field(default_factory=lambda: np.zeros(INPUTS))
+    scale: np.ndarray = field(default_factory=lambda: np.ones(INPUTS))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(INPUTS + 1))
     trained: bool = False
     clean: frozenset[str] = frozenset()
     strict: frozenset[str] = frozenset()
