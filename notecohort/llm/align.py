@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _BYTE_CHARS, text_blocks
-from .common import mix64, prepare, saved
+from .common import WIDE_ROWS, give_back, mix64, prepare, saved
 
 BROADCAST_PAIRS = 1 << 22
 #: Words whose ids in B a worker remembers.
@@ -308,6 +308,7 @@ def windows_of(docs: DataFrame, a: str, b: bytes) -> DataFrame:
                 "block": uuid.uuid4().hex, "docs": _pack(docs_, "<i8"), "sizes": _pack(n_windows, "<i8"), "windows": _pack(windows, "<u4"),
                 "a_ids": _pack(ids_a[_slices(at_a[first], n_a)], "<u4"), "a_n": _pack(n_a, "<u4"),
                 "b_ids": _pack(ids_b[_slices(at_b[first], n_b)], "<u4"), "b_n": _pack(n_b, "<u4")}], _BLOCK_ARROW)
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, _BLOCK)
@@ -345,6 +346,8 @@ def pair_counts(blocks: DataFrame, a: str, b: bytes) -> DataFrame:
                     held = []
         if held:
             yield pa.RecordBatch.from_arrays([*map(pa.array, merged(held))], names=["pair", "links"])
+        held.clear()
+        give_back()
 
     counts = blocks.select("windows", "a_ids", "a_n", "b_ids", "b_n").mapInArrow(run, "pair long, links long")
     counts = saved(counts.groupBy("pair").agg(F.sum("links").alias("links")), "pair-links")
@@ -382,7 +385,7 @@ def align(docs: DataFrame, a: str, b: bytes, broadcast_pairs: int = BROADCAST_PA
     """
     spark = prepare(docs.sparkSession)
     models = spark.sparkContext.broadcast((a, b))
-    blocks = saved(windows_of(docs, a, b), "token-windows")
+    blocks = saved(windows_of(docs, a, b), "token-windows", WIDE_ROWS)
     pairs = saved(pair_counts(blocks, a, b), "pair-counts")
     if pairs.count() <= broadcast_pairs:
         got = pairs.orderBy("pair").toArrow()
@@ -393,6 +396,7 @@ def align(docs: DataFrame, a: str, b: bytes, broadcast_pairs: int = BROADCAST_PA
             for row, w, placed in _blocks(batches, tokenizers(*models.value)):
                 at = np.searchsorted(known, w.pairs)
                 yield _scored(row, w, placed, links[at], best[at])
+            give_back()
 
         return blocks.mapInArrow(score, _OUT)
 

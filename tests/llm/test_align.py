@@ -6,11 +6,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from notecohort.llm import align, queries
+from notecohort.llm import align, common, queries
 
 A = queries.vocabulary("byte_bpe_50k.json")
 B = align.read_model(public_tokenizers.path("piece_bpe_32k.model"))
@@ -148,3 +150,21 @@ def test_distinct_windows():
     assert len(first) == len(set(windows)) and [windows[first[k]] for k in which] == windows
     none = np.zeros(0, np.int64)
     assert [len(x) for x in align.distinct_windows(none, none, none, none)] == [0, 0]
+
+
+def test_blocks_are_written_in_small_row_groups(spark, monkeypatch):
+    """Readers and codecs hold whole pages and row groups: sixty rows of 200 KB are not one of 12 MB."""
+    options = {}
+
+    def saved(df, name, *how):
+        options[name] = how
+        return common.saved(df, name, *how)
+
+    monkeypatch.setattr(align, "saved", saved)
+    align.align(spark.createDataFrame([(1, "some words")], "doc_id long, text string"), A, B).collect()
+    rows = spark.range(60).repartition(1).select(F.expr(
+        "unhex(array_join(transform(sequence(1, 3200), i -> sha2(cast(id * 3200 + i as string), 512)), ''))").alias("block"))
+    kept = common.saved(rows, "wide-rows", *options["token-windows"])
+    files = [pq.ParquetFile(f.removeprefix("file://").removeprefix("file:")).metadata for f in kept.inputFiles()]
+    sizes = [m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)]
+    assert kept.count() == 60 and sum(sizes) > 10 << 20 and max(sizes) < 9 << 20
