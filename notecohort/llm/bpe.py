@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, shuffle_partitions
+from .common import give_back, prepare, shuffle_partitions
 
 LEAF_CHARS = 1 << 14
 #: Longer than any special token or contraction of the vocabulary.
@@ -44,6 +44,9 @@ FIRST_WINDOW = 8
 CACHED_CHUNKS = 50_000
 _SLAB = 1 << 14
 BLOCK_BYTES = 1 << 22
+#: Of texts that are encoded at once: larger blocks share few more chunks, and a worker's and the
+#: JVM's buffers grow with them.
+CODED_BYTES = 1 << 20
 _ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -169,6 +172,7 @@ class Codec:
     def release(self) -> None:
         """Forget all chunks: workers live on, and their next task may be another stage's."""
         self.cache, self.older, self.pieces, self.old_pieces = {}, {}, {}, {}
+        give_back()
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, starts and ends (in code points) of a text."""
@@ -337,7 +341,7 @@ def encode(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS, decod
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(shared.value)
-        for doc_ids, texts in text_blocks(batches):
+        for doc_ids, texts in text_blocks(batches, CODED_BYTES):
             yield finished(c, doc_ids, as_binary(*c.encode(texts)))
         c.release()
 
@@ -375,6 +379,8 @@ def encode(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS, decod
                 nodes.append(_unpack(r))
         if nodes:
             yield done()
+        nodes.clear()
+        c.release()
 
     short = rows.where(~is_long).mapInArrow(whole, columns)
     # every long row gets a number of its own, as a doc_id may repeat

@@ -1,7 +1,10 @@
 """Sharding, BPE, token files, SimHash, mixing and line dedup against brute force."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -251,3 +254,31 @@ def test_time_grows_with_a_texts_repeated_lines(spark):
         return best
 
     assert seconds(100_000) < 8 * seconds(25_000)
+
+
+_MEMORY = """
+import random, re
+import pyarrow as pa
+from notecohort.llm import bpe, queries
+
+def used():
+    return sum(map(int, re.findall(r"\\nPss_(?:Anon|Shmem):\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+c, rng = bpe.Codec(queries.vocabulary()), random.Random(1)
+before = used()
+for _ in range(6):
+    texts = pa.array([" ".join(rng.choice("abcdefgh") + "%x" % rng.getrandbits(40) for _ in range(300)) for _ in range(1000)])
+    ids = bpe.as_binary(*c.encode(texts))
+    decoded = pa.array([c.decode(x.as_py()) for x in ids], pa.string())
+del texts, ids, decoded
+c.release()
+print(used() - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="no memory figures")
+def test_a_codec_gives_its_memory_back():
+    """Idle workers stand beside the tasks of later stages; caches of long words held some 100 MB."""
+    env = os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)}
+    got = subprocess.run([sys.executable, "-c", _MEMORY], capture_output=True, text=True, env=env, timeout=120, check=True)
+    assert float(got.stdout) < 25
