@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notecohort.operators import notes, sizing, staging
+from notecohort.operators import batching, notes, sizing, staging
 from notecohort.operators.inference import infer, token_counts
+from notecohort.plans import registry
 from notecohort.sources import readers, sinks
 from notecohort.streaming import incremental
 
@@ -122,3 +123,25 @@ def test_micro_batches_of_many_batches(spark, tmp_dir, order):
     assert sorted(map(key, incremental.read_output(spark, f"{tmp_dir}/out").collect())) == sorted(map(key, notes.first_batch_wins(rows, keys).collect()))
     joined = incremental.read_output(spark, f"{tmp_dir}/out", incremental.NOTES)
     assert joined.count() == notes.first_batch_notes(rows, meta.where("deid_note_key = 'k1'")).count() > 0
+
+
+def test_wanted_texts_are_found_without_moving_texts(spark):
+    ids = [0, 1, 63, 64, 65, 200, (1 << 33) + 7, (1 << 33) + 63, (5 << 33) + 64]
+    stored = sizing.write_table(spark.createDataFrame([(i, f"t{i}") for i in ids], f"{batching.ROW} long, note_text string"), "texts")
+    rows = spark.createDataFrame([(i,) for i in [63, 63, 64, 2, (1 << 33) + 63, (5 << 33) + 64, (2 << 33)]], f"{batching.ROW} long")
+    found = batching.texts_of(stored, rows)
+    assert sorted(r[0] for r in found.collect()) == [63, 64, (1 << 33) + 63, (5 << 33) + 64]
+    assert "Exchange hashpartitioning" not in plan(found) and found.columns == stored.columns
+    assert batching.texts_of(stored, rows.limit(0)).count() == 0
+    texts = spark.createDataFrame([("k", 1, "one"), ("k", 2, "two")], SCHEMA)
+    metadata = spark.createDataFrame([("k", "n", "p")], "deid_note_key string, deid_note_id string, patientdurablekey string")
+    stored = batching.stored_texts(texts)
+    pairs = sizing.write_table(batching.note_pairs(stored, metadata), "pairs")
+    requests = batching.patient_concat(stored, pairs, sizing.write_table(batching.patient_budget(pairs), "budget"))
+    moved = [x for x in plan(requests).splitlines() if "Exchange hashpartitioning" in x]
+    assert len(moved) == 1 and "patientdurablekey" in moved[0] and requests.count() == 1  # texts move to their patient alone
+
+
+def test_requests_read_only_the_metadata_columns_that_they_use(spark):
+    pairs = registry._pairs(registry.Chain(spark, "/root/testdata/sf0.001"))[1]
+    assert {"encounterkey", "patientepicid", "datekeyvalue", "enddatekeyvalue"}.isdisjoint(pairs.columns)
