@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from notecohort.operators import batching, notes, sizing, staging
 from notecohort.operators.inference import infer, token_counts
-from notecohort.plans import registry
+from notecohort.plans import fixtures, registry
 from notecohort.sources import readers, sinks
 from notecohort.streaming import incremental
 
@@ -142,6 +142,20 @@ def test_wanted_texts_are_found_without_moving_texts(spark):
     assert len(moved) == 1 and "patientdurablekey" in moved[0] and requests.count() == 1  # texts move to their patient alone
 
 
+def test_metadata_move_once_for_orders_and_encounters(spark):
+    """The metadata view joined with encounters: one shuffle of each of its tables, one of the encounters."""
+    sf = "/root/testdata/sf0.001"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fx = fixtures.Fixtures(spark, sf)
+        joined = notes.join_metadata_encounters(fx.note_metadata, fx.encounterfact)
+        assert plan(joined).count("Exchange hashpartitioning") == 3
+        plain = spark.sql(fixtures.FIXTURE_SQL["note_metadata"])
+        assert fx.note_metadata.exceptAll(plain).count() == 0 == plain.exceptAll(fx.note_metadata).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_requests_read_only_the_metadata_columns_that_they_use(spark):
     pairs = registry._pairs(registry.Chain(spark, "/root/testdata/sf0.001"))[1]
     assert {"encounterkey", "patientepicid", "datekeyvalue", "enddatekeyvalue"}.isdisjoint(pairs.columns)
