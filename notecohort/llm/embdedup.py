@@ -7,12 +7,14 @@ vectors share long prefixes, so each vector is compared with the ``window`` that
 the order; pairs with a cosine of at least ``min_cosine`` (double precision) are united across
 all passes.
 
-Passes and window are measured, not given (``measure``): from a sample of at most
-``SAMPLE_BYTES`` of vectors, the sizes of the groups that share a prefix with a vector tell how
-many bits separate it from all but ``window`` others, and its distance from the mean tells with
-which probability a partner at the threshold shares a bit.  The number of passes is such that
-the mean probability that a lone pair at the threshold is never within a window is at most
-``MISS``; of all windows the one is taken that makes the passes cheapest in all.
+Passes and window are measured, not given (``plan_passes``), and on all vectors: in ``ROUNDS``
+sorted orders of all keys the sizes of the groups that share a prefix with a vector tell how
+many bits separate it from all but ``window`` others, and its distance from the mean of all tells
+with which probability a partner at the threshold shares a bit.  The number of passes is such that
+the mean probability, over all vectors, that a lone pair at the threshold is never within a window
+is at most ``MISS``; of all windows the one is taken that makes the passes cheapest in all.
+Orders are range shuffles of narrow rows; groups that reach over the ends of ranges are counted
+from the prefixes of each range's first and last key.
 
 Within a component links are counted exactly, beyond the windows: members closer to the
 component's first vector than half the threshold angle are linked to each other for sure
@@ -32,28 +34,35 @@ empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, matrix, runs, saved, shuffle_partitions, star, usable
+from .common import components, matrix, mix64, runs, saved, shuffle_partitions, star, usable
 
 BITS = 60
 MISS = 0.001
-#: Bytes of vectors of one length that are sampled, and sampled vectors that are measured.
-SAMPLE_BYTES, MEASURED = 16 << 20, 500
+#: Sorted orders whose prefix groups are counted, and directions in which partners are supposed.
+ROUNDS, DIRECTIONS = 8, 256
+#: Vectors that ``measure`` measures against the part of a table that it is given.
+MEASURED = 500
 WINDOWS = tuple(32 << k for k in range(8))
+#: Numbers of passes that are tried at once, at most; no more passes are made.
+TRIES, MOST_PASSES = 32, 1 << 20
 #: What handing a vector to a pass costs, in comparisons.
 PASS_COST = 500
 TILE, LEAST_TILE = 2048, 128
 STRIP = 1024
 #: First vectors of components, in bytes, that are sent to all tasks.
 BROADCAST_BYTES = 8 << 20
+_COUNTED = "dim int, round int, part int, id long, same double, head int, tail int, bits array<int>, first boolean, depth int, prefix long, n long"
+_COUNTED_ARROW = pa.schema([("dim", pa.int32()), ("round", pa.int32()), ("part", pa.int32()), ("id", pa.int64()), ("same", pa.float64()), ("head", pa.int32()),
+                            ("tail", pa.int32()), ("bits", pa.list_(pa.int32())), ("first", pa.bool_()), ("depth", pa.int32()), ("prefix", pa.int64()), ("n", pa.int64())])
 _LINK = "edge int, tail boolean, dim int, pass int, key long, id long, v array<double>, a long, b long"
 _LINK_ARROW = pa.schema([("edge", pa.int32()), ("tail", pa.bool_()), ("dim", pa.int32()), ("pass", pa.int32()), ("key", pa.int64()),
                          ("id", pa.int64()), ("v", pa.list_(pa.float64())), ("a", pa.int64()), ("b", pa.int64())])
@@ -72,24 +81,59 @@ class Plan:
     passes: int
 
 
+def together(u: np.ndarray, turn: np.ndarray, mean: np.ndarray, min_cosine: float, seed: int) -> np.ndarray:
+    """The chance that a plane through the mean has a unit vector and a partner at the threshold, in a
+    direction chosen by ``turn``, on one side."""
+    side = np.random.default_rng([seed, 1, u.shape[1]]).standard_normal((DIRECTIONS, u.shape[1]))[(mix64(turn) % DIRECTIONS).astype(int)]
+    side = unit(side - np.einsum("ij,ij->i", side, u)[:, None] * u + 1e-300)
+    centred, partner = u - mean, min_cosine * u + np.sqrt(max(1 - min_cosine ** 2, 0)) * side - mean
+    norms = np.linalg.norm(centred, axis=1) * np.linalg.norm(partner, axis=1)
+    cos = np.einsum("ij,ij->i", centred, partner) / np.maximum(norms, 1e-300)
+    return 1 - np.arccos(np.clip(cos, -1, 1)) / np.pi
+
+
+def missed(found: np.ndarray, tries: np.ndarray) -> np.ndarray:
+    """For each vector, window and number of passes in ``tries`` (windows x numbers), the chance that a partner is
+    never within the window; ``found`` (windows x vectors) is the chance that it is in one pass."""
+    # vectors that no window separates from their group lie in a crowd at the threshold itself
+    with np.errstate(divide="ignore"):
+        return np.exp(np.log1p(-np.clip(found, 1e-4, 1)).T[:, :, None] * tries)
+
+
+def fewest(means: dict[int, np.ndarray], rate: Callable[[dict[int, np.ndarray]], dict[int, np.ndarray]], miss: float,
+           windows: tuple[int, ...]) -> dict[int, Plan]:
+    """The cheapest plan for each length; ``rate`` gives the mean chances of a miss (windows x numbers) for numbers of passes."""
+    cost, hi, lo = PASS_COST + np.array(windows), {}, {}
+    tries = {dim: np.tile(1 << np.arange(MOST_PASSES.bit_length()), (len(windows), 1)) for dim in means}
+    while tries:
+        for dim, rates in rate(tries).items():
+            t, enough = tries[dim], rates <= miss
+            enough[:, -1] = True
+            at, row = enough.argmax(axis=1), np.arange(len(windows))
+            lo[dim] = np.where(at > 0, t[row, at - 1], lo.get(dim, 0))
+            hi[dim] = t[row, at]
+        tries = {}
+        for dim in means:
+            # a window that cannot be the cheapest any more need not be known better
+            span = np.where(lo[dim] * cost >= (hi[dim] * cost).min(), 0, hi[dim] - lo[dim])
+            if (span > 1).any():
+                step = -(-span[:, None] * np.arange(1, TRIES + 1) // TRIES)
+                tries[dim] = np.where(span[:, None] > 1, lo[dim][:, None] + step, hi[dim][:, None])
+                lo[dim] = np.where(span > 1, lo[dim], hi[dim] - 1)
+    best = {dim: int((hi[dim] * cost).argmin()) for dim in means}
+    return {dim: Plan(mean, windows[best[dim]], int(hi[dim][best[dim]])) for dim, mean in means.items()}
+
+
 def measure(sample: np.ndarray, n: int, min_cosine: float, miss: float = MISS, windows: tuple[int, ...] = WINDOWS, seed: int = 0) -> Plan:
-    """The plan for ``n`` vectors of which ``sample`` are some."""
+    """The plan to expect for a table of ``n`` vectors of which only ``sample`` are at hand (``plan_passes`` counts a whole table)."""
     u = unit(sample)
-    mean, some, rounds = u.mean(axis=0), min(len(u), MEASURED), 8
+    mean, some = u.mean(axis=0), min(len(u), MEASURED)
     if n <= windows[0] or min_cosine >= 1 or len(u) < 2:
         return Plan(mean, windows[0], 1)
-    centred = u - mean
-    # a partner at the threshold, in a random direction around the vector
-    rng = np.random.default_rng([seed, 1])
-    side = rng.standard_normal((some, u.shape[1]))
-    side = unit(side - np.einsum("ij,ij->i", side, u[:some])[:, None] * u[:some] + 1e-300)
-    partner = min_cosine * u[:some] + np.sqrt(max(1 - min_cosine ** 2, 0)) * side - mean
-    norms = np.linalg.norm(centred[:some], axis=1) * np.linalg.norm(partner, axis=1)
-    cos = np.einsum("ij,ij->i", centred[:some], partner) / np.maximum(norms, 1e-300)
-    same = 1 - np.arccos(np.clip(cos, -1, 1)) / np.pi
+    same = together(u[:some], np.arange(some), mean, min_cosine, seed)
     # bits after which a vector's group is no larger than a window, in some passes
     found = np.zeros((len(windows), some))
-    for r in range(rounds):
+    for r in range(ROUNDS):
         keys = np.sort(project(u, mean, planes(u.shape[1], r, seed + 1)))
         own = project(u[:some], mean, planes(u.shape[1], r, seed + 1))
         bits, size = np.full((len(windows), some), np.inf), np.full(some, float(n))
@@ -100,19 +144,8 @@ def measure(sample: np.ndarray, n: int, min_cosine: float, miss: float = MISS, w
             size = np.where(group > 1.5 * n / len(u), group, np.minimum(size / 2, group)) if k else size
             for w, window in enumerate(windows):
                 bits[w] = np.where((size <= window) & np.isinf(bits[w]), k, bits[w])
-        found += np.where(np.isinf(bits), 0, same ** np.where(np.isinf(bits), 0, bits)) / rounds
-    # vectors that no window separates from their group lie in a crowd at the threshold itself
-    found = np.maximum(found, 1e-4)
-    plans = []
-    for window, q in zip(windows, found, strict=True):
-        lo, hi = 0, 1
-        while np.mean((1 - q) ** hi) > miss and hi < 1 << 20:
-            lo, hi = hi, hi * 2
-        while hi - lo > 1:
-            mid = (lo + hi) // 2
-            lo, hi = (mid, hi) if np.mean((1 - q) ** mid) > miss else (lo, mid)
-        plans.append(Plan(mean, window, hi))
-    return min(plans, key=lambda p: p.passes * (PASS_COST + p.window))
+        found += np.where(np.isinf(bits), 0, same ** np.where(np.isinf(bits), 0, bits)) / ROUNDS
+    return fewest({0: mean}, lambda tries: {0: missed(found, tries[0]).mean(axis=0)}, miss, windows)[0]
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -262,15 +295,123 @@ def count_links(members: DataFrame, min_cosine: float, tile: int = TILE) -> Data
     return sure.unionByName(more).groupBy("id").agg(F.sum("links").alias("links"))
 
 
-def plan_passes(distinct: DataFrame, min_cosine: float, seed: int = 0) -> dict[int, Plan]:
-    """A plan for each length of the vectors ``(dim, v)``, from a bounded sample of them."""
-    plans = {}
-    for r in distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect():  # a row a length
-        most = max(2 * MEASURED, SAMPLE_BYTES // (8 * r["dim"]))
-        of_dim = distinct.where(F.col("dim") == r["dim"]).select("v", F.xxhash64("id").alias("turn"))
-        got = of_dim.orderBy("turn").limit(most).toArrow() if r["n"] > most else of_dim.toArrow()
-        plans[r["dim"]] = measure(matrix(got.column("v")), r["n"], min_cosine, seed=seed)
-    return plans
+def by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of each length, ``dim``, in each batch."""
+    for b in batches:
+        dims = b.column("dim").to_numpy()
+        for dim in np.unique(dims).tolist():
+            yield dim, pa.Table.from_batches([b]).filter(pa.array(dims == dim))
+
+
+def sums(rows: DataFrame, of: Callable[[int, pa.Table], np.ndarray]) -> dict[int, np.ndarray]:
+    """The sum of ``of(dim, rows)`` over all rows of each length; a task hands on its sums alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: dict[int, np.ndarray] = {}
+        for dim, t in by_length(batches):
+            got[dim] = got.get(dim, 0) + of(dim, t)
+        for dim, x in got.items():
+            yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([x], pa.list_(pa.float64()))], names=["dim", "x"])
+
+    out: dict[int, np.ndarray] = {}
+    for r in rows.mapInArrow(run, "dim int, x array<double>").collect():  # a row a task and length
+        out[r["dim"]] = out.get(r["dim"], 0) + np.array(r["x"])
+    return out
+
+
+def shared_bits(keys: np.ndarray, key: int) -> np.ndarray:
+    """The number of leading bits that each key shares with ``key``."""
+    return sum(((keys ^ key) >> (BITS - k) == 0).astype(np.int32) for k in range(1, BITS + 1))
+
+
+def fitting_bits(keys: np.ndarray, after: np.ndarray, windows: tuple[int, ...]) -> np.ndarray:
+    """For each sorted key and window the least number of bits above ``after`` whose group of keys is no
+    larger than the window; BITS + 1 if there is none."""
+    bits = np.full((len(keys), len(windows)), BITS + 1, np.int32)
+    for k in range(BITS + 1):
+        group = np.cumsum(np.r_[False, (keys[1:] ^ keys[:-1]) >> (BITS - k) != 0])
+        size = np.bincount(group)[group]
+        for w, window in enumerate(windows):
+            bits[(size <= window) & (k > after) & (bits[:, w] > BITS), w] = k
+        if (bits <= BITS).all():
+            break
+    return bits
+
+
+def found_chances(distinct: DataFrame, means: dict[int, np.ndarray], min_cosine: float, windows: tuple[int, ...], seed: int) -> DataFrame:
+    """``dim, id, n, q0, q1, ...``: for every vector the chances that a partner at the threshold is within each
+    window in a pass, over ``ROUNDS`` orders of all vectors; ``n`` is 1, or the vectors that share the id."""
+    shared = distinct.sparkSession.sparkContext.broadcast(means)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, t in by_length(batches):
+            if dim not in shared.value:
+                continue
+            mean, u, ids = shared.value[dim], unit(matrix(t.column("v"))), t.column("id").to_numpy()
+            same, n = together(u, ids, mean, min_cosine, seed), len(ids)
+            for r in range(ROUNDS):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, dim, np.int32)), pa.array(np.full(n, r, np.int32)), pa.array(project(u, mean, planes(dim, r, seed + 1))),
+                                                  pa.array(ids), pa.array(same)], names=["dim", "round", "key", "id", "same"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for (dim, number), t in runs(batches, 2):
+            keys, n = t.column("key").to_numpy(), t.num_rows
+            head, tail = shared_bits(keys, keys[0]), shared_bits(keys, keys[-1])
+            # groups of no more bits than these hold the first or last key, and may go on in other ranges
+            bits = fitting_bits(keys, np.maximum(head, tail), windows)
+            own = [pa.array(np.full(n, x, np.int32)) for x in (dim, number, part)]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * len(windows)), pa.array(bits.ravel()))
+            cols = [*own, *[t.column(c).combine_chunks() for c in ("id", "same")], pa.array(head), pa.array(tail), lists]
+            yield pa.RecordBatch.from_arrays([*cols, *[pa.nulls(n, f.type) for f in list(_COUNTED_ARROW)[8:]]], schema=_COUNTED_ARROW)
+            depth = np.arange(BITS + 1)
+            for first, key, same in ((True, keys[0], head), (False, keys[-1], tail)):
+                # a group of both ends is counted at the first
+                rows = np.where(first or (depth > head[-1]), (same[:, None] >= depth).sum(axis=0), 0)
+                own = [pa.array(np.full(BITS + 1, x, np.int32)) for x in (dim, number, part)]
+                ends = [pa.array(np.full(BITS + 1, first)), pa.array(depth.astype(np.int32)), pa.array(key >> (BITS - depth)), pa.array(rows)]
+                yield pa.RecordBatch.from_arrays([*own, *[pa.nulls(BITS + 1, f.type) for f in list(_COUNTED_ARROW)[3:8]], *ends], schema=_COUNTED_ARROW)
+
+    order = ["dim", "round", "key", "id"]
+    keys = distinct.select("dim", "id", "v").mapInArrow(keyed, "dim int, round int, key long, id long, same double")
+    counted = keys.repartitionByRange(shuffle_partitions(distinct), *order).sortWithinPartitions(*order).mapInArrow(count, _COUNTED)
+    counted = saved(counted, "prefix-groups")
+    ends = counted.where(F.col("id").isNull()).select("dim", "round", "part", "first", "depth", "prefix", "n")
+    ends = ends.join(ends.groupBy("dim", "round", "depth", "prefix").agg(F.sum("n").alias("size")), ["dim", "round", "depth", "prefix"])
+    fit = lambda first, window: F.min(F.when((F.col("first") == first) & (F.col("size") <= window), F.col("depth")))
+    ends = ends.groupBy("dim", "round", "part").agg(*[fit(first, w).alias(f"{name}{i}") for name, first in (("h", True), ("t", False)) for i, w in enumerate(windows)])
+    # one row a range of an order
+    rows = counted.where(F.col("id").isNotNull()).join(F.broadcast(ends), ["dim", "round", "part"])
+
+    def chance(i: int) -> Column:
+        bits = F.when(F.col(f"h{i}") <= F.col("head"), F.col(f"h{i}")).when(F.col(f"t{i}") <= F.col("tail"), F.col(f"t{i}")).otherwise(F.col("bits")[i])
+        return F.avg(F.when(bits <= BITS, F.pow("same", bits)).otherwise(0.0)).alias(f"q{i}")
+
+    return saved(rows.groupBy("dim", "id").agg((F.count(F.lit(1)) / ROUNDS).alias("n"), *[chance(i) for i in range(len(windows))]), "chances")
+
+
+def plan_passes(distinct: DataFrame, min_cosine: float, seed: int = 0, miss: float = MISS, windows: tuple[int, ...] = WINDOWS) -> dict[int, Plan]:
+    """A plan for each length of the vectors ``(dim, id, v)``, from all of them."""
+    totals = sums(distinct.select("dim", "v"), lambda _, t: np.r_[unit(matrix(t.column("v"))).sum(axis=0), t.num_rows])
+    means = {dim: x[:-1] / x[-1] for dim, x in totals.items()}
+    many = {dim: means[dim] for dim, x in totals.items() if x[-1] > windows[0] and min_cosine < 1}
+    plans = {dim: Plan(mean, windows[0], 1) for dim, mean in means.items()}
+    if not many:
+        return plans
+    chances = found_chances(distinct, many, min_cosine, windows, seed)
+    shape = (len(windows), -1)
+
+    def rate(tries: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+        def of(dim: int, t: pa.Table) -> np.ndarray:
+            if dim not in tries:
+                return np.zeros(1)
+            n = t.column("n").to_numpy()
+            found = np.stack([t.column(f"q{i}").to_numpy() for i in range(len(windows))])
+            return np.r_[np.tensordot(n, missed(found, tries[dim]), 1).ravel(), n.sum()]
+
+        return {dim: (x[:-1] / x[-1]).reshape(shape) for dim, x in sums(chances, of).items() if dim in tries}
+
+    return plans | fewest(many, rate, miss, windows)
 
 
 def near_duplicates(vectors: DataFrame, min_cosine: float = 0.95, passes: int | None = None, window: int | None = None,

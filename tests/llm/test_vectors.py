@@ -170,3 +170,28 @@ def test_window_links_are_all_close_pairs():
     for window, new_from, strip in ((5, 0, 64), (100, 0, 64), (40, 300, 7), (1000, 0, 1000), (3, 699, 10)):
         got = {(lo + i, lo + j) for lo, _, a, b in embdedup.window_links(v, window, 0.95, new_from, strip) for i, j in zip(a.tolist(), b.tolist())}
         assert got == {(i, j) for i in range(700) for j in range(i + 1, min(i + window, 699) + 1) if cos[i, j] >= 0.95 and j >= new_from}
+
+
+def test_plans_come_from_all_vectors(spark):
+    """Mean, group sizes and chances of every vector, counted over the ends of ranges, against counting prefix by prefix."""
+    rng = np.random.default_rng(5)
+    crowd = embdedup.unit(np.eye(8)[0] + rng.normal(0, 0.02, (700, 8)))  # some fit no narrow window
+    v = {16: planted(2_000, 0.6, 50, dim=16), 8: np.concatenate([rng.standard_normal((500, 8)), crowd]), 3: rng.standard_normal((20, 3))}
+    rows = [(dim, 10_000 * dim + i, x.tolist()) for dim, of_dim in v.items() for i, x in enumerate(of_dim)]
+    got = embdedup.plan_passes(spark.createDataFrame(rows, "dim int, id long, v array<double>").repartition(5), 0.95)
+    assert set(got) == {16, 8, 3} and (got[3].window, got[3].passes) == (32, 1)
+    for dim in (16, 8):
+        u, found = embdedup.unit(v[dim]), np.zeros((len(embdedup.WINDOWS), len(v[dim])))
+        same = embdedup.together(u, 10_000 * dim + np.arange(len(u)), u.mean(axis=0), 0.95, 0)
+        for r in range(embdedup.ROUNDS):
+            keys = embdedup.project(u, u.mean(axis=0), embdedup.planes(dim, r, 1)).tolist()
+            sizes = [Counter(k >> (embdedup.BITS - bits) for k in keys) for bits in range(embdedup.BITS + 1)]
+            for w, window in enumerate(embdedup.WINDOWS):
+                bits = [next((b for b in range(embdedup.BITS + 1) if sizes[b][k >> (embdedup.BITS - b)] <= window), None) for k in keys]
+                found[w] += [0 if b is None else same[i] ** b / embdedup.ROUNDS for i, b in enumerate(bits)]
+        found, plans = np.maximum(found, 1e-4), []
+        for window, q in zip(embdedup.WINDOWS, found):
+            passes = next((m for m in range(1, 3_000) if np.mean((1 - q) ** m) <= embdedup.MISS), 3_000)
+            plans.append((passes * (embdedup.PASS_COST + window), window, passes))
+        assert (got[dim].window, got[dim].passes) == min(plans)[1:]
+        assert np.allclose(got[dim].mean, u.mean(axis=0), atol=1e-12)
