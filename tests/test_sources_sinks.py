@@ -74,6 +74,32 @@ def test_report_of_partly_read_files(spark, tmp_dir):
     assert sorted(r.status for r in readers.skipped_files(spark, f"{tmp_dir}/q").collect()) == ["partial", "unreadable"]
 
 
+def test_report_of_files_in_several_splits(spark, tmp_dir):
+    """Rows behind a break that another split reads are not counted; only the broken group is changed."""
+    from notecohort.plans.registry import _break_second_group
+
+    rows = spark.range(1000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("t"))
+    rows.repartition(1).sortWithinPartitions("id").write.option("parquet.block.row.count.limit", 30).parquet(f"{tmp_dir}/q")
+    path = [f"{tmp_dir}/q/{f}" for f in os.listdir(f"{tmp_dir}/q") if f.endswith(".parquet")][0]
+    with open(path, "rb") as f:
+        whole = f.read()
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert readers.read_tolerant(spark, f"{tmp_dir}/q").rdd.getNumPartitions() > 3
+        report = lambda: [(r.promised, r.rows_read, r.status) for r in readers.file_report(spark, f"{tmp_dir}/q").collect()]
+        assert report() == [(1000, 1000, "whole")]
+        _break_second_group(spark, path)
+        assert report() == [(1000, 30, "partial")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    with open(path, "rb") as f:
+        broken = f.read()
+    changed = [i for i, (a, b) in enumerate(zip(whole, broken, strict=True)) if a != b]
+    assert 0 < changed[-1] - changed[0] < len(whole) / 20 and not any(broken[i] for i in changed)
+    assert len([f for f in os.listdir(f"{tmp_dir}/q") if "part-" in f and not f.startswith(".")]) == 1
+
+
 def test_file_ranks_by_broadcast_and_by_join(spark, tmp_dir):
     for name in ("b", "a", "c"):
         spark.range(3).coalesce(1).write.parquet(f"{tmp_dir}/o/{name}")
