@@ -3,6 +3,8 @@
 import contextlib
 import io
 import os
+import re
+import types
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,3 +161,35 @@ def test_metadata_move_once_for_orders_and_encounters(spark):
 def test_requests_read_only_the_metadata_columns_that_they_use(spark):
     pairs = registry._pairs(registry.Chain(spark, "/root/testdata/sf0.001"))[1]
     assert {"encounterkey", "patientepicid", "datekeyvalue", "enddatekeyvalue"}.isdisjoint(pairs.columns)
+
+
+def test_a_task_writes_several_files(spark, monkeypatch):
+    """The files of the streams: as many as before, by a few tasks, each file whole."""
+    monkeypatch.setattr(registry, "ROWS_PER_FILE", 5)
+    rows = spark.range(700).select(F.format_string("k%d", F.col("id") % 90).alias("k"), F.col("id").alias("n"), F.floor(F.col("id") / 100).alias("file_no"))
+    path = registry._files(types.SimpleNamespace(spark=spark), rows, "several", "n")
+    found = [os.path.join(d, f) for d, _, fs in os.walk(path.removeprefix("file:")) for f in fs if f.endswith(".parquet")]
+    parts = 1 + 700 // (5 * 7)
+    assert len(found) == rows.select("file_no", F.col("n") % parts).distinct().count() > 100
+    assert len({re.search(r"/part-(\d+)-", f)[1] for f in found}) <= 8  # shuffle partitions
+    back = readers.read_with_file_order(spark, path, file_rank_col="rank")
+    ranks = rows.selectExpr("n", f"dense_rank() over (order by file_no, n % {parts}) - 1 as want")
+    assert back.join(ranks, "n").where("rank = want").count() == 700
+    in_file = back.selectExpr("row_no = row_number() over (partition by rank order by n) - 1 as sorted")
+    assert in_file.where("sorted").count() == 700
+
+
+def test_folders_are_listed_in_few_tasks(spark, tmp_dir):
+    for i in range(60):
+        os.makedirs(f"{tmp_dir}/l/f={i:02d}")
+        open(f"{tmp_dir}/l/f={i:02d}/x.parquet", "wb").write(b"x")
+    sc, before = spark.sparkContext, spark.conf.get(readers.LISTING_TASKS)
+    sc.setJobGroup("listing", "listing")
+    try:
+        files = readers.list_files(spark, f"{tmp_dir}/l")
+        status = sc.statusTracker()
+        tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("listing") for s in status.getJobInfo(j).stageIds]
+    finally:
+        sc._jsc.clearJobGroup()
+    assert tasks and max(tasks) <= 4 * sc.defaultParallelism < 60 and files.count() == 60
+    assert spark.conf.get(readers.LISTING_TASKS) == before
