@@ -14,7 +14,7 @@ of some batches per micro-batch (``maxFilesPerTrigger``, ``availableNow``):
   it, as rows keep the number of their own file's batch;
 * a micro-batch writes the rows of keys for which its files hold the first batch known,
   their findings, and (given metadata) their notes; a later file of an earlier batch may
-  still win, so readers keep the rows whose batch is the final one;
+  still win, so readers drop the rows of batches that lost;
 * every output is a folder of the micro-batch's number that is overwritten on a replay;
 * the query ends early once every wanted key is found, if files arrive in path order.
 """
@@ -113,10 +113,16 @@ def stream_first_batch(spark: SparkSession, source_dir: str, schema: StructType,
 
 
 def read_output(spark: SparkSession, out_dir: str, what: str = TEXTS, key: str = "deid_note_key") -> DataFrame:
-    """The rows of an output (texts, findings or notes) that belong to their key's first batch."""
+    """The rows of an output (texts, findings or notes) that belong to their key's first batch.
+
+    The batches that lost are looked up among the keys of the texts, so the rows themselves are
+    not moved as long as the few keys that a later file improved can go to them.
+    """
     out_dir = out_dir.rstrip("/")
     levels = KeyLevels(spark, f"{out_dir}/{KEYS}", key)
     if (last := levels.last()) < 0:
         raise FileNotFoundError(f"no finished batch in {out_dir}")
+    written = spark.read.option("basePath", f"{out_dir}/{TEXTS}").parquet(f"{out_dir}/{TEXTS}").select(key, "batch").distinct()
+    lost = write_table(written.join(levels.first_batches(last), [key, "batch"], "left_anti"), "lost-batches")
     rows = spark.read.option("basePath", f"{out_dir}/{what}").parquet(f"{out_dir}/{what}")
-    return rows.drop("part").join(levels.first_batches(last), [key, "batch"])
+    return rows.drop("part").join(lost, [key, "batch"], "left_anti")

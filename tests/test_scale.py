@@ -193,3 +193,21 @@ def test_folders_are_listed_in_few_tasks(spark, tmp_dir):
         sc._jsc.clearJobGroup()
     assert tasks and max(tasks) <= 4 * sc.defaultParallelism < 60 and files.count() == 60
     assert spark.conf.get(readers.LISTING_TASKS) == before
+
+
+def test_rows_of_the_stream_stay_where_they_are(spark, tmp_dir):
+    """Batches that lost go to the rows that are read, and the rows are right."""
+    src = f"{tmp_dir}/src"
+    df = spark.createDataFrame([(f"k{i % 9}", i, f"stage II {i}", i % 14) for i in range(90)] + [(None, 900, "stage I", 3)],
+                               "deid_note_key string, note_no long, note_text string, file_no long")
+    df.withColumn("file_no", F.format_string("%02d", "file_no")).repartition("file_no").write.partitionBy("file_no").parquet(src)
+    paths = sorted(os.path.join(d, f) for d, _, fs in os.walk(src) for f in fs if f.endswith(".parquet"))
+    for i, p in enumerate(paths[::-1]):  # later batches come first and lose
+        os.utime(p, (1_600_000_000 + 10 * i, 1_600_000_000 + 10 * i))
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(7)] * 2 + [("none",), (None,)], "deid_note_key string")
+    incremental.stream_first_batch(spark, src, SCHEMA, keys, f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
+    won = incremental.read_output(spark, f"{tmp_dir}/out")
+    assert "Exchange hashpartitioning" not in plan(won) and won.columns == ["deid_note_key", "batch", "note_no", "note_text"]
+    key = lambda r: (r.deid_note_key, r.note_no, r.batch)
+    assert sorted(map(key, won.collect())) == sorted(map(key, notes.first_batch_wins(readers.read_with_file_order(spark, src), keys).collect()))
+    assert spark.read.parquet(f"{tmp_dir}/out/{incremental.TEXTS}").count() > won.count()
